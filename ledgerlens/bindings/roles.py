@@ -214,8 +214,8 @@ cases AS (
   UNION ALL SELECT 'S' || s_suppkey, 'Tank' FROM supplier
   UNION ALL SELECT 'N' || n_nationkey, 'Node' FROM nation),
 aliases AS (
-  SELECT 'AN' || n_nationkey AS alias_id, 'Flow' AS alias_name, 'N' || n_nationkey AS node_id, NULL AS module_id FROM nation
-  UNION ALL SELECT 'AS' || s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'MassTotal' ELSE 'Level' END, NULL, 'S' || s_suppkey FROM supplier),
+  SELECT 'AN' || n_nationkey AS alias_id, 'Flow' AS alias_name, 'N' || n_nationkey AS node_id, CAST(NULL AS VARCHAR) AS module_id FROM nation
+  UNION ALL SELECT 'AS' || s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'MassTotal' ELSE 'Level' END, CAST(NULL AS VARCHAR), 'S' || s_suppkey FROM supplier),
 attributes AS (
   SELECT 'AN' || n_nationkey AS object_id, n_nationkey AS k FROM nation
   UNION ALL SELECT 'AS' || s_suppkey, s_suppkey FROM supplier),
