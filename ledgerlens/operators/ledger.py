@@ -9,7 +9,7 @@ from itertools import product as every
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import BROADCAST_RULE_ROWS, rows_table, small
+from ..functions.rules import BROADCAST_RULE_ROWS, rows_table
 
 MONEY = "decimal(18,3)"
 
@@ -106,7 +106,8 @@ def wildcard_rule_sum(
 
     Each fact is written out once per wildcard pattern in use, with the wild keys blanked to 0, and meets
     the rules in one equi-join: one scan of the facts, no disjunctive join. Rules given as rows have a
-    known length and are broadcast while short; a rule DataFrame is left to AQE and all patterns are tried.
+    known length and are broadcast while short. Against a rule DataFrame all patterns are tried and the
+    facts are first summed per masked key, so the key "anything" costs one row and no hot partition.
     """
     patterns = list(every((False, True), repeat=len(wild_keys)))
     types = dict(facts.dtypes)
@@ -118,7 +119,7 @@ def wildcard_rule_sum(
         n_rules = len(rules)
         rules = rows_table(facts.sparkSession, schema, [[r[c] for c in columns] for r in rules])
     else:
-        n_rules = BROADCAST_RULE_ROWS + 1
+        n_rules = None
     code = reduce(lambda a, b: a + b, [F.when(F.col(k) == 0, F.lit(1 << i)).otherwise(0) for i, k in enumerate(wild_keys)])
     keyed = rules.select(
         code.alias("_pattern"),
@@ -135,8 +136,13 @@ def wildcard_rule_sum(
     ]
     amount = F.coalesce(F.col(value).cast(MONEY), F.lit(0).cast(MONEY)).alias("_amount")
     laid = facts.select(F.inline(F.array(*variants)), exact_key, amount)
+    match = ["_pattern", *wild_keys, exact_key]
+    if n_rules is None or n_rules > BROADCAST_RULE_ROWS:
+        laid = laid.groupBy(*match).agg(F.sum("_amount").alias("_amount"))
+    else:
+        keyed = F.broadcast(keyed)
     return (
-        laid.join(small(keyed, n_rules), ["_pattern", *wild_keys, exact_key])
+        laid.join(keyed, match)
         .groupBy(target)
         .agg(F.sum("_amount").cast("double").alias("sum_value"))
     )

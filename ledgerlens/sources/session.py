@@ -43,3 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name for one run; nothing is ever cleared or reused."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df, purpose: str, by: tuple[str, ...] = ()):
+    """The same rows, stored once in the shared folder and read back.
+
+    For a result several branches start from: it is computed once, survives the loss of executors, and
+    each branch still prunes columns and partitions.
+    """
+    path = run_dir(df.sparkSession, purpose)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    return df.sparkSession.read.parquet(path)
