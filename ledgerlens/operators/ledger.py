@@ -9,11 +9,9 @@ from itertools import product as every
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.amounts import exact
 from ..functions.rules import BROADCAST_RULE_ROWS, rows_table
 
-MONEY = "decimal(18,3)"
-
-
 def lookup_measure(
     tasks: DataFrame, view: DataFrame, keys: Mapping[str, str], value: str, order: str, task_id: str = "task_id"
 ) -> DataFrame:
@@ -134,7 +132,7 @@ def wildcard_rule_sum(
         )
         for p in patterns
     ]
-    amount = F.coalesce(F.col(value).cast(MONEY), F.lit(0).cast(MONEY)).alias("_amount")
+    amount = F.coalesce(exact(value), F.lit(0)).alias("_amount")
     laid = facts.select(F.inline(F.array(*variants)), exact_key, amount)
     match = ["_pattern", *wild_keys, exact_key]
     if n_rules is None or n_rules > BROADCAST_RULE_ROWS:
@@ -191,31 +189,21 @@ def upsert_measures(
 ) -> DataFrame:
     """Matched target rows get ``update``, unmatched source rows become rows from ``insert`` over ``defaults``.
 
-    ``on`` = (target key, source key), the source key unique. A matched left join and a left-anti branch
-    instead of a full outer join: the anti side is the aggregated source, and both joins can broadcast it.
+    ``on`` = (target key, source key), the source key unique. A full outer join: the target, which may
+    stand for a long computation, is read once.
     """
     key, source_key = on
     types = dict(target.dtypes)
-    source = source.withColumnRenamed(source_key, "_key")
-    joined = target.join(source, F.col(key) == F.col("_key"), "left")
-    hit = F.col("_key").isNotNull()
-    updated = joined.select(
-        *[
-            F.when(hit, update[c].cast(types[c])).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-            for c in target.columns
-        ]
-    )
-    known = target.select(F.col(key).alias("_known"))
-    fresh = source.join(known, F.col("_key") == F.col("_known"), "left_anti")
-    inserted = fresh.select(
-        *[
-            F.col("_key").cast(types[c]).alias(c)
-            if c == key
-            else (insert[c] if c in insert else F.lit(defaults.get(c))).cast(types[c]).alias(c)
-            for c in target.columns
-        ]
-    )
-    return updated.unionByName(inserted)
+    side = source.withColumnRenamed(source_key, "_key").withColumn("_sent", F.lit(1))
+    joined = target.withColumn("_held", F.lit(1)).join(side, F.col(key) == F.col("_key"), "full")
+    held, sent = F.col("_held").isNotNull(), F.col("_sent").isNotNull()
+
+    def value(c: str) -> Column:
+        kept = F.when(sent, update[c].cast(types[c])).otherwise(F.col(c)) if c in update else F.col(c)
+        new = F.col("_key") if c == key else insert.get(c, F.lit(defaults.get(c)))
+        return F.when(held, kept).otherwise(new.cast(types[c])).alias(c)
+
+    return joined.select(*[value(c) for c in target.columns])
 
 
 def latest_changes(changes: DataFrame, members: DataFrame, min_case: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,3 +93,39 @@ def case_sets(cases: DataFrame, case_id: int) -> DataFrame:
     for part in tagged[1:]:
         sets = sets.union(part)
     return sets.filter(F.col("case_id").isNotNull())
+
+
+MOST_CASES = 400  # a month of daily cases with room for irregular ones
+
+
+@dataclass(frozen=True)
+class CaseSets:
+    """The case ids a report compares: a handful, known before its plan is built, so that every fact table
+    is cut by literal ids at the scan."""
+
+    current: int
+    previous: int | None
+    opening: int | None
+    month: tuple[int, ...]
+    is_cumulative: bool
+
+    @property
+    def snapshots(self) -> list[int]:
+        return sorted({c for c in (self.current, self.previous, self.opening) if c is not None})
+
+    @property
+    def totals(self) -> list[int]:
+        return sorted({self.current, *self.month})
+
+
+def resolve_case_sets(cases: DataFrame, case_id: int) -> CaseSets:
+    """``case_sets`` read to the driver: ids of one month, checked against a bound."""
+    flag = cases.filter(F.col("case_id") == case_id).agg(F.max("is_cumulative")).scalar()
+    rows = case_sets(cases, case_id).select("role", "case_id", flag.alias("flag")).limit(MOST_CASES + 1).collect()
+    if len(rows) > MOST_CASES:
+        raise ValueError(f"more than {MOST_CASES} cases in the month of case {case_id}")
+    if not any(r.role == "current" for r in rows):
+        raise ValueError(f"case {case_id} not found")
+    one = {r.role: r.case_id for r in rows if r.role != "month"}
+    month = tuple(sorted(r.case_id for r in rows if r.role == "month"))
+    return CaseSets(case_id, one.get("previous"), one.get("opening"), month, rows[0].flag == 1)

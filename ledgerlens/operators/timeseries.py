@@ -12,6 +12,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.amounts import exact
 from ..functions.text import blank_to_null, folded
 from ..functions.times import ntz, slot
 
@@ -154,11 +155,11 @@ def _sampled(
     )
     value_type = dict(readings.dtypes)[value]
     nothing = F.lit(None).cast(f"struct<v:{value_type}>")
-    zero = F.lit(0).cast("decimal(28,3)")
+    zero = F.lit(0).cast("decimal(28,6)")
 
     summary = used.groupBy(*by, "_slot").agg(
         F.struct(F.max_by("_v", time).alias("v")).alias("_seen"),
-        F.sum("_add").cast("decimal(28,3)").alias("_add"),
+        F.sum("_add").cast("decimal(28,6)").alias("_add"),
         F.lit(0).alias("_kind"),
     )
     marks = summary.unionByName(
@@ -174,7 +175,7 @@ def _sampled(
             "_slot",
             F.lit(None).cast("timestamp_ntz").alias(time),
             F.last("_seen", True).over(earlier).alias("_seen"),
-            F.sum("_add").over(earlier).cast("decimal(28,3)").alias("_add"),
+            F.sum("_add").over(earlier).cast("decimal(28,6)").alias("_add"),
             "_kind",
         )
         .filter(F.col("_kind") == 1)
@@ -182,7 +183,7 @@ def _sampled(
     )
     # at most one row per slot of the sampled range, so this side is small whatever the data
     near = used.join(hit, "_slot", "left_semi").select(
-        *by, "_slot", time, "_seen", F.col("_add").cast("decimal(28,3)").alias("_add"), F.lit(1).alias("_kind")
+        *by, "_slot", time, "_seen", F.col("_add").cast("decimal(28,6)").alias("_add"), F.lit(1).alias("_kind")
     )
     asked = pts.withColumn("_seen", nothing).withColumn("_add", zero).withColumn("_kind", F.lit(2))
     rows = carried.unionByName(near).unionByName(asked, allowMissingColumns=True)
@@ -208,7 +209,7 @@ def asof_last_value(
 
     Pick a narrower ``width`` for denser tags (see ``_sampled``).
     """
-    sampled = _sampled(points, readings, list(by), time, value, F.lit(None).cast("decimal(18,3)"), width, times)
+    sampled = _sampled(points, readings, list(by), time, value, exact(F.lit(None)), width, times)
     found = F.col("_last") if default is None else F.coalesce("_last", F.lit(default))
     return sampled.select(*points.columns, found.alias(value))
 
@@ -226,7 +227,7 @@ def accumulate_to(
 ) -> DataFrame:
     """Quantity accumulated from ``start`` to each point (both inclusive); 0 when there is none.
 
-    ``increment``: sum of the readings, as DECIMAL(18,3) so that it does not depend on arrival order.
+    ``increment``: sum of the readings, as DECIMAL(18,6) so that it does not depend on arrival order.
     ``counter``: last minus first reading of a running counter.
     """
     by = list(by)
@@ -238,7 +239,7 @@ def accumulate_to(
         return last.join(firsts, by, "left").withColumn(value, gain).drop("_first")
     if mode != "increment":
         raise ValueError(f"unknown mode {mode!r}")
-    sampled = _sampled(points, used, by, time, value, F.col(value).cast("decimal(18,3)"), width, times)
+    sampled = _sampled(points, used, by, time, value, exact(value), width, times)
     return sampled.select(*points.columns, F.coalesce("_total", F.lit(0.0)).alias(value))
 
 
@@ -261,7 +262,7 @@ def tag_values_at_boundaries(
     tags = entity_tags(live, entities, aliases, attributes, alias_name)
     times = boundary_times(live, start, end)
     grid = sample_grid(tags.select("tag", "object_type", "alias_id"), times)
-    counted = F.when(F.col("ts") >= ntz(start), F.col("value").cast("decimal(18,3)"))
+    counted = F.when(F.col("ts") >= ntz(start), exact("value"))
     sampled = _sampled(grid, readings, ["tag"], "ts", "value", counted, width, times)
     chosen = F.when(F.col("object_type") == "Tank", F.col("_last")).otherwise(F.col("_total"))
     return sampled.select("tag", "object_type", "alias_id", F.coalesce(chosen, F.lit(0.0)).alias("value"), "ts")
@@ -292,7 +293,7 @@ def period_accumulation(
     sums = (
         readings.filter((F.col(time) >= ntz(start)) & (F.col(time) < ntz(str(stop))))
         .groupBy(by)
-        .agg(F.sum(F.col(value).cast("decimal(18,3)")).cast("double").alias("accumulation"))
+        .agg(F.sum(exact(value)).cast("double").alias("accumulation"))
     )
     return tags.join(sums, by, "left")
 
