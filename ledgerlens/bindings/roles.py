@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.rules import rows_table
 from ..functions.times import midnight, shift
@@ -16,8 +17,15 @@ ANALYSES = [("DAY", "model-d", "daily"), ("MONTH", "model-m", "cumulative")]
 SHIFTS = [(20, 12), (8, 24)]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One table; its schema is looked up in the files once, not at every use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def analyses(spark: SparkSession) -> DataFrame:

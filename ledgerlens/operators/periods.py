@@ -119,13 +119,26 @@ class CaseSets:
 
 
 def resolve_case_sets(cases: DataFrame, case_id: int) -> CaseSets:
-    """``case_sets`` read to the driver: ids of one month, checked against a bound."""
-    flag = cases.filter(F.col("case_id") == case_id).agg(F.max("is_cumulative")).scalar()
-    rows = case_sets(cases, case_id).select("role", "case_id", flag.alias("flag")).limit(MOST_CASES + 1).collect()
-    if len(rows) > MOST_CASES:
-        raise ValueError(f"more than {MOST_CASES} cases in the month of case {case_id}")
-    if not any(r.role == "current" for r in rows):
+    """The same sets as ``case_sets``, read to the driver: one row, then the ids of its month, checked
+    against a bound. Both look-ups carry literal predicates for the scan."""
+    chosen = cases.filter(F.col("case_id") == case_id).take(1)
+    if not chosen:
         raise ValueError(f"case {case_id} not found")
-    one = {r.role: r.case_id for r in rows if r.role != "month"}
-    month = tuple(sorted(r.case_id for r in rows if r.role == "month"))
-    return CaseSets(case_id, one.get("previous"), one.get("opening"), month, rows[0].flag == 1)
+    row = chosen[0]
+    month_start = row.start_time.replace(day=1, hour=0, minute=0, second=0, microsecond=0)
+    to_date = (
+        cases.filter(
+            (F.col("is_cumulative") == 0)
+            & (F.col("start_time") >= ntz(str(month_start)))
+            & (F.col("end_time") <= ntz(str(row.end_time)))
+        )
+        .filter(F.col("start_time") < shift(ntz(str(month_start)), "MONTH", 1))
+        .select("case_id", "prev_case_id")
+        .take(MOST_CASES + 1)
+    )
+    if len(to_date) > MOST_CASES:
+        raise ValueError(f"more than {MOST_CASES} cases in the month of case {case_id}")
+    opening = min(to_date, key=lambda r: r.case_id).prev_case_id if to_date else None
+    if row.is_cumulative == 1:
+        return CaseSets(case_id, opening, opening, (case_id,), True)
+    return CaseSets(case_id, row.prev_case_id, opening, tuple(sorted(r.case_id for r in to_date)), False)

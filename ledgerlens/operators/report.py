@@ -224,7 +224,8 @@ def chain_order(sorting: DataFrame, id: str = "id", after: str = "after_id") ->
 
     Pointer doubling: every round each row jumps to its predecessor's predecessor, so a list of any depth
     takes log2(depth) equi-joins. The state of a round is stored in the shared folder, which cuts the
-    lineage; a cycle or a dangling predecessor never resolves and stops after log2(rows) rounds.
+    lineage. A row whose predecessor does not exist is dropped with all that follow it; a cycle never
+    resolves and is given up after log2(rows) rounds.
     """
     start = sorting.select(
         F.col(id).alias("_id"),
@@ -234,21 +235,14 @@ def chain_order(sorting: DataFrame, id: str = "id", after: str = "after_id") ->
     state = staged(start, "chain")
     rounds = math.ceil(math.log2(max(2, state.count()))) + 1
     for _ in range(rounds):
-        # rows still pointing at a row that exists; nothing left: done
         jump = state.select(F.col("_id").alias("_p"), F.col("_to").alias("_next"), F.col("_depth").alias("_more"))
         ahead = state.join(jump, F.col("_to") == F.col("_p"), "left")
-        moved = F.col("_to").isNotNull() & F.col("_p").isNotNull()
-        state = staged(
-            ahead.select(
-                "_id",
-                F.when(moved, F.col("_next")).otherwise(F.col("_to")).alias("_to"),
-                F.when(moved, F.col("_depth") + F.col("_more")).otherwise(F.col("_depth")).alias("_depth"),
-            ),
-            "chain",
-        )
+        # _depth null: leads nowhere
+        reached = F.when(F.col("_to").isNull(), F.col("_depth")).otherwise(F.col("_depth") + F.col("_more"))
+        state = staged(ahead.select("_id", F.col("_next").alias("_to"), reached.alias("_depth")), "chain")
         if state.filter(F.col("_to").isNotNull()).isEmpty():
             break
-    order = state.filter(F.col("_to").isNull()).select(F.col("_id").alias(id), F.col("_depth").alias("sort_order"))
+    order = state.filter(F.col("_to").isNull() & F.col("_depth").isNotNull()).select(F.col("_id").alias(id), F.col("_depth").alias("sort_order"))
     return sorting.join(order, id)
 
 
