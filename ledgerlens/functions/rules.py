@@ -6,6 +6,7 @@ length on the driver, so inlining them as literals or broadcasting them is bound
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,19 +19,9 @@ BROADCAST_RULE_ROWS = 10_000
 
 def rows_table(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
     """Literal rows as a JVM-side relation; ``schema`` is ``"name type, ..."``."""
-    fields = [f.strip().split(None, 1) for f in schema.split(",")]
-    if not rows:
-        return spark.createDataFrame([], schema)
-    structs = [
-        F.struct(*[F.lit(v).cast(dtype).alias(name) for v, (name, dtype) in zip(row, fields)])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
-
-
-def small(table: DataFrame, n_rows: int) -> DataFrame:
-    """Broadcast a table whose row count is known; beyond the bound leave the choice to AQE."""
-    return F.broadcast(table) if n_rows <= BROADCAST_RULE_ROWS else table
+    names = [f.split()[0] for f in schema.split(",")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema}>>")))
 
 
 def first_match(branches: Sequence[tuple[Column, Column]], default: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import product as every
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,21 +103,19 @@ def wildcard_rule_sum(
     value, ``exact_key`` must be equal (a rule's null reads as 0). Targets without facts are absent.
 
     Each fact is written out once per wildcard pattern in use, with the wild keys blanked to 0, and meets
-    the rules in one equi-join: one scan of the facts, no disjunctive join. Rules given as rows have a
-    known length and are broadcast while short. Against a rule DataFrame all patterns are tried and the
-    facts are first summed per masked key, so the key "anything" costs one row and no hot partition.
+    the rules in one equi-join: one scan of the facts, no disjunctive join. A count per pattern (at most
+    2^keys numbers) tells which patterns occur and how many rules there are: a short rule table is
+    broadcast. Against a long one the facts are first summed per masked key, so that the key "anything"
+    is one row and not a hot partition.
     """
-    patterns = list(every((False, True), repeat=len(wild_keys)))
     types = dict(facts.dtypes)
     if not isinstance(rules, DataFrame):
         columns = [*wild_keys, exact_key, target]
-        used = {tuple(r[k] == 0 for k in wild_keys) for r in rules}
-        patterns = [p for p in patterns if p in used]
         schema = ", ".join(f"{c} {types.get(c, 'bigint')}" for c in columns)
-        n_rules = len(rules)
+        sizes = Counter(sum(1 << i for i, k in enumerate(wild_keys) if r[k] == 0) for r in rules)
         rules = rows_table(facts.sparkSession, schema, [[r[c] for c in columns] for r in rules])
     else:
-        n_rules = None
+        sizes = None
     code = reduce(lambda a, b: a + b, [F.when(F.col(k) == 0, F.lit(1 << i)).otherwise(0) for i, k in enumerate(wild_keys)])
     keyed = rules.select(
         code.alias("_pattern"),
@@ -125,17 +123,21 @@ def wildcard_rule_sum(
         F.coalesce(F.col(exact_key), F.lit(0)).cast(types[exact_key]).alias(exact_key),
         target,
     )
+    if sizes is None:
+        sizes = {r["_pattern"]: r["count"] for r in keyed.groupBy("_pattern").count().collect()}
     variants = [
         F.struct(
-            F.lit(sum(1 << i for i, wild in enumerate(p) if wild)).alias("_pattern"),
-            *[(F.lit(0) if wild else F.col(k)).cast(types[k]).alias(k) for k, wild in zip(wild_keys, p)],
+            F.lit(p).alias("_pattern"),
+            *[(F.lit(0) if p >> i & 1 else F.col(k)).cast(types[k]).alias(k) for i, k in enumerate(wild_keys)],
         )
-        for p in patterns
+        for p in sorted(sizes)
     ]
+    if not variants:
+        return keyed.select(target, F.lit(0.0).alias("sum_value"))
     amount = F.coalesce(exact(value), F.lit(0)).alias("_amount")
     laid = facts.select(F.inline(F.array(*variants)), exact_key, amount)
     match = ["_pattern", *wild_keys, exact_key]
-    if n_rules is None or n_rules > BROADCAST_RULE_ROWS:
+    if sum(sizes.values()) > BROADCAST_RULE_ROWS:
         laid = laid.groupBy(*match).agg(F.sum("_amount").alias("_amount"))
     else:
         keyed = F.broadcast(keyed)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import rows_table
 from ..functions.times import midnight, midnights_between, ntz, shift
 
 
@@ -72,29 +73,6 @@ def month_to_date_cases(cases: DataFrame, case_id: int) -> DataFrame:
     )
 
 
-def case_sets(cases: DataFrame, case_id: int) -> DataFrame:
-    """(role, case_id) for roles current, previous, month, opening; unknown predecessors are left out.
-
-    A cumulative case is its own month set, and its previous case is the month opening.
-    """
-    chosen = cases.filter(F.col("case_id") == case_id)
-    monthly = chosen.agg(F.max("is_cumulative")).scalar()
-    to_date = month_to_date_cases(cases, case_id)
-    opening = to_date.agg(F.min_by("prev_case_id", "case_id").alias("case_id"))
-    previous = chosen.select(
-        F.when(monthly == 1, opening.scalar()).otherwise(F.col("prev_case_id")).alias("case_id")
-    )
-    month = chosen.filter(monthly == 1).select("case_id").union(
-        to_date.filter(monthly == 0).select("case_id")
-    )
-    parts = [("current", chosen), ("previous", previous), ("month", month), ("opening", opening)]
-    tagged = [df.select(F.lit(role).alias("role"), F.col("case_id")) for role, df in parts]
-    sets = tagged[0]
-    for part in tagged[1:]:
-        sets = sets.union(part)
-    return sets.filter(F.col("case_id").isNotNull())
-
-
 MOST_CASES = 400  # a month of daily cases with room for irregular ones
 
 
@@ -119,8 +97,9 @@ class CaseSets:
 
 
 def resolve_case_sets(cases: DataFrame, case_id: int) -> CaseSets:
-    """The same sets as ``case_sets``, read to the driver: one row, then the ids of its month, checked
-    against a bound. Both look-ups carry literal predicates for the scan."""
+    """The case, its predecessor, the daily cases of its month up to it and the case before the first of
+    them. One row, then the ids of its month, checked against a bound; both look-ups carry literal
+    predicates for the scan."""
     chosen = cases.filter(F.col("case_id") == case_id).take(1)
     if not chosen:
         raise ValueError(f"case {case_id} not found")
@@ -142,3 +121,14 @@ def resolve_case_sets(cases: DataFrame, case_id: int) -> CaseSets:
     if row.is_cumulative == 1:
         return CaseSets(case_id, opening, opening, (case_id,), True)
     return CaseSets(case_id, row.prev_case_id, opening, tuple(sorted(r.case_id for r in to_date)), False)
+
+
+def case_sets(cases: DataFrame, case_id: int) -> DataFrame:
+    """(role, case_id) for roles current, previous, month, opening; unknown predecessors are left out.
+
+    A cumulative case is its own month set, and its previous case is the month opening.
+    """
+    sets = resolve_case_sets(cases, case_id)
+    single = [("current", sets.current), ("previous", sets.previous), ("opening", sets.opening)]
+    rows = [r for r in single if r[1] is not None] + [("month", c) for c in sets.month]
+    return rows_table(cases.sparkSession, "role string, case_id int", rows)

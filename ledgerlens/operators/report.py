@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -224,23 +223,23 @@ def chain_order(sorting: DataFrame, id: str = "id", after: str = "after_id") ->
 
     Pointer doubling: every round each row jumps to its predecessor's predecessor, so a list of any depth
     takes log2(depth) equi-joins. The state of a round is stored in the shared folder, which cuts the
-    lineage. A row whose predecessor does not exist is dropped with all that follow it; a cycle never
-    resolves and is given up after log2(rows) rounds.
+    lineage. A row whose predecessor does not exist is dropped with all that follow it. As long as a list
+    is being followed every round resolves a row; when one resolves none, only cycles are left.
     """
     start = sorting.select(
         F.col(id).alias("_id"),
         F.col(after).alias("_to"),
         F.lit(1).cast("bigint").alias("_depth"),
     )
-    state = staged(start, "chain")
-    rounds = math.ceil(math.log2(max(2, state.count()))) + 1
-    for _ in range(rounds):
+    state, waiting = start, None
+    while True:
         jump = state.select(F.col("_id").alias("_p"), F.col("_to").alias("_next"), F.col("_depth").alias("_more"))
         ahead = state.join(jump, F.col("_to") == F.col("_p"), "left")
         # _depth null: leads nowhere
         reached = F.when(F.col("_to").isNull(), F.col("_depth")).otherwise(F.col("_depth") + F.col("_more"))
         state = staged(ahead.select("_id", F.col("_next").alias("_to"), reached.alias("_depth")), "chain")
-        if state.filter(F.col("_to").isNotNull()).isEmpty():
+        before, waiting = waiting, state.filter(F.col("_to").isNotNull()).count()
+        if waiting in (0, before):
             break
     order = state.filter(F.col("_to").isNull() & F.col("_depth").isNotNull()).select(F.col("_id").alias(id), F.col("_depth").alias("sort_order"))
     return sorting.join(order, id)

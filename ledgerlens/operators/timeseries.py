@@ -50,12 +50,13 @@ def boundary_times(intervals: DataFrame, start: str, end: str) -> DataFrame:
 def tag_catalog(attributes: DataFrame, xml_col: str, path: str) -> DataFrame:
     """Distinct (object_id, tag) out of XML property documents; empty and missing tags dropped.
 
-    Documents repeat: they are made distinct before any of them is parsed.
+    Documents repeat: they are made distinct before any of them is parsed. The count ties the parsing to
+    the grouped rows; the filter would otherwise be pushed below the grouping and parse every document.
     """
+    documents = attributes.groupBy("object_id", xml_col).agg(F.count(F.lit(1)).alias("_copies"))
+    tag = F.get(F.xpath(F.col(xml_col), F.lit(path)), F.lit(0))
     return (
-        attributes.select("object_id", xml_col)
-        .distinct()
-        .select("object_id", F.get(F.xpath(F.col(xml_col), F.lit(path)), F.lit(0)).alias("tag"))
+        documents.select("object_id", F.when(F.col("_copies") > 0, tag).alias("tag"))
         .filter(F.col("tag") != "")
         .distinct()
     )
