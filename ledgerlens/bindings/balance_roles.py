@@ -105,7 +105,7 @@ def tanks(spark, sf):
     )
     return read(spark, sf, "supplier").select(
         k.alias("id"),
-        F.lit(6).alias("object_type_id"),
+        F.when(F.col("s_name").isNotNull(), 6).alias("object_type_id"),
         place.alias("sf_name"),
         F.when(k % 25 == 24, F.lit("System tank")).otherwise(F.col("s_name")).alias("name"),
         (F.col("s_acctbal") < 0).cast("int").alias("is_deleted"),

@@ -88,7 +88,7 @@ def _objects(spark, sf):
     )
     suppliers = read(spark, sf, "supplier").select(
         F.concat(F.lit("S"), F.col("s_suppkey")).alias("id"),
-        F.lit(6).alias("object_type_id"),
+        F.when(F.col("s_name").isNotNull(), 6).alias("object_type_id"),
         (F.col("s_acctbal") < 0).cast("int").alias("is_deleted"),
     )
     return orders.unionByName(customers).unionByName(suppliers)

@@ -45,8 +45,10 @@ def month_id(ts: Column) -> Column:
 
 
 def calendar_cases(times: DataFrame, ts: str) -> DataFrame:
-    """Daily and monthly cases of the days that occur; a calendar, whatever the number of rows."""
-    days = times.select(midnight(F.col(ts)).alias("day")).distinct()
+    """Daily and monthly cases from the first to the last day that occurs, without gaps: a calendar, whose
+    length does not grow with the number of rows."""
+    span = times.agg(midnight(F.min(ts)).alias("lo"), midnight(F.max(ts)).alias("hi"))
+    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
     daily = days.select(
         day_id(F.col("day")).alias("case_id"),
         F.lit("DAY").alias("analysis_id"),
@@ -194,7 +196,7 @@ def tag_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CTES = {
     "analyses": "analyses(analysis_id, model_id, name) AS (VALUES ('DAY','model-d','daily'),('MONTH','model-m','cumulative'))",
-    "cases": """days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+    "cases": """days AS (SELECT CAST(unnest(generate_series(date_trunc('day', min(o_orderdate)), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders),
 cases AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS case_id, 'DAY' AS analysis_id, CAST(d AS TIMESTAMP) AS start_time,
          CAST(d + INTERVAL 1 DAY AS TIMESTAMP) AS end_time, CAST(strftime(d - INTERVAL 1 DAY, '%Y%m%d') AS INT) AS prev_case_id

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.amounts import exact
 from ..functions.text import blank_to_null, folded
 from ..functions.times import ntz, slot
+from ..sources.session import staged
 
+# Sampling times, and slots between the first and the last of them, that are still broadcast (16 bytes each).
+BROADCAST_SLOTS = 1_000_000
 RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -116,14 +119,16 @@ def sample_grid(tags: DataFrame, times: DataFrame, width: str = "1 day") -> Data
     """Every tag at every time of ``times`` (column ``ts``).
 
     Each tag is laid out over the slots between the first and the last time and meets the times of a slot
-    in an equi-join: no Cartesian plan. The times are a set bounded by the period; Spark broadcasts them
-    when their measured size allows and shuffles by slot otherwise.
+    in an equi-join: no Cartesian plan. The times are counted first: a set within the bound is broadcast,
+    a larger one is joined by shuffle.
     """
     bucketed = times.withColumn("_slot", slot(F.col("ts"), width))
-    first = bucketed.agg(F.min("_slot")).scalar()
-    last = bucketed.agg(F.max("_slot")).scalar()
-    slots = F.explode(F.sequence(first, last, F.expr(f"INTERVAL '{width}'")))
-    return tags.withColumn("_slot", slots).join(bucketed, "_slot").drop("_slot")
+    n, first, last = bucketed.agg(F.count(F.lit(1)), F.min("_slot"), F.max("_slot")).first()
+    if not n:
+        return tags.limit(0).select("*", F.lit(None).cast("timestamp_ntz").alias("ts"))
+    slots = F.explode(F.sequence(ntz(str(first)), ntz(str(last)), F.expr(f"INTERVAL '{width}'")))
+    side = F.broadcast(bucketed) if n <= BROADCAST_SLOTS else bucketed
+    return tags.withColumn("_slot", slots).join(side, "_slot").drop("_slot")
 
 
 def _sampled(
@@ -138,17 +143,23 @@ def _sampled(
 ) -> DataFrame:
     """Points with ``_last`` (last value at or before) and ``_total`` (sum of ``amount`` up to) the point.
 
-    (1) Readings reduced per (by, slot) by a combining aggregate. (2) A window over these summaries gives
-    each slot that holds points what was carried into it. (3) Inside such a slot: union of carry, raw
-    readings and points, running last and sum. A window never sees more raw rows than one key has in one
-    slot; the carry window sees at most one row per slot of the time range. Readings of slots without a
-    point are never shuffled raw. (by, time) of the readings must be unique. ``times``: the distinct
-    times the points use, when the caller has them at hand.
+    (1) Readings are reduced per (by, stretch) by a combining aggregate; a stretch runs up to the next time
+    slot that holds a point. (2) A window over these summaries gives each such slot what was carried into
+    it. (3) Inside the slot: union of carry, raw readings and points, running last and sum. A window never
+    sees more raw rows than one key has in one slot, the carry window at most one row per stretch, and
+    readings of slots without a point are never shuffled raw. (by, time) of the readings must be unique.
+    ``times``: the distinct times the points use, when the caller has them at hand.
     """
     times = points.select(time) if times is None else times
-    hit = times.select(slot(F.col(time), width).alias("_slot")).distinct()
     pts = points.withColumn("_slot", slot(F.col(time), width))
-    horizon = times.agg(F.max(time)).scalar()
+    hit = times.select(slot(F.col(time), width).alias("_slot")).distinct()
+    # first and last slot and the last time, as literals: they cut the readings at the scan
+    ends = times.agg(F.min(slot(F.col(time), width)), F.max(slot(F.col(time), width)), F.max(time)).first()
+    if ends[0] is None:
+        return points.limit(0).select("*", F.lit(None).cast("double").alias("_last"), F.lit(None).cast("double").alias("_total"))
+    first_slot, last_slot, horizon = (ntz(str(e)) for e in ends)
+    n_slots = (ends[1] - ends[0]) / _interval(width) + 1
+    placed = F.broadcast if n_slots <= BROADCAST_SLOTS else (lambda side: side)
     used = (
         readings.filter(F.col(time) <= horizon)
         .select(*by, time, F.struct(F.col(value).alias("v")).alias("_seen"), F.col(value).alias("_v"), amount.alias("_add"))
@@ -158,18 +169,28 @@ def _sampled(
     nothing = F.lit(None).cast(f"struct<v:{value_type}>")
     zero = F.lit(0).cast("decimal(28,6)")
 
-    summary = used.groupBy(*by, "_slot").agg(
-        F.struct(F.max_by("_v", time).alias("v")).alias("_seen"),
-        F.sum("_add").cast("decimal(28,6)").alias("_add"),
-        F.lit(0).alias("_kind"),
+    # every slot of the sampled range and the point slot it is carried into
+    ordered = hit.agg(F.array_sort(F.collect_set("_slot")).alias("hs"))
+    stretches = ordered.select(
+        F.expr("inline(transform(slice(hs, 2, size(hs)), (h, i) -> struct(hs[i] AS lo, h AS _next)))")
+    ).select(F.explode(F.expr(f"sequence(lo, _next - INTERVAL '{width}', INTERVAL '{width}')")).alias("_slot"), "_next")
+    into = F.when(F.col("_slot") < first_slot, first_slot).otherwise(F.col("_next"))
+    summary = (
+        used.filter(F.col("_slot") < last_slot)
+        .join(placed(stretches), "_slot", "left")
+        .groupBy(*by, into.alias("_slot"))
+        .agg(
+            F.struct(F.max_by("_v", time).alias("v")).alias("_seen"),
+            F.sum("_add").cast("decimal(28,6)").alias("_add"),
+            F.lit(0).alias("_kind"),
+        )
     )
     marks = summary.unionByName(
         pts.select(*by, "_slot").distinct().select(
             "*", nothing.alias("_seen"), zero.alias("_add"), F.lit(1).alias("_kind")
         )
     )
-    # the mark of a point slot sorts before that slot's own summary: it sees earlier slots only
-    earlier = Window.partitionBy(*by).orderBy("_slot", F.desc("_kind")).rowsBetween(*RUNNING)
+    earlier = Window.partitionBy(*by).orderBy("_slot", "_kind").rowsBetween(*RUNNING)
     carried = (
         marks.select(
             *by,
@@ -182,8 +203,7 @@ def _sampled(
         .filter(F.col("_kind") == 1)
         .withColumn("_kind", F.lit(0))
     )
-    # at most one row per slot of the sampled range, so this side is small whatever the data
-    near = used.join(hit, "_slot", "left_semi").select(
+    near = used.join(placed(hit), "_slot", "left_semi").select(
         *by, "_slot", time, "_seen", F.col("_add").cast("decimal(28,6)").alias("_add"), F.lit(1).alias("_kind")
     )
     asked = pts.withColumn("_seen", nothing).withColumn("_add", zero).withColumn("_kind", F.lit(2))
@@ -196,6 +216,11 @@ def _sampled(
     )
 
 
+def _interval(width: str) -> timedelta:
+    amount, unit = width.split()
+    return int(amount) * timedelta(**{unit.rstrip("s") + "s": 1})
+
+
 def asof_last_value(
     points: DataFrame,
     readings: DataFrame,
@@ -257,11 +282,12 @@ def tag_values_at_boundaries(
 ) -> DataFrame:
     """Tank levels (as-of) and unit accumulations at every boundary of the transfers of a period.
 
-    Both kinds of value come out of one pass over the readings.
+    Both kinds of value come out of one pass over the readings. Tags and times are stored once: each is
+    a small distinct set out of all transfers, and the plan below starts from them several times.
     """
     live = interval_overlap(transfers, start, end)
-    tags = entity_tags(live, entities, aliases, attributes, alias_name)
-    times = boundary_times(live, start, end)
+    tags = staged(entity_tags(live, entities, aliases, attributes, alias_name), "tags")
+    times = staged(boundary_times(live, start, end), "times")
     grid = sample_grid(tags.select("tag", "object_type", "alias_id"), times)
     counted = F.when(F.col("ts") >= ntz(start), exact("value"))
     sampled = _sampled(grid, readings, ["tag"], "ts", "value", counted, width, times)
