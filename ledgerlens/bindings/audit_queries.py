@@ -8,6 +8,7 @@ from ..functions.rules import rows_table
 from ..operators import audit as A
 from ..operators.periods import case_kind, select_cases
 from ..plans import audit_reports as reports
+from ..sources.session import staged
 from . import roles as R
 from .period_queries import DUCK_DAYTIME, stamp
 from .roles import day_id, month_id, read
@@ -119,7 +120,8 @@ def resolve_references(spark, sf):
 
 
 def _formatted(spark, sf):
-    return reports.formatted_log(_sources(spark, sf), LABELS)
+    """Stored once: the folds read it several times."""
+    return staged(reports.formatted_log(_sources(spark, sf), LABELS), "formatted")
 
 
 def _folded(df):

@@ -8,6 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.session import staged
+
+BROADCAST_GROUPS = 100_000
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the smallest by ``order``, remaining columns breaking ties.
@@ -51,31 +55,37 @@ def listed_text(
     to parts by a hash of ``spread``, so no task ever holds more than about ``per_part`` of them and
     nothing is dropped.
 
-    Sizes come from a count that combines on the map side. Only groups over the limit are kept on the
-    right of the join, which is empty in ordinary data: AQE then drops the join and the text is built
-    on the same shuffle. With a hot group AQE splits the skewed partition and the aggregate shuffles
-    on keys + part (``forceOptimizeSkewedJoin``, see ``sources.session.tune``).
+    Sizes come from a count that combines on the map side; only groups over the limit are kept, stored
+    and counted. None, the ordinary case: the text is built in one shuffle by key. Few: they are broadcast
+    and the items are shuffled by key and part, so a hot key never meets in one task. More than
+    ``BROADCAST_GROUPS``: the same by a shuffled join, where AQE splits skewed partitions.
     """
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
-    aliases = [f"_k{i}" for i in range(len(keys))]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > per_part)
-    big = counted.select(
-        *[F.col(k).alias(a) for k, a in zip(keys, aliases)],
-        F.ceil(F.col("_n") / F.lit(per_part) * 1.25).alias("_parts"),
-    )
     items = df.select(
         *keys,
         spread.alias("_spread"),
         F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item")).alias("_entry"),
     )
-    on = reduce(lambda a, b: a & b, [items[k] == big[a] for k, a in zip(keys, aliases)])
-    dealt = items.join(big, on, "left").withColumn(
-        "part",
-        F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("_spread"), F.col("_parts")).cast("int")
+    aliases = [f"_k{i}" for i in range(len(keys))]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > per_part)
+    big = staged(
+        counted.select(
+            *[F.col(k).alias(a) for k, a in zip(keys, aliases)],
+            F.ceil(F.col("_n") / F.lit(per_part) * 1.25).alias("_parts"),
         ),
+        "big-groups",
     )
+    n_big = big.count()
+    if n_big == 0:
+        dealt = items.withColumn("part", F.lit(0))
+    else:
+        side = F.broadcast(big) if n_big <= BROADCAST_GROUPS else big
+        on = reduce(lambda a, b: a & b, [F.col(k) == F.col(a) for k, a in zip(keys, aliases)])
+        part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64("_spread"), F.col("_parts")).cast("int")
+        )
+        dealt = items.join(side, on, "left").withColumn("part", part)
     text = F.array_join(
         F.transform(F.array_sort(F.collect_list("_entry")), lambda e: e.getField("_item")), separator
     )

@@ -1,9 +1,10 @@
 import random
 
+import pytest
 from conftest import at, tuples
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import rules, text
+from ledgerlens.functions import grouping, rules, text
 from ledgerlens.functions.grouping import listed_text
 from ledgerlens.operators import audit as A
 from ledgerlens.plans import audit_reports as reports
@@ -105,7 +106,9 @@ def test_folded_report(table):
     ]
 
 
-def test_lists_of_a_hot_group_are_whole_and_bounded(spark):
+@pytest.mark.parametrize("broadcast_groups", [100, 0])
+def test_lists_of_a_hot_group_are_whole_and_bounded(spark, monkeypatch, broadcast_groups):
+    monkeypatch.setattr(grouping, "BROADCAST_GROUPS", broadcast_groups)
     rng = random.Random(5)
     rows = [("hot" if i % 3 == 0 else f"k{i % 50}", i, f"v{rng.randrange(100)}") for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, id int, v string")
