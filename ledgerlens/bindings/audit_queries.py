@@ -52,7 +52,7 @@ def _log(spark, sf):
 
 
 def _names(spark, sf):
-    customers = read(spark, sf, "customer").filter(F.col("c_custkey") % 31 != 0)
+    customers = read(spark, sf, "customer").filter(F.col("c_acctbal") > -800)
     pairs = _log(spark, sf).select("case_id", "object_id").distinct()
     name = F.when(
         F.col("c_custkey") % 4 == 0, F.concat(F.lit("Dependency "), F.col("c_name"))
@@ -194,7 +194,7 @@ _LOG = """log AS (SELECT event_id AS log_id, unnest([CAST(strftime(ts, '%Y%m%d')
   CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS is_cancel FROM events)"""
 _NAMES = """names AS (SELECT DISTINCT case_id, object_id, CASE WHEN c_custkey % 4 = 0 THEN 'Dependency ' || c_name
   ELSE c_mktsegment || ' -> ' || c_name || ' in ' || case_id END AS name
-  FROM log JOIN customer ON c_custkey = object_id WHERE c_custkey % 31 <> 0),
+  FROM log JOIN customer ON c_custkey = object_id WHERE c_acctbal > -800),
 products AS (SELECT DISTINCT case_id, log_id % 100 AS id, p_brand || '/' || case_id AS name FROM log JOIN part ON p_partkey = log_id % 100
   WHERE p_size < 40)"""
 

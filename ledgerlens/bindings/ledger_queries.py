@@ -245,9 +245,11 @@ MIN_CASE = 20240105
 
 
 def _members(spark, sf):
-    return read(spark, sf, "events").select(
-        F.col("user_id").alias("id"), F.floor(F.col("user_id") / 3).cast("bigint").alias("group_id")
-    ).filter(F.col("group_id") % 2 == 0).distinct()
+    """Meters of one segment are in no group."""
+    grouped = read(spark, sf, "customer").filter(F.col("c_mktsegment") != "FURNITURE")
+    return grouped.select(
+        F.col("c_custkey").alias("id"), F.floor(F.col("c_custkey") / 3).cast("bigint").alias("group_id")
+    )
 
 
 def _meters(spark, sf):
@@ -322,7 +324,7 @@ incoming AS (SELECT l.*, got.s AS coming_mix, CASE WHEN got.s IS NULL THEN 0 WHE
   THEN open_mass + got.s - coalesce(measured_accum, 0) ELSE open_mass + got.s - coalesce(measured_day, 0) END AS end_mass
   FROM ledger l JOIN kinds USING (case_id) LEFT JOIN got ON got.id = l.id
   UNION ALL SELECT l.*, NULL, 0 FROM ledger l WHERE l.case_id NOT IN (SELECT case_id FROM kinds))"""
-_SYNC = f"""members AS (SELECT DISTINCT user_id AS id, user_id // 3 AS group_id FROM events WHERE (user_id // 3) % 2 = 0),
+_SYNC = f"""members AS (SELECT c_custkey AS id, c_custkey // 3 AS group_id FROM customer WHERE c_mktsegment <> 'FURNITURE'),
 changes AS (SELECT user_id AS id, CAST(strftime(ts, '%Y%m%d') AS INT) AS case_id,
   CASE WHEN event_id % 9 <> 0 THEN value END AS measured, event_id AS seq FROM events WHERE event_type = 'purchase'),
 meters AS (SELECT user_id AS id, CAST(strftime(ts, '%Y%m%d') AS INT) AS case_id, min(value) FILTER (event_type <> 'error') AS measured

@@ -54,4 +54,4 @@ def staged(df, purpose: str, by: tuple[str, ...] = ()):
     path = run_dir(df.sparkSession, purpose)
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
