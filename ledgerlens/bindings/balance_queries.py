@@ -14,7 +14,7 @@ from ..operators.periods import CaseSets
 from ..plans.tank_report import tank_report as build_report
 from . import balance_roles as B
 from .balance_roles import CURRENT, OPENING, PREVIOUS
-from .roles import day_id, month_id, read
+from .roles import month_id, read
 
 DIVISIONS = ((None, None, None), ("ASIA", None, None), ("EUROPE", "AMERICA", None))
 

@@ -226,7 +226,7 @@ def objects(spark, sf):
     )
     lines = read(spark, sf, "orders").select(
         (F.col("o_orderkey") + FLOWS).alias("id"),
-        F.lit(None).cast("int").alias("object_type_id"),
+        F.when(F.col("o_orderstatus") == "", 0).alias("object_type_id"),
         F.lit(None).cast("string").alias("sf_name"),
         F.lit(None).cast("string").alias("name"),
         (F.col("o_orderstatus") == "F").cast("int").alias("is_deleted"),

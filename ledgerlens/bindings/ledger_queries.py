@@ -78,7 +78,7 @@ def _objects(spark, sf):
         type_id = F.when(segment == name, F.lit(i)).otherwise(type_id)
     orders = read(spark, sf, "orders").select(
         F.concat(F.lit("O"), F.col("o_orderkey")).alias("id"),
-        F.lit(None).cast("int").alias("object_type_id"),
+        F.when(F.col("o_orderstatus") == "", 0).alias("object_type_id"),
         (F.col("o_orderstatus") == "F").cast("int").alias("is_deleted"),
     )
     customers = read(spark, sf, "customer").select(

@@ -13,30 +13,25 @@ from ..sources.session import staged
 BROADCAST_GROUPS = 100_000
 
 
+def _best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], pick) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    ranked = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
+    best = df.groupBy(*keys).agg(pick(ranked).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the smallest by ``order``, remaining columns breaking ties.
 
     A struct minimum instead of ROW_NUMBER: copies of one key are reduced in every map task, so a key
     that owns a third of the rows never meets in a single task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(
-        *[o.alias(f"_o{i}") for i, o in enumerate(order)],
-        *[F.col(c) for c in rest],
-    )
-    best = df.groupBy(*keys).agg(F.min(ranked).alias("_best"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+    return _best_per_key(df, keys, order, F.min)
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the largest by ``order``."""
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(
-        *[o.alias(f"_o{i}") for i, o in enumerate(order)],
-        *[F.col(c) for c in rest],
-    )
-    best = df.groupBy(*keys).agg(F.max(ranked).alias("_best"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+    """One row per key: the largest by ``order``, in the same way."""
+    return _best_per_key(df, keys, order, F.max)
 
 
 def listed_text(

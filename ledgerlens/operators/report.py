@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.amounts import MONEY, exact, money, or_zero, total, zero
+from ..functions.amounts import exact, money, or_zero, total, zero
 from ..functions.grouping import first_per_key
 from ..functions.text import like_any
 from ..sources.session import staged

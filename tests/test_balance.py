@@ -1,4 +1,3 @@
-from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -7,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import report as Rep
 from ledgerlens.operators import stock as St
-from ledgerlens.operators.blends import Blend, blend_balance, ledger_sums
+from ledgerlens.operators.blends import blend_balance, ledger_sums
 from ledgerlens.operators.periods import CaseSets
 from ledgerlens.plans import presets
 

@@ -1,5 +1,4 @@
 from conftest import at, tuples
-from pyspark.sql import functions as F
 
 from ledgerlens.operators import periods as P
 

@@ -3,7 +3,6 @@ from datetime import timedelta
 
 import pytest
 from conftest import at, tuples
-from pyspark.sql import functions as F
 
 from ledgerlens.operators import timeseries as T
 
