@@ -51,7 +51,7 @@ def calendar_cases(times: DataFrame, ts: str) -> DataFrame:
     days = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
     daily = days.select(
         day_id(F.col("day")).alias("case_id"),
-        F.when(F.col("day").isNotNull(), "DAY").alias("analysis_id"),  # a column, not a constant
+        F.when(F.year("day") > 0, "DAY").alias("analysis_id"),  # a column, not a constant
         F.col("day").alias("start_time"),
         shift(F.col("day"), "DAY", 1).alias("end_time"),
         day_id(shift(F.col("day"), "DAY", -1)).alias("prev_case_id"),
@@ -62,7 +62,7 @@ def calendar_cases(times: DataFrame, ts: str) -> DataFrame:
         .distinct()
         .select(
             month_id(F.col("day")).alias("case_id"),
-            F.when(F.col("day").isNotNull(), "MONTH").alias("analysis_id"),
+            F.when(F.year("day") > 0, "MONTH").alias("analysis_id"),
             F.col("day").alias("start_time"),
             shift(F.col("day"), "MONTH", 1).alias("end_time"),
             month_id(shift(F.col("day"), "MONTH", -1)).alias("prev_case_id"),
