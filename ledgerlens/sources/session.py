@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -14,9 +13,6 @@ TUNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # let AQE split a skewed join even when that costs one more shuffle for the next aggregate
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
-    # partitions without a _spark_metadata date are replaced one by one
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -28,16 +24,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see: what the cluster names, a temporary one only where nothing is named."""
+    """Folder all executors see, as the session names it in ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not named:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="run-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+        raise ValueError(
+            "spark.checkpoint.dir is not set: name a folder that the driver and all executors share"
+        )
+    return named.rstrip("/")
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
