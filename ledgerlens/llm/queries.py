@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from .common import read
+from .forest import nearest
 from .minhash import near_duplicates
+from .rabitq import near_vectors
+
+
+def op3_rabitq(spark, sf_dir):
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op9_prefix_forest(spark, sf_dir):
+    return nearest(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
 def op7_minhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_minhash": op7_minhash}
+QUERIES = {"op3_rabitq": op3_rabitq, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
 ORACLE: dict[str, str] = {}
