@@ -5,6 +5,7 @@ from __future__ import annotations
 from .common import read
 from .forest import nearest
 from .minhash import near_duplicates
+from .packing import packed
 from .rabitq import near_vectors
 
 
@@ -16,9 +17,13 @@ def op9_prefix_forest(spark, sf_dir):
     return nearest(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op5_best_fit(spark, sf_dir):
+    return packed(read(spark, sf_dir, "documents"))
+
+
 def op7_minhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_rabitq": op3_rabitq, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
+QUERIES = {"op3_rabitq": op3_rabitq, "op5_best_fit": op5_best_fit, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
 ORACLE: dict[str, str] = {}
