@@ -7,6 +7,7 @@ from .forest import nearest
 from .minhash import near_duplicates
 from .packing import packed
 from .rabitq import near_vectors
+from .toxicity import toxicity
 
 
 def op3_rabitq(spark, sf_dir):
@@ -17,6 +18,10 @@ def op9_prefix_forest(spark, sf_dir):
     return nearest(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_best_fit(spark, sf_dir):
     return packed(read(spark, sf_dir, "documents"))
 
@@ -25,5 +30,5 @@ def op7_minhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_rabitq": op3_rabitq, "op5_best_fit": op5_best_fit, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
+QUERIES = {"op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
 ORACLE: dict[str, str] = {}
