@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 import os
 import zlib
 from collections.abc import Callable
@@ -13,10 +15,9 @@ from pyspark.sql import functions as F
 
 from ..sources.session import staged
 from .common import numbers, parts
+from .lookup import Lexicon, spans
 
 TOKENS = 2048  # capacity of a sequence
-KNOWN = 1 << 19  # words whose ids a worker keeps; it starts anew beyond that
-STEP = 1 << 20  # bytes of text worked on at once
 END = 0  # the id after each document
 
 
@@ -27,7 +28,7 @@ def word_bpe() -> str:
 
 
 class Words:
-    """Ids of texts, by runs of bytes between ASCII white space; ids of runs seen before are looked up.
+    """Ids of texts, by runs of bytes between ASCII white space.
 
     The tokenizer drops white space and never joins over it, so a text's ids are those of its runs, one after the other.
     """
@@ -37,61 +38,34 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
+        self.lexicon = Lexicon(self.learn)
 
-    def clear(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.begin, self.length, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[bytes]):
         found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [np.array(x.ids, dtype=np.uint32) for x in found]
+        ids = [x.ids for x in found]
         lengths = np.array([len(x) for x in ids], dtype=np.int64)
-        at = len(self.code)
-        self.code.update(zip(words, range(at, at + len(words))))
-        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.pool = np.concatenate([self.pool, *ids])
+        return words, [(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, lengths.sum()), lengths)]
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text."""
-        split = [t.split() for t in texts]
-        if len(self.code) > KNOWN:
-            self.clear()
-        new = set().union(*split).difference(self.code)
-        if new:
-            self.learn(list(new))
-        counts = np.array([len(w) for w in split], dtype=np.int64)
-        codes = np.fromiter((self.code[w] for words in split for w in words), np.int64, counts.sum())
-        lengths = self.length[codes]
-        ends = np.cumsum(lengths)
-        flat = self.pool[np.repeat(self.begin[codes] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[np.cumsum(counts)]
-        return np.split(flat, cuts[:-1])
-
-
-def _chunks(texts: list[bytes]):
-    """Slices of at most STEP bytes, or of one text."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > at and size + len(t) > STEP:
-            yield slice(at, i)
-            at, size = i, 0
-        size += len(t)
-    if at < len(texts):
-        yield slice(at, len(texts))
+        return self.lexicon.of([t.split() for t in texts])[0]
+
+
+@functools.lru_cache(2)
+def words(path: str) -> Words:
+    """Kept by a worker from task to task."""
+    return Words(path)
 
 
 def _pieces(path: Callable[[], str], tokens: int):
     """doc_id, text -> doc_id, piece, start, length, ids_crc32, deal."""
 
     def run(batches):
-        words, deal = Words(path()), 0
+        known, deal = words(path()), 0
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             out: list[list[int]] = [[], [], [], [], []]
-            for part in _chunks(texts):
-                for at, ids in zip(range(part.start, part.stop), words.ids(texts[part])):
+            for part in spans(texts):
+                for at, ids in zip(range(part.start, part.stop), known.ids(texts[part])):
                     ids = np.append(ids, np.uint32(END))
                     for piece, start in enumerate(range(0, len(ids), tokens)):
                         cut = ids[start : start + tokens]

@@ -6,6 +6,7 @@ from .common import read
 from .forest import nearest
 from .minhash import near_duplicates
 from .packing import packed
+from .pieces import round_trips
 from .rabitq import near_vectors
 from .toxicity import toxicity
 
@@ -26,9 +27,13 @@ def op5_best_fit(spark, sf_dir):
     return packed(read(spark, sf_dir, "documents"))
 
 
+def op6_viterbi(spark, sf_dir):
+    return round_trips(read(spark, sf_dir, "documents"))
+
+
 def op7_minhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
+QUERIES = {"op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
 ORACLE: dict[str, str] = {}
