@@ -9,6 +9,19 @@ from .packing import packed
 from .pieces import round_trips
 from .rabitq import near_vectors
 from .toxicity import toxicity
+from .urls import judged
+from .warc import archived
+
+#: host, path, verdict
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op1_warc_index(spark, sf_dir):
+    return archived(read(spark, sf_dir, "pages"))
+
+
+def op2_url_sweep(spark, sf_dir):
+    return judged(read(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
 
 
 def op3_rabitq(spark, sf_dir):
@@ -35,5 +48,28 @@ def op7_minhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
+ORACLE: dict[str, str] = {
+    "op1_warc_index": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS t, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ), h AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY t) ELSE page_id END AS holder FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> holder THEN holder END AS refers_to
+        FROM h""",
+    "op2_url_sweep": """
+        WITH u AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), s AS (
+            SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+        ), r(h, p, v) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        ), m AS (
+            SELECT page_id, host, path, h || p AS rule, v,
+                   row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST, length(h) DESC) AS k
+            FROM s LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+        )
+        SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1""",
+}
