@@ -8,6 +8,8 @@ from .minhash import near_duplicates
 from .packing import packed
 from .pieces import round_trips
 from .rabitq import near_vectors
+from .secrets import digests
+from .sharding import sharded
 from .toxicity import toxicity
 from .urls import judged
 from .warc import archived
@@ -48,7 +50,15 @@ def op7_minhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op9_prefix_forest": op9_prefix_forest}
+def op8_hash_ring(spark, sf_dir):
+    return sharded(read(spark, sf_dir, "documents"))
+
+
+def op10_secret_links(spark, sf_dir):
+    return digests(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links}
 ORACLE: dict[str, str] = {
     "op1_warc_index": """
         WITH p AS (

@@ -1 +1,56 @@
+"""Stages of the corpus pipeline: each takes the documents its predecessor kept and lets its operator's decisions take effect."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources.session import staged
+from .common import read
+from .minhash import near_duplicates
+from .packing import packed
+from .secrets import redacted
+from .toxicity import toxicity
+
+
+def _once(decisions: DataFrame) -> DataFrame:
+    """One decision for each doc_id."""
+    return decisions.select("doc_id").distinct()
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score below 0.5. A doc_id goes with all its rows if one of them is toxic; rows without doc_id stay."""
+    scored = toxicity(docs, read(spark, sf_dir, "labels"))
+    gone = _once(scored.filter("predicted = 1 and doc_id is not null"))
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies, that with the smallest doc_id; rows that repeat it go too. Rows without
+    doc_id stay."""
+    found = staged(near_duplicates(docs), "components")
+    gone = _once(found.filter("not kept and doc_id is not null"))
+    numbered = docs.join(gone, "doc_id", "left_anti").filter("doc_id is not null").dropDuplicates(["doc_id"])
+    return numbered.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts masked and n_chars counted anew where there is one."""
+    clean = redacted(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    counted = F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.withColumn("n_chars", counted).select(docs.columns)
+
+
+def in_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences."""
+    return packed(docs)
+
+
+def run(spark: SparkSession, sf_dir: str, stages) -> DataFrame:
+    """The stages applied to the table documents, each result written and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in stages:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return docs
