@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +15,12 @@ from ..sources.session import staged
 from .common import listed, lists
 
 EXAMPLES = 20_000  # labelled rows that the index is fitted on, at most; those with the smallest hash
-LEAST_ROWS = 5  # labelled rows that hold a term, at least
-LEAST_CHI2 = 30.0  # association of a term with the label, at least
+EVIDENCE = 14.0  # a term's log-likelihood gain over the prior, at least: by chance less than one of a million terms has it
 NEIGHBOURS = 15
 BLOCK = 64  # examples of a block of the index
 CALM = 0.5  # weight of the prior among the votes
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7)
+TIMES = (1, 2, 4)  # a term counts anew as one that occurs so often
 SEEN = 200_000  # words whose terms a worker remembers; it starts anew beyond that
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -31,27 +32,36 @@ def _terms(word: str) -> list[str]:
 
 
 def _counted(batches):
-    """text, toxic -> term, rows with it, toxic rows with it (part sums)."""
+    """text, toxic -> term, times, rows with it, toxic rows with it (part sums)."""
     for batch in batches:
-        sums: dict[str, list[int]] = {}
+        sums: dict[tuple[str, int], list[int]] = {}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = set(_WORD.findall((text or "").lower()))
-            for term in {t for w in words for t in _terms(w)}:
-                at = sums.setdefault(term, [0, 0])
-                at[0] += 1
-                at[1] += toxic
+            tf: dict[str, int] = {}
+            for w, n in Counter(_WORD.findall((text or "").lower())).items():
+                for t in _terms(w):
+                    tf[t] = tf.get(t, 0) + n
+            for t, n in tf.items():
+                for k in TIMES:
+                    if n >= k:
+                        at = sums.setdefault((t, k), [0, 0])
+                        at[0] += 1
+                        at[1] += toxic
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.string()), pa.array([x[0] for x in sums.values()], pa.int64()), pa.array([x[1] for x in sums.values()], pa.int64())],
-            ["term", "n", "toxic"],
+            [
+                pa.array([t for t, _ in sums], pa.string()), pa.array([k for _, k in sums], pa.int32()),
+                pa.array([x[0] for x in sums.values()], pa.int64()), pa.array([x[1] for x in sums.values()], pa.int64()),
+            ],
+            ["term", "times", "n", "toxic"],
         )
 
 
-def _vectors(number: dict[str, int]):
+def _vectors(number: dict[tuple[str, int], int]):
     """doc_id, held_out, text -> doc_id, held_out, terms (sorted numbers), counts."""
+    chosen = {t for t, _ in number}
 
     def run(batches):
         seen: set[str] = set()
-        known: dict[str, list[int]] = {}
+        known: dict[str, list[str]] = {}
         for batch in batches:
             terms, counts = [], []
             for text in batch.column("text").to_pylist():
@@ -65,16 +75,16 @@ def _vectors(number: dict[str, int]):
                         new = own
                     seen |= new
                     for w in new:
-                        if found := [number[t] for t in _terms(w) if t in number]:
+                        if found := [t for t in _terms(w) if t in chosen]:
                             known[w] = found
-                tf: dict[int, int] = {}
+                tf: dict[str, int] = {}
                 for w in own & known.keys():
                     n = words.count(w)
                     for t in known[w]:
                         tf[t] = tf.get(t, 0) + n
-                order = sorted(tf)
-                terms.append(np.array(order, np.int32))
-                counts.append(np.array([tf[t] for t in order], np.int32))
+                pairs = sorted((number[t, k], n if k == 1 else 1) for t, n in tf.items() for k in TIMES if n >= k and (t, k) in number)
+                terms.append(np.array([t for t, _ in pairs], np.int32))
+                counts.append(np.array([n for _, n in pairs], np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), listed(terms, pa.int32()), listed(counts, pa.int32())],
                 ["doc_id", "held_out", "terms", "counts"],
@@ -179,8 +189,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (the three nearest examples).
 
     The score is the share of toxic votes among the 15 labelled examples with the largest TF-IDF cosine, each weighted by its
-    squared cosine, drawn towards the prior by a weight of 0.5. Terms are words and their first 4 and 5 letters that go with the
-    label among the examples (chi-square 30 or more, 5 rows or more); their document frequencies are counted over all documents.
+    squared cosine, drawn towards the prior by a weight of 0.5. Terms are words and their first 4 to 7 letters, each also as
+    one that occurs twice and four times, as far as they go with the label among the examples (log-likelihood gain of 14 or more);
+    their document frequencies are counted over all documents.
     A text without such terms, also an empty or null one, gets the share of toxic examples without them.
 
     Only labelled rows whose crc32(doc_id as text) mod 5 isn't 0 are examples, at most ``EXAMPLES`` (those with the smallest
@@ -195,16 +206,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     learnt = learnt.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     learnt = staged(learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES), "examples")
     chosen = F.broadcast(learnt)  # EXAMPLES rows of two numbers at most
-    counted = rows.join(chosen, "doc_id").select("text", "toxic").mapInArrow(_counted, "term string, n long, toxic long")
-    counted = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("a")).filter(F.col("n") >= LEAST_ROWS)
+    counted = rows.join(chosen, "doc_id").select("text", "toxic").mapInArrow(_counted, "term string, times int, n long, toxic long")
+    counted = counted.groupBy("term", "times").agg(F.sum("n").alias("n"), F.sum("toxic").alias("a"))
     size = rows.select("doc_id").join(chosen, "doc_id").agg(F.count(F.lit(1)), F.sum("toxic")).first()
     total, bad = int(size[0] or 0), int(size[1] or 0)
-    number: dict[str, int] = {}
+    number: dict[tuple[str, int], int] = {}
     if 0 < bad < total:
-        a, n = F.col("a").cast("double"), F.col("n").cast("double")
-        chi2 = total * F.pow(a * (total - bad) - (n - a) * bad, 2) / (n * (total - n) * bad * (total - bad))
-        picked = counted.filter(F.col("n") < total).filter(chi2 >= LEAST_CHI2).select("term").collect()
-        number = {t: i for i, t in enumerate(sorted(r["term"] for r in picked))}
+        a, n, p = F.col("a").cast("double"), F.col("n").cast("double"), bad / total
+        good = F.when(F.col("a") < F.col("n"), (n - a) * F.log((n - a) / (n * (1 - p)))).otherwise(0.0)
+        picked = counted.filter("a > 0").filter((a / n > p) & (a * F.log(a / (n * p)) + good >= EVIDENCE)).select("term", "times").collect()
+        number = {tuple(r): i for i, r in enumerate(sorted(picked))}
     kinds = "doc_id long, held_out boolean, terms array<int>, counts array<int>"
     vectors = staged(rows.mapInArrow(_vectors(number), kinds), "toxicity_vectors")
     holding = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
