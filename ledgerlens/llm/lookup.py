@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Sequence
 
 import numpy as np
 
-KNOWN = 400_000  # words that are remembered; beyond that it starts anew
-STEP = 1 << 20  # characters or bytes of text worked on at once
+KNOWN = 800_000  # words that are remembered (about 200 MB); beyond that it starts anew
 
 
-def spans(texts: Sequence) -> list[slice]:
-    """Slices of texts of at most STEP in all, or of one text."""
-    out, at, size = [], 0, 0
-    for i, t in enumerate(texts):
-        if i > at and size + len(t) > STEP:
+def spans(sizes: Sequence[int], most: int) -> list[slice]:
+    """Slices whose sizes add up to ``most`` at most, or of one element."""
+    out, at, total = [], 0, 0
+    for i, size in enumerate(sizes):
+        if i > at and total + size > most:
             out.append(slice(at, i))
-            at, size = i, 0
-        size += len(t)
-    if at < len(texts):
-        out.append(slice(at, len(texts)))
+            at, total = i, 0
+        total += size
+    if at < len(sizes):
+        out.append(slice(at, len(sizes)))
     return out
 
 
@@ -36,14 +36,18 @@ class Pool:
         self.length = np.concatenate([self.length, lengths])
         self.values = np.concatenate([self.values, flat]).astype(self.values.dtype, copy=False)
 
-    def gather(self, codes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-        """For each run of ``counts`` codes, their sequences one after the other."""
+    def joined(self, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences of all codes one after the other, and how far those of each run of ``counts`` codes go."""
         lengths = self.length[codes]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         flat = self.values[np.repeat(self.begin[codes] - ends + lengths, lengths) + np.arange(total)]
-        cuts = np.concatenate([[0], ends])[np.cumsum(counts)]
-        return np.split(flat, cuts[:-1]) if len(counts) else []
+        return flat, np.concatenate([[0], ends])[np.cumsum(counts)]
+
+    def gather(self, codes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+        """For each run of ``counts`` codes, their sequences one after the other."""
+        flat, ends = self.joined(codes, counts)
+        return np.split(flat, ends[:-1]) if len(counts) else []
 
 
 class Lexicon:
@@ -52,17 +56,17 @@ class Lexicon:
     ``learn`` takes new words and gives them back in an order of its own, with the ids and their number by word for each column.
     """
 
-    def __init__(self, learn: Callable[[list], tuple[list, list[tuple[np.ndarray, np.ndarray]]]], columns: int = 1):
-        self.learn, self.columns = learn, columns
+    def __init__(self, learn: Callable[[list], tuple[list, list[tuple[np.ndarray, np.ndarray]]]], columns: int = 1, most: int = KNOWN):
+        self.learn, self.columns, self.most = learn, columns, most
         self.clear()
 
     def clear(self) -> None:
         self.code: dict = {}
         self.pools = [Pool() for _ in range(self.columns)]
 
-    def of(self, texts: list[list]) -> list[list[np.ndarray]]:
-        """For each column, the ids of every list of words, one word after the other."""
-        if len(self.code) > KNOWN:
+    def codes(self, texts: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """The code of every word, and the number of words of each list."""
+        if len(self.code) > self.most:
             self.clear()
         new = list(set().union(*texts).difference(self.code))
         if new:
@@ -70,7 +74,6 @@ class Lexicon:
             self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
             for pool, (flat, lengths) in zip(self.pools, columns):
                 pool.add(flat, lengths)
-        counts = np.array([len(w) for w in texts], dtype=np.int64)
-        code = self.code
-        codes = np.fromiter((code[w] for words in texts for w in words), np.int64, counts.sum())
-        return [pool.gather(codes, counts) for pool in self.pools]
+        counts = np.fromiter(map(len, texts), np.int64, len(texts))
+        found = map(self.code.__getitem__, itertools.chain.from_iterable(texts))
+        return np.fromiter(found, np.int64, counts.sum()), counts

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import functools
-import itertools
 import os
 import zlib
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +18,8 @@ from .common import numbers, parts
 from .lookup import Lexicon, spans
 
 TOKENS = 2048  # capacity of a sequence
+STEMS = 1_200_000  # stems that a worker remembers (about 250 MB); it starts anew beyond that
+STEP = 8 << 20  # bytes of text worked on at once
 END = 0  # the id after each document
 
 
@@ -27,10 +29,16 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_BETWEEN = "<|endoftext|>"  # a special token, so that many words can be encoded at once
+_ALONE = frozenset("abcdefghijklmnopqrstuvwxyz0123456789") | frozenset(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
+
+
 class Words:
-    """Ids of texts, by runs of bytes between ASCII white space.
+    """Ids of texts, by runs of characters between ASCII white space.
 
-    The tokenizer drops white space and never joins over it, so a text's ids are those of its runs, one after the other.
+    The tokenizer drops white space and never joins over it, so a text's ids are those of its runs, one after the other. It lowers
+    letters, and a full stop or comma that ends a run behind a letter or digit is encoded by itself, so runs that differ in these
+    share what has to be encoded.
     """
 
     def __init__(self, path: str):
@@ -38,16 +46,40 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = self.tokenizer.token_to_id(_BETWEEN)
+        self.stems = Lexicon(self.encode, most=STEMS)
         self.lexicon = Lexicon(self.learn)
 
-    def learn(self, words: list[bytes]):
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [x.ids for x in found]
-        lengths = np.array([len(x) for x in ids], dtype=np.int64)
-        return words, [(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, lengths.sum()), lengths)]
-
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        return self.lexicon.of([t.split() for t in texts])[0]
+    def encode(self, stems: list[str]):
+        """Ids of stems, a few hundred to a call; those with the sign of special tokens one by one."""
+        plain = [s for s in stems if "<|" not in s]
+        special = [s for s in stems if "<|" in s]
+        ids, lengths = [], []
+        for a in range(0, len(plain), 512):
+            joined = _BETWEEN.join(plain[a : a + 512]) + _BETWEEN
+            found = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype=np.uint32)
+            ends = np.flatnonzero(found == self.between)
+            lengths.append(np.diff(ends, prepend=-1) - 1)
+            ids.append(np.delete(found, ends))
+        for s in special:
+            ids.append(np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype=np.uint32))
+            lengths.append(np.array([len(ids[-1])]))
+        return plain + special, [(np.concatenate(ids), np.concatenate(lengths))]
+
+    def learn(self, words: list[str]):
+        stems = [(w[:-1], w[-1]) if w[-1:] in (".", ",") and w[-2:-1] in _ALONE else (w,) for w in words]
+        codes, counts = self.stems.codes(stems)
+        flat, ends = self.stems.pools[0].joined(codes, counts)
+        return words, [(flat, np.diff(ends, prepend=0))]
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (none null)."""
+        special = pc.match_substring(texts, "<|")  # special tokens are told by case
+        lowered = pc.if_else(special, texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lowered)
+        runs = split.flatten().dictionary_encode()
+        codes, _ = self.lexicon.codes([runs.dictionary.to_pylist()])
+        return self.lexicon.pools[0].gather(codes[numbers(runs.indices)], numbers(split.value_lengths()))
 
 
 @functools.lru_cache(2)
@@ -62,9 +94,9 @@ def _pieces(path: Callable[[], str], tokens: int):
     def run(batches):
         known, deal = words(path()), 0
         for batch in batches:
-            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            texts = pc.fill_null(batch.column("text"), "").cast(pa.large_string())
             out: list[list[int]] = [[], [], [], [], []]
-            for part in spans(texts):
+            for part in spans(numbers(pc.binary_length(texts)), STEP):
                 for at, ids in zip(range(part.start, part.stop), known.ids(texts[part])):
                     ids = np.append(ids, np.uint32(END))
                     for piece, start in enumerate(range(0, len(ids), tokens)):
@@ -187,7 +219,7 @@ def packed(
     within = Window.partitionBy("length", "strip").orderBy("doc_id", "piece", "deal", "ids_crc32")
     ranked = (
         pieces.withColumn("place", F.row_number().over(within) - 1)
-        .join(base, ["length", "strip"])
+        .join(base.hint("merge"), ["length", "strip"])
         .withColumn("rank", F.col("base") + F.col("place"))
     )
     kinds = "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long"
