@@ -10,14 +10,16 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import listed, lists
+from .common import lists, numbers
 from .lookup import Lexicon, Pool, spans
 
 MARK = "▁"  # stands for a space
 PENALTY = 10.0  # an unknown character scores this much below the lowest piece
+STEP = 4 << 20  # bytes of text worked on at once
 CELLS = 1 << 21  # (word, start, length) cells worked on at once
 _HASH = np.uint64(0x100000001B3)
 _RUNS = re.compile(f"\n[^{MARK}\n]*|{MARK}+[^{MARK}\n]*")
@@ -188,18 +190,31 @@ class Pieces:
         return pool
 
 
+@functools.lru_cache(2)
+def spelled(path: str) -> Pool:
+    """Kept by a worker from task to task."""
+    return Pieces(path).spelled()
+
+
 RULES = {"viterbi": Pieces._viterbi, "merges": Pieces._merges}
 
 
-def _split(text: str) -> list[str]:
-    """Words of a text: each begins at a run of spaces or at a line break; no piece goes over such a place.
+def _split(texts: pa.Array) -> pa.Array:
+    """Words of each text (none null): a word begins at a run of spaces or at a line break, and no piece goes over such a place.
 
-    A word's first mark is left out, so plain text needs no more than a split.
+    A word's first mark is left out, so plain text needs no more than a split; texts with runs of spaces go through a pattern.
     """
-    lines = text.replace("\n", " \n")
-    if "  " not in lines and MARK not in text and lines[:1] != " " and lines[-1:] != " ":
-        return lines.split(" ")
-    return [w[1:] if w[0] == MARK else w for w in _RUNS.findall(MARK + text.replace(" ", MARK))]
+    lines = pc.replace_substring(texts, "\n", " \n")
+    odd = pc.or_(pc.match_substring(lines, "  "), pc.match_substring(texts, MARK))
+    odd = pc.or_(odd, pc.or_(pc.starts_with(lines, " "), pc.or_(pc.ends_with(lines, " "), pc.equal(texts, ""))))
+    odd = odd.to_numpy(zero_copy_only=False)
+    split = pc.split_pattern(lines.filter(pa.array(~odd)), " ")
+    if not odd.any():
+        return split
+    runs = [_RUNS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts.filter(pa.array(odd)).to_pylist()]
+    apart = pa.array([[w[1:] if w[0] == MARK else w for w in r] for r in runs], split.type)
+    order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
+    return pa.concat_arrays([split, apart]).take(pa.array(order))
 
 
 @functools.lru_cache(4)
@@ -214,16 +229,27 @@ def lexicon(path: str, rules: tuple[str, ...]) -> Lexicon:
     return Lexicon(learn, len(rules))
 
 
+def _parts(batches, column: str, sizes, most: int):
+    """Slices of the batches that hold about ``most`` units of the column each."""
+    for batch in batches:
+        for part in spans(sizes(batch.column(column)).tolist(), most):
+            yield batch.slice(part.start, part.stop - part.start)
+
+
+def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32, copy=False)))
+
+
 def _encoded(path: Callable[[], str], rules: tuple[str, ...]):
     def run(batches):
         known = lexicon(path(), rules)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            found: list[list] = [[] for _ in rules]
-            for part in spans(texts):
-                for column, ids in zip(found, known.of([_split(t) if t else [] for t in texts[part]])):
-                    column += ids
-            columns = [listed([x.astype(np.int32) for x in ids], pa.int32()) for ids in found]
+        for batch in _parts(batches, "text", lambda c: numbers(pc.fill_null(pc.binary_length(c), 0)), STEP):
+            split = _split(pc.fill_null(batch.column("text"), ""))
+            runs = split.flatten().dictionary_encode()
+            codes, _ = known.codes([runs.dictionary.to_pylist()])
+            codes, counts = codes[numbers(runs.indices)], numbers(split.value_lengths())
+            columns = [_lists(*pool.joined(codes, counts)) for pool in known.pools]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), *columns], ["doc_id", "text", *rules])
 
     return run
@@ -245,15 +271,15 @@ def encode(docs: DataFrame, rules: tuple[str, ...] = ("viterbi",), path: Callabl
 
 def _decoded(path: Callable[[], str], columns: tuple[str, ...], kept: tuple[str, ...]):
     def run(batches):
-        pool = Pieces(path()).spelled()
-        for batch in batches:
+        pool = spelled(path())
+        for batch in _parts(batches, columns[0], lambda c: numbers(c.value_lengths()), STEP // 4):
             out = []
             for column in columns:
-                ids = lists(batch.column(column), np.int64)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-                texts = pool.gather(flat, np.array([len(x) for x in ids], np.int64))
-                texts = [t.tobytes() for t in texts]
-                out.append(pa.array([(t[1:] if t[:1] == b" " else t).decode("utf-8", "replace") for t in texts], pa.string()))
+                ids = batch.column(column)
+                flat, ends = pool.joined(numbers(ids.flatten()), numbers(ids.value_lengths()))
+                text, begin = flat.tobytes(), np.concatenate([[0], ends[:-1]]).tolist()
+                found = (text[a + (text[a : a + 1] == b" ") : b] if b > a else b"" for a, b in zip(begin, ends.tolist()))
+                out.append(pa.array([t.decode("utf-8", "replace") for t in found], pa.string()))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *out], [*kept, *(f"{c}_text" for c in columns)])
 
     return run
@@ -270,20 +296,23 @@ def decode(rows: DataFrame, columns: tuple[str, ...], path: Callable[[], str] =
 def _digested(batches):
     """Round trips reduced to counts and checksums."""
     for batch in batches:
-        texts = [(t or "").replace(MARK, " ") for t in batch.column("text").to_pylist()]
+        texts = pc.replace_substring(pc.fill_null(batch.column("text"), ""), MARK, " ")
         columns, names = [batch.column("doc_id")], ["doc_id"]
         for rule, name in (("merges", "ids"), ("viterbi", "viterbi")):
             ids = lists(batch.column(rule), np.uint32)
-            back = batch.column(f"{rule}_text").to_pylist()
-            columns += [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array([a == b for a, b in zip(texts, back)])]
+            same = pc.equal(texts, batch.column(f"{rule}_text"))
+            columns += [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), same]
             names += [f"n_{name}", f"{name}_crc32", f"{name}_round_trip"]
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def round_trips(docs: DataFrame, path: Callable[[], str] = piece_bpe) -> DataFrame:
+def round_trips(docs: DataFrame, path: Callable[[], str] = piece_bpe, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every text encoded by both rules and decoded again: per row counts, crc32 of the ids (little-endian unsigned 32-bit) and
     whether the text came back (a mark in the text comes back as a space). ``ids`` are by merges, as the given model is one of
-    merges and its scores rank these; ``viterbi`` are the segmentation with the largest sum of scores."""
+    merges and its scores rank these; ``viterbi`` are the segmentation with the largest sum of scores. All three steps are one
+    pass over the rows, a part of a batch at a time."""
     rules = ("viterbi", "merges")
     kinds = "doc_id long, n_ids long, ids_crc32 long, ids_round_trip boolean, n_viterbi long, viterbi_crc32 long, viterbi_round_trip boolean"
-    return decode(encode(docs, rules, path), rules, path).mapInArrow(_digested, kinds)
+    encoded, decoded = _encoded(path, rules), _decoded(path, rules, ("doc_id", "text", *rules))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(lambda batches: _digested(decoded(encoded(batches))), kinds)

@@ -88,7 +88,7 @@ def sharded(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str
     within = Window.partitionBy("cell", "strip").orderBy("doc_id", "size", "text_crc32")
     ranked = (
         rows.withColumn("place", F.row_number().over(within) - 1)
-        .join(base, ["cell", "strip"])
+        .join(base.hint("merge"), ["cell", "strip"])
         .withColumn("rank", F.col("base") + F.col("place"))
     )
     return (
