@@ -5,9 +5,9 @@ from __future__ import annotations
 import functools
 
 from ..sources.session import tune
-from . import audit_queries, balance_queries, ledger_queries, period_queries, snapshot_queries
+from . import audit_queries, balance_queries, ledger_queries, period_queries, run_queries, snapshot_queries
 
-MODULES = (period_queries, snapshot_queries, ledger_queries, audit_queries, balance_queries)
+MODULES = (period_queries, snapshot_queries, ledger_queries, audit_queries, balance_queries, run_queries)
 
 
 def _tuned(query):

@@ -52,22 +52,21 @@ def _log(spark, sf):
 
 
 def _names(spark, sf):
-    customers = read(spark, sf, "customer").filter(F.col("c_acctbal") > -800)
+    customers = read(spark, sf, "customer")
     pairs = _log(spark, sf).select("case_id", "object_id").distinct()
     name = F.when(
         F.col("c_custkey") % 4 == 0, F.concat(F.lit("Dependency "), F.col("c_name"))
     ).otherwise(F.concat("c_mktsegment", F.lit(" -> "), "c_name", F.lit(" in "), F.col("case_id")))
     return pairs.join(customers, F.col("object_id") == F.col("c_custkey")).select(
-        "case_id", "object_id", name.alias("name")
+        "case_id", "object_id", F.when(F.col("c_acctbal") > -800, name).alias("name")
     )
 
 
 def _products(spark, sf):
     pairs = _log(spark, sf).select("case_id", (F.col("log_id") % 100).alias("id")).distinct()
-    parts = read(spark, sf, "part").filter(F.col("p_size") < 40)
-    return pairs.join(parts, F.col("id") == F.col("p_partkey")).select(
-        "case_id", "id", F.concat("p_brand", F.lit("/"), F.col("case_id")).alias("name")
-    )
+    parts = read(spark, sf, "part")
+    name = F.when(F.col("p_size") < 40, F.concat("p_brand", F.lit("/"), F.col("case_id")))
+    return pairs.join(parts, F.col("id") == F.col("p_partkey")).select("case_id", "id", name.alias("name"))
 
 
 def _cases(spark, sf):
@@ -135,6 +134,11 @@ def fold_creations(spark, sf):
     return _folded(A.fold_creations(_formatted(spark, sf), LABELS, UNIT))
 
 
+def fold_creations_parts(spark, sf):
+    """The same lists in parts of one entry each."""
+    return _folded(A.fold_creations(_formatted(spark, sf), LABELS, UNIT, per_part=1))
+
+
 def fold_dependencies(spark, sf):
     return _folded(A.fold_dependencies(_formatted(spark, sf), LABELS, UNIT))
 
@@ -179,7 +183,7 @@ def audit_report_folded(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        case_log, decode_labels, resolve_references, fold_creations, fold_dependencies, plain_changes, classify_by_name,
+        case_log, decode_labels, resolve_references, fold_creations, fold_creations_parts, fold_dependencies, plain_changes, classify_by_name,
         audit_report, audit_report_folded,
     )
 }
@@ -257,6 +261,17 @@ ORACLE = {
   CASE WHEN user_id IN (1, 2) THEN 'somebody' ELSE 'user ' || user_id END AS who FROM log""",
     "resolve_references": f"WITH {_LOG}, {_NAMES}, {_RESOLVED} SELECT log_id, case_id, object_name, prev_text, new_text FROM resolved",
     "fold_creations": f"{_FORMATTED}, {_CREATIONS} {_fold_columns('creations')}",
+    "fold_creations_parts": f"""{_FORMATTED}, entries AS (SELECT day, object_id, user_id, t.attribute || '=' || coalesce(t.new_text, 'NULL') AS entry,
+    row_number() OVER (PARTITION BY day, object_id, user_id ORDER BY t.attribute, t.log_id) - 1 AS position
+  FROM described t WHERE t.history_type = 0 AND t.attribute IS NOT NULL),
+lists AS (SELECT day, object_id, user_id, CAST(position AS INT) AS part, string_agg(entry, ', ' ORDER BY position) AS items
+  FROM entries GROUP BY 1, 2, 3, 4),
+groups AS (SELECT min(log_id) AS log_id, start_time, end_time, is_cumulative, day, user_name, object_type, object_name, is_cancel, object_id, user_id
+  FROM described WHERE history_type = 0
+  GROUP BY start_time, end_time, is_cumulative, day, user_name, object_type, object_name, is_cancel, object_id, user_id)
+SELECT log_id, coalesce(part, 0) AS part, is_cumulative, strftime(g.day, {DUCK_DAYTIME}) AS dt, user_name, object_type, object_name, 'created' AS change,
+  items AS attribute, CAST(NULL AS VARCHAR) AS prev, CAST(NULL AS VARCHAR) AS new, is_cancel
+FROM groups g LEFT JOIN lists l ON l.day = g.day AND l.object_id = g.object_id AND l.user_id = g.user_id""",
     "fold_dependencies": f"{_FORMATTED}, {_DEPENDENCIES} {_fold_columns('dependencies')}",
     "plain_changes": f"{_FORMATTED}, {_PLAIN} {_fold_columns('plain')}",
     "classify_by_name": """SELECT p_partkey, CASE WHEN p_name LIKE '%ring' THEN 'rings'

@@ -13,6 +13,7 @@ from ..operators.blends import blend_balance, ledger_sums
 from ..operators.periods import CaseSets
 from ..plans.tank_report import tank_report as build_report
 from . import balance_roles as B
+from . import roles as R
 from .balance_roles import CURRENT, OPENING, PREVIOUS
 from .roles import month_id, read
 
@@ -28,8 +29,15 @@ def union(parts):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _described(spark, sf, case=month_id):
-    return St.described_positions(B.positions(spark, sf, case), B.tanks(spark, sf), B.products(spark, sf))
+def _months(first, last):
+    """From the first day of a month to the last moment of another."""
+    year, month = divmod(last, 100)
+    after = (year + month // 12) * 100 + month % 12 + 1
+    return (f"{first // 100}-{first % 100:02}-01", f"{after // 100}-{after % 100:02}-01")
+
+
+def _described(spark, sf, case=month_id, span=None):
+    return St.described_positions(B.positions(spark, sf, case, span), B.tanks(spark, sf), B.products(spark, sf))
 
 
 def canonical_product(spark, sf):
@@ -39,41 +47,41 @@ def canonical_product(spark, sf):
     )
 
 
-def tank_scope(spark, sf):
-    def counted(divs):
-        scoped = St.tank_scope(_described(spark, sf), B.layers(spark, sf), B.SCOPE, *divs)
-        return scoped.groupBy("product").agg(
-            F.lit(divs[0] or "PLANT").alias("division"),
-            F.count("*").alias("n"),
-            F.sum(F.col("measured").cast("decimal(18,3)")).alias("measured"),
-        )
+SCOPES = {d[0] or "PLANT": d for d in DIVISIONS}
 
-    return plain(union(counted(d) for d in DIVISIONS))
+
+def tank_scope(spark, sf):
+    """Plant and two division sets out of one reading of the positions."""
+    scoped = St.tank_scopes(_described(spark, sf), B.layers(spark, sf), B.SCOPE, SCOPES)
+    measured = F.sum(F.col("measured").cast("decimal(18,3)"))
+    return plain(scoped.groupBy("product", "division").agg(F.count("*").alias("n"), measured.alias("measured")))
 
 
-def _balance(spark, sf, divs=(None, None, None), case=month_id):
-    scoped = St.tank_scope(_described(spark, sf, case), B.layers(spark, sf), B.SCOPE, *divs)
+def _balance(spark, sf, span=None):
+    scoped = St.tank_scope(_described(spark, sf, month_id, span), B.layers(spark, sf), B.SCOPE)
     return St.tank_balance(scoped, B.NAMES, B.product_names(spark, sf), B.SCOPE, by=["case_id"])
 
 
+def _balances(spark, sf):
+    scoped = St.tank_scopes(_described(spark, sf), B.layers(spark, sf), B.SCOPE, SCOPES)
+    return St.tank_balance(scoped, B.NAMES, B.product_names(spark, sf), B.SCOPE, by=["case_id", "division"])
+
+
 def tank_balance(spark, sf):
-    """Balance of every monthly case in one pass, plant and two division sets."""
-    return plain(union(_balance(spark, sf, d).withColumn("division", F.lit(d[0] or "PLANT")) for d in DIVISIONS))
+    """Balance of every monthly case, plant and two division sets, out of one reading of the positions."""
+    return plain(_balances(spark, sf))
 
 
 def warehouse_topup(spark, sf):
-    def topped(divs):
-        totals = St.warehouse_totals(
-            _described(spark, sf), B.layers(spark, sf), B.TOPUP_NAMES, B.product_names(spark, sf), B.SCOPE, by=["case_id"]
-        )
-        out = St.warehouse_topup(_balance(spark, sf, divs), totals, divs[0], B.SCOPE, by=["case_id"])
-        return out.select("case_id", "product", "measured", "not_issued").withColumn("division", F.lit(divs[0] or "PLANT"))
-
-    return plain(union(topped(d) for d in DIVISIONS))
+    totals = St.warehouse_totals(
+        _described(spark, sf), B.layers(spark, sf), B.TOPUP_NAMES, B.product_names(spark, sf), B.SCOPE, by=["case_id"]
+    )
+    out = St.warehouse_topup(_balances(spark, sf), totals, None, B.SCOPE, by=["case_id"], division="division")
+    return plain(out.select("case_id", "product", "measured", "not_issued", "division"))
 
 
 def _of_case(spark, sf, case_id):
-    return _balance(spark, sf).filter(F.col("case_id") == case_id).drop("case_id")
+    return _balance(spark, sf, _months(case_id, case_id)).filter(F.col("case_id") == case_id).drop("case_id")
 
 
 def compare_snapshots(spark, sf):
@@ -82,35 +90,36 @@ def compare_snapshots(spark, sf):
 
 
 def append_missing_opening(spark, sf):
-    """Products of the red tanks only, against an opening that knows all products."""
+    """All but the red products have a new name since the opening."""
     opening = _of_case(spark, sf, OPENING)
-    cur = St.compare_snapshots(
-        _of_case(spark, sf, CURRENT).filter(F.col("product").like("%red%")), _of_case(spark, sf, PREVIOUS), opening
-    )
+    renamed = F.when(F.col("product").like("%red%"), F.col("product")).otherwise(F.concat(F.lit("new "), "product"))
+    now = _of_case(spark, sf, CURRENT).withColumn("product", renamed)
+    cur = St.compare_snapshots(now, _of_case(spark, sf, PREVIOUS), opening)
     out = St.append_missing_opening(cur, opening)
     return plain(out.select("product", "measured", "measured_old", "produced_day", "measured_start", "produced_month"))
 
 
-SETS = CaseSets(CURRENT, PREVIOUS, OPENING, (PREVIOUS, CURRENT), False)
+SPAN = _months(OPENING, CURRENT)
+SETS = CaseSets(CURRENT, PREVIOUS, OPENING, (PREVIOUS, CURRENT), False, SPAN)
 
 
 def snapshots_by_role(spark, sf):
-    out = St.snapshots_by_role(_balance(spark, sf), SETS, plant=True)
+    out = St.snapshots_by_role(_balance(spark, sf, SPAN), SETS, plant=True)
     return plain(out)
 
 
 def shipment_totals(spark, sf):
-    """Every month of the calendar as the case set, plant and one division."""
+    """Every month of the calendar as the case set, plant and one division out of one reading."""
     shipped = B.shipments(spark, sf, month_id)
-    cases = shipped.select("case_id").distinct()
-    plant = Rep.shipment_totals(shipped, cases).withColumn("division", F.lit("PLANT"))
-    one = Rep.shipment_totals(shipped, cases, "ASIA").withColumn("division", F.lit("ASIA"))
-    return plain(plant.unionByName(one))
+    scopes = F.array_compact(F.array(F.lit("PLANT"), F.when(F.col("div") == "ASIA", F.col("div"))))
+    cases = month_id(F.col("start_time")).alias("case_id")
+    months = R.calendar_cases(read(spark, sf, "lineitem"), "l_shipdate").select(cases).distinct()
+    return plain(Rep.shipment_totals(shipped.withColumn("division", F.explode(scopes)), months, by=["division"]))
 
 
 def _produced(spark, sf):
-    rows = Rep.balance_rows(St.snapshots_by_role(_balance(spark, sf), SETS, plant=True))
-    shipped = B.shipments(spark, sf, month_id)
+    rows = Rep.balance_rows(St.snapshots_by_role(_balance(spark, sf, SPAN), SETS, plant=True))
+    shipped = B.shipments(spark, sf, month_id, SPAN)
     daily = Rep.shipment_totals(shipped, [SETS.current])
     month = Rep.shipment_totals(shipped, SETS.month)
     return Rep.production_from_balance(rows, daily, month)
@@ -141,13 +150,15 @@ def scalar_override(spark, sf):
 
 def append_system_rows(spark, sf):
     systems = (
-        read(spark, sf, "orders")
+        R.within(read(spark, sf, "orders"), "o_orderdate", SPAN)
         .groupBy(
             F.concat(F.lit("System "), F.col("o_custkey") % 40).alias("name"), month_id(F.col("o_orderdate")).alias("case_id")
         )
         .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("reconciled"))
-        .filter((F.col("case_id") != PREVIOUS) | (F.col("name") != "System 3"))
     )
+    # one system went by another name in the previous month
+    renamed = (F.col("case_id") == PREVIOUS) & (F.col("name") == "System 3")
+    systems = systems.withColumn("name", F.when(renamed, F.lit("Old system")).otherwise(F.col("name")))
     at = {c: systems.filter(F.col("case_id") == c) for c in (CURRENT, PREVIOUS, OPENING)}
     out = Rep.append_system_rows(_stock_rows(spark, sf), at[CURRENT], at[PREVIOUS], at[OPENING])
     return plain(out.select("product", "measured", "measured_old", "produced_day", "measured_start", "produced_month"))
@@ -155,13 +166,13 @@ def append_system_rows(spark, sf):
 
 def meter_adjustment(spark, sf):
     rules = rows_table(spark, "product string, meter_id int", B.REPORT.meter_rules)
-    meters = B.meters(spark, sf).withColumn("case_id", F.floor(F.col("case_id") / 100).cast("int"))
+    meters = B.meters(spark, sf, SPAN).withColumn("case_id", F.floor(F.col("case_id") / 100).cast("int"))
     out = Rep.meter_adjustment(_stock_rows(spark, sf), rules, meters, SETS)
     return plain(out.select("product", "shipped_day", "shipped_month", "produced_day", "produced_month"))
 
 
 def flow_total(spark, sf):
-    months = B.flow_values(spark, sf).withColumn("case_id", F.floor(F.col("case_id") / 100).cast("int"))
+    months = B.flow_values(spark, sf, SPAN).withColumn("case_id", F.floor(F.col("case_id") / 100).cast("int"))
     return plain(
         Rep.flow_total(
             B.flows(spark, sf), months, B.links(spark, sf), B.objects(spark, sf), B.object_types(spark), B.products(spark, sf),
@@ -173,7 +184,7 @@ def flow_total(spark, sf):
 def _blended(spark, sf, daily):
     rows = _produced(spark, sf)
     sums = ledger_sums(B.BLENDS, B.ledger(spark, sf, CURRENT, OPENING), CURRENT, OPENING)
-    monthly = B.arrivals(spark, sf).withColumn("case_id", F.floor(F.col("case_id") / 100).cast("int"))
+    monthly = B.arrivals(spark, sf, SPAN).withColumn("case_id", F.floor(F.col("case_id") / 100).cast("int"))
     return blend_balance(rows, B.BLENDS, sums, Rep.role_totals(monthly, SETS, "measured", ["product"]), daily)
 
 
@@ -248,8 +259,11 @@ def _typed_parts(spark, sf):
 
 def relabel_groups(spark, sf):
     systems = (
-        read(spark, sf, "part").filter(F.col("p_size") > 25)
-        .select(F.concat("p_name", F.lit(" "), "p_brand").alias("name"), F.lower("p_type").alias("group_name"))
+        read(spark, sf, "part")
+        .select(
+            F.when(F.col("p_size") > 25, F.concat("p_name", F.lit(" "), "p_brand")).alias("name"),
+            F.lower("p_type").alias("group_name"),
+        )
     )
     return plain(Rep.relabel_groups(_typed_parts(spark, sf), systems))
 
@@ -438,9 +452,11 @@ SELECT case_id, product, division, CAST(measured + CASE WHEN division = 'ASIA' T
   CAST(CASE WHEN division = 'ASIA' THEN coalesce(warehouse, not_issued) ELSE not_issued END AS DOUBLE) AS not_issued
 FROM b LEFT JOIN w USING (case_id, product)""",
     "compare_snapshots": f"{_STOCK}, {_SNAPSHOTS} SELECT {_COMPARED} FROM cur {_COMPARE_JOIN}",
-    "append_missing_opening": f"""{_STOCK}, {_SNAPSHOTS} SELECT {_COMPARED} FROM cur {_COMPARE_JOIN} WHERE product LIKE '%red%'
+    "append_missing_opening": f"""{_STOCK}, {_SNAPSHOTS},
+now_ AS (SELECT * REPLACE (CASE WHEN product LIKE '%red%' THEN product ELSE 'new ' || product END AS product) FROM cur)
+SELECT {_COMPARED} FROM now_ {_COMPARE_JOIN}
 UNION ALL SELECT product, 0, 0, 0, CAST(measured AS DOUBLE), CAST(-measured AS DOUBLE) FROM open_
-  WHERE product NOT IN (SELECT product FROM cur WHERE product LIKE '%red%')""",
+  WHERE product NOT IN (SELECT product FROM now_)""",
     "snapshots_by_role": f"""{_STOCK}, {_SNAPSHOTS} SELECT {_COMPARED}, {_d(*St.STOCK_MEASURES[1:])} FROM cur {_COMPARE_JOIN}
 UNION ALL SELECT product, 0, 0, 0, CAST(measured AS DOUBLE), CAST(-measured AS DOUBLE), 0, 0, 0, 0, 0 FROM open_
   WHERE product NOT IN (SELECT product FROM cur)""",

@@ -11,7 +11,7 @@ from ..operators.stock import NameRules, ScopeRules
 from ..plans.tank_report import ReportRules
 from ..sources.catalog import Catalog
 from . import roles as R
-from .roles import day_id, month_id, read
+from .roles import day_id, month_id, read, within
 
 CUSTOMERS, FLOWS = 1_000_000_000, 2_000_000_000
 
@@ -79,9 +79,9 @@ COLOURS = "blue cold hot large new old red small".split()
 THINGS = "anvil bolt gear gizmo plate ring rod widget".split()
 
 
-def positions(spark, sf, case=month_id):
+def positions(spark, sf, case=month_id, span=None):
     q, n, flag = F.col("l_quantity"), F.col("l_linenumber"), F.col("l_returnflag")
-    return read(spark, sf, "lineitem").select(
+    return within(read(spark, sf, "lineitem"), "l_shipdate", span).select(
         F.col("l_suppkey").alias("object_id"),
         F.col("l_partkey").alias("product_id"),
         case(F.col("l_shipdate")).alias("case_id"),
@@ -142,9 +142,9 @@ def product_names(spark, sf):
     )
 
 
-def _sold(spark, sf):
+def _sold(spark, sf, span=None):
     """Line items with the product name and the division of the supplier."""
-    items = read(spark, sf, "lineitem").join(
+    items = within(read(spark, sf, "lineitem"), "l_shipdate", span).join(
         read(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")
     )
     return items.join(
@@ -152,8 +152,8 @@ def _sold(spark, sf):
     )
 
 
-def shipments(spark, sf, case=day_id):
-    return _sold(spark, sf).select(
+def shipments(spark, sf, case=day_id, span=None):
+    return _sold(spark, sf, span).select(
         F.col("p_name").alias("product"),
         F.col("layer").alias("div"),
         F.when(F.col("l_linenumber") != 6, F.col("l_quantity")).alias("reconciled"),
@@ -161,31 +161,34 @@ def shipments(spark, sf, case=day_id):
     )
 
 
-def arrivals(spark, sf):
-    return _sold(spark, sf).filter(F.col("l_tax") > 0.02).select(
-        F.col("p_name").alias("product"), (F.col("l_tax") * 100).alias("measured"), day_id(F.col("l_shipdate")).alias("case_id")
+def arrivals(spark, sf, span=None):
+    """Low taxes arrive as nothing."""
+    return _sold(spark, sf, span).select(
+        F.col("p_name").alias("product"),
+        F.when(F.col("l_tax") > 0.02, F.col("l_tax") * 100).alias("measured"),
+        day_id(F.col("l_shipdate")).alias("case_id"),
     )
 
 
-def _order_values(spark, sf, column, value, divisor):
-    orders = read(spark, sf, "orders").filter(F.col(column) == value)
+def _order_values(spark, sf, column, value, divisor, span):
+    orders = within(read(spark, sf, "orders"), "o_orderdate", span).filter(F.col(column) == value)
     return orders.select(
         day_id(F.col("o_orderdate")).alias("case_id"), (F.col("o_totalprice") / divisor).cast("decimal(18,2)").cast("double").alias("value")
     )
 
 
-def supply(spark, sf):
-    return _order_values(spark, sf, "o_orderpriority", "1-URGENT", 1000)
+def supply(spark, sf, span=None):
+    return _order_values(spark, sf, "o_orderpriority", "1-URGENT", 1000, span)
 
 
-def processed(spark, sf, status="F"):
-    return _order_values(spark, sf, "o_orderstatus", status, 100)
+def processed(spark, sf, status="F", span=None):
+    return _order_values(spark, sf, "o_orderstatus", status, 100, span)
 
 
-def systems(spark, sf):
+def systems(spark, sf, span=None):
     k = F.col("o_custkey") % 25
     return (
-        read(spark, sf, "orders")
+        within(read(spark, sf, "orders"), "o_orderdate", span)
         .groupBy(
             F.concat(F.lit("System "), k).alias("name"),
             F.element_at(F.array(*[F.lit(c) for c in COLOURS]), (k % 5 + 1).cast("int")).alias("group_name"),
@@ -195,8 +198,8 @@ def systems(spark, sf):
     )
 
 
-def meters(spark, sf):
-    return read(spark, sf, "orders").select(
+def meters(spark, sf, span=None):
+    return within(read(spark, sf, "orders"), "o_orderdate", span).select(
         (F.col("o_custkey") % 50).cast("int").alias("meter_id"),
         day_id(F.col("o_orderdate")).alias("case_id"),
         F.col("o_totalprice").alias("value"),
@@ -245,8 +248,8 @@ def flows(spark, sf):
     )
 
 
-def flow_values(spark, sf):
-    return read(spark, sf, "orders").select(
+def flow_values(spark, sf, span=None):
+    return within(read(spark, sf, "orders"), "o_orderdate", span).select(
         (F.col("o_orderkey") + FLOWS).alias("id"),
         day_id(F.col("o_orderdate")).alias("case_id"),
         F.col("o_totalprice").alias("reconciled"),
@@ -297,27 +300,29 @@ def sorting(spark, sf):
 def report_catalog(spark, sf) -> Catalog:
     tables = {
         "cases": case_kind(R.cases(spark, sf), "analysis_id", "MONTH"),
-        "positions": positions(spark, sf, day_id),
         "objects": objects(spark, sf),
         "object_types": object_types(spark),
         "products": products(spark, sf),
         "layers": layers(spark, sf),
         "product_names": product_names(spark, sf),
-        "shipments": shipments(spark, sf),
-        "supply": supply(spark, sf),
-        "processed": processed(spark, sf),
-        "processed_month": processed(spark, sf, "P"),
-        "systems": systems(spark, sf),
-        "meters": meters(spark, sf),
         "flows": flows(spark, sf),
-        "flow_values": flow_values(spark, sf),
         "links": links(spark, sf),
         "ledger": ledger(spark, sf),
-        "arrivals": arrivals(spark, sf),
         "groups": groups(spark, sf),
         "sorting": sorting(spark, sf),
     }
-    return Catalog(spark, tables)
+    timed = {
+        "positions": lambda *span: positions(spark, sf, day_id, span),
+        "shipments": lambda *span: shipments(spark, sf, day_id, span),
+        "supply": lambda *span: supply(spark, sf, span),
+        "processed": lambda *span: processed(spark, sf, "F", span),
+        "processed_month": lambda *span: processed(spark, sf, "P", span),
+        "systems": lambda *span: systems(spark, sf, span),
+        "meters": lambda *span: meters(spark, sf, span),
+        "flow_values": lambda *span: flow_values(spark, sf, span),
+        "arrivals": lambda *span: arrivals(spark, sf, span),
+    }
+    return Catalog(spark, tables, timed)
 
 
 # ---- the same roles in SQL -------------------------------------------------------------------------

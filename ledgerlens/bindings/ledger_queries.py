@@ -45,7 +45,10 @@ def _tasks(spark, sf):
 
 
 def _looked_up(spark, sf):
-    view = read(spark, sf, "orders").filter(F.col("o_orderstatus") != "P")
+    # orders in work stand under no key
+    view = read(spark, sf, "orders").withColumn(
+        "o_orderpriority", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
+    )
     return L.lookup_measure(
         _tasks(spark, sf),
         view,
@@ -112,21 +115,22 @@ def live_transactions(spark, sf):
 
 
 def reassign_measure(spark, sf):
+    """Three cases; each order number is used in all of them."""
     orders = read(spark, sf, "orders")
     tx = orders.select(
-        F.col("o_orderkey").alias("id"),
+        (F.col("o_orderkey") % 3).cast("int").alias("case_id"),
+        F.floor(F.col("o_orderkey") / 3).alias("id"),
         "o_custkey",
         "o_orderpriority",
         F.col("o_totalprice").alias("measured"),
         (F.col("o_totalprice") / 2).alias("reconciled"),
+        "o_orderstatus",
     )
-    live = tx.join(
-        orders.filter(F.col("o_orderstatus") != "F").select(F.col("o_orderkey").alias("id")), "id", "left_semi"
-    )
+    live = tx.filter(F.col("o_orderstatus") != "F")
     out = L.reassign_measure(
         tx, live, _looked_up(spark, sf), {"target_cust": "o_custkey", "target_priority": "o_orderpriority"}
     )
-    return out.select("id", "measured", "reconciled")
+    return out.select("case_id", "id", "measured", "reconciled")
 
 
 def _facts(spark, sf):
@@ -186,9 +190,9 @@ def _sums(spark, sf):
     """Per part the received quantity, as rule sums would deliver it."""
     return (
         read(spark, sf, "lineitem")
-        .filter(F.col("l_returnflag") == "R")
+        .withColumn("received", F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("decimal(18,3)")))
         .groupBy(F.col("l_partkey").alias("target_id"))
-        .agg(F.sum(F.col("l_quantity").cast("decimal(18,3)")).cast("double").alias("sum_value"))
+        .agg(F.sum("received").cast("double").alias("sum_value"))
     )
 
 
@@ -245,11 +249,10 @@ MIN_CASE = 20240105
 
 
 def _members(spark, sf):
-    """Meters of one segment are in no group."""
-    grouped = read(spark, sf, "customer").filter(F.col("c_mktsegment") != "FURNITURE")
-    return grouped.select(
-        F.col("c_custkey").alias("id"), F.floor(F.col("c_custkey") / 3).cast("bigint").alias("group_id")
-    )
+    """Meters of one segment are each a group of their own, under numbers below zero."""
+    key = F.col("c_custkey")
+    group = F.when(F.col("c_mktsegment") != "FURNITURE", F.floor(key / 3)).otherwise(-1 - key)
+    return read(spark, sf, "customer").select(key.alias("id"), group.cast("bigint").alias("group_id"))
 
 
 def _meters(spark, sf):
@@ -261,8 +264,10 @@ def _meters(spark, sf):
 
 
 def _as_changes(events):
-    return events.filter(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("id"),
+    """Every event is a change; those that are no purchase write to meters that do not exist."""
+    bought = F.col("event_type") == "purchase"
+    return events.select(
+        F.when(bought, F.col("user_id")).otherwise(-1 - F.col("user_id")).alias("id"),
         day_id(F.col("ts")).alias("case_id"),
         F.when(F.col("event_id") % 9 != 0, F.col("value")).alias("measured"),
         F.col("event_id").alias("seq"),
@@ -324,9 +329,10 @@ incoming AS (SELECT l.*, got.s AS coming_mix, CASE WHEN got.s IS NULL THEN 0 WHE
   THEN open_mass + got.s - coalesce(measured_accum, 0) ELSE open_mass + got.s - coalesce(measured_day, 0) END AS end_mass
   FROM ledger l JOIN kinds USING (case_id) LEFT JOIN got ON got.id = l.id
   UNION ALL SELECT l.*, NULL, 0 FROM ledger l WHERE l.case_id NOT IN (SELECT case_id FROM kinds))"""
-_SYNC = f"""members AS (SELECT c_custkey AS id, c_custkey // 3 AS group_id FROM customer WHERE c_mktsegment <> 'FURNITURE'),
-changes AS (SELECT user_id AS id, CAST(strftime(ts, '%Y%m%d') AS INT) AS case_id,
-  CASE WHEN event_id % 9 <> 0 THEN value END AS measured, event_id AS seq FROM events WHERE event_type = 'purchase'),
+_SYNC = f"""members AS (SELECT c_custkey AS id, CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_custkey // 3 ELSE -1 - c_custkey END AS group_id
+  FROM customer),
+changes AS (SELECT CASE WHEN event_type = 'purchase' THEN user_id ELSE -1 - user_id END AS id, CAST(strftime(ts, '%Y%m%d') AS INT) AS case_id,
+  CASE WHEN event_id % 9 <> 0 THEN value END AS measured, event_id AS seq FROM events),
 meters AS (SELECT user_id AS id, CAST(strftime(ts, '%Y%m%d') AS INT) AS case_id, min(value) FILTER (event_type <> 'error') AS measured
   FROM events GROUP BY ALL),
 latest AS (SELECT c.case_id, m.group_id, c.measured AS new_value FROM changes c JOIN members m USING (id) WHERE c.case_id >= {MIN_CASE}
@@ -347,12 +353,13 @@ goods AS (SELECT p_partkey AS id FROM part WHERE p_size <= 45)
 SELECT tx.id, tx.case_id FROM tx JOIN src ON src.id = tx.source_id JOIN goods a ON a.id = tx.p1 JOIN goods b ON b.id = tx.p2
 JOIN (SELECT 'S' || s_suppkey AS id FROM supplier WHERE s_acctbal >= 0) d ON d.id = tx.dest_id WHERE tx.o_orderstatus <> 'F'""",
     "reassign_measure": f"""WITH {_LOOKUP},
-hit AS (SELECT o.o_orderkey AS id, l.new_value, min(o.o_orderkey) OVER (PARTITION BY l.task_id) AS first_id
-  FROM orders o JOIN looked l ON l.task_id = o.o_custkey
+tx AS (SELECT CAST(o_orderkey % 3 AS INT) AS case_id, o_orderkey // 3 AS id, * FROM orders),
+hit AS (SELECT o.case_id, o.id, l.new_value, min(o.id) OVER (PARTITION BY l.task_id, o.case_id) AS first_id
+  FROM tx o JOIN looked l ON l.task_id = o.o_custkey
   WHERE o.o_orderpriority = '5-LOW' AND o.o_orderstatus <> 'F' AND l.new_value IS NOT NULL)
-SELECT o.o_orderkey AS id, CASE WHEN h.id IS NULL THEN o.o_totalprice WHEN h.id = h.first_id THEN h.new_value ELSE 0 END AS measured,
+SELECT o.case_id, o.id, CASE WHEN h.id IS NULL THEN o.o_totalprice WHEN h.id = h.first_id THEN h.new_value ELSE 0 END AS measured,
   CASE WHEN h.id IS NULL THEN o.o_totalprice / 2 ELSE 0 END AS reconciled
-FROM orders o LEFT JOIN hit h ON h.id = o.o_orderkey""",
+FROM tx o LEFT JOIN hit h ON h.id = o.id AND h.case_id = o.case_id""",
     "wildcard_rule_sum": f"WITH rules(s, p, n, o, i, target_id) AS (SELECT * FROM (VALUES {_RULE_VALUES})), {_FACTS} {_RULE_SUM}",
     "wildcard_rule_table": f"""WITH rules AS (SELECT s_suppkey AS s, 0 AS p, s_suppkey % 4 AS n, 0 AS o, NULL AS i, s_suppkey % 10 AS target_id FROM supplier
   UNION ALL SELECT 0, p_partkey, 0, 0, 1, p_partkey % 10 + 5 FROM part), {_FACTS} {_RULE_SUM}""",

@@ -96,7 +96,7 @@ def sample_grid(spark, sf):
 
 
 def asof_last_value(spark, sf):
-    out = T.asof_last_value(_grid(spark, sf), R.readings(spark, sf), times=_midnights(spark, sf))
+    out = T.asof_last_value(_grid(spark, sf), R.readings(spark, sf))
     return out.select("tag", stamp("ts").alias("ts"), "value")
 
 
@@ -111,9 +111,7 @@ def asof_per_event(spark, sf):
 
 
 def accumulate_to(spark, sf):
-    out = T.accumulate_to(
-        _grid(spark, sf), R.readings(spark, sf), start="2024-01-08", times=_midnights(spark, sf)
-    )
+    out = T.accumulate_to(_grid(spark, sf), R.readings(spark, sf), start="2024-01-08")
     return out.select("tag", stamp("ts").alias("ts"), "value")
 
 
@@ -150,7 +148,7 @@ def active_tag_settings(spark, sf):
 
 def tag_id_list(spark, sf):
     tags = T.active_tag_settings(R.tag_settings(spark, sf), R.tag_objects(spark, sf), "TAGID", "M_%")
-    return T.tag_id_list(tags, max_length=100, lists=8)
+    return T.tag_id_list(tags)
 
 
 QUERIES = {
@@ -239,8 +237,6 @@ FROM events WHERE ts <= TIMESTAMP '2024-01-15' GROUP BY user_id""",
   CAST(sum(CASE WHEN ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-22' THEN CAST(value AS DECIMAL(18,3)) END) AS DOUBLE)
   AS accumulation FROM readings GROUP BY tag""",
     "active_tag_settings": with_ctes("tag_settings") + _ACTIVE.format(like="T_%"),
-    "tag_id_list": more_ctes("tag_settings") + f"""active AS ({_ACTIVE.format(like="M_%")}),
-dealt AS (SELECT tag_id AS id, CAST(('0x' || substr(md5(tag_id), 1, 7))::BIGINT % 8 AS INT) AS list FROM active),
-sized AS (SELECT *, sum(length(id) + 1) OVER (PARTITION BY list ORDER BY id) AS stop FROM dealt)
-SELECT list, CAST((stop - 1) // 50 AS INT) AS piece, string_agg(id, ',' ORDER BY id) AS tag_ids FROM sized GROUP BY ALL""",
+    "tag_id_list": more_ctes("tag_settings") + f"""active AS ({_ACTIVE.format(like="M_%")})
+SELECT DISTINCT trim(tag_id) AS tag_id FROM active""",
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.rules import rows_table
-from ..functions.times import midnight, shift
+from ..functions.times import midnight, ntz, shift
 
 ANALYSES = [("DAY", "model-d", "daily"), ("MONTH", "model-m", "cumulative")]
 SHIFTS = [(20, 12), (8, 24)]
@@ -28,6 +28,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def within(df: DataFrame, ts: str, span: tuple[str, str] | None) -> DataFrame:
+    """Rows whose stored time lies in the span, ends included: a predicate that reaches the scan."""
+    return df if span is None else df.filter((F.col(ts) >= ntz(span[0])) & (F.col(ts) <= ntz(span[1])))
+
+
 def analyses(spark: SparkSession) -> DataFrame:
     return rows_table(spark, "analysis_id string, model_id string, name string", ANALYSES)
 
@@ -46,29 +51,23 @@ def month_id(ts: Column) -> Column:
 
 def calendar_cases(times: DataFrame, ts: str) -> DataFrame:
     """Daily and monthly cases from the first to the last day that occurs, without gaps: a calendar, whose
-    length does not grow with the number of rows."""
+    length does not grow with the number of rows. The times are read once."""
     span = times.agg(midnight(F.min(ts)).alias("lo"), midnight(F.max(ts)).alias("hi"))
-    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    daily = days.select(
-        day_id(F.col("day")).alias("case_id"),
-        F.when(F.year("day") > 0, "DAY").alias("analysis_id"),  # a column, not a constant
-        F.col("day").alias("start_time"),
-        shift(F.col("day"), "DAY", 1).alias("end_time"),
-        day_id(shift(F.col("day"), "DAY", -1)).alias("prev_case_id"),
-    )
-    first = F.date_trunc("MONTH", "day").cast("timestamp_ntz")
-    monthly = (
-        days.select(first.alias("day"))
-        .distinct()
-        .select(
-            month_id(F.col("day")).alias("case_id"),
-            F.when(F.year("day") > 0, "MONTH").alias("analysis_id"),
-            F.col("day").alias("start_time"),
-            shift(F.col("day"), "MONTH", 1).alias("end_time"),
-            month_id(shift(F.col("day"), "MONTH", -1)).alias("prev_case_id"),
+    days = span.select("lo", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
+
+    def case(case_id: Column, analysis: str, start: Column, unit: str, number) -> Column:
+        return F.struct(
+            case_id.alias("case_id"),
+            F.when(F.year("day") > 0, analysis).alias("analysis_id"),  # a column, not a constant
+            start.alias("start_time"),
+            shift(start, unit, 1).alias("end_time"),
+            number(shift(start, unit, -1)).alias("prev_case_id"),
         )
-    )
-    return daily.unionByName(monthly)
+
+    day, first = F.col("day"), F.date_trunc("MONTH", "day").cast("timestamp_ntz")
+    daily = case(day_id(day), "DAY", day, "DAY", day_id)
+    monthly = F.when((F.dayofmonth("day") == 1) | (day == F.col("lo")), case(month_id(day), "MONTH", first, "MONTH", month_id))
+    return days.select(F.inline(F.array_compact(F.array(daily, monthly))))
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:

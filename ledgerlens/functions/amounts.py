@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(18,6)"  # long-backed; finer than the three places a ledger keeps
+EXACT = "decimal(38,12)"  # up to 26 digits before the point: small and large amounts alike keep their value
 MONEY = "decimal(18,3)"
 
 

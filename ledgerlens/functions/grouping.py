@@ -3,15 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.session import staged
-
-BROADCAST_GROUPS = 100_000
-
 
 def _best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
@@ -34,54 +29,42 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return _best_per_key(df, keys, order, F.max)
 
 
+def numbered(df: DataFrame, keys: Sequence[str], coarse: Sequence[Column], fine: Column, span: int = 10_000) -> DataFrame:
+    """Adds ``position`` (from 0): the place of each row in its group, sorted by ``coarse`` and then ``fine``.
+
+    ``fine`` is a whole number that tells the rows of a group apart, such as an id. A group is counted by
+    ranges of the order, which hold at most ``span`` ids each; the ranges before give what a range starts
+    from, so no task ever sorts more than one range, however many rows a group has. Null is a key like any.
+    """
+    ranged = df.withColumn("_range", F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(coarse)], F.floor(fine / F.lit(span)).alias("_f")))
+    ranged = ranged.withColumn("_fine", fine).withColumn("_key", F.struct(*keys))
+    counts = ranged.groupBy("_key", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_key", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_key", "_range").orderBy("_fine")
+    placed = ranged.withColumn("_place", F.row_number().over(within) - 1).join(starts, ["_key", "_range"])
+    return placed.select(*df.columns, (F.col("_start") + F.col("_place")).alias("position"))
+
+
 def listed_text(
     df: DataFrame,
     keys: Sequence[str],
     item: Column,
-    order: Sequence[Column],
-    spread: Column,
+    coarse: Sequence[Column],
+    fine: Column,
     separator: str = ", ",
     per_part: int = 10_000,
 ) -> DataFrame:
-    """Items of a group as one text: columns ``keys``, ``part``, ``items``.
-
-    A group of up to ``per_part`` items is one row with part 0, sorted by ``order``; null items are left
-    out, rows with a null key have no list. A bigger group continues in further rows: its items are dealt
-    to parts by a hash of ``spread``, so no task ever holds more than about ``per_part`` of them and
-    nothing is dropped.
+    """Items of a group as text: columns ``keys``, ``part``, ``items``.
 
-    Sizes come from a count that combines on the map side; only groups over the limit are kept, stored
-    and counted. None, the ordinary case: the text is built in one shuffle by key. Few: they are broadcast
-    and the items are shuffled by key and part, so a hot key never meets in one task. More than
-    ``BROADCAST_GROUPS``: the same by a shuffled join, where AQE splits skewed partitions.
+    Items are numbered in their order (see ``numbered``) and a part is a stretch of ``per_part`` positions,
+    in every group: the parts one after the other are the whole list. Null items are left out, rows with a
+    null key have no list.
     """
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
-    items = df.select(
-        *keys,
-        spread.alias("_spread"),
-        F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item")).alias("_entry"),
-    )
-    aliases = [f"_k{i}" for i in range(len(keys))]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > per_part)
-    big = staged(
-        counted.select(
-            *[F.col(k).alias(a) for k, a in zip(keys, aliases)],
-            F.ceil(F.col("_n") / F.lit(per_part) * 1.25).alias("_parts"),
-        ),
-        "big-groups",
-    )
-    n_big = big.count()
-    if n_big == 0:
-        dealt = items.withColumn("part", F.lit(0))
-    else:
-        side = F.broadcast(big) if n_big <= BROADCAST_GROUPS else big
-        on = reduce(lambda a, b: a & b, [F.col(k) == F.col(a) for k, a in zip(keys, aliases)])
-        part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("_spread"), F.col("_parts")).cast("int")
-        )
-        dealt = items.join(side, on, "left").withColumn("part", part)
-    text = F.array_join(
-        F.transform(F.array_sort(F.collect_list("_entry")), lambda e: e.getField("_item")), separator
-    )
-    return dealt.groupBy(*keys, "part").agg(text.alias("items"))
+    items = df.withColumn("_item", item).filter(F.col("_item").isNotNull())
+    cut = numbered(items, keys, coarse, fine).withColumn("part", F.floor(F.col("position") / F.lit(per_part)).cast("int"))
+    entry = F.array_sort(F.collect_list(F.struct("position", "_item")))
+    text = F.array_join(F.transform(entry, lambda e: e.getField("_item")), separator)
+    return cut.groupBy(*keys, "part").agg(text.alias("items"))

@@ -1,7 +1,7 @@
 """Rule tables turned into Columns and small DataFrames.
 
 Rules (labels, ladders, name patterns, wildcard keys) are data handed in by the caller. They have a known
-length on the driver, so inlining them as literals or broadcasting them is bounded by construction.
+length on the driver, so inlining them as literals is bounded by construction.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from .text import like_any
 
-BROADCAST_RULE_ROWS = 10_000
-
 
 def rows_table(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
     """Literal rows as a JVM-side relation; ``schema`` is ``"name type, ..."``."""

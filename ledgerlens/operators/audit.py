@@ -90,14 +90,14 @@ def resolve_references(
     keys instead of one null key, which would gather them in one task.
     """
     known = names.select(
-        "case_id", F.lit("object").alias("kind"), F.col("object_id").cast("int").alias("ref"), "name"
-    ).unionByName(products.select("case_id", F.lit("product").alias("kind"), F.col("id").cast("int").alias("ref"), "name"))
+        "case_id", F.lit("object").alias("kind"), F.col("object_id").cast("bigint").alias("ref"), "name"
+    ).unionByName(products.select("case_id", F.lit("product").alias("kind"), F.col("id").cast("bigint").alias("ref"), "name"))
     known = known.groupBy("case_id", "kind", "ref").agg(F.min("name").alias("name"))
 
     kind = F.when(F.col("attribute_sf").isin(list(object_attrs)), F.lit("object")).when(
         F.col("attribute_sf").isin(list(product_attrs)), F.lit("product")
     )
-    nobody = F.pmod(F.xxhash64("log_id", "case_id"), F.lit(1 << 30)).cast("int")
+    nobody = F.pmod(F.xxhash64("log_id", "case_id"), F.lit(1 << 30)).cast("bigint")
 
     def look_up(df: DataFrame, wanted: Column, id_col: Column, out: str) -> DataFrame:
         keyed = df.withColumn(
@@ -109,9 +109,9 @@ def resolve_references(
         match = (F.col("case_id") == F.col("_case")) & (F.col("_kind") == F.col("_k")) & (F.col("_ref") == F.col("_r"))
         return keyed.join(side, match, "left").drop("_case", "_k", "_r")
 
-    out = look_up(log, F.lit("object"), F.col("object_id").cast("int"), "object_name").drop("_kind", "_ref")
+    out = look_up(log, F.lit("object"), F.col("object_id").cast("bigint"), "object_name").drop("_kind", "_ref")
     for text in ("prev", "new"):
-        out = look_up(out, kind, F.col(text).try_cast("int"), "_found")
+        out = look_up(out, kind, F.col(text).try_cast("bigint"), "_found")
         out = out.withColumn(
             f"{text}_text", F.when(F.col("_kind") != "none", F.col("_found")).otherwise(F.col(text))
         ).drop("_kind", "_ref", "_found")
@@ -121,8 +121,8 @@ def resolve_references(
 def fold_creations(log: DataFrame, labels: Labels, unit: str = "SECOND", per_part: int = 10_000) -> DataFrame:
     """Creation rows of one time unit, object and user become one row listing "attribute=value, ...".
 
-    The list is keyed (unit, object, user), coarser than the row's own group. ``part`` is 0; a list of
-    more than ``per_part`` entries continues in rows with further part numbers (see ``listed_text``).
+    The list is keyed (unit, object, user), coarser than the row's own group, and sorted by attribute and
+    log id. Each stretch of ``per_part`` entries is a row, numbered by ``part``: the parts in order are the list.
     """
     made = log.filter(F.col("history_type") == CREATED).withColumn("dt", truncate(F.col("dt"), unit))
     group = [
@@ -135,7 +135,7 @@ def fold_creations(log: DataFrame, labels: Labels, unit: str = "SECOND", per_par
         made,
         ["dt", "object_id", "user_id"],
         entry,
-        [F.col("attribute"), F.col("log_id")],
+        [F.col("attribute")],
         F.col("log_id"),
         per_part=per_part,
     )
@@ -159,15 +159,15 @@ def is_dependency(labels: Labels) -> Column:
 
 
 def fold_dependencies(log: DataFrame, labels: Labels, unit: str = "SECOND", per_part: int = 10_000) -> DataFrame:
-    """Dependency-state rows of one time unit and user become one row naming all objects, prefix stripped;
-    old and new are the largest raw texts."""
+    """Dependency-state rows of one time unit and user become one row naming all objects by log id, prefix
+    stripped, in parts as above; old and new are the largest raw texts."""
     states = log.filter(is_dependency(labels)).withColumn("dt", truncate(F.col("dt"), unit))
     group = ["start_time", "end_time", "is_cumulative", "dt", "user_name", "object_type", "is_cancel", "user_id"]
     groups = states.groupBy(*group).agg(
         F.min("log_id").alias("log_id"), F.max("prev").alias("prev"), F.max("new").alias("new")
     )
     short = F.replace(F.col("object_name"), F.lit(labels.dependency_prefix), F.lit(""))
-    lists = listed_text(states, ["dt", "user_id"], short, [F.col("log_id")], F.col("log_id"), per_part=per_part)
+    lists = listed_text(states, ["dt", "user_id"], short, [], F.col("log_id"), per_part=per_part)
     return (
         groups.join(lists, ["dt", "user_id"], "left")
         .withColumns(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.amounts import exact
-from ..functions.rules import BROADCAST_RULE_ROWS, rows_table
+from ..functions.rules import rows_table
+
 
 def lookup_measure(
     tasks: DataFrame, view: DataFrame, keys: Mapping[str, str], value: str, order: str, task_id: str = "task_id"
@@ -61,34 +61,30 @@ def live_transactions(
 def reassign_measure(tx: DataFrame, live: DataFrame, tasks: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """All transactions, with ``measured``/``reconciled`` rewritten where a task applies.
 
+    A transaction is known by (case_id, id): ids recur across cases, and every case is corrected by itself.
     ``tasks``: task_id, target key columns (``keys``: task column -> transaction column), new_value.
-    Every live match is zeroed, the lowest id of a task gets the value. Tasks without value or without
-    rows do nothing; where several tasks share a target the last one (highest task_id) decides.
+    Every live match is zeroed, the lowest id of a task in a case gets the value. Tasks without value or
+    without rows do nothing; where several tasks share a target the last one (highest task_id) decides.
     """
-    targets = list(keys)
+    targets, one = list(keys), ["case_id", "id"]
     last = (
         tasks.filter(F.col("new_value").isNotNull())
         .groupBy(*targets)
         .agg(F.max("task_id").alias("task_id"), F.max_by("new_value", "task_id").alias("new_value"))
     )
     on_tx = last.select(*[F.col(t).alias(keys[t]) for t in targets], "task_id", "new_value")
-    hits = live.select("id", *keys.values()).join(on_tx, list(keys.values())).select("id", "task_id", "new_value")
-    firsts = hits.groupBy("task_id").agg(
-        F.min("id").alias("id"), F.max("new_value").cast("double").alias("_value")
+    matched = live.select(*one, *keys.values()).join(on_tx, list(keys.values()))
+    # a transaction that is listed twice, or under two keys, is still one: the last task decides
+    hits = matched.groupBy(*one).agg(
+        F.max("task_id").alias("task_id"), F.max_by("new_value", "task_id").cast("double").alias("_new")
     )
-    marks = hits.select("id").withColumn("_hit", F.lit(1)).join(firsts.select("id", "_value"), "id", "left")
-    joined = tx.join(marks, "id", "left")
+    firsts = hits.groupBy("case_id", "task_id").agg(F.min(F.struct("id", "_new")).alias("_first"))
+    firsts = firsts.select("case_id", "_first.id", F.col("_first._new").alias("_value"))
+    marks = hits.select(*one, F.lit(1).alias("_hit")).join(firsts, one, "left")
+    joined = tx.join(marks, one, "left")
     hit = F.col("_hit").isNotNull()
-    return joined.select(
-        *[
-            F.when(hit, F.coalesce("_value", F.lit(0.0))).otherwise(F.col(c)).alias(c)
-            if c == "measured"
-            else F.when(hit, F.lit(0.0)).otherwise(F.col(c)).alias(c)
-            if c == "reconciled"
-            else F.col(c)
-            for c in tx.columns
-        ]
-    )
+    new = {"measured": F.coalesce("_value", F.lit(0.0)), "reconciled": F.lit(0.0)}
+    return joined.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in tx.columns])
 
 
 def wildcard_rule_sum(
@@ -102,20 +98,18 @@ def wildcard_rule_sum(
     """(target, sum_value): sum of the facts each rule catches. In ``wild_keys`` a rule's 0 means any
     value, ``exact_key`` must be equal (a rule's null reads as 0). Targets without facts are absent.
 
-    Each fact is written out once per wildcard pattern in use, with the wild keys blanked to 0, and meets
-    the rules in one equi-join: one scan of the facts, no disjunctive join. A count per pattern (at most
-    2^keys numbers) tells which patterns occur and how many rules there are: a short rule table is
-    broadcast. Against a long one the facts are first summed per masked key, so that the key "anything"
-    is one row and not a hot partition.
+    Each fact is written out once per wildcard pattern, with the wild keys blanked to 0, and summed per masked
+    key with map-side combine, so that the key "anything" is one row and not a hot partition; the sums meet
+    the rules in one equi-join. One scan of the facts, no disjunctive join, one plan for any number of rules.
+    Rules given as a list name their patterns; of a rule table all 2^keys patterns are laid out.
     """
     types = dict(facts.dtypes)
+    patterns = set(range(1 << len(wild_keys)))
     if not isinstance(rules, DataFrame):
         columns = [*wild_keys, exact_key, target]
         schema = ", ".join(f"{c} {types.get(c, 'bigint')}" for c in columns)
-        sizes = Counter(sum(1 << i for i, k in enumerate(wild_keys) if r[k] == 0) for r in rules)
+        patterns = {sum(1 << i for i, k in enumerate(wild_keys) if r[k] == 0) for r in rules}
         rules = rows_table(facts.sparkSession, schema, [[r[c] for c in columns] for r in rules])
-    else:
-        sizes = None
     code = reduce(lambda a, b: a + b, [F.when(F.col(k) == 0, F.lit(1 << i)).otherwise(0) for i, k in enumerate(wild_keys)])
     keyed = rules.select(
         code.alias("_pattern"),
@@ -123,29 +117,20 @@ def wildcard_rule_sum(
         F.coalesce(F.col(exact_key), F.lit(0)).cast(types[exact_key]).alias(exact_key),
         target,
     )
-    if sizes is None:
-        sizes = {r["_pattern"]: r["count"] for r in keyed.groupBy("_pattern").count().collect()}
     variants = [
         F.struct(
             F.lit(p).alias("_pattern"),
             *[(F.lit(0) if p >> i & 1 else F.col(k)).cast(types[k]).alias(k) for i, k in enumerate(wild_keys)],
         )
-        for p in sorted(sizes)
+        for p in sorted(patterns)
     ]
     if not variants:
         return keyed.select(target, F.lit(0.0).alias("sum_value"))
     amount = F.coalesce(exact(value), F.lit(0)).alias("_amount")
-    laid = facts.select(F.inline(F.array(*variants)), exact_key, amount)
     match = ["_pattern", *wild_keys, exact_key]
-    if sum(sizes.values()) > BROADCAST_RULE_ROWS:
-        laid = laid.groupBy(*match).agg(F.sum("_amount").alias("_amount"))
-    else:
-        keyed = F.broadcast(keyed)
-    return (
-        laid.join(keyed, match)
-        .groupBy(target)
-        .agg(F.sum("_amount").cast("double").alias("sum_value"))
-    )
+    laid = facts.select(F.inline(F.array(*variants)), exact_key, amount)
+    sums = laid.groupBy(*match).agg(F.sum("_amount").alias("_amount"))
+    return sums.join(keyed, match).groupBy(target).agg(F.sum("_amount").cast("double").alias("sum_value"))
 
 
 def apply_incoming(ledger: DataFrame, sums: DataFrame, kinds: DataFrame, case_id: int | None = None) -> DataFrame:

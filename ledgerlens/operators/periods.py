@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import rows_table
-from ..functions.times import midnight, midnights_between, ntz, shift
+from ..functions.times import midnight, midnights_between, ntz, shift, truncate
 
 
 def reporting_period(df: DataFrame, ts: str, shifts: DataFrame) -> DataFrame:
@@ -58,69 +59,67 @@ def case_kind(cases: DataFrame, rule: str = "span", cumulative: str | None = Non
 def month_to_date_cases(cases: DataFrame, case_id: int) -> DataFrame:
     """Daily cases of the given case's month (by start) that end no later than it.
 
-    ``cases`` carries ``is_cumulative``. The month bounds come from the one chosen row as scalar
-    subqueries, so the filter is two range comparisons on start/end.
+    ``cases`` carries ``is_cumulative``. The one chosen row meets the others in an equi-join on the month,
+    so the cases are read twice, whatever they are derived from.
     """
-    chosen = cases.filter(F.col("case_id") == case_id)
-    start = chosen.agg(F.max("start_time")).scalar()
-    end = chosen.agg(F.max("end_time")).scalar()
-    month_start = F.date_trunc("MONTH", start).cast("timestamp_ntz")
-    return cases.filter(
-        (F.col("is_cumulative") == 0)
-        & (F.col("start_time") >= month_start)
-        & (F.col("start_time") < shift(month_start, "MONTH", 1))
-        & (F.col("end_time") <= end)
+    chosen = cases.filter(F.col("case_id") == case_id).select(
+        truncate(F.col("start_time"), "MONTH").alias("_month"), F.col("end_time").alias("_end")
     )
-
-
-MOST_CASES = 400  # a month of daily cases with room for irregular ones
+    daily = cases.filter(F.col("is_cumulative") == 0).withColumn("_month", truncate(F.col("start_time"), "MONTH"))
+    return daily.join(chosen, "_month").filter(F.col("end_time") <= F.col("_end")).select(cases.columns)
 
 
 @dataclass(frozen=True)
 class CaseSets:
-    """The case ids a report compares: a handful, known before its plan is built, so that every fact table
-    is cut by literal ids at the scan."""
+    """The cases a report compares. Three ids at most are known by name, the month's cases are a relation
+    (or a few ids the caller knows). ``span``: from the earliest start to the latest end of them all, which
+    cuts fact tables that keep the time at the scan."""
 
     current: int
     previous: int | None
     opening: int | None
-    month: tuple[int, ...]
+    month: DataFrame | Sequence[int]
     is_cumulative: bool
+    span: tuple[str, str] | None = None
 
     @property
     def snapshots(self) -> list[int]:
         return sorted({c for c in (self.current, self.previous, self.opening) if c is not None})
 
-    @property
-    def totals(self) -> list[int]:
-        return sorted({self.current, *self.month})
+    def months(self, spark: SparkSession) -> DataFrame:
+        """case_id of the month set, each once."""
+        if isinstance(self.month, DataFrame):
+            return self.month.select(F.col("case_id").cast("int").alias("case_id")).distinct()
+        return rows_table(spark, "case_id int", [[c] for c in sorted(set(self.month))])
+
+    def flagged(self, spark: SparkSession) -> DataFrame:
+        """case_id, of_day, of_month: the current case and the month set, each case once."""
+        now = rows_table(spark, "case_id int, of_day int, of_month int", [[self.current, 1, 0]])
+        month = self.months(spark).select("case_id", F.lit(0).alias("of_day"), F.lit(1).alias("of_month"))
+        return now.unionByName(month).groupBy("case_id").agg(F.max("of_day").alias("of_day"), F.max("of_month").alias("of_month"))
 
 
 def resolve_case_sets(cases: DataFrame, case_id: int) -> CaseSets:
     """The case, its predecessor, the daily cases of its month up to it and the case before the first of
-    them. One row, then the ids of its month, checked against a bound; both look-ups carry literal
-    predicates for the scan."""
+    them. Single rows are looked up; the month's cases stay a relation, however many they are."""
     chosen = cases.filter(F.col("case_id") == case_id).take(1)
     if not chosen:
         raise ValueError(f"case {case_id} not found")
     row = chosen[0]
     month_start = row.start_time.replace(day=1, hour=0, minute=0, second=0, microsecond=0)
-    to_date = (
-        cases.filter(
-            (F.col("is_cumulative") == 0)
-            & (F.col("start_time") >= ntz(str(month_start)))
-            & (F.col("end_time") <= ntz(str(row.end_time)))
-        )
-        .filter(F.col("start_time") < shift(ntz(str(month_start)), "MONTH", 1))
-        .select("case_id", "prev_case_id")
-        .take(MOST_CASES + 1)
+    to_date = cases.filter(
+        (F.col("is_cumulative") == 0)
+        & (F.col("start_time") >= ntz(str(month_start)))
+        & (F.col("end_time") <= ntz(str(row.end_time)))
+        & (F.col("start_time") < shift(ntz(str(month_start)), "MONTH", 1))
     )
-    if len(to_date) > MOST_CASES:
-        raise ValueError(f"more than {MOST_CASES} cases in the month of case {case_id}")
-    opening = min(to_date, key=lambda r: r.case_id).prev_case_id if to_date else None
-    if row.is_cumulative == 1:
-        return CaseSets(case_id, opening, opening, (case_id,), True)
-    return CaseSets(case_id, row.prev_case_id, opening, tuple(sorted(r.case_id for r in to_date)), False)
+    opening = to_date.agg(F.min_by("prev_case_id", "case_id")).first()[0]
+    own = row.is_cumulative == 1
+    previous = opening if own else row.prev_case_id
+    known = [c for c in (case_id, previous, opening) if c is not None]
+    first, last = cases.filter(F.col("case_id").isin(known)).agg(F.min("start_time"), F.max("end_time")).first()
+    span = (str(min(first, month_start)), str(max(last, row.end_time)))
+    return CaseSets(case_id, previous, opening, (case_id,) if own else to_date.select("case_id"), own, span)
 
 
 def case_sets(cases: DataFrame, case_id: int) -> DataFrame:
@@ -128,7 +127,7 @@ def case_sets(cases: DataFrame, case_id: int) -> DataFrame:
 
     A cumulative case is its own month set, and its previous case is the month opening.
     """
-    sets = resolve_case_sets(cases, case_id)
+    sets, spark = resolve_case_sets(cases, case_id), cases.sparkSession
     single = [("current", sets.current), ("previous", sets.previous), ("opening", sets.opening)]
-    rows = [r for r in single if r[1] is not None] + [("month", c) for c in sets.month]
-    return rows_table(cases.sparkSession, "role string, case_id int", rows)
+    rows = rows_table(spark, "role string, case_id int", [r for r in single if r[1] is not None])
+    return rows.unionByName(sets.months(spark).select(F.lit("month").alias("role"), "case_id"))

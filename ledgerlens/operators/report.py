@@ -43,8 +43,10 @@ def literal_row(df: DataFrame, product: str, values: Mapping[str, Column]) -> Da
     return df.unionByName(row)
 
 
-def shipment_totals(shipments: DataFrame, cases: DataFrame | Sequence[int], div: str | None = None) -> DataFrame:
-    """(product, reconciled) over a set of cases: known ids (cut at the scan) or a table of them.
+def shipment_totals(
+    shipments: DataFrame, cases: DataFrame | Sequence[int], div: str | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """(by, product, reconciled) over a set of cases: known ids (cut at the scan) or a table of them.
 
     ``shipments``: product, div, reconciled, case_id."""
     used = shipments if div is None else shipments.filter(F.col("div") == div)
@@ -52,7 +54,7 @@ def shipment_totals(shipments: DataFrame, cases: DataFrame | Sequence[int], div:
         used = used.join(cases.select("case_id"), "case_id", "left_semi")
     else:
         used = used.filter(F.col("case_id").isin(list(cases)))
-    return used.groupBy("product").agg(total("reconciled").alias("reconciled"))
+    return used.groupBy(*by, "product").agg(total("reconciled").alias("reconciled"))
 
 
 def production_from_balance(balance: DataFrame, daily: DataFrame, month: DataFrame) -> DataFrame:
@@ -106,10 +108,10 @@ def append_system_rows(
 
 def role_totals(facts: DataFrame, sets: CaseSets, value: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, day_total, month_total): sums over the current case and over the month set in one pass."""
-    used = facts.filter(F.col("case_id").isin(sets.totals))
+    used = facts.join(sets.flagged(facts.sparkSession), "case_id")
     return used.groupBy(*by).agg(
-        total(F.when(F.col("case_id") == sets.current, F.col(value))).alias("day_total"),
-        total(F.when(F.col("case_id").isin(list(sets.month)), F.col(value))).alias("month_total"),
+        total(F.when(F.col("of_day") == 1, F.col(value))).alias("day_total"),
+        total(F.when(F.col("of_month") == 1, F.col(value))).alias("month_total"),
     )
 
 
@@ -164,7 +166,7 @@ def flow_total(
     kept = exists(kept, "id", alive)
     linked = exists(links, "id", alive).groupBy("flow_id").agg(F.count(F.lit(1)).alias("_links"))
     facts = (
-        values.filter(F.col("case_id").isin(sets.totals))
+        values.join(sets.flagged(values.sparkSession).select("case_id"), "case_id", "left_semi")
         .join(kept.select(F.col("id").alias("_flow")), F.col("id") == F.col("_flow"))
         .join(linked, F.col("_flow") == F.col("flow_id"))
         .select("case_id", (exact("reconciled") * F.col("_links")).alias("value"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.amounts import exact, money, or_zero, total
+from ..functions.amounts import EXACT, exact, money, or_zero, total
 from ..functions.rules import first_match
 from ..functions.text import folded, like_any, like_none, one_of
 from .periods import CaseSets
@@ -114,35 +114,62 @@ def _real(rules: ScopeRules) -> Column:
     )
 
 
-def tank_scope(
+def _counts(rules: ScopeRules, in_layer: Column, div: str | None) -> Column:
+    """Whether a described position counts for a division; the parameters are known, so there are no null tests."""
+    special = div is not None and div == rules.special_division
+    place, product = F.col("place"), F.col("product")
+    lifted = like_none(product, rules.lifted_products, rules.ci)
+    counted = in_layer & _grouping_ok(rules)
+    if special:
+        lifted = lifted | like_any(place, rules.lifted_places, rules.ci)
+        counted = counted | like_any(place, rules.special_places, rules.ci)
+    keep = lifted & counted
+    return keep & ~one_of(product, rules.special_barred, rules.ci) if special and rules.special_barred else keep
+
+
+def tank_scopes(
     described: DataFrame,
     layers: DataFrame,
     rules: ScopeRules,
-    div: str | None = None,
-    second: str | None = None,
-    third: str | None = None,
+    divisions: Mapping[str, Sequence[str | None]],
+    name: str = "division",
 ) -> DataFrame:
-    """Positions that count for up to three divisions, or for the whole plant when none is given.
+    """Positions that count for each of several sets of up to three divisions, under the set's ``name``; a
+    position that counts for several sets stands under each.
 
-    ``layers``: object_id, layer. They are reduced to one row per tank (in one of the layers or not), so a
-    tank in several layers never fans out. Parameters are known here, so the predicate has no null tests.
+    ``layers``: object_id, layer. They are reduced to one row per tank (in one of a set's layers or not), so
+    a tank in several layers never fans out, and the positions are read once for all sets.
     """
-    wanted = [rules.plant_layer if div is None else div, *[d for d in (second, third) if d is not None]]
-    special = div is not None and div == rules.special_division
-    place, product = F.col("place"), F.col("product")
+    wanted = {
+        n: [rules.plant_layer if (divs[0] if divs else None) is None else divs[0], *[d for d in divs[1:] if d is not None]]
+        for n, divs in divisions.items()
+    }
     member = layers.groupBy("object_id").agg(
-        F.max(F.when(one_of(F.col("layer"), wanted, rules.ci), 1).otherwise(0)).alias("_in_layer")
+        *[F.max(one_of(F.col("layer"), layer, rules.ci)).alias(f"_in{i}") for i, layer in enumerate(wanted.values())]
+    )
+    named = [
+        F.when(_counts(rules, F.col(f"_in{i}"), divs[0] if divs else None), F.lit(n))
+        for i, (n, divs) in enumerate(divisions.items())
+    ]
+    common = like_none(F.col("product"), rules.excluded_products, rules.ci) & _in_store(rules) & _real(rules)
+    return (
+        described.filter(common)
+        .join(member, "object_id")
+        .withColumn(name, F.explode(F.array_compact(F.array(*named))))
+        .drop(*[f"_in{i}" for i in range(len(wanted))])
     )
-    lifted = like_none(product, rules.lifted_products, rules.ci)
-    if special:
-        lifted = lifted | like_any(place, rules.lifted_places, rules.ci)
-    counted = (F.col("_in_layer") == 1) & _grouping_ok(rules)
-    if special:
-        counted = counted | like_any(place, rules.special_places, rules.ci)
-    keep = like_none(product, rules.excluded_products, rules.ci) & lifted & _in_store(rules) & _real(rules) & counted
-    if special and rules.special_barred:
-        keep = keep & ~one_of(product, rules.special_barred, rules.ci)
-    return described.join(member, "object_id").filter(keep).drop("_in_layer")
+
+
+def tank_scope(
+    described: DataFrame,
+    layers: DataFrame,
+    rules: ScopeRules,
+    div: str | None = None,
+    second: str | None = None,
+    third: str | None = None,
+) -> DataFrame:
+    """Positions that count for up to three divisions, or for the whole plant when none is given."""
+    return tank_scopes(described, layers, rules, {"": (div, second, third)}, "_set").drop("_set")
 
 
 def tank_balance(
@@ -152,7 +179,7 @@ def tank_balance(
     not issued, dead residue, free volume. Equal tank rows count once."""
     bulk = one_of(F.col("product"), rules.bulk_products, rules.ci)
     stock, lean = exact("measured"), exact("mass_without_dr")
-    nothing = F.lit(0).cast("decimal(18,6)")
+    nothing = F.lit(0).cast(EXACT)
     passed = F.col("passport_state") == rules.passported_state
     waiting = like_any(F.col("place"), [rules.warehouse], rules.ci) & ~one_of(
         F.col("product"), rules.issued_products, rules.ci
@@ -209,12 +236,20 @@ def warehouse_topup(
     div: str | None,
     rules: ScopeRules,
     by: Sequence[str] = (),
+    division: str | None = None,
+    plant: str = "PLANT",
 ) -> DataFrame:
-    """Matched products: not issued = warehouse stock, measured grows by it. Nothing without a division."""
-    if div is None or div == rules.topup_barred_division or totals is None:
+    """Matched products: not issued = warehouse stock, measured grows by it. Nothing without a division.
+
+    With ``division``, a column that names the set each row belongs to (``plant``: no division), balances of
+    several sets are topped up at once.
+    """
+    if totals is None or division is None and (div is None or div == rules.topup_barred_division):
         return balance
     joined = balance.join(totals, [*by, "product"], "left")
     hit = F.col("warehouse").isNotNull()
+    if division is not None:
+        hit = hit & ~F.col(division).isin([d for d in (plant, rules.topup_barred_division) if d is not None])
     new = {
         "not_issued": F.when(hit, F.col("warehouse")).otherwise(F.col("not_issued")),
         "measured": F.when(hit, money(F.col("measured") + F.col("warehouse"))).otherwise(F.col("measured")),

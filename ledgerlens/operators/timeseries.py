@@ -1,7 +1,7 @@
 """Sampling of tag time series at interval boundaries.
 
-Readings are the big side. Nothing here moves all readings of a tag into one task: they are first reduced
-per (tag, time slot) with map-side aggregation, and only slots that hold a sampling time keep raw rows.
+Readings are the big side. Nothing here moves all readings of a tag into one task: they are sorted by ranges
+of (tag, time), and what is carried from one range to the next is one row per range and tag.
 """
 
 from __future__ import annotations
@@ -9,16 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.amounts import exact
+from ..functions.amounts import EXACT, exact
 from ..functions.text import blank_to_null, folded
-from ..functions.times import ntz, slot
+from ..functions.times import ntz
 from ..sources.session import staged
 
-# Sampling times, and slots between the first and the last of them, that are still broadcast (16 bytes each).
-BROADCAST_SLOTS = 1_000_000
 RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -115,112 +113,78 @@ def entity_tags(
     )
 
 
-def sample_grid(tags: DataFrame, times: DataFrame, width: str = "1 day") -> DataFrame:
+def sample_grid(tags: DataFrame, times: DataFrame) -> DataFrame:
     """Every tag at every time of ``times`` (column ``ts``).
 
-    Each tag is laid out over the slots between the first and the last time and meets the times of a slot
-    in an equi-join: no Cartesian plan. The times are counted first: a set within the bound is broadcast,
-    a larger one is joined by shuffle.
+    The times are dealt to as many strips as there are shuffle partitions; every tag is laid out once per
+    strip and meets its times in an equi-join, so neither side is collected, broadcast or multiplied alone.
     """
-    bucketed = times.withColumn("_slot", slot(F.col("ts"), width))
-    n, first, last = bucketed.agg(F.count(F.lit(1)), F.min("_slot"), F.max("_slot")).first()
-    if not n:
-        return tags.limit(0).select("*", F.lit(None).cast("timestamp_ntz").alias("ts"))
-    slots = F.explode(F.sequence(ntz(str(first)), ntz(str(last)), F.expr(f"INTERVAL '{width}'")))
-    side = F.broadcast(bucketed) if n <= BROADCAST_SLOTS else bucketed
-    return tags.withColumn("_slot", slots).join(side, "_slot").drop("_slot")
+    strips = _partitions(tags.sparkSession)
+    dealt = times.withColumn("_strip", F.pmod(F.xxhash64("ts"), F.lit(strips)).cast("int"))
+    laid = tags.withColumn("_strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+    return laid.join(dealt, "_strip").drop("_strip")
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _sampled(
-    points: DataFrame,
-    readings: DataFrame,
-    by: list[str],
-    time: str,
-    value: str,
-    amount: Column,
-    width: str,
-    times: DataFrame | None = None,
+    points: DataFrame, readings: DataFrame, by: list[str], time: str, value: str, amount: Column, tie: str | None
 ) -> DataFrame:
     """Points with ``_last`` (last value at or before) and ``_total`` (sum of ``amount`` up to) the point.
 
-    (1) Readings are reduced per (by, stretch) by a combining aggregate; a stretch runs up to the next time
-    slot that holds a point. (2) A window over these summaries gives each such slot what was carried into
-    it. (3) Inside the slot: union of carry, raw readings and points, running last and sum. A window never
-    sees more raw rows than one key has in one slot, the carry window at most one row per stretch, and
-    readings of slots without a point are never shuffled raw. (by, time) of the readings must be unique.
-    ``times``: the distinct times the points use, when the caller has them at hand.
+    Readings and points are sorted together by ranges of (by, time): a key with many readings simply takes
+    several ranges, at every size. Inside a range a running window gives what was seen so far; one row per
+    range and key, summed up over the ranges before, gives what is carried in. Both sides are read once;
+    the sorted rows are stored, so that the ranges stay as they are. Of readings at one time the largest
+    ``tie`` counts as the last (the largest value, if no column is named), null first.
     """
-    times = points.select(time) if times is None else times
-    pts = points.withColumn("_slot", slot(F.col(time), width))
-    hit = times.select(slot(F.col(time), width).alias("_slot")).distinct()
-    # first and last slot and the last time, as literals: they cut the readings at the scan
-    ends = times.agg(F.min(slot(F.col(time), width)), F.max(slot(F.col(time), width)), F.max(time)).first()
-    if ends[0] is None:
-        return points.limit(0).select("*", F.lit(None).cast("double").alias("_last"), F.lit(None).cast("double").alias("_total"))
-    first_slot, last_slot, horizon = (ntz(str(e)) for e in ends)
-    n_slots = (ends[1] - ends[0]) / _interval(width) + 1
-    placed = F.broadcast if n_slots <= BROADCAST_SLOTS else (lambda side: side)
-    used = (
-        readings.filter(F.col(time) <= horizon)
-        .select(*by, time, F.struct(F.col(value).alias("v")).alias("_seen"), F.col(value).alias("_v"), amount.alias("_add"))
-        .withColumn("_slot", slot(F.col(time), width))
-    )
     value_type = dict(readings.dtypes)[value]
-    nothing = F.lit(None).cast(f"struct<v:{value_type}>")
-    zero = F.lit(0).cast("decimal(28,6)")
-
-    # every slot of the sampled range and the point slot it is carried into
-    ordered = hit.agg(F.array_sort(F.collect_set("_slot")).alias("hs"))
-    stretches = ordered.select(
-        F.expr("inline(transform(slice(hs, 2, size(hs)), (h, i) -> struct(hs[i] AS lo, h AS _next)))")
-    ).select(F.explode(F.expr(f"sequence(lo, _next - INTERVAL '{width}', INTERVAL '{width}')")).alias("_slot"), "_next")
-    into = F.when(F.col("_slot") < first_slot, first_slot).otherwise(F.col("_next"))
-    summary = (
-        used.filter(F.col("_slot") < last_slot)
-        .join(placed(stretches), "_slot", "left")
-        .groupBy(*by, into.alias("_slot"))
-        .agg(
-            F.struct(F.max_by("_v", time).alias("v")).alias("_seen"),
-            F.sum("_add").cast("decimal(28,6)").alias("_add"),
-            F.lit(0).alias("_kind"),
-        )
+    seen = readings.select(
+        *by,
+        time,
+        F.lit(0).alias("_kind"),
+        F.col(tie or value).alias("_tie"),
+        F.struct(F.col(value).alias("v")).alias("_seen"),
+        amount.cast(EXACT).alias("_add"),
     )
-    marks = summary.unionByName(
-        pts.select(*by, "_slot").distinct().select(
-            "*", nothing.alias("_seen"), zero.alias("_add"), F.lit(1).alias("_kind")
-        )
+    asked = points.select(
+        *by,
+        time,
+        F.lit(1).alias("_kind"),
+        F.lit(None).cast(dict(readings.dtypes)[tie or value]).alias("_tie"),
+        F.lit(None).cast(f"struct<v:{value_type}>").alias("_seen"),
+        F.lit(None).cast(EXACT).alias("_add"),
+        F.struct(*points.columns).alias("_point"),
     )
-    earlier = Window.partitionBy(*by).orderBy("_slot", "_kind").rowsBetween(*RUNNING)
-    carried = (
-        marks.select(
-            *by,
-            "_slot",
-            F.lit(None).cast("timestamp_ntz").alias(time),
-            F.last("_seen", True).over(earlier).alias("_seen"),
-            F.sum("_add").over(earlier).cast("decimal(28,6)").alias("_add"),
-            "_kind",
-        )
-        .filter(F.col("_kind") == 1)
-        .withColumn("_kind", F.lit(0))
+    spark = points.sparkSession
+    order = [time, "_kind", "_tie"]
+    rows = seen.unionByName(asked, allowMissingColumns=True).repartitionByRange(_partitions(spark), *by, *order)
+    rows = staged(rows.withColumn("_range", F.spark_partition_id()), "sampled")
+    when = F.when(F.col("_kind") == 0, F.struct(*order))
+    ends = rows.groupBy("_range", *by).agg(F.max_by("_seen", when).alias("_seen"), F.sum("_add").alias("_add"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        "_range",
+        *by,
+        F.last("_seen", True).over(before).alias("_seen_before"),
+        F.sum("_add").over(before).alias("_before"),
     )
-    near = used.join(placed(hit), "_slot", "left_semi").select(
-        *by, "_slot", time, "_seen", F.col("_add").cast("decimal(28,6)").alias("_add"), F.lit(1).alias("_kind")
+    running = Window.partitionBy("_range", *by).orderBy(*order).rowsBetween(*RUNNING)
+    inside = (
+        rows.withColumn("_seen", F.last("_seen", True).over(running))
+        .withColumn("_add", F.sum("_add").over(running))
+        .filter(F.col("_kind") == 1)
     )
-    asked = pts.withColumn("_seen", nothing).withColumn("_add", zero).withColumn("_kind", F.lit(2))
-    rows = carried.unionByName(near).unionByName(asked, allowMissingColumns=True)
-    running = Window.partitionBy(*by, "_slot").orderBy(F.asc_nulls_first(time), "_kind").rowsBetween(*RUNNING)
-    return (
-        rows.withColumn("_last", F.last("_seen", True).over(running).getField("v"))
-        .withColumn("_total", F.sum("_add").over(running).cast("double"))
-        .filter(F.col("_kind") == 2)
+    total = F.coalesce(F.col("_add") + F.col("_before"), "_add", "_before")
+    return inside.join(carried, ["_range", *by]).select(
+        "_point.*",
+        F.coalesce("_seen", "_seen_before").getField("v").alias("_last"),
+        total.cast("double").alias("_total"),
     )
 
 
-def _interval(width: str) -> timedelta:
-    amount, unit = width.split()
-    return int(amount) * timedelta(**{unit.rstrip("s") + "s": 1})
-
-
 def asof_last_value(
     points: DataFrame,
     readings: DataFrame,
@@ -228,14 +192,13 @@ def asof_last_value(
     time: str = "ts",
     value: str = "value",
     default: float | None = 0.0,
-    width: str = "1 hour",
-    times: DataFrame | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
     """Value of the last reading at or before each point; ``default`` when there is none or it is null.
 
-    Pick a narrower ``width`` for denser tags (see ``_sampled``).
+    Of readings at one time that with the largest ``tie`` is the last, or without one the largest value.
     """
-    sampled = _sampled(points, readings, list(by), time, value, exact(F.lit(None)), width, times)
+    sampled = _sampled(points, readings, list(by), time, value, F.lit(None), tie)
     found = F.col("_last") if default is None else F.coalesce("_last", F.lit(default))
     return sampled.select(*points.columns, found.alias(value))
 
@@ -248,24 +211,23 @@ def accumulate_to(
     time: str = "ts",
     value: str = "value",
     mode: str = "increment",
-    width: str = "1 hour",
-    times: DataFrame | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
     """Quantity accumulated from ``start`` to each point (both inclusive); 0 when there is none.
 
-    ``increment``: sum of the readings, as DECIMAL(18,6) so that it does not depend on arrival order.
+    ``increment``: sum of the readings, as decimals so that it does not depend on arrival order.
     ``counter``: last minus first reading of a running counter.
     """
     by = list(by)
     used = readings if start is None else readings.filter(F.col(time) >= ntz(start))
     if mode == "counter":
-        firsts = used.groupBy(*by).agg(F.min_by(value, time).alias("_first"))
-        last = asof_last_value(points, used, by, time, value, None, width, times)
+        firsts = used.groupBy(*by).agg(F.min_by(value, F.struct(time, tie or value)).alias("_first"))
+        last = asof_last_value(points, used, by, time, value, None, tie)
         gain = F.coalesce(F.col(value) - F.col("_first"), F.lit(0.0))
         return last.join(firsts, by, "left").withColumn(value, gain).drop("_first")
     if mode != "increment":
         raise ValueError(f"unknown mode {mode!r}")
-    sampled = _sampled(points, used, by, time, value, exact(value), width, times)
+    sampled = _sampled(points, used, by, time, value, exact(value), tie)
     return sampled.select(*points.columns, F.coalesce("_total", F.lit(0.0)).alias(value))
 
 
@@ -278,35 +240,41 @@ def tag_values_at_boundaries(
     readings: DataFrame,
     start: str,
     end: str,
-    width: str = "1 hour",
+    tie: str | None = None,
 ) -> DataFrame:
     """Tank levels (as-of) and unit accumulations at every boundary of the transfers of a period.
 
-    Both kinds of value come out of one pass over the readings. Tags and times are stored once: each is
-    a small distinct set out of all transfers, and the plan below starts from them several times.
+    Both kinds of value come out of one pass over the readings.
     """
     live = interval_overlap(transfers, start, end)
-    tags = staged(entity_tags(live, entities, aliases, attributes, alias_name), "tags")
-    times = staged(boundary_times(live, start, end), "times")
+    tags = entity_tags(live, entities, aliases, attributes, alias_name)
+    # a transfer may begin before the period and end after it: its bounds are sampled all the same
+    times = boundary_times(live, start, end)
     grid = sample_grid(tags.select("tag", "object_type", "alias_id"), times)
     counted = F.when(F.col("ts") >= ntz(start), exact("value"))
-    sampled = _sampled(grid, readings, ["tag"], "ts", "value", counted, width, times)
+    sampled = _sampled(grid, readings, ["tag"], "ts", "value", counted, tie)
     chosen = F.when(F.col("object_type") == "Tank", F.col("_last")).otherwise(F.col("_total"))
     return sampled.select("tag", "object_type", "alias_id", F.coalesce(chosen, F.lit(0.0)).alias("value"), "ts")
 
 
-def snapshot_at(points: DataFrame, states: DataFrame, by: str, at: str, time: str = "ts") -> DataFrame:
+def snapshot_at(
+    points: DataFrame, states: DataFrame, by: str, at: str, time: str = "ts", tie: str | None = None
+) -> DataFrame:
     """Whole state row of each point as of a time; points without any state are absent.
 
-    One combining aggregate; every column takes the value it has at the largest time, nulls included.
+    One combining aggregate over (time, row); nulls of the last row are kept. Of rows at one time the one
+    with the largest ``tie`` counts, then the largest by the remaining columns in their order.
     """
     rest = [c for c in states.columns if c not in (by, time)]
+    first = [tie] if tie else []
+    ranked = F.struct(time, *first, *[c for c in rest if c not in first])
     wanted = points.select(by).distinct()
     return (
         states.filter(F.col(time) <= ntz(at))
-        .groupBy(by)
-        .agg(F.max(time).alias(time), *[F.max_by(c, time).alias(c) for c in rest])
         .join(wanted, by, "left_semi")
+        .groupBy(by)
+        .agg(F.max(ranked).alias("_row"))
+        .select(*[F.col(by) if c == by else F.col(f"_row.{c}").alias(c) for c in states.columns])
     )
 
 
@@ -340,23 +308,8 @@ def active_tag_settings(
     )
 
 
-def tag_id_list(tags: DataFrame, column: str = "tag_id", max_length: int = 4000, lists: int = 32) -> DataFrame:
-    """All tag ids as comma-separated text, in pieces of at most ``max_length`` characters.
-
-    Columns list, piece, tag_ids. Ids are dealt to ``lists`` lists by hash (raise it with the data) and
-    numbered inside a list, so a piece is bounded by construction; every id stands in exactly one piece
-    (an id is taken to be shorter than half the limit). Order inside a piece: by id.
-    """
+def tag_id_list(tags: DataFrame, column: str = "tag_id") -> DataFrame:
+    """The distinct tag ids of the settings, trimmed, without blanks, one row each: the list a source of
+    readings is asked for, in the form a semi-join takes."""
     text = F.trim(F.col(column).cast("string"))
-    dealt = tags.select(text.alias("_id")).filter(F.col("_id") != "").withColumn(
-        "list", (F.conv(F.substring(F.md5("_id"), 1, 7), 16, 10).cast("int") % F.lit(lists)).cast("int")
-    )
-    order = Window.partitionBy("list").orderBy("_id")
-    sized = dealt.withColumn(
-        "_end", F.sum(F.length("_id") + 1).over(order.rowsBetween(*RUNNING)).cast("bigint")
-    )
-    # position of an id in the endless list, cut into half-limit strides: a stride and its overhang fit
-    stride = max(1, (max_length + 1) // 2)
-    cut = sized.withColumn("piece", F.floor((F.col("_end") - 1) / F.lit(stride)).cast("int"))
-    entry = F.array_sort(F.collect_list("_id"))
-    return cut.groupBy("list", "piece").agg(F.array_join(entry, ",").alias("tag_ids"))
+    return tags.select(text.alias("tag_id")).filter(F.col("tag_id") != "").distinct()

@@ -41,10 +41,10 @@ class ReportRules:
     corrected: Sequence[str] = field(default_factory=tuple)  # blend rows without dead residue and not issued
 
 
-def stock_by_case(catalog: Catalog, cases: Sequence[int], rules: ReportRules, divs: Sequence[str | None]) -> DataFrame:
-    """Tank balance of several cases in one pass, topped up for a division."""
+def stock_by_case(catalog: Catalog, sets: CaseSets, rules: ReportRules, divs: Sequence[str | None]) -> DataFrame:
+    """Tank balance of the compared cases in one pass, topped up for a division."""
     div = divs[0] if divs else None
-    positions = catalog["positions"].filter(F.col("case_id").isin(list(cases)))
+    positions = catalog.within("positions", sets.span).filter(F.col("case_id").isin(sets.snapshots))
     described = St.described_positions(positions, catalog["objects"], catalog["products"])
     scoped = St.tank_scope(described, catalog["layers"], rules.scope, *divs)
     balance = St.tank_balance(scoped, rules.names, catalog["product_names"], rules.scope, by=["case_id"])
@@ -64,8 +64,8 @@ def _totals(both: DataFrame) -> dict:
     }
 
 
-def _of_cases(df: DataFrame, cases: Sequence[int | None]) -> DataFrame:
-    return df.filter(F.col("case_id").isin([c for c in cases if c is not None]))
+def _of_case(df: DataFrame, case_id: int | None) -> DataFrame:
+    return df.filter(F.col("case_id") == F.lit(case_id).cast("int"))
 
 
 def tank_report(
@@ -84,12 +84,13 @@ def tank_report(
     sets = resolve_case_sets(catalog["cases"], case_id)
 
     # stock of the three cases in one pass, then what was shipped
-    balances = stock_by_case(catalog, sets.snapshots, rules, divs)
+    balances = stock_by_case(catalog, sets, rules, divs)
     rows = Rep.balance_rows(St.snapshots_by_role(balances, sets, plant))
-    daily = Rep.shipment_totals(catalog["shipments"], [sets.current], div)
-    month = Rep.shipment_totals(catalog["shipments"], sets.month, div)
+    shipped = catalog.within("shipments", sets.span)
+    daily = Rep.shipment_totals(shipped, [sets.current], div)
+    month = Rep.shipment_totals(shipped, sets.months(catalog.spark), div)
     rows = Rep.production_from_balance(rows, daily, month)
-    rows = Rep.scalar_override(rows, rules.supply_product, _totals(Rep.role_totals(catalog["supply"], sets, "value")))
+    rows = Rep.scalar_override(rows, rules.supply_product, _totals(Rep.role_totals(catalog.within("supply", sets.span), sets, "value")))
     if plant or div == rules.full_division:
         rows = _plant_blocks(catalog, rows, sets, rules)
     # one row per product from here on: the scans above are done once, whatever follows
@@ -100,7 +101,8 @@ def tank_report(
     summary = Rep.product_summary(rows, catalog["groups"], plant, rules.moved)
     grouped = Rep.group_headers(Rep.hide_empty(summary, keep=rules.blend_mark))
     ordered = Rep.attach_order(grouped, catalog["sorting"], Rep.chain_order(catalog["sorting"]))
-    labelled = Rep.relabel_groups(ordered, _of_cases(catalog["systems"], sets.month))
+    systems = catalog.within("systems", sets.span).join(sets.months(catalog.spark), "case_id", "left_semi")
+    labelled = Rep.relabel_groups(ordered, systems)
     folded = Rep.fold_into_header(labelled, rules.system_mark)
     corrected = override_rows(
         folded, F.col("product").isin(list(rules.corrected)), {"dead_residue": 0, "not_issued": 0}
@@ -109,22 +111,22 @@ def tank_report(
 
 
 def _plant_blocks(catalog: Catalog, rows: DataFrame, sets: CaseSets, rules: ReportRules) -> DataFrame:
-    systems = catalog["systems"]
+    systems = catalog.within("systems", sets.span)
     rows = Rep.append_system_rows(
-        rows, *[_of_cases(systems, [c]) for c in (sets.current, sets.previous, sets.opening)]
+        rows, *[_of_case(systems, c) for c in (sets.current, sets.previous, sets.opening)]
     )
-    processed = catalog["processed_month" if sets.is_cumulative else "processed"]
+    processed = catalog.within("processed_month" if sets.is_cumulative else "processed", sets.span)
     rows = Rep.literal_row(rows, rules.processed_name, _totals(Rep.role_totals(processed, sets, "value")))
     if rules.meter_rules:
         meter_rules = rows_table(catalog.spark, "product string, meter_id int", rules.meter_rules)
-        rows = Rep.meter_adjustment(rows, meter_rules, catalog["meters"], sets)
+        rows = Rep.meter_adjustment(rows, meter_rules, catalog.within("meters", sets.span), sets)
     flows = Rep.flow_total(
-        catalog["flows"], catalog["flow_values"], catalog["links"], catalog["objects"], catalog["object_types"],
+        catalog["flows"], catalog.within("flow_values", sets.span), catalog["links"], catalog["objects"], catalog["object_types"],
         catalog["products"], sets, rules.flow_source, rules.flow_product,
     )
     rows = Rep.literal_row(rows, rules.flow_name, _totals(flows))
     if rules.blends:
         sums = ledger_sums(rules.blends, catalog["ledger"], sets.current, sets.opening)
-        arrived = Rep.role_totals(catalog["arrivals"], sets, "measured", ["product"])
+        arrived = Rep.role_totals(catalog.within("arrivals", sets.span), sets, "measured", ["product"])
         rows = blend_balance(rows, rules.blends, sums, arrived, not sets.is_cumulative)
     return rows

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +33,21 @@ class Catalog:
 
     spark: SparkSession
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    spans: dict[str, Callable[[str, str], DataFrame]] = field(default_factory=dict)
 
     def add(self, name: str, df: DataFrame) -> "Catalog":
         self.tables[name] = df
         return self
 
+    def timed(self, name: str, of_span: Callable[[str, str], DataFrame]) -> "Catalog":
+        """A table whose case ids come from a stored time: ``of_span(start, end)`` reads the rows of a span."""
+        self.spans[name] = of_span
+        return self
+
+    def within(self, name: str, span: tuple[str, str] | None) -> DataFrame:
+        """The rows of a span, cut where they are read if the table is known by time; else the whole table."""
+        return self.spans[name](*span) if span and name in self.spans else self[name]
+
     def parquet(self, name: str, path: str) -> "Catalog":
         return self.add(name, self.spark.read.parquet(path))
 
@@ -55,12 +65,14 @@ class Catalog:
         return self.add(name, reader.load())
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.tables and name in self.spans:
+            return self.spans[name]("0001-01-01", "9999-12-31")
         if name not in self.tables:
             raise KeyError(f"no table registered under {name!r}")
         return self.tables[name]
 
     def __contains__(self, name: str) -> bool:
-        return name in self.tables
+        return name in self.tables or name in self.spans
 
 
 def conform(df: DataFrame, schema: str, rename: Mapping[str, str] | None = None) -> DataFrame:

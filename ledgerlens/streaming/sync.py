@@ -7,19 +7,47 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ledger import latest_changes, spread_changes
+from ..sources.catalog import conform
+
+
+LATEST = "case_id int, group_id bigint, seq bigint, new_value double"
+
+
+def _states(spark: SparkSession, sink: str) -> list[int]:
+    """Numbers of the states stored completely, oldest first."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(sink).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{sink}/state=*/_SUCCESS")) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
+def _merged(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("case_id", "group_id").agg(
+        F.max("seq").alias("seq"), F.max_by("new_value", "seq").alias("new_value")
+    )
 
 
 def sync_group_stream(
     changes: DataFrame, members: DataFrame, min_case: int, sink: str, checkpoint: str
 ) -> StreamingQuery:
-    """Runs through what is available: every micro-batch stores its last value per (case, group).
+    """Runs through what is available: every micro-batch merges its last values per (case, group) into the
+    state before it.
 
-    Only these reduced rows are written, under ``batch=<id>``; a batch replayed after a failure overwrites
-    its own folder, so each change counts once. The big meter table is never rewritten by a batch.
+    A state holds one row per (case, group), however many batches there were, under ``state=<batch id>``. A
+    batch replayed after a failure starts from the same state and overwrites its own, so each change counts
+    once; states older than the one before are dropped. The big meter table is never rewritten by a batch.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        latest_changes(batch, members, min_case).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        spark = batch.sparkSession
+        earlier = [n for n in _states(spark, sink) if n < batch_id]
+        fresh = conform(latest_changes(batch, members, min_case), LATEST)
+        known = fresh if not earlier else fresh.union(stored_changes(spark, sink, earlier[-1]))
+        _merged(known).write.mode("overwrite").parquet(f"{sink}/state={batch_id}")
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for old in earlier[:-1]:
+            folder = path(f"{sink}/state={old}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     return (
         changes.writeStream.foreachBatch(store)
@@ -29,13 +57,15 @@ def sync_group_stream(
     )
 
 
-def stored_changes(spark: SparkSession, sink: str) -> DataFrame:
-    """Last value per (case, group) over all batches; ``seq`` decides, so arrival order does not matter."""
-    return (
-        spark.read.parquet(sink)
-        .groupBy("case_id", "group_id")
-        .agg(F.max("seq").alias("seq"), F.max_by("new_value", "seq").alias("new_value"))
-    )
+def stored_changes(spark: SparkSession, sink: str, state: int | None = None) -> DataFrame:
+    """Last value per (case, group) of the newest state, or of the one given; empty before the first change.
+    ``seq`` decides, so arrival order does not matter."""
+    if state is None:
+        states = _states(spark, sink)
+        if not states:
+            return spark.createDataFrame([], LATEST)
+        state = states[-1]
+    return spark.read.schema(LATEST).parquet(f"{sink}/state={state}")
 
 
 def synced_meters(meters: DataFrame, members: DataFrame, sink: str) -> DataFrame:

@@ -106,29 +106,41 @@ def test_folded_report(table):
     ]
 
 
-@pytest.mark.parametrize("broadcast_groups", [100, 0])
-def test_lists_of_a_hot_group_are_whole_and_bounded(spark, monkeypatch, broadcast_groups):
-    monkeypatch.setattr(grouping, "BROADCAST_GROUPS", broadcast_groups)
+def test_lists_of_a_hot_group_are_whole_and_in_order(spark):
     rng = random.Random(5)
     rows = [("hot" if i % 3 == 0 else f"k{i % 50}", i, f"v{rng.randrange(100)}") for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, id int, v string")
-    parts = listed_text(df, ["k"], F.col("v"), [F.col("v"), F.col("id")], F.col("id"), per_part=60).collect()
-    assert all(p["items"].count(",") + 1 <= 60 for p in parts if p.k != "hot")
-    assert max(p["items"].count(",") + 1 for p in parts) <= 120 and len([p for p in parts if p.k == "hot"]) > 10
-    whole = {}
-    for p in parts:
-        whole.setdefault(p.k, []).extend(p["items"].split(", "))
     want = {}
-    for k, _, v in rows:
+    for k, i, v in sorted(rows, key=lambda r: (r[2], r[1])):
         want.setdefault(k, []).append(v)
-    assert {k: sorted(v) for k, v in whole.items()} == {k: sorted(v) for k, v in want.items()}
-    one = listed_text(df, ["k"], F.col("v"), [F.col("v"), F.col("id")], F.col("id")).collect()
-    assert all(p.part == 0 and p["items"] == ", ".join(sorted(want[p.k])) for p in one)
+    for per_part in (60, 7, 10_000):
+        parts = sorted(listed_text(df, ["k"], F.col("v"), [F.col("v")], F.col("id"), per_part=per_part).collect(), key=lambda p: p.part)
+        whole, sizes = {}, {}
+        for p in parts:
+            whole.setdefault(p.k, []).extend(p["items"].split(", "))
+            sizes.setdefault(p.k, []).append(p["items"].count(",") + 1)
+        assert whole == want
+        assert all(n == per_part for s in sizes.values() for n in s[:-1]) and max(map(max, sizes.values())) <= per_part
+
+
+def test_positions_over_many_ranges(spark):
+    rows = [(i % 2, i // 9, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, c int, id int")
+    got = {(r.k, r.id): r.position for r in grouping.numbered(df, ["k"], [F.col("c")], F.col("id"), span=4).collect()}
+    assert got == {(k, i): n for k in (0, 1) for n, i in enumerate(sorted(i for g, _, i in rows if g == k))}
+
+
+def test_ids_beyond_32_bits_are_looked_up(table):
+    log = table("log_id int, case_id int, object_id long, attribute_sf string, prev string, new string", (1, 1, 3_000_000_000, "SourceId", "3000000000", "text"))
+    names = table("case_id int, object_id long, name string", (1, 3_000_000_000, "far"))
+    products = table("case_id int, id int, name string", (1, 5, "p"))
+    out = A.resolve_references(log, names, products, ["SourceId"], ["ProductId"])
+    assert tuples(out, "object_name", "prev_text", "new_text") == [("far", "far", "text")]
 
 
 def test_null_keys_have_no_list(table):
-    df = table("k int, v string", (1, "a"), (None, "b"))
-    assert tuples(listed_text(df, ["k"], F.col("v"), [F.col("v")], F.col("v")), "k", "items") == [(1, "a")]
+    df = table("k int, v string, id int", (1, "a", 1), (None, "b", 2))
+    assert tuples(listed_text(df, ["k"], F.col("v"), [F.col("v")], F.col("id")), "k", "items") == [(1, "a")]
 
 
 def test_classify_by_name(table):

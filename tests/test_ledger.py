@@ -17,7 +17,7 @@ def test_lookup_measure_takes_the_ordered_first_and_null_when_absent(table):
 
 
 def test_reassign_measure(table):
-    tx = table(TX, (3, 1, 1, 7.0, 7.0), (2, 1, 1, 8.0, 8.0), (4, 1, 2, 9.0, 9.0), (5, 2, 2, 1.0, 1.0), (1, 1, 1, 6.0, 6.0))
+    tx = table(TX, (3, 1, 1, 7.0, 7.0), (2, 1, 1, 8.0, 8.0), (4, 1, 2, 9.0, 9.0), (5, 2, 2, 1.0, 1.0), (1, 1, 1, 6.0, 6.0)).selectExpr("1 AS case_id", "*")
     live = tx.filter("id <> 1")  # row 1 matches the key but is not alive
     tasks = table(
         "task_id int, ta int, tb int, new_value double",
@@ -29,6 +29,20 @@ def test_reassign_measure(table):
     ]
 
 
+def test_reassign_measure_changes_only_matched_rows_of_a_case(table):
+    """Ids recur across cases, live rows are listed twice: the output has the input's rows."""
+    schema = "case_id int, id int, a int, b int, measured double, reconciled double"
+    tx = table(schema, (1, 1, 1, 1, 7.0, 7.0), (1, 2, 1, 1, 8.0, 8.0), (2, 1, 1, 1, 9.0, 9.0), (2, 2, 5, 5, 3.0, 3.0), (3, 1, 1, 1, 4.0, 4.0))
+    live = tx.filter("case_id < 3")
+    tasks = table("task_id int, ta int, tb int, new_value double", (1, 1, 1, 100.0))
+    out = L.reassign_measure(tx, live.unionByName(live), tasks, {"ta": "a", "tb": "b"})
+    assert tuples(out, "case_id", "id", "measured", "reconciled") == [
+        (1, 1, 100.0, 0.0), (1, 2, 0.0, 0.0), (2, 1, 100.0, 0.0), (2, 2, 3.0, 3.0), (3, 1, 4.0, 4.0),
+    ]
+    of_one = L.reassign_measure(tx, live.filter("case_id = 1"), tasks, {"ta": "a", "tb": "b"})
+    assert tuples(of_one.filter("case_id <> 1"), "id", "measured") == [(1, 4.0), (1, 9.0), (2, 3.0)]
+
+
 def test_live_transactions(table):
     tx = table(
         "id int, case_id int, source_id int, dest_id int, product_id int, second_product_id int",
@@ -57,7 +71,7 @@ def brute_rules(rules, facts):
     return out
 
 
-def test_wildcard_rules_against_brute_force(spark, monkeypatch):
+def test_wildcard_rules_against_brute_force(spark):
     rng = random.Random(3)
     keys = ["p1", "p2", "src", "dst"]
     facts = [(*[rng.randrange(0, 4) for _ in keys], rng.randrange(2), rng.choice([None, 1.5, 2.0, 4.25])) for _ in range(400)]
@@ -72,8 +86,6 @@ def test_wildcard_rules_against_brute_force(spark, monkeypatch):
     assert got([dict(zip([*keys, "is_input", "target_id"], r)) for r in rules]) == want
     as_table = spark.createDataFrame(rules, "p1 int, p2 int, src int, dst int, is_input int, target_id int")
     assert got(as_table) == want
-    monkeypatch.setattr(L, "BROADCAST_RULE_ROWS", 3)  # the way beyond the broadcast bound
-    assert got(as_table) == want
 
 
 def test_wildcard_targets_without_facts_disappear(table):
@@ -154,3 +166,15 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, table, tmp_path):
     want = tuples(L.sync_group(meters, changes, members, 10), "id", "case_id", "measured")
     assert run("first") == want
     assert run("second") == want  # every batch again, from the start
+
+
+def test_stream_before_the_first_change_and_over_many_batches(spark, table, tmp_path):
+    meters, changes, members = sync_tables(table)
+    sink = str(tmp_path / "sink")
+    assert tuples(sync.synced_meters(meters, members, sink).filter("synced = 1"), "id") == []
+    source = str(tmp_path / "in")
+    changes.repartition(5).write.parquet(source)
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    sync.sync_group_stream(stream, members, 10, sink, str(tmp_path / "progress")).awaitTermination()
+    assert len(list((tmp_path / "sink").glob("state=*"))) <= 2  # states don't pile up
+    assert sync.stored_changes(spark, sink).count() == sync.stored_changes(spark, sink).select("case_id", "group_id").distinct().count()
