@@ -28,29 +28,27 @@ BLEND_SUFFIX = " (смешение)"
 BLEND_MARK = "%смешение%"
 SYSTEM_MARK = "%Система%"
 
-
-def numbered(n: int) -> str:
-    return f"Продукт №{n}"
-
-
-def _blend(n: int, **variant) -> Blend:
-    return Blend(numbered(n), numbered(n) + BLEND_SUFFIX, variant.pop("pattern", f"%{numbered(n)}%"), **variant)
-
-
+# product, blend row, pattern in the ledger, variant
 BLENDS = (
-    _blend(10),
-    _blend(11, pattern=f"%{numbered(11)}", opening_pattern=f"%{numbered(11)}%", daily="coming"),
-    _blend(1, shipped_month="none"),
-    _blend(2),
-    _blend(3, literal=True),
-    _blend(4, daily="plain"),
-    _blend(5, daily="plain"),
-    _blend(6, shipped_month="month", opening="by_kind"),
-    _blend(7, opening="by_kind"),
-    _blend(8, daily="plain", shipped_day="by_kind", shipped_month="none", rewrite_base=False),
-    _blend(9, opening="by_kind"),
+    Blend("Продукт №10", "Продукт №10 (смешение)", "%Продукт №10%"),
+    Blend("Продукт №11", "Продукт №11 (смешение)", "%Продукт №11", "%Продукт №11%", daily="coming"),
+    Blend("Продукт №1", "Продукт №1 (смешение)", "%Продукт №1%", shipped_month="none"),
+    Blend("Продукт №2", "Продукт №2 (смешение)", "%Продукт №2%"),
+    Blend("Продукт №3", "Продукт №3 (смешение)", "%Продукт №3%", literal=True),
+    Blend("Продукт №4", "Продукт №4 (смешение)", "%Продукт №4%", daily="plain"),
+    Blend("Продукт №5", "Продукт №5 (смешение)", "%Продукт №5%", daily="plain"),
+    Blend("Продукт №6", "Продукт №6 (смешение)", "%Продукт №6%", shipped_month="month", opening="by_kind"),
+    Blend("Продукт №7", "Продукт №7 (смешение)", "%Продукт №7%", opening="by_kind"),
+    Blend(
+        "Продукт №8", "Продукт №8 (смешение)", "%Продукт №8%", daily="plain", shipped_day="by_kind", shipped_month="none",
+        rewrite_base=False,
+    ),
+    Blend("Продукт №9", "Продукт №9 (смешение)", "%Продукт №9%", opening="by_kind"),
+)
+CONSOLIDATED = ("Продукт №17", "Продукт №16", "Продукт №15", "Продукт №14")
+CONSOLIDATED_INTO = "Продукт №13"
+MOVED = ("Продукт №19", "Продукт №18")
+CORRECTED = (
+    "Продукт №1 (смешение)", "Продукт №2 (смешение)", "Продукт №6 (смешение)", "Продукт №8 (смешение)", "Продукт №7 (смешение)",
+    "Продукт №9 (смешение)",
 )
-CONSOLIDATED = tuple(numbered(n) for n in (17, 16, 15, 14))
-CONSOLIDATED_INTO = numbered(13)
-MOVED = (numbered(19), numbered(18))
-CORRECTED = tuple(numbered(n) + BLEND_SUFFIX for n in (1, 2, 6, 8, 7, 9))

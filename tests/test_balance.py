@@ -263,7 +263,7 @@ LEDGER = "id int, case_id int, name string, open_mass double, coming_mix double,
 
 @pytest.mark.parametrize("daily", [True, False])
 def test_blend_variants_of_the_preset(table, daily):
-    n = presets.numbered
+    n = "Продукт №{}".format
     rows = table(ROWS, *[base(n(i), measured=10, measured_old=3, measured_start=4) for i in (1, 2, 4, 6, 8, 11, 12)])
     ledger = table(
         LEDGER,
@@ -289,3 +289,24 @@ def test_blend_variants_of_the_preset(table, daily):
     assert got[n(2)] == (2.0, 20.0, 5.0, 14.0, 10.0, 4.0)  # rewritten base row
     assert got[n(8)] == got[n(12)] == (0.0, 0.0, 0.0, 0.0, 10.0, 4.0)  # left alone
     assert out.count() == 7 + 7
+
+
+def test_presets_name_the_rows_they_are_for(table):
+    from ledgerlens.operators import audit as A
+    from ledgerlens.operators.ledger import override_rows
+
+    schema = "product string, group_name string, " + ", ".join(f"{m} decimal(18,3)" for m in Rep.SUMMARY)
+    zero, one = [Decimal(0)] * len(Rep.SUMMARY), [Decimal(1)] * len(Rep.SUMMARY)
+    rows = table(
+        schema, ("Продукт №17", "g", *one), ("Продукт №14", "g", *one), ("Продукт №1 (смешение)", "g", *one), ("Продукт №3 (смешение)", "g", *zero),
+        ("Система 5", "s", *one), ("s", "s", *one), ("Продукт №12", "g", *zero),
+    )
+    merged = Rep.consolidate(rows, presets.CONSOLIDATED, presets.CONSOLIDATED_INTO)
+    assert tuples(merged.filter("product = 'Продукт №13'"), "measured") == [(Decimal("2.000"),)]
+    shown = Rep.hide_empty(merged, keep=presets.BLEND_MARK)
+    assert [p for (p,) in tuples(shown, "product")] == ["s", "Продукт №1 (смешение)", "Продукт №13", "Продукт №3 (смешение)", "Система 5"]
+    header = Rep.fold_into_header(shown, presets.SYSTEM_MARK).filter("product = 's'")
+    assert tuples(header, "produced_day") == [(Decimal("2.000"),)]
+    fixed = override_rows(shown, F.col("product").isin(list(presets.CORRECTED)), {"dead_residue": 0})
+    assert tuples(fixed.filter("dead_residue = 0"), "product") == [("Продукт №1 (смешение)",), ("Продукт №3 (смешение)",)]
+    assert A.change_labels(presets.AUDIT_LABELS)[A.EDITED] == "Редактирование" and presets.MOVED == ("Продукт №19", "Продукт №18")
