@@ -158,9 +158,8 @@ def _sampled(
         F.lit(None).cast(EXACT).alias("_add"),
         F.struct(*points.columns).alias("_point"),
     )
-    spark = points.sparkSession
     order = [time, "_kind", "_tie"]
-    rows = seen.unionByName(asked, allowMissingColumns=True).repartitionByRange(_partitions(spark), *by, *order)
+    rows = seen.unionByName(asked, allowMissingColumns=True).repartitionByRange(*by, *order)
     rows = staged(rows.withColumn("_range", F.spark_partition_id()), "sampled")
     when = F.when(F.col("_kind") == 0, F.struct(*order))
     ends = rows.groupBy("_range", *by).agg(F.max_by("_seen", when).alias("_seen"), F.sum("_add").alias("_add"))

@@ -108,6 +108,7 @@ def test_asof_and_accumulate_against_brute_force_with_a_hot_tag(spark, ranges):
         return sum(v for g, t, v in readings if g == tag and at(start) <= t <= ts)
 
     spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got = {x.id: x.value for x in T.asof_last_value(p, r).collect()}
         assert got == {i: last(tag, ts) for i, tag, ts in points}
@@ -115,6 +116,7 @@ def test_asof_and_accumulate_against_brute_force_with_a_hot_tag(spark, ranges):
         assert got == {i: total(tag, ts) for i, tag, ts in points}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_of_readings_at_one_time_the_named_column_decides(spark, table):
