@@ -52,7 +52,7 @@ def stacks(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     begins = nested.select(key.alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("host"), F.col("within").alias("stack"))
     ends = nested.select(_behind(key).alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("host"), F.col("beyond").alias("stack"))
     asked = hosts.select(key.alias("at"), F.lit(1).alias("kind"), "host", F.lit(None).cast(f"array<{_RULE}>").alias("stack"))
-    swept = begins.unionByName(ends).unionByName(asked).repartitionByRange(parts(spark), "at")
+    swept = begins.unionByName(ends).unionByName(asked).repartitionByRange("at")
     swept = staged(swept.withColumn("range", F.spark_partition_id()), "url_sweep")  # stored, so that ranges stay as they are
     bounds = swept.filter("kind = 0").groupBy("range").agg(F.max_by("stack", "at").alias("stack"))
     every = spark.range(parts(spark)).select(F.col("id").cast("int").alias("range")).join(bounds, "range", "left")
