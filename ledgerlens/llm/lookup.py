@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+STEP = 4 << 20  # bytes of text worked on at once
 KNOWN = 800_000  # words that are remembered (about 200 MB); beyond that it starts anew
 
 
@@ -23,6 +26,14 @@ def spans(sizes: Sequence[int], most: int) -> list[slice]:
     return out
 
 
+def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of at most ``most`` bytes of a text column, or of one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        for part in spans(sizes.tolist(), most):
+            yield batch.slice(part.start, part.stop - part.start)
+
+
 class Pool:
     """Number sequences of different length in one array; ``gather`` puts together those of many codes at once."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import staged
 from .common import Forest, blocks, components, fixed, groups, lists, listed, numbers
+from .lookup import sliced
 from .shingles import band_keys, mix, shingle_sets, signature
 
 SIZE = 220  # coordinates of a signature
@@ -33,7 +34,7 @@ def _as_signed(s: np.ndarray) -> np.ndarray:
 
 def _sketches(batches):
     """doc_id, text -> doc_id, n_shingles, k1, k2, sig (one byte a coordinate), bands."""
-    for batch in batches:
+    for batch in sliced(batches, "text"):
         n, k1, k2, sigs, bands = [], [], [], [], []
         for s in shingle_sets(batch.column("text")):
             n.append(len(s))
@@ -73,7 +74,7 @@ def _alike(batches):
 
 def _with_sets(batches):
     """key, id, text -> key, id, k1, sig, shingles."""
-    for batch in batches:
+    for batch in sliced(batches, "text"):
         sets = list(shingle_sets(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from ..sources.session import staged
 from .common import numbers, parts
-from .lookup import Lexicon, spans
+from .lookup import Lexicon, Pool, sliced
 
 TOKENS = 2048  # capacity of a sequence
-STEMS = 1_200_000  # stems that a worker remembers (about 250 MB); it starts anew beyond that
-STEP = 8 << 20  # bytes of text worked on at once
+STEMS = 400_000  # stems that a worker remembers (about 100 MB); it starts anew beyond that
 END = 0  # the id after each document
 
 
@@ -30,7 +29,7 @@ def word_bpe() -> str:
 
 
 _BETWEEN = "<|endoftext|>"  # a special token, so that many words can be encoded at once
-_ALONE = frozenset("abcdefghijklmnopqrstuvwxyz0123456789") | frozenset(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
+_CLOSED = "[a-z0-9ß-öø-ÿ][.,]$"  # a full stop or comma behind a letter or digit
 
 
 class Words:
@@ -48,7 +47,6 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self.tokenizer.token_to_id(_BETWEEN)
         self.stems = Lexicon(self.encode, most=STEMS)
-        self.lexicon = Lexicon(self.learn)
 
     def encode(self, stems: list[str]):
         """Ids of stems, a few hundred to a call; those with the sign of special tokens one by one."""
@@ -66,20 +64,29 @@ class Words:
             lengths.append(np.array([len(ids[-1])]))
         return plain + special, [(np.concatenate(ids), np.concatenate(lengths))]
 
-    def learn(self, words: list[str]):
-        stems = [(w[:-1], w[-1]) if w[-1:] in (".", ",") and w[-2:-1] in _ALONE else (w,) for w in words]
-        codes, counts = self.stems.codes(stems)
-        flat, ends = self.stems.pools[0].joined(codes, counts)
-        return words, [(flat, np.diff(ends, prepend=0))]
-
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (none null)."""
         special = pc.match_substring(texts, "<|")  # special tokens are told by case
         lowered = pc.if_else(special, texts, pc.ascii_lower(texts))
         split = pc.ascii_split_whitespace(lowered)
         runs = split.flatten().dictionary_encode()
-        codes, _ = self.lexicon.codes([runs.dictionary.to_pylist()])
-        return self.lexicon.pools[0].gather(codes[numbers(runs.indices)], numbers(split.value_lengths()))
+        words, here = runs.dictionary, Pool()
+        here.add(*self._distinct(words))
+        return here.gather(numbers(runs.indices), numbers(split.value_lengths()))
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct runs one after the other, and their number for each run."""
+        closed = pc.match_substring_regex(words, _CLOSED)
+        stems = pc.if_else(closed, pc.utf8_slice_codeunits(words, 0, -1), words)
+        found, _ = self.stems.codes([[*stems.to_pylist(), ".", ","]])
+        closed = closed.to_numpy(zero_copy_only=False).astype(bool)
+        commas = pc.ends_with(words, ",").to_numpy(zero_copy_only=False).astype(bool)
+        at = np.cumsum(1 + closed) - 1 - closed
+        codes = np.empty(len(words) + int(closed.sum()), np.int64)
+        codes[at] = found[:-2]
+        codes[at[closed] + 1] = np.where(commas[closed], found[-1], found[-2])
+        flat, ends = self.stems.pools[0].joined(codes, 1 + closed)
+        return flat, np.diff(ends, prepend=0)
 
 
 @functools.lru_cache(2)
@@ -93,16 +100,15 @@ def _pieces(path: Callable[[], str], tokens: int):
 
     def run(batches):
         known, deal = words(path()), 0
-        for batch in batches:
-            texts = pc.fill_null(batch.column("text"), "").cast(pa.large_string())
+        for batch in sliced(batches, "text"):
+            texts = pa.concat_arrays([pc.fill_null(batch.column("text"), "")])  # its own buffers, from 0 on
             out: list[list[int]] = [[], [], [], [], []]
-            for part in spans(numbers(pc.binary_length(texts)), STEP):
-                for at, ids in zip(range(part.start, part.stop), known.ids(texts[part])):
-                    ids = np.append(ids, np.uint32(END))
-                    for piece, start in enumerate(range(0, len(ids), tokens)):
-                        cut = ids[start : start + tokens]
-                        for column, value in zip(out, (at, piece, start, len(cut), zlib.crc32(cut.astype("<u4").tobytes()))):
-                            column.append(value)
+            for at, ids in enumerate(known.ids(texts)):
+                ids = np.append(ids, np.uint32(END))
+                for piece, start in enumerate(range(0, len(ids), tokens)):
+                    cut = ids[start : start + tokens]
+                    for column, value in zip(out, (at, piece, start, len(cut), zlib.crc32(cut.astype("<u4").tobytes()))):
+                        column.append(value)
             n = len(out[0])
             ids = batch.column("doc_id").take(pa.array(out[0], pa.int64()))
             dealt = np.arange(deal, deal + n, dtype=np.int64)

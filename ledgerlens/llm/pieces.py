@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lists, numbers
-from .lookup import Lexicon, Pool, spans
+from .lookup import Lexicon, Pool, sliced, spans
 
 MARK = "▁"  # stands for a space
 PENALTY = 10.0  # an unknown character scores this much below the lowest piece
-STEP = 4 << 20  # bytes of text worked on at once
+STEP = 1 << 20  # ids decoded at once
 CELLS = 1 << 21  # (word, start, length) cells worked on at once
 _HASH = np.uint64(0x100000001B3)
 _RUNS = re.compile(f"\n[^{MARK}\n]*|{MARK}+[^{MARK}\n]*")
@@ -229,13 +229,6 @@ def lexicon(path: str, rules: tuple[str, ...]) -> Lexicon:
     return Lexicon(learn, len(rules))
 
 
-def _parts(batches, column: str, sizes, most: int):
-    """Slices of the batches that hold about ``most`` units of the column each."""
-    for batch in batches:
-        for part in spans(sizes(batch.column(column)).tolist(), most):
-            yield batch.slice(part.start, part.stop - part.start)
-
-
 def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
     offsets = np.concatenate([[0], ends]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32, copy=False)))
@@ -244,8 +237,8 @@ def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
 def _encoded(path: Callable[[], str], rules: tuple[str, ...]):
     def run(batches):
         known = lexicon(path(), rules)
-        for batch in _parts(batches, "text", lambda c: numbers(pc.fill_null(pc.binary_length(c), 0)), STEP):
-            split = _split(pc.fill_null(batch.column("text"), ""))
+        for batch in sliced(batches, "text"):
+            split = _split(pa.concat_arrays([pc.fill_null(batch.column("text"), "")]))  # its own buffers, from 0 on
             runs = split.flatten().dictionary_encode()
             codes, _ = known.codes([runs.dictionary.to_pylist()])
             codes, counts = codes[numbers(runs.indices)], numbers(split.value_lengths())
@@ -269,10 +262,16 @@ def encode(docs: DataFrame, rules: tuple[str, ...] = ("viterbi",), path: Callabl
     return rows.mapInArrow(_encoded(path, rules), kinds)
 
 
+def _short(batches, column: str):
+    for batch in batches:
+        for part in spans(numbers(batch.column(column).value_lengths()).tolist(), STEP):
+            yield batch.slice(part.start, part.stop - part.start)
+
+
 def _decoded(path: Callable[[], str], columns: tuple[str, ...], kept: tuple[str, ...]):
     def run(batches):
         pool = spelled(path())
-        for batch in _parts(batches, columns[0], lambda c: numbers(c.value_lengths()), STEP // 4):
+        for batch in _short(batches, columns[0]):
             out = []
             for column in columns:
                 ids = batch.column(column)

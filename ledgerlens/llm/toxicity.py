@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import staged
 from .common import listed, lists
+from .lookup import sliced
 
 EXAMPLES = 20_000  # labelled rows that the index is fitted on, at most; those with the smallest hash
 EVIDENCE = 14.0  # a term's log-likelihood gain over the prior, at least: by chance less than one of a million terms has it
@@ -33,7 +34,7 @@ def _terms(word: str) -> list[str]:
 
 def _counted(batches):
     """text, toxic -> term, times, rows with it, toxic rows with it (part sums)."""
-    for batch in batches:
+    for batch in sliced(batches, "text"):
         sums: dict[tuple[str, int], list[int]] = {}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             tf: dict[str, int] = {}
@@ -62,7 +63,7 @@ def _vectors(number: dict[tuple[str, int], int]):
     def run(batches):
         seen: set[str] = set()
         known: dict[str, list[str]] = {}
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             terms, counts = [], []
             for text in batch.column("text").to_pylist():
                 words = _WORD.findall((text or "").lower())
