@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import secrets
 from .common import read
 from .forest import nearest
 from .minhash import near_duplicates
@@ -59,7 +60,52 @@ def op10_secret_links(spark, sf_dir):
 
 
 QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links}
+def _found(kind: str, pattern: str, fits: str) -> str:
+    """Matches of a kind with what lies between them, so that lengths add up to places."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, '{kind}' AS kind, regexp_extract_all(t, '{quoted}') AS m, string_split_regex(t, '{quoted}') AS gaps,
+        {fits.format(p=quoted)} AS ok FROM d"""
+
+
+def _secrets_sql() -> str:
+    named = "list_transform(regexp_extract_all(t, '{{p}}', 1), lambda g: length(g) >= {0})"
+    every = "list_transform(regexp_extract_all(t, '{p}'), lambda g: true)"
+    kinds = [
+        ("assign", secrets.ASSIGN, named.format(8)), ("access", secrets.ACCESS, every), ("hex", secrets.HEX, every),
+        ("login", secrets.LOGIN, named.format(3)),
+        ("key", "[A-Za-z0-9/+=]+", "list_transform(regexp_extract_all(t, '{p}'), lambda g: length(g) = 40)"),
+        ("endpoint", secrets.ENDPOINT, every),
+    ]
+    near = f"o.doc_id = c.doc_id AND o.s <= c.e + {secrets.SCOPE} AND o.e + {secrets.SCOPE} >= c.s"
+    order = "list_position(['assign', 'access', 'hex', 'login', 'key', 'endpoint'], kind)"
+    joined = f"coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, {order}){{0}}, '')"
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        found AS ({" UNION ALL ".join(_found(*k) for k in kinds)}),
+        each AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM found),
+        pos AS MATERIALIZED (
+            SELECT doc_id, kind, e - length(word) AS s, e FROM (
+                SELECT doc_id, kind, m[i] AS word, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                    + list_sum(list_transform(m[1:i], lambda x: length(x))) AS BIGINT) AS e FROM each WHERE ok[i])
+        ), base AS (SELECT * FROM pos WHERE kind IN ('assign', 'access', 'hex')),
+        weak AS (
+            SELECT * FROM pos c WHERE kind IN ('login', 'key', 'endpoint')
+              AND NOT EXISTS (SELECT 1 FROM base o WHERE o.doc_id = c.doc_id AND o.s < c.e AND o.e > c.s)
+              AND EXISTS (SELECT 1 FROM base o WHERE o.doc_id = c.doc_id AND o.kind IN ('assign', 'access'))
+        ), logins AS (SELECT * FROM weak c WHERE kind = 'login' AND EXISTS (SELECT 1 FROM base o WHERE o.kind = 'assign' AND {near})),
+        ids AS (SELECT * FROM base WHERE kind = 'access' UNION ALL SELECT * FROM logins),
+        keys AS (SELECT * FROM weak c WHERE kind = 'key' AND EXISTS (SELECT 1 FROM ids o WHERE {near})),
+        values_ AS (SELECT * FROM base WHERE kind = 'assign' UNION ALL SELECT * FROM keys),
+        ends AS (SELECT * FROM weak c WHERE kind = 'endpoint' AND EXISTS (SELECT 1 FROM ids o WHERE {near}) AND EXISTS (SELECT 1 FROM values_ o WHERE {near})),
+        spans AS (SELECT * FROM base UNION ALL SELECT * FROM logins UNION ALL SELECT * FROM keys UNION ALL SELECT * FROM ends)
+        SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+            count(*) FILTER (kind = 'hex') AS n_hex, sha256({joined.format(" FILTER (kind IN ('assign', 'access', 'hex'))")}) AS base_sha256,
+            {joined.format("")} AS spans, count(*) FILTER (kind IN ('login', 'key', 'endpoint')) AS n_linked
+        FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id"""
+
+
 ORACLE: dict[str, str] = {
+    "op10_secret_links": _secrets_sql(),
     "op1_warc_index": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS t, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
@@ -69,6 +115,34 @@ ORACLE: dict[str, str] = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> holder THEN holder END AS refers_to
         FROM h""",
+    "op3_rabitq": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), link AS MATERIALIZED (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+        ), reach(id, root) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT b, root FROM reach JOIN link ON a = id
+        ), least AS (SELECT id, min(root) AS root FROM reach GROUP BY id)
+        SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, root AS component_id, vec_id = root AS kept
+        FROM embeddings JOIN least ON id = vec_id""",
+    "op7_minhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), sets AS MATERIALIZED (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w
+        ), held AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        link AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM held a JOIN held b ON a.x = b.x AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), near AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM reach JOIN near ON a = id),
+        least AS (SELECT id, min(root) AS root FROM reach GROUP BY id)
+        SELECT doc_id, len(s) AS n_shingles, root AS component_id, doc_id = root AS kept FROM sets JOIN least ON id = doc_id""",
     "op2_url_sweep": """
         WITH u AS (
             SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
