@@ -56,6 +56,7 @@ def blocks(members: DataFrame, size: int, weight=None) -> DataFrame:
     """
     weighed = F.ceil(F.greatest(F.count(F.lit(1)), F.sum(weight) if weight is not None else F.lit(0)) / F.lit(size))
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), weighed.cast("int").alias("nb")).filter("n >= 2")
+    counts = staged(counts, "group_sizes")  # a plain side of the join, so that Spark splits a large group's partition
     own = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
     dealt = (
         members.join(counts.drop("n"), "key")
@@ -122,7 +123,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b); component is the smallest id reachable.
 
     Large-star and small-star rounds until the edges stay as they are; each round is written to the shared folder. Nothing but
-    two numbers a round reaches the driver.
+    two numbers a round reaches the driver. An id with any share of the edges has one row of least neighbours, which is stored
+    too: the join back to the edges then stands on two plain shuffles, whose large partitions Spark splits.
     """
     now = _ordered(edges.select("a", "b"))
     now, seen = _round(now, True)
@@ -148,11 +150,12 @@ def _round(edges: DataFrame, plain: bool) -> tuple[DataFrame, tuple]:
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(edges.select(F.col("hi"), F.col("lo")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.filter("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
+    edges = staged(edges, "stars")
+    least = staged(edges.groupBy("hi").agg(F.min("lo").alias("m")), "least")
     moved = edges.join(least, "hi").filter("lo <> m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
     return moved.union(least.select(F.col("m").alias("lo"), "hi")).distinct()

@@ -146,7 +146,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = staged(classes, "classes")
     known = classes.filter("id is not null")
     banded = known.select("id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").drop("n")
+    shared = staged(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").drop("n"), "shared_keys")
     members = staged(banded.join(shared, "key"), "buckets").join(known.select("id", "sig"), "id")
     soft = components(blocks(members, BLOCK).mapInArrow(_alike, _EDGE))
     clusters = staged(soft.select(F.col("id"), F.col("component").alias("key")), "clusters")

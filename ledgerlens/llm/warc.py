@@ -108,6 +108,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         .filter("n > 1 and holder is not null")
         .drop("n")
     )
+    holders = staged(holders, "warc_holders")  # a plain side of the join, so that Spark splits the partition of a frequent payload
     revisits = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
     typed = rows.join(holders, ["digest", "size"], "left").select(
         "page_id", "url", "digest",
@@ -177,6 +178,7 @@ def resolved(records: DataFrame) -> DataFrame:
     )
     whole = slim.filter("record_type = 'response'")
     named = whole.groupBy(F.col("page_id").alias("refers_to"), "digest").agg(F.first("payload_digest").alias("payload_digest"), F.first("payload_bytes").alias("payload_bytes"))
+    named = staged(named, "warc_responses")
     again = slim.filter("record_type = 'revisit'").drop("payload_digest", "payload_bytes").join(named, ["refers_to", "digest"])
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return whole.select(columns).union(again.select(columns))
