@@ -68,6 +68,14 @@ def interval_overlap(spark, sf):
     return out.select("transfer_id", stamp("start_time").alias("start_time"), stamp("end_time").alias("end_time"))
 
 
+def interval_overlap_periods(spark, sf):
+    """Orders under way in each reporting day of a month."""
+    days = R.cases(spark, sf).filter((F.col("start_time") >= R.ntz("1997-03-01")) & (F.col("end_time") <= R.ntz("1997-04-01")))
+    periods = days.select("case_id", F.col("start_time").alias("period_start"), F.col("end_time").alias("period_end"))
+    out = T.interval_overlap_periods(R.order_transfers(spark, sf), periods, "case_id")
+    return out.select("case_id", "transfer_id")
+
+
 def boundary_times(spark, sf):
     live = T.interval_overlap(R.order_transfers(spark, sf), *WEEK)
     return T.boundary_times(live, *WEEK).select(stamp("ts").alias("ts"))
@@ -155,7 +163,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         reporting_period, select_cases, select_cases_exact, case_kind, month_to_date_cases, case_sets,
-        interval_overlap, boundary_times, entity_tags, tag_catalog, sample_grid, asof_last_value, asof_per_event,
+        interval_overlap, interval_overlap_periods, boundary_times, entity_tags, tag_catalog, sample_grid, asof_last_value, asof_per_event,
         accumulate_to, tag_values_at_boundaries, snapshot_at, period_accumulation, active_tag_settings, tag_id_list,
     )
 }
@@ -205,6 +213,9 @@ UNION ALL SELECT r, prev_case_id, 199703 FROM cases, (VALUES ('previous'), ('ope
   WHERE case_id = (SELECT min(case_id) FROM ({_MTD.format(k=199703)}))""",
     "interval_overlap": more_ctes("order_transfers") + _LIVE + f"""
 SELECT transfer_id, strftime(start_time, {DUCK_DAYTIME}) AS start_time, strftime(end_time, {DUCK_DAYTIME}) AS end_time FROM live""",
+    "interval_overlap_periods": more_ctes("cases", "order_transfers") + """periods AS (SELECT * FROM cases
+  WHERE start_time >= TIMESTAMP '1997-03-01' AND end_time <= TIMESTAMP '1997-04-01')
+SELECT case_id, transfer_id FROM periods p JOIN transfers t ON t.start_time <= p.end_time AND (t.end_time IS NULL OR t.end_time >= p.start_time)""",
     "boundary_times": more_ctes("order_transfers") + _LIVE + f"""
 SELECT strftime(ts, {DUCK_DAYTIME}) AS ts FROM ({_TIMES.format(lo=WEEK[0], hi=WEEK[1])})""",
     "entity_tags": with_ctes("order_transfers", "tagging") + _TAGS.format(t="transfers"),

@@ -98,17 +98,15 @@ def wildcard_rule_sum(
     """(target, sum_value): sum of the facts each rule catches. In ``wild_keys`` a rule's 0 means any
     value, ``exact_key`` must be equal (a rule's null reads as 0). Targets without facts are absent.
 
-    Each fact is written out once per wildcard pattern, with the wild keys blanked to 0, and summed per masked
-    key with map-side combine, so that the key "anything" is one row and not a hot partition; the sums meet
-    the rules in one equi-join. One scan of the facts, no disjunctive join, one plan for any number of rules.
-    Rules given as a list name their patterns; of a rule table all 2^keys patterns are laid out.
+    Each fact is written out once per wildcard pattern in use, with the wild keys blanked to 0. Those that meet
+    a rule are summed per masked key with map-side combine, so that the key "anything" is one row however many
+    rules ask for it, and the sums meet the rules in an equi-join. One scan of the facts, no disjunctive join,
+    one plan for any number of rules; the patterns in use are at most 2^keys numbers.
     """
     types = dict(facts.dtypes)
-    patterns = set(range(1 << len(wild_keys)))
     if not isinstance(rules, DataFrame):
         columns = [*wild_keys, exact_key, target]
         schema = ", ".join(f"{c} {types.get(c, 'bigint')}" for c in columns)
-        patterns = {sum(1 << i for i, k in enumerate(wild_keys) if r[k] == 0) for r in rules}
         rules = rows_table(facts.sparkSession, schema, [[r[c] for c in columns] for r in rules])
     code = reduce(lambda a, b: a + b, [F.when(F.col(k) == 0, F.lit(1 << i)).otherwise(0) for i, k in enumerate(wild_keys)])
     keyed = rules.select(
@@ -117,19 +115,20 @@ def wildcard_rule_sum(
         F.coalesce(F.col(exact_key), F.lit(0)).cast(types[exact_key]).alias(exact_key),
         target,
     )
-    variants = [
-        F.struct(
-            F.lit(p).alias("_pattern"),
-            *[(F.lit(0) if p >> i & 1 else F.col(k)).cast(types[k]).alias(k) for i, k in enumerate(wild_keys)],
-        )
-        for p in sorted(patterns)
-    ]
-    if not variants:
-        return keyed.select(target, F.lit(0.0).alias("sum_value"))
-    amount = F.coalesce(exact(value), F.lit(0)).alias("_amount")
     match = ["_pattern", *wild_keys, exact_key]
-    laid = facts.select(F.inline(F.array(*variants)), exact_key, amount)
-    sums = laid.groupBy(*match).agg(F.sum("_amount").alias("_amount"))
+    patterns = keyed.agg(F.collect_set("_pattern")).scalar()
+    amount = F.coalesce(exact(value), F.lit(0)).alias("_amount")
+    laid = facts.withColumn("_patterns", patterns).select(F.explode("_patterns").alias("_pattern"), *wild_keys, exact_key, amount)
+    masked = laid.select(
+        "_pattern",
+        *[
+            F.when(F.col("_pattern").bitwiseAND(F.lit(1 << i)) != 0, F.lit(0).cast(types[k])).otherwise(F.col(k)).alias(k)
+            for i, k in enumerate(wild_keys)
+        ],
+        exact_key,
+        "_amount",
+    )
+    sums = masked.join(keyed.select(*match), match, "left_semi").groupBy(*match).agg(F.sum("_amount").alias("_amount"))
     return sums.join(keyed, match).groupBy(target).agg(F.sum("_amount").cast("double").alias("sum_value"))
 
 

@@ -36,6 +36,29 @@ def interval_overlap(intervals: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+def interval_overlap_periods(intervals: DataFrame, periods: DataFrame, key: str = "period_id") -> DataFrame:
+    """Every interval with every period it overlaps, by the rule above. ``periods``: ``key``, period_start,
+    period_end.
+
+    Both sides are laid out over the days they touch, intervals only within the span of all periods (an open
+    end counts to its end), and meet in an equi-join by day. A pair that shares several days is kept on the first.
+    Intervals without a start overlap nothing, as above.
+    """
+    lo, hi = periods.agg(F.min("period_start")).scalar(), periods.agg(F.max("period_end")).scalar()
+    first, last = F.greatest("start_time", lo), F.least(F.coalesce("end_time", hi), hi)
+
+    def days(a: Column, b: Column) -> Column:
+        return F.explode(F.when(a <= b, F.sequence(a.cast("date"), b.cast("date"))))
+
+    begins = F.greatest(F.col("start_time"), lo).cast("date")
+    laid = intervals.filter(F.col("start_time").isNotNull()).withColumn("_first", begins).withColumn("_day", days(first, last))
+    asked = periods.select(key, "period_start", "period_end", days(F.col("period_start"), F.col("period_end")).alias("_day"))
+    met = laid.join(asked, "_day")
+    hit = overlaps(F.col("start_time"), F.col("end_time"), F.col("period_start"), F.col("period_end"))
+    once = F.col("_day") == F.greatest("_first", F.col("period_start").cast("date"))
+    return met.filter(hit & once).select(key, *intervals.columns)
+
+
 def boundary_times(intervals: DataFrame, start: str, end: str) -> DataFrame:
     """Distinct starts, ends (open end: period end) and the period's own bounds, as column ``ts``."""
     ends = F.coalesce(F.col("end_time"), ntz(end))

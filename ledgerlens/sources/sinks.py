@@ -14,13 +14,14 @@ def _file_system(spark: SparkSession, path: str):
     return jvm, target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def full_reload(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the whole table. The result is written beside the target and moved in only when complete,
+def full_reload(df: DataFrame, path: str, fmt: str = "parquet", by: tuple[str, ...] = ()) -> None:
+    """Replace the whole table, partitioned by the columns ``by``. The result is written beside the target and moved in only when complete,
     so a failed job leaves the old content. ``df`` may read the target itself."""
     spark = df.sparkSession
     mark = uuid.uuid4().hex
     staged, old = f"{path}__new_{mark}", f"{path}__old_{mark}"
-    df.write.format(fmt).mode("errorifexists").save(staged)
+    writer = df.write.format(fmt).mode("errorifexists")
+    (writer.partitionBy(*by) if by else writer).save(staged)
     jvm, target, fs = _file_system(spark, path)
     had = fs.exists(target)
     if had and not fs.rename(target, jvm.org.apache.hadoop.fs.Path(old)):

@@ -88,6 +88,11 @@ def test_wildcard_rules_against_brute_force(spark):
     assert got(as_table) == want
 
 
+def test_no_wildcard_rules_no_sums(table):
+    facts = table("k int, is_input int, v double", (1, 0, 2.0))
+    assert L.wildcard_rule_sum([], facts, ["k"], "is_input", "v").collect() == []
+
+
 def test_wildcard_targets_without_facts_disappear(table):
     facts = table("k int, is_input int, v double", (1, 0, 2.0))
     rules = [{"k": 1, "is_input": None, "target_id": 7}, {"k": 2, "is_input": 0, "target_id": 8}]

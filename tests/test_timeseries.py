@@ -196,3 +196,20 @@ def test_sample_grid_is_complete(table):
     tags = table("tag string", ("a",), ("b",))
     times = table("ts timestamp_ntz", (at("2024-01-01 05:00"),), (at("2024-01-01 06:00"),), (at("2024-03-01"),))
     assert T.sample_grid(tags, times).count() == 6
+
+
+def test_overlap_with_many_periods_against_brute_force(spark):
+    rng = random.Random(11)
+    base = at("2024-01-01")
+
+    def moment():
+        return base + timedelta(hours=rng.randrange(0, 24 * 20))
+
+    intervals = [(i, *sorted([moment(), moment()])) for i in range(80)]
+    intervals = [(i, a, None if i % 7 == 0 else b) for i, a, b in intervals] + [(100, base - timedelta(days=400), None), (101, None, base)]
+    intervals += [(102, base - timedelta(days=9), base - timedelta(days=8)), (103, base, base + timedelta(days=900))]
+    periods = [(i, *sorted([moment(), moment()])) for i in range(12)] + [(50, base, base)]
+    df = spark.createDataFrame(intervals, "id int, start_time timestamp_ntz, end_time timestamp_ntz")
+    side = spark.createDataFrame(periods, "period_id int, period_start timestamp_ntz, period_end timestamp_ntz")
+    want = sorted((p, i) for p, lo, hi in periods for i, a, b in intervals if a is not None and a <= hi and (b is None or b >= lo))
+    assert tuples(T.interval_overlap_periods(df, side), "period_id", "id") == sorted(want, key=repr)
