@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from .common import numbers, parts
 from .lookup import Lexicon, Pool, sliced
 
 TOKENS = 2048  # capacity of a sequence
-STEMS = 400_000  # stems that a worker remembers (about 100 MB); it starts anew beyond that
+STEMS = 500_000  # stems that a worker remembers (about 120 MB); it starts anew beyond that
 END = 0  # the id after each document
 
 
@@ -29,6 +30,7 @@ def word_bpe() -> str:
 
 
 _BETWEEN = "<|endoftext|>"  # a special token, so that many words can be encoded at once
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
 _CLOSED = "[a-z0-9ß-öø-ÿ][.,]$"  # a full stop or comma behind a letter or digit
 
 
@@ -42,27 +44,31 @@ class Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.between = self.tokenizer.token_to_id(_BETWEEN)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.between = self.whole.token_to_id(_BETWEEN)
+        # small letters are left as they are by the normalizer and are one word for the pre-tokenizer: only the merges are needed
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.stems = Lexicon(self.encode, most=STEMS)
 
     def encode(self, stems: list[str]):
-        """Ids of stems, a few hundred to a call; those with the sign of special tokens one by one."""
-        plain = [s for s in stems if "<|" not in s]
-        special = [s for s in stems if "<|" in s]
+        """Ids of stems, many to a call; those with the sign of special tokens one by one."""
+        letters, plain, special = [], [], []
+        for s in stems:
+            (letters if _LETTERS.fullmatch(s) else special if "<|" in s else plain).append(s)
         ids, lengths = [], []
-        for a in range(0, len(plain), 512):
-            joined = _BETWEEN.join(plain[a : a + 512]) + _BETWEEN
-            found = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype=np.uint32)
-            ends = np.flatnonzero(found == self.between)
-            lengths.append(np.diff(ends, prepend=-1) - 1)
-            ids.append(np.delete(found, ends))
-        for s in special:
-            ids.append(np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype=np.uint32))
-            lengths.append(np.array([len(ids[-1])]))
-        return plain + special, [(np.concatenate(ids), np.concatenate(lengths))]
+        for tokenizer, some, step in ((self.letters, letters, 128), (self.whole, plain, 128), (self.whole, special, 1)):
+            for a in range(0, len(some), step):
+                part = some[a : a + step]
+                joined = part[0] if step == 1 else _BETWEEN.join(part)
+                found = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, dtype=np.uint32)
+                ends = np.flatnonzero(found == self.between) if step > 1 else np.zeros(0, np.int64)
+                lengths.append(np.diff(ends, prepend=-1, append=len(found)) - 1)
+                ids.append(np.delete(found, ends))
+        return letters + plain + special, [(np.concatenate(ids), np.concatenate(lengths))]
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (none null)."""
