@@ -65,6 +65,23 @@ def _words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return mix(np.add.reduceat(value, at)), before
 
 
+def _long(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of one long text, a stretch of about CHUNK bytes at a time; stretches end behind white space."""
+    found, at = [], 0
+    while at < len(data):
+        end = at + CHUNK
+        if end < len(data):
+            gaps = np.flatnonzero(_SPACE[data[at:end]])
+            while not len(gaps) and end < len(data):  # a word that goes on
+                gaps = np.flatnonzero(_SPACE[data[end : end + CHUNK]]) + (end - at)
+                end += CHUNK
+            end = at + int(gaps[-1]) + 1 if len(gaps) else len(data)
+        part = data[at:end]
+        found.append(_words(part, np.array([0, len(part)]))[0])
+        at = end
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
 def shingle_sets(texts: pa.Array):
     """For every text, in order: the sorted distinct 64-bit hashes of its shingles.
 
@@ -81,7 +98,11 @@ def shingle_sets(texts: pa.Array):
     while at < len(texts):
         upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
         low, high = offsets[at], offsets[upto]
-        words, before = _words(data[low:high], offsets[at : upto + 1] - low)
+        if high - low > CHUNK:
+            words = _long(data[low:high])
+            before = np.array([0, len(words)])
+        else:
+            words, before = _words(data[low:high], offsets[at : upto + 1] - low)
         n = len(words)
         rolled = np.zeros(max(0, n - WIDTH + 1), dtype=np.uint64)
         for j in range(WIDTH):

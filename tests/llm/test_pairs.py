@@ -119,10 +119,13 @@ def test_signature_estimates_similarity():
 
 def test_shingle_sets_over_slices_and_chunks(monkeypatch):
     monkeypatch.setattr(shingles, "CHUNK", 50)
-    texts = [None, "", "a b c d e f", " x", "a b c d e f" * 20, "é É z z z z z z z", "q"]
+    texts = [None, "", "a b c d e f", " x", "a b c d e f" * 20, "é É z z z z z z z", "q", " ".join(f"w{i}" for i in range(400)), "x" * 300 + " y z " + "v" * 120 + " u t", " " * 130]
     whole = pa.array(["skipped", *texts])
     got = [len(s) for s in shingles.shingle_sets(whole.slice(1))]
     assert got == [len(shingle_set(t)) for t in texts]
+    short = [s.tolist() for s in shingles.shingle_sets(whole.slice(1))]
+    monkeypatch.setattr(shingles, "CHUNK", 1 << 20)
+    assert short == [s.tolist() for s in shingles.shingle_sets(whole.slice(1))]
 
 
 def test_components_of_a_path(spark):
