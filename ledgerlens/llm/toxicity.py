@@ -16,10 +16,12 @@ from .common import listed, lists
 from .lookup import sliced
 
 EXAMPLES = 20_000  # labelled rows that the index is fitted on, at most; those with the smallest hash
+PURE = 0.8  # share of toxic rows among those that hold a term, at least
 EVIDENCE = 14.0  # a term's log-likelihood gain over the prior, at least: by chance less than one of a million terms has it
 NEIGHBOURS = 15
 BLOCK = 64  # examples of a block of the index
-CALM = 0.5  # weight of the prior among the votes
+CALM = 0.4  # weight of the prior among the votes
+STRETCH = 1000  # words; in a longer text a term must occur as often in every such stretch, on average
 PREFIXES = (4, 5, 6, 7)
 TIMES = (1, 2, 4)  # a term counts anew as one that occurs so often
 SEEN = 200_000  # words whose terms a worker remembers; it starts anew beyond that
@@ -38,12 +40,14 @@ def _counted(batches):
         sums: dict[tuple[str, int], list[int]] = {}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             tf: dict[str, int] = {}
-            for w, n in Counter(_WORD.findall((text or "").lower())).items():
+            words = _WORD.findall((text or "").lower())
+            for w, n in Counter(words).items():
                 for t in _terms(w):
                     tf[t] = tf.get(t, 0) + n
+            least = max(1, len(words) / STRETCH)
             for t, n in tf.items():
                 for k in TIMES:
-                    if n >= k:
+                    if n >= (k * least if k > 1 else 1):
                         at = sums.setdefault((t, k), [0, 0])
                         at[0] += 1
                         at[1] += toxic
@@ -83,7 +87,8 @@ def _vectors(number: dict[tuple[str, int], int]):
                     n = words.count(w)
                     for t in known[w]:
                         tf[t] = tf.get(t, 0) + n
-                pairs = sorted((number[t, k], n if k == 1 else 1) for t, n in tf.items() for k in TIMES if n >= k and (t, k) in number)
+                least = max(1, len(words) / STRETCH)
+                pairs = sorted((number[t, k], n if k == 1 else 1) for t, n in tf.items() for k in TIMES if n >= (k * least if k > 1 else 1) and (t, k) in number)
                 terms.append(np.array([t for t, _ in pairs], np.int32))
                 counts.append(np.array([n for _, n in pairs], np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -190,9 +195,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (the three nearest examples).
 
     The score is the share of toxic votes among the 15 labelled examples with the largest TF-IDF cosine, each weighted by its
-    squared cosine, drawn towards the prior by a weight of 0.5. Terms are words and their first 4 to 7 letters, each also as
-    one that occurs twice and four times, as far as they go with the label among the examples (log-likelihood gain of 14 or more);
-    their document frequencies are counted over all documents.
+    squared cosine, drawn towards the prior by a weight of 0.4. Terms are words and their first 4 to 7 letters, each also as
+    one that occurs twice and four times (in each thousand words of a longer text), as far as they go with the label among the
+    examples (log-likelihood gain of 14 or more); their document frequencies are counted over all documents.
     A text without such terms, also an empty or null one, gets the share of toxic examples without them.
 
     Only labelled rows whose crc32(doc_id as text) mod 5 isn't 0 are examples, at most ``EXAMPLES`` (those with the smallest
@@ -215,7 +220,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     if 0 < bad < total:
         a, n, p = F.col("a").cast("double"), F.col("n").cast("double"), bad / total
         good = F.when(F.col("a") < F.col("n"), (n - a) * F.log((n - a) / (n * (1 - p)))).otherwise(0.0)
-        picked = counted.filter("a > 0").filter((a / n > p) & (a * F.log(a / (n * p)) + good >= EVIDENCE)).select("term", "times").collect()
+        picked = counted.filter("a > 0").filter((a / n >= max(p, PURE)) & (a * F.log(a / (n * p)) + good >= EVIDENCE)).select("term", "times").collect()
         number = {tuple(r): i for i, r in enumerate(sorted(picked))}
     kinds = "doc_id long, held_out boolean, terms array<int>, counts array<int>"
     vectors = staged(rows.mapInArrow(_vectors(number), kinds), "toxicity_vectors")
