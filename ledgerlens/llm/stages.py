@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.grouping import first_per_key
 from ..sources.session import staged
 from .common import read
 from .minhash import near_duplicates
@@ -26,12 +27,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, that with the smallest doc_id; rows that repeat it go too. Rows without
-    doc_id stay."""
+    """One document of each component of near copies, that with the smallest doc_id; of rows that share it the one with the
+    smallest text (null last) and then the smallest other columns. Rows without doc_id stay."""
     found = staged(near_duplicates(docs), "components")
     gone = _once(found.filter("not kept and doc_id is not null"))
-    numbered = docs.join(gone, "doc_id", "left_anti").filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return numbered.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    left = docs.join(gone, "doc_id", "left_anti").filter("doc_id is not null").select(docs.columns)
+    return first_per_key(left, ["doc_id"], [F.col("text").isNull(), F.col("text")]).unionByName(docs.filter("doc_id is null"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,14 @@ def test_stages_on_dirty_rows(spark, folder):
     assert masked[300]["text"] is None and masked[300]["n_chars"] is None and masked[301]["n_chars"] == 0
 
 
+def test_of_rows_that_share_a_doc_id_the_smallest_text_stays(spark, folder):
+    rows = [(1, "b text", "x"), (1, "a text", "y"), (1, "a text", "x"), (2, None, "z"), (2, "some", "z")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(3)
+        got = sorted(tuple(r) for r in stages.without_near_copies(spark, docs, folder).collect())
+        assert got == [(1, "a text", "x"), (2, "some", "z")]
+
+
 def test_stages_on_nothing(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
