@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.session import staged
-from .common import Forest, blocks, components, fixed, groups, lists, numbers
+from .common import Forest, blocks, components, groups, lists, numbers
 
 LEAST = 0.9  # cosine of a link
 SURE = 4.0  # width of the bounds: a true value lies above the upper bound with probability below 1e-4
