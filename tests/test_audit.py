@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from conftest import at, tuples
 from pyspark.sql import functions as F
 
