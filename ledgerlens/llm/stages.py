@@ -14,24 +14,23 @@ from .secrets import redacted
 from .toxicity import toxicity
 
 
-def _once(decisions: DataFrame) -> DataFrame:
-    """One decision for each doc_id."""
-    return decisions.select("doc_id").distinct()
+def _without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``docs`` without the doc_ids that were decided on. Merged at every size, as what goes grows with the corpus."""
+    gone = decisions.select("doc_id").distinct()
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below 0.5. A doc_id goes with all its rows if one of them is toxic; rows without doc_id stay."""
     scored = toxicity(docs, read(spark, sf_dir, "labels"))
-    gone = _once(scored.filter("predicted = 1 and doc_id is not null"))
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, scored.filter("predicted = 1 and doc_id is not null"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, that with the smallest doc_id; of rows that share it the one with the
     smallest text (null last) and then the smallest other columns. Rows without doc_id stay."""
     found = staged(near_duplicates(docs), "components")
-    gone = _once(found.filter("not kept and doc_id is not null"))
-    left = docs.join(gone, "doc_id", "left_anti").filter("doc_id is not null").select(docs.columns)
+    left = _without(docs, found.filter("not kept and doc_id is not null")).filter("doc_id is not null")
     return first_per_key(left, ["doc_id"], [F.col("text").isNull(), F.col("text")]).unionByName(docs.filter("doc_id is null"))
 
 
