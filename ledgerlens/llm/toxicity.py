@@ -24,7 +24,7 @@ CALM = 0.4  # weight of the prior among the votes
 STRETCH = 1000  # words; in a longer text a term must occur as often in every such stretch, on average
 PREFIXES = (4, 5, 6, 7)
 TIMES = (1, 2, 4)  # a term counts anew as one that occurs so often
-SEEN = 200_000  # words whose terms a worker remembers; it starts anew beyond that
+SEEN = 100_000  # words whose terms a worker remembers; it starts anew beyond that
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -36,7 +36,7 @@ def _terms(word: str) -> list[str]:
 
 def _counted(batches):
     """text, toxic -> term, times, rows with it, toxic rows with it (part sums)."""
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", 1 << 20):
         sums: dict[tuple[str, int], list[int]] = {}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             tf: dict[str, int] = {}
