@@ -1,7 +1,8 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over all their words, those that go with the label weighing more."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.session import staged
-from .common import listed, lists
+from .common import listed, lists, numbers
 from .lookup import sliced
 
 EXAMPLES = 20_000  # labelled rows that the index is fitted on, at most; those with the smallest hash
@@ -20,6 +21,10 @@ PURE = 0.8  # share of toxic rows among those that hold a term, at least
 EVIDENCE = 14.0  # a term's log-likelihood gain over the prior, at least: by chance less than one of a million terms has it
 NEIGHBOURS = 15
 BLOCK = 64  # examples of a block of the index
+HEAD = 256  # terms that most examples hold; these are multiplied as a matrix
+QUERIES = 64  # texts that are compared with the examples at once
+MARKED = 0.9  # share of the terms that go with the label in the cosine of two texts that both hold such terms
+POWER = 4  # of the cosine, as a vote
 CALM = 0.4  # weight of the prior among the votes
 STRETCH = 1000  # words; in a longer text a term must occur as often in every such stretch, on average
 PREFIXES = (4, 5, 6, 7)
@@ -60,133 +65,179 @@ def _counted(batches):
         )
 
 
-def _vectors(number: dict[tuple[str, int], int]):
-    """doc_id, held_out, text -> doc_id, held_out, terms (sorted numbers), counts."""
-    chosen = {t for t, _ in number}
+def _vectors(shared):
+    """doc_id, held_out, text -> doc_id, held_out, terms (sorted numbers), counts, other (weight of the words no example has)."""
 
     def run(batches):
+        number, vocabulary = shared.value
+        chosen = {t for t, _ in number}
         seen: set[str] = set()
         known: dict[str, list[str]] = {}
         for batch in sliced(batches, "text"):
-            terms, counts = [], []
+            terms, counts, other = [], [], []
             for text in batch.column("text").to_pylist():
-                words = _WORD.findall((text or "").lower())
-                own = set(words)
-                new = own - seen
+                own = Counter(_WORD.findall((text or "").lower()))
+                new = own.keys() - seen
                 if new:
                     if len(seen) > SEEN:
                         seen.clear()
                         known.clear()
-                        new = own
+                        new = own.keys()
                     seen |= new
                     for w in new:
                         if found := [t for t in _terms(w) if t in chosen]:
                             known[w] = found
                 tf: dict[str, int] = {}
-                for w in own & known.keys():
-                    n = words.count(w)
+                for w in own.keys() & known.keys():
                     for t in known[w]:
-                        tf[t] = tf.get(t, 0) + n
-                least = max(1, len(words) / STRETCH)
+                        tf[t] = tf.get(t, 0) + own[w]
+                least = max(1, own.total() / STRETCH)
                 pairs = sorted((number[t, k], n if k == 1 else 1) for t, n in tf.items() for k in TIMES if n >= (k * least if k > 1 else 1) and (t, k) in number)
-                terms.append(np.array([t for t, _ in pairs], np.int32))
-                counts.append(np.array([n for _, n in pairs], np.int32))
+                words = np.fromiter((vocabulary.get(w, -1) for w in own), np.int32, len(own))
+                times = np.fromiter(own.values(), np.int32, len(own))
+                other.append(float(np.square(1 + np.log(times[words < 0])).sum()))
+                order = np.argsort(words, kind="stable")[np.count_nonzero(words < 0) :]
+                terms.append(np.concatenate([np.array([t for t, _ in pairs], np.int32), words[order]]))
+                counts.append(np.concatenate([np.array([n for _, n in pairs], np.int32), times[order]]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), listed(terms, pa.int32()), listed(counts, pa.int32())],
-                ["doc_id", "held_out", "terms", "counts"],
+                [batch.column("doc_id"), batch.column("held_out"), listed(terms, pa.int32()), listed(counts, pa.int32()), pa.array(other, pa.float64())],
+                ["doc_id", "held_out", "terms", "counts", "other"],
             )
 
     return run
 
 
-def _weights(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def _held(size: int):
+    """terms -> term, n: the rows with each term (part sums)."""
+
+    def run(batches):
+        sums = np.zeros(size, np.int64)
+        for batch in batches:
+            sums += np.bincount(numbers(batch.column("terms").flatten()), minlength=size)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[at], pa.int64())], ["term", "n"])
+
+    return run
+
+
+def _weights(terms: np.ndarray, counts: np.ndarray, other: float, idf: np.ndarray, marks: int, rare: float) -> np.ndarray:
+    """Weights of length 1 together with the words that no example has, which are as rare as a word of one document.
+
+    Terms below ``marks`` go with the label: together they have the share ``MARKED`` of the square, all words the rest.
+    """
     w = (1 + np.log(counts)) * idf[terms]
-    return w / np.linalg.norm(w)
+    cut = np.searchsorted(terms, marks)
+    length = math.sqrt(w[cut:] @ w[cut:] + other * rare * rare)
+    if not cut:
+        return w / length
+    w[:cut] *= math.sqrt(MARKED) / np.linalg.norm(w[:cut])
+    w[cut:] *= math.sqrt(1 - MARKED) / length
+    return w
 
 
 class BlockMaxIndex:
-    """Examples in blocks; for every term, the blocks that hold it and its largest weight in each.
+    """Examples by the terms they hold: the most common terms as a matrix, the others as inverted lists.
 
-    The inverted lists of block maxima bound a query's cosine in every block; blocks are scored in full from the highest bound
-    down until none left can reach the k-th best, so the result is exact.
+    Cosines with all examples are summed with single precision; the maxima of blocks of examples say which can be among the k
+    best, and these are worked out again in double precision from the examples' own terms, so the result is exact.
     """
 
     def __init__(self, examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, size: int):
-        # examples that share their heaviest term stand together, which makes the bounds tight
-        order = sorted(range(len(examples)), key=lambda i: (examples[i][0][np.argmax(examples[i][1])], i))
-        self.labels, self.ids = labels[order], ids[order]
-        chosen = [examples[i] for i in order]
-        lengths = np.array([len(t) for t, _ in chosen], np.int64)
-        self.blocks = -(-len(chosen) // BLOCK)
-        self.terms = np.concatenate([t for t, _ in chosen]) if chosen else np.zeros(0, np.int32)
-        self.values = np.concatenate([w for _, w in chosen]) if chosen else np.zeros(0)
-        row = np.repeat(np.arange(len(chosen)), lengths)
-        self.row = row
-        cuts = np.concatenate([[0], np.cumsum(lengths)])
-        self.cut = cuts[np.minimum(np.arange(self.blocks + 1) * BLOCK, len(chosen))]
-        key = self.terms.astype(np.int64) * max(1, self.blocks) + row // BLOCK
-        best = np.argsort(key, kind="stable")
-        heads, at = np.unique(key[best], return_index=True)
-        self.most = np.maximum.reduceat(self.values[best], at) if len(at) else np.zeros(0)
-        self.block = heads % max(1, self.blocks)
-        self.list = np.searchsorted(heads // max(1, self.blocks), np.arange(size + 1))
-        self.size = size
+        self.labels, self.ids, self.size, self.rows = labels, ids, size, len(examples)
+        lengths = np.array([len(t) for t, _ in examples], np.int64)
+        self.cut = np.concatenate([[0], np.cumsum(lengths)])
+        self.terms = np.concatenate([t for t, _ in examples]).astype(np.int32) if examples else np.zeros(0, np.int32)
+        self.values = np.concatenate([w for _, w in examples]) if examples else np.zeros(0)
+        self.lists = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"lists": None}  # workers put these together by themselves
+
+    def _open(self) -> None:
+        self.padded = -(-self.rows // BLOCK) * BLOCK
+        often = np.bincount(self.terms, minlength=self.size)
+        top = np.argsort(-often, kind="stable")[: min(HEAD, self.size)]
+        self.place = np.full(self.size, -1, np.int32)
+        self.place[top] = np.arange(len(top))
+        row = np.repeat(np.arange(self.rows), np.diff(self.cut))
+        at = self.place[self.terms]
+        self.head = np.zeros((len(top), self.padded), np.float32)
+        self.head[at[at >= 0], row[at >= 0]] = self.values[at >= 0]
+        rest = np.flatnonzero(at < 0)
+        rest = rest[np.argsort(self.terms[rest], kind="stable")]
+        self.begin = np.concatenate([[0], np.cumsum(np.where(self.place < 0, often, 0))])
+        self.lists = row[rest], self.values[rest]
+        self.dense = np.zeros(self.size)
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text (terms, weights) the rows and cosines of the k nearest examples that share a term, nearest first, ties to the earlier row."""
+        if not self.rows:
+            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in texts]
+        if self.lists is None:
+            self._open()
+        common = np.zeros((len(texts), len(self.head)), np.float32)
+        for i, (terms, weights) in enumerate(texts):
+            at = self.place[terms]
+            common[i, at[at >= 0]] = weights[at >= 0]
+        out, sums = [], common @ self.head
+        for (terms, weights), scores in zip(texts, sums):
+            rare = self.place[terms] < 0
+            if rare.any():
+                begin, end = self.begin[terms[rare]], self.begin[terms[rare] + 1]
+                parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
+                values = np.concatenate([self.lists[1][x] for x in parts])
+                values *= np.repeat(weights[rare], end - begin)
+                scores += np.bincount(np.concatenate([self.lists[0][x] for x in parts]), values, self.padded)
+            out.append(self._best(terms, weights, scores, k))
+        return out
+
+    def _best(self, terms: np.ndarray, weights: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        most = scores.reshape(-1, BLOCK).max(axis=1)
+        least = np.partition(most, len(most) - k)[len(most) - k] if len(most) >= k else 0
+        rows = np.flatnonzero(scores > max(0, least - 1e-5))
+        if len(rows) > k:
+            rows = rows[scores[rows] >= np.partition(scores[rows], len(rows) - k)[len(rows) - k] - 1e-5]
+        self.dense[terms] = weights
+        spans = [slice(a, b) for a, b in zip(self.cut[rows].tolist(), self.cut[rows + 1].tolist())]
+        found = np.array([self.dense[self.terms[x]] @ self.values[x] for x in spans])
+        self.dense[terms] = 0
+        best = np.lexsort((rows, -found))[:k]
+        return rows[best], found[best]
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples that share a term, nearest first, ties to the earlier row."""
-        if not self.blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
-        spans = [(self.list[t], self.list[t + 1]) for t in terms]
-        at = np.concatenate([np.arange(a, b) for a, b in spans])
-        each = np.repeat(weights, [b - a for a, b in spans])
-        bound = np.bincount(self.block[at], self.most[at] * each, self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        dense = np.zeros(self.size)
-        dense[terms] = weights
-        rows, scores, step, done = np.zeros(0, np.int64), np.zeros(0), 4, 0
-        while done < len(order) and bound[order[done]] > 0:
-            if len(scores) >= k and np.partition(scores, len(scores) - k)[len(scores) - k] > bound[order[done]] + 1e-12:
-                break
-            for b in order[done : done + step]:
-                part = slice(self.cut[b], self.cut[b + 1])
-                found = np.bincount(self.row[part] - b * BLOCK, dense[self.terms[part]] * self.values[part])
-                hit = np.flatnonzero(found)
-                rows, scores = np.append(rows, hit + b * BLOCK), np.append(scores, found[hit])
-            done += step
-            step *= 2
-        best = np.lexsort((rows, -scores))[:k]
-        return rows[best], scores[best]
-
-
-def _scored(index: BlockMaxIndex, idf: np.ndarray, prior: float, blank: float):
-    """doc_id, held_out, terms, counts -> doc_id, held_out, score, predicted, evidence."""
+        """``nearest`` of one text."""
+        return self.nearest([(terms, weights)], k)[0]
+
+
+def _scored(shared, idf_marks: tuple):
+    """doc_id, held_out, terms, counts, other -> doc_id, held_out, score, predicted, evidence."""
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
+    marks, rare, prior, blank = idf_marks
 
     def run(batches):
+        index, idf = shared.value
         remembered: dict[tuple, tuple] = {}
-        for batch in batches:
-            scores, why = [], []
-            for terms, counts in zip(lists(batch.column("terms"), np.int32), lists(batch.column("counts"), np.int32)):
-                if not len(terms):
-                    scores.append(blank)
-                    why.append([])
-                    continue
-                same = (terms.tobytes(), counts.tobytes())
-                if same not in remembered:
-                    if len(remembered) > 20_000:
-                        remembered.clear()
-                    rows, cosines = index.search(terms, _weights(terms, counts, idf), NEIGHBOURS)
-                    votes = np.square(cosines)
-                    score = (votes @ index.labels[rows] + CALM * prior) / (votes.sum() + CALM)
-                    near = [{"doc_id": int(index.ids[r]), "toxic": int(index.labels[r]), "cosine": float(c)} for r, c in zip(rows[:3], cosines[:3])]
-                    remembered[same] = (float(min(1.0, max(0.0, score))), near)
-                score, near = remembered[same]
-                scores.append(score)
-                why.append(near)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, evidence)],
-                ["doc_id", "held_out", "score", "predicted", "evidence"],
-            )
+        for large in batches:
+            for begin in range(0, large.num_rows, QUERIES):
+                batch = large.slice(begin, QUERIES)
+                rows = list(zip(lists(batch.column("terms"), np.int32), lists(batch.column("counts"), np.int32), numbers(batch.column("other"), np.float64)))
+                keys = [(hashlib.blake2b(t.tobytes() + c.tobytes(), digest_size=16).digest(), o) for t, c, o in rows]
+                if len(remembered) > 20_000:
+                    remembered.clear()
+                new = {key: row for key, row in zip(keys, rows) if key not in remembered}
+                asked = [(t, _weights(t, c, o, idf, marks, rare)) if len(t) else (t, np.zeros(0)) for t, c, o in new.values()]
+                for key, (terms, _), (near, cosines) in zip(new, asked, index.nearest(asked, NEIGHBOURS)):
+                    calm = prior if len(terms) and terms[0] < marks else blank
+                    votes = cosines**POWER
+                    score = (votes @ index.labels[near] + CALM * calm) / (votes.sum() + CALM)
+                    why = [{"doc_id": int(index.ids[r]), "toxic": int(index.labels[r]), "cosine": float(c)} for r, c in zip(near[:3], cosines[:3])]
+                    remembered[key] = (float(min(1.0, max(0.0, score))), why)
+                scores = [remembered[key][0] for key in keys]
+                why = [remembered[key][1] for key in keys]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, evidence)],
+                    ["doc_id", "held_out", "score", "predicted", "evidence"],
+                )
 
     return run
 
@@ -194,11 +245,14 @@ def _scored(index: BlockMaxIndex, idf: np.ndarray, prior: float, blank: float):
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (the three nearest examples).
 
-    The score is the share of toxic votes among the 15 labelled examples with the largest TF-IDF cosine, each weighted by its
-    squared cosine, drawn towards the prior by a weight of 0.4. Terms are words and their first 4 to 7 letters, each also as
-    one that occurs twice and four times (in each thousand words of a longer text), as far as they go with the label among the
-    examples (log-likelihood gain of 14 or more); their document frequencies are counted over all documents.
-    A text without such terms, also an empty or null one, gets the share of toxic examples without them.
+    The score is the share of toxic votes among the 15 labelled examples with the largest TF-IDF cosine, each weighted by the 4th
+    power of its cosine, drawn towards the prior by a weight of 0.4. All words of the examples are terms, and document frequencies
+    are counted over all documents; a word that no example has only adds to its text's length, as one of a single document.
+    Words and their first 4 to 7 letters, each also as one that occurs twice and four times (in each thousand words of a longer
+    text), are terms once more as far as they go with the label among the examples (log-likelihood gain of 14 or more); these
+    have nine tenths of the cosine's weight in texts that hold any.
+    Texts without these are drawn towards the share of toxic examples without them, which a text that shares no word with an
+    example, also an empty or null one, gets as its score.
 
     Only labelled rows whose crc32(doc_id as text) mod 5 isn't 0 are examples, at most ``EXAMPLES`` (those with the smallest
     hash of doc_id), so what reaches the driver and goes out with the tasks is bounded by that number. Scores depend on the text
@@ -213,7 +267,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     learnt = staged(learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES), "examples")
     chosen = F.broadcast(learnt)  # EXAMPLES rows of two numbers at most
     counted = rows.join(chosen, "doc_id").select("text", "toxic").mapInArrow(_counted, "term string, times int, n long, toxic long")
-    counted = counted.groupBy("term", "times").agg(F.sum("n").alias("n"), F.sum("toxic").alias("a"))
+    counted = staged(counted.groupBy("term", "times").agg(F.sum("n").alias("n"), F.sum("toxic").alias("a")), "terms")
     size = rows.select("doc_id").join(chosen, "doc_id").agg(F.count(F.lit(1)), F.sum("toxic")).first()
     total, bad = int(size[0] or 0), int(size[1] or 0)
     number: dict[tuple[str, int], int] = {}
@@ -222,20 +276,27 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         good = F.when(F.col("a") < F.col("n"), (n - a) * F.log((n - a) / (n * (1 - p)))).otherwise(0.0)
         picked = counted.filter("a > 0").filter((a / n >= max(p, PURE)) & (a * F.log(a / (n * p)) + good >= EVIDENCE)).select("term", "times").collect()
         number = {tuple(r): i for i, r in enumerate(sorted(picked))}
-    kinds = "doc_id long, held_out boolean, terms array<int>, counts array<int>"
-    vectors = staged(rows.mapInArrow(_vectors(number), kinds), "toxicity_vectors")
-    holding = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
-    idf = np.ones(len(number))
-    everything = vectors.count() if number else 0
-    for r in holding:  # one row a term
-        idf[r["term"]] = math.log((1 + everything) / (1 + r["n"])) + 1
-    fitted = vectors.join(chosen, "doc_id")
-    empty = fitted.filter(F.size("terms") == 0).agg(F.count(F.lit(1)), F.sum("toxic")).first()
+    marks = len(number)
+    words = counted.filter("times = 1 and not endswith(term, '-')").select("term").toArrow().column(0).to_pylist()
+    vocabulary = {w: marks + i for i, w in enumerate(sorted(words))}
+    context = docs.sparkSession.sparkContext
+    kinds = "doc_id long, held_out boolean, terms array<int>, counts array<int>, other double"
+    vectors = staged(rows.mapInArrow(_vectors(context.broadcast((number, vocabulary))), kinds), "toxicity_vectors")
+    everything = vectors.count()
+    rare = math.log((1 + everything) / 2) + 1
+    idf = np.full(marks + len(vocabulary), rare)
+    held_by = vectors.select("terms").mapInArrow(_held(len(idf)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    idf[numbers(held_by.column(0).combine_chunks())] = np.log((1 + everything) / (1 + numbers(held_by.column(1).combine_chunks()))) + 1
     prior = bad / total if total else 0.0
-    blank = (int(empty[1] or 0) + CALM * prior) / (int(empty[0]) + CALM)
-    examples = fitted.filter(F.size("terms") > 0).select("doc_id", "toxic", "terms", "counts").collect()
-    examples.sort(key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
-    found = [(t := np.array(r["terms"], np.int32), _weights(t, np.array(r["counts"]), idf)) for r in examples]
-    index = BlockMaxIndex(found, np.array([r["toxic"] for r in examples], np.int32), np.array([r["doc_id"] for r in examples], np.int64), len(number))
+    fitted = vectors.join(chosen, "doc_id").select("doc_id", "toxic", "terms", "counts", "other")
+    fitted = fitted.orderBy("doc_id", "terms", "counts", "other").toArrow().combine_chunks()
+    ids, toxic, other = (numbers(fitted.column(c).combine_chunks(), k) for c, k in (("doc_id", np.int64), ("toxic", np.int32), ("other", np.float64)))
+    terms, counts = (lists(fitted.column(c).combine_chunks(), np.int32) for c in ("terms", "counts"))
+    plain = np.array([not len(t) or t[0] >= marks for t in terms], bool)
+    blank = (int(toxic[plain].sum()) + CALM * prior) / (int(plain.sum()) + CALM)
+    full = [i for i, t in enumerate(terms) if len(t)]
+    found = [(terms[i], _weights(terms[i], counts[i], other[i], idf, marks, rare)) for i in full]
+    index = BlockMaxIndex(found, toxic[full], ids[full], len(idf))
     evidence = "array<struct<doc_id: long, toxic: int, cosine: double>>"
-    return vectors.mapInArrow(_scored(index, idf, prior, blank), f"doc_id long, held_out boolean, score double, predicted int, evidence {evidence}")
+    scored = _scored(context.broadcast((index, idf)), (marks, rare, prior, blank))
+    return vectors.mapInArrow(scored, f"doc_id long, held_out boolean, score double, predicted int, evidence {evidence}")

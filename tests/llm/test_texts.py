@@ -277,6 +277,22 @@ def test_toxicity_of_dirty_rows(spark):
         assert all(zlib.crc32(str(e["doc_id"]).encode()) % 5 for e in r["evidence"])
 
 
+def test_a_copy_of_an_example_is_told_by_words_that_no_other_example_has(spark):
+    """Also without a term that goes with the label: toxic and clean examples of words of their own, and words that all share."""
+    docs, labels = labelled(spark)
+    own = {i: f"the and of {' '.join(f'own{i}x{chr(97 + k)}' for k in range(12))}" for i in range(2000, 2010)}
+    own = {i: "".join(chr(97 + int(c)) if c.isdigit() else c for c in t) for i, t in own.items()}
+    learnt = [i for i in own if zlib.crc32(str(i).encode()) % 5]
+    more = [(i, own[i], "x") for i in learnt] + [(i + 1000, own[i], "x") for i in learnt]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    labels = labels.union(spark.createDataFrame([(i, i % 2, 1) for i in learnt], labels.schema))
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).filter("doc_id >= 3000").collect()}
+    for i in learnt:
+        assert got[i + 1000]["predicted"] == i % 2
+        nearest = got[i + 1000]["evidence"][0]
+        assert nearest["doc_id"] == i and nearest["cosine"] > 0.999999
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = labelled(spark)
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
