@@ -254,8 +254,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     Texts without these are drawn towards the share of toxic examples without them, which a text that shares no word with an
     example, also an empty or null one, gets as its score.
 
-    Only labelled rows whose crc32(doc_id as text) mod 5 isn't 0 are examples, at most ``EXAMPLES`` (those with the smallest
-    hash of doc_id), so what reaches the driver and goes out with the tasks is bounded by that number. Scores depend on the text
+    Only labelled rows with a document whose crc32(doc_id as text) mod 5 isn't 0 are examples, at most ``EXAMPLES`` (those with the
+    smallest hash of doc_id), each with one text (that with the smallest hash, where a doc_id repeats), so what reaches the driver
+    and goes out with the tasks is bounded by that number of texts. Scores depend on the text
     alone. Rows without doc_id are scored, never held out; several labels of a doc_id count as toxic if one is; labels that are
     null or have no document don't count. Without labels every score is 0. Other columns are left out.
     """
@@ -264,11 +265,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     named = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     learnt = named.filter("doc_id is not null and toxic is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0")
     learnt = learnt.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    learnt = staged(learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES), "examples")
+    learnt = learnt.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    learnt = staged(learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES), "labels")
     chosen = F.broadcast(learnt)  # EXAMPLES rows of two numbers at most
-    counted = rows.join(chosen, "doc_id").select("text", "toxic").mapInArrow(_counted, "term string, times int, n long, toxic long")
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    examples = staged(rows.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(first), "examples")
+    counted = examples.select("text", "toxic").mapInArrow(_counted, "term string, times int, n long, toxic long")
     counted = staged(counted.groupBy("term", "times").agg(F.sum("n").alias("n"), F.sum("toxic").alias("a")), "terms")
-    size = rows.select("doc_id").join(chosen, "doc_id").agg(F.count(F.lit(1)), F.sum("toxic")).first()
+    size = learnt.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     total, bad = int(size[0] or 0), int(size[1] or 0)
     number: dict[tuple[str, int], int] = {}
     if 0 < bad < total:
@@ -281,15 +285,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     vocabulary = {w: marks + i for i, w in enumerate(sorted(words))}
     context = docs.sparkSession.sparkContext
     kinds = "doc_id long, held_out boolean, terms array<int>, counts array<int>, other double"
-    vectors = staged(rows.mapInArrow(_vectors(context.broadcast((number, vocabulary))), kinds), "toxicity_vectors")
+    vectorised = _vectors(context.broadcast((number, vocabulary)))
+    vectors = staged(rows.mapInArrow(vectorised, kinds), "toxicity_vectors")
     everything = vectors.count()
     rare = math.log((1 + everything) / 2) + 1
     idf = np.full(marks + len(vocabulary), rare)
     held_by = vectors.select("terms").mapInArrow(_held(len(idf)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     idf[numbers(held_by.column(0).combine_chunks())] = np.log((1 + everything) / (1 + numbers(held_by.column(1).combine_chunks()))) + 1
     prior = bad / total if total else 0.0
-    fitted = vectors.join(chosen, "doc_id").select("doc_id", "toxic", "terms", "counts", "other")
-    fitted = fitted.orderBy("doc_id", "terms", "counts", "other").toArrow().combine_chunks()
+    fitted = examples.select("doc_id", F.lit(False).alias("held_out"), "text").mapInArrow(vectorised, kinds)
+    fitted = fitted.join(chosen, "doc_id").select("doc_id", "toxic", "terms", "counts", "other")
+    fitted = fitted.orderBy("doc_id").toArrow().combine_chunks()
     ids, toxic, other = (numbers(fitted.column(c).combine_chunks(), k) for c, k in (("doc_id", np.int64), ("toxic", np.int32), ("other", np.float64)))
     terms, counts = (lists(fitted.column(c).combine_chunks(), np.int32) for c in ("terms", "counts"))
     plain = np.array([not len(t) or t[0] >= marks for t in terms], bool)

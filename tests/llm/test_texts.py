@@ -293,6 +293,17 @@ def test_a_copy_of_an_example_is_told_by_words_that_no_other_example_has(spark):
         assert nearest["doc_id"] == i and nearest["cosine"] > 0.999999
 
 
+def test_examples_are_distinct_and_have_documents(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    docs = docs.union(spark.createDataFrame([(1, f"more and more {i}", "x") for i in range(500)], docs.schema))
+    labels = labels.union(spark.createDataFrame([(100_000 + i, 1, 1) for i in range(2000)], labels.schema))
+    weighed, weights = [], toxicity._weights
+    monkeypatch.setattr(toxicity, "_weights", lambda *a: weighed.append(1) or weights(*a))
+    monkeypatch.setattr(toxicity, "EXAMPLES", 200)
+    assert toxicity.toxicity(docs, labels).count() == docs.count()
+    assert len(weighed) == 200
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = labelled(spark)
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
