@@ -240,6 +240,14 @@ def test_spans_are_masked(spark):
         assert r["text"] == (None if text is None else out + text[at:])
 
 
+def test_weak_parts_that_support_each_other_are_masked(spark):
+    key, code = "w/J" * 13 + "q", "0123456789abcdef" * 2
+    texts = [f"login: bob {key} https://host", f"user=alice {code} at ftp://host", "login: bob at https://host", f"https://host {key}", "login: bob" + " x" * 200 + f" {key}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    masked = [r["text"] for r in secrets.redacted(df).orderBy("doc_id").collect()]
+    assert masked == ["[SECRET] [SECRET] [SECRET]", "[SECRET] [SECRET] at [SECRET]", *texts[2:]]
+
+
 @needs_tables
 def test_secrets_query(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
