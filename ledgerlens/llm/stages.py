@@ -21,9 +21,13 @@ def _without(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score below 0.5. A doc_id goes with all its rows if one of them is toxic; rows without doc_id stay."""
-    scored = toxicity(docs, read(spark, sf_dir, "labels"))
-    return _without(docs, scored.filter("predicted = 1 and doc_id is not null"))
+    """Documents with a score below 0.5. Every row is decided on by itself, also where a doc_id repeats or is null: scores depend on
+    the text alone, so a row is known by its doc_id and the hash of its text."""
+    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    scored = toxicity(keyed, read(spark, sf_dir, "labels"), row="_text")
+    gone = scored.filter("predicted = 1").select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_gone")).distinct()
+    toxic = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_gone"))
+    return keyed.join(gone.hint("merge"), toxic, "left_anti").select(docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

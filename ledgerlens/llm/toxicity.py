@@ -66,7 +66,7 @@ def _counted(batches):
 
 
 def _vectors(shared):
-    """doc_id, held_out, text -> doc_id, held_out, terms (sorted numbers), counts, other (weight of the words no example has)."""
+    """doc_id, row, held_out, text -> doc_id, row, held_out, terms (sorted numbers), counts, other (weight of the words no example has)."""
 
     def run(batches):
         number, vocabulary = shared.value
@@ -100,8 +100,8 @@ def _vectors(shared):
                 terms.append(np.concatenate([np.array([t for t, _ in pairs], np.int32), words[order]]))
                 counts.append(np.concatenate([np.array([n for _, n in pairs], np.int32), times[order]]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), listed(terms, pa.int32()), listed(counts, pa.int32()), pa.array(other, pa.float64())],
-                ["doc_id", "held_out", "terms", "counts", "other"],
+                [batch.column("doc_id"), batch.column("row"), batch.column("held_out"), listed(terms, pa.int32()), listed(counts, pa.int32()), pa.array(other, pa.float64())],
+                ["doc_id", "row", "held_out", "terms", "counts", "other"],
             )
 
     return run
@@ -210,7 +210,7 @@ class BlockMaxIndex:
 
 
 def _scored(shared, idf_marks: tuple):
-    """doc_id, held_out, terms, counts, other -> doc_id, held_out, score, predicted, evidence."""
+    """doc_id, row, held_out, terms, counts, other -> doc_id, row, held_out, score, predicted, evidence."""
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
     marks, rare, prior, blank = idf_marks
 
@@ -235,15 +235,15 @@ def _scored(shared, idf_marks: tuple):
                 scores = [remembered[key][0] for key in keys]
                 why = [remembered[key][1] for key in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, evidence)],
-                    ["doc_id", "held_out", "score", "predicted", "evidence"],
+                    [batch.column("doc_id"), batch.column("row"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, evidence)],
+                    ["doc_id", "row", "held_out", "score", "predicted", "evidence"],
                 )
 
     return run
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (the three nearest examples).
+def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", row: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (the three nearest examples), and ``row`` (a long) if named.
 
     The score is the share of toxic votes among the 15 labelled examples with the largest TF-IDF cosine, each weighted by the 4th
     power of its cosine, drawn towards the prior by a weight of 0.4. All words of the examples are terms, and document frequencies
@@ -261,7 +261,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     null or have no document don't count. Without labels every score is 0. Other columns are left out.
     """
     held = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
+    mark = F.col(row) if row else F.lit(None)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), mark.cast("long").alias("row"), held.alias("held_out"), F.col(text).alias("text"))
     named = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     learnt = named.filter("doc_id is not null and toxic is not null and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0")
     learnt = learnt.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
@@ -284,7 +285,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     words = counted.filter("times = 1 and not endswith(term, '-')").select("term").toArrow().column(0).to_pylist()
     vocabulary = {w: marks + i for i, w in enumerate(sorted(words))}
     context = docs.sparkSession.sparkContext
-    kinds = "doc_id long, held_out boolean, terms array<int>, counts array<int>, other double"
+    kinds = "doc_id long, row long, held_out boolean, terms array<int>, counts array<int>, other double"
     vectorised = _vectors(context.broadcast((number, vocabulary)))
     vectors = staged(rows.mapInArrow(vectorised, kinds), "toxicity_vectors")
     everything = vectors.count()
@@ -293,7 +294,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     held_by = vectors.select("terms").mapInArrow(_held(len(idf)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     idf[numbers(held_by.column(0).combine_chunks())] = np.log((1 + everything) / (1 + numbers(held_by.column(1).combine_chunks()))) + 1
     prior = bad / total if total else 0.0
-    fitted = examples.select("doc_id", F.lit(False).alias("held_out"), "text").mapInArrow(vectorised, kinds)
+    fitted = examples.select("doc_id", F.lit(None).cast("long").alias("row"), F.lit(False).alias("held_out"), "text").mapInArrow(vectorised, kinds)
     fitted = fitted.join(chosen, "doc_id").select("doc_id", "toxic", "terms", "counts", "other")
     fitted = fitted.orderBy("doc_id").toArrow().combine_chunks()
     ids, toxic, other = (numbers(fitted.column(c).combine_chunks(), k) for c, k in (("doc_id", np.int64), ("toxic", np.int32), ("other", np.float64)))
@@ -305,4 +306,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     index = BlockMaxIndex(found, toxic[full], ids[full], len(idf))
     evidence = "array<struct<doc_id: long, toxic: int, cosine: double>>"
     scored = _scored(context.broadcast((index, idf)), (marks, rare, prior, blank))
-    return vectors.mapInArrow(scored, f"doc_id long, held_out boolean, score double, predicted int, evidence {evidence}")
+    out = vectors.mapInArrow(scored, f"doc_id long, row long, held_out boolean, score double, predicted int, evidence {evidence}")
+    return out.withColumnRenamed("row", row) if row else out.drop("row")

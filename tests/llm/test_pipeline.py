@@ -48,6 +48,16 @@ def test_of_rows_that_share_a_doc_id_the_smallest_text_stays(spark, folder):
         assert got == [(1, "a text", "x"), (2, "some", "z")]
 
 
+def test_toxic_rows_go_each_by_itself(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    more = [(1, "nasty vile nasty", "en", "s", 16, "k"), (4, "row 4 without such words", "en", "s", 24, "k"), (None, "nasty vile nasty", "en", "s", 16, "k")]
+    got = stages.without_toxic(spark, docs.union(spark.createDataFrame(more, docs.schema)), folder).collect()
+    assert not [r for r in got if "nasty" in (r["text"] or "")]
+    assert [r["text"] for r in got if r["doc_id"] == 4] == ["row 4 without such words"]
+    assert [r["text"].split()[:2] for r in got if r["doc_id"] == 1] == [["row", "1"]] * 2
+    assert sum(r["doc_id"] is None for r in got) == 2
+
+
 def test_stages_on_nothing(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
