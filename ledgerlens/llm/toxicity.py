@@ -159,14 +159,16 @@ class BlockMaxIndex:
         top = np.argsort(-often, kind="stable")[: min(HEAD, self.size)]
         self.place = np.full(self.size, -1, np.int32)
         self.place[top] = np.arange(len(top))
-        row = np.repeat(np.arange(self.rows), np.diff(self.cut))
+        row = np.repeat(np.arange(self.rows, dtype=np.int32), np.diff(self.cut))
         at = self.place[self.terms]
         self.head = np.zeros((len(top), self.padded), np.float32)
-        self.head[at[at >= 0], row[at >= 0]] = self.values[at >= 0]
-        rest = np.flatnonzero(at < 0)
+        common = at >= 0
+        self.head[at[common], row[common]] = self.values[common]
+        del at
+        rest = np.flatnonzero(~common).astype(np.int32)
         rest = rest[np.argsort(self.terms[rest], kind="stable")]
         self.begin = np.concatenate([[0], np.cumsum(np.where(self.place < 0, often, 0))])
-        self.lists = row[rest], self.values[rest]
+        self.lists = row[rest], self.values[rest].astype(np.float32)
         self.dense = np.zeros(self.size)
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -186,7 +188,7 @@ class BlockMaxIndex:
                 begin, end = self.begin[terms[rare]], self.begin[terms[rare] + 1]
                 parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
                 values = np.concatenate([self.lists[1][x] for x in parts])
-                values *= np.repeat(weights[rare], end - begin)
+                values *= np.repeat(weights[rare].astype(np.float32), end - begin)
                 scores += np.bincount(np.concatenate([self.lists[0][x] for x in parts]), values, self.padded)
             out.append(self._best(terms, weights, scores, k))
         return out
@@ -222,7 +224,7 @@ def _scored(shared, idf_marks: tuple):
                 batch = large.slice(begin, QUERIES)
                 rows = list(zip(lists(batch.column("terms"), np.int32), lists(batch.column("counts"), np.int32), numbers(batch.column("other"), np.float64)))
                 keys = [(hashlib.blake2b(t.tobytes() + c.tobytes(), digest_size=16).digest(), o) for t, c, o in rows]
-                if len(remembered) > 20_000:
+                if len(remembered) > 5_000:
                     remembered.clear()
                 new = {key: row for key, row in zip(keys, rows) if key not in remembered}
                 asked = [(t, _weights(t, c, o, idf, marks, rare)) if len(t) else (t, np.zeros(0)) for t, c, o in new.values()]
@@ -296,7 +298,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     prior = bad / total if total else 0.0
     fitted = examples.select("doc_id", F.lit(None).cast("long").alias("row"), F.lit(False).alias("held_out"), "text").mapInArrow(vectorised, kinds)
     fitted = fitted.join(chosen, "doc_id").select("doc_id", "toxic", "terms", "counts", "other")
-    fitted = fitted.orderBy("doc_id").toArrow().combine_chunks()
+    fitted = fitted.toArrow().sort_by("doc_id").combine_chunks()
     ids, toxic, other = (numbers(fitted.column(c).combine_chunks(), k) for c, k in (("doc_id", np.int64), ("toxic", np.int32), ("other", np.float64)))
     terms, counts = (lists(fitted.column(c).combine_chunks(), np.int32) for c in ("terms", "counts"))
     plain = np.array([not len(t) or t[0] >= marks for t in terms], bool)
