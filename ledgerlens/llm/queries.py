@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import secrets
 from .common import read
 from .forest import nearest
 from .minhash import near_duplicates
+from .negatives import hard_negatives
 from .packing import packed
 from .pieces import round_trips
 from .rabitq import near_vectors
@@ -59,7 +62,12 @@ def op10_secret_links(spark, sf_dir):
     return digests(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links}
+def op13_kronecker_negatives(spark, sf_dir):
+    relabel = lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, relabel)
+
+
+QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links, "op13_kronecker_negatives": op13_kronecker_negatives}
 def _found(kind: str, pattern: str, fits: str) -> str:
     """Matches of a kind with what lies between them, so that lengths add up to places."""
     quoted = pattern.replace("'", "''")
@@ -156,4 +164,22 @@ ORACLE: dict[str, str] = {
             FROM s LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
         )
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1""",
+    "op13_kronecker_negatives": """
+        WITH q AS MATERIALIZED (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pair AS MATERIALIZED (
+            SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM q a JOIN q b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.v) = len(b.v)
+        ), positive AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM pair WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank,
+            other AS negative_id, positive_score, score AS negative_score
+        FROM positive JOIN pair USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5""",
 }
