@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import secrets
+from .collocations import collocations
 from .common import read
 from .forest import nearest
 from .minhash import near_duplicates
@@ -62,12 +63,16 @@ def op10_secret_links(spark, sf_dir):
     return digests(read(spark, sf_dir, "documents"))
 
 
+def op12_toivonen(spark, sf_dir):
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_kronecker_negatives(spark, sf_dir):
     relabel = lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
     return hard_negatives(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, relabel)
 
 
-QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links, "op13_kronecker_negatives": op13_kronecker_negatives}
+QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links, "op12_toivonen": op12_toivonen, "op13_kronecker_negatives": op13_kronecker_negatives}
 def _found(kind: str, pattern: str, fits: str) -> str:
     """Matches of a kind with what lies between them, so that lengths add up to places."""
     quoted = pattern.replace("'", "''")
@@ -182,4 +187,30 @@ ORACLE: dict[str, str] = {
         FROM positive JOIN pair USING (anchor_id)
         WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
         QUALIFY rank <= 5""",
+    "op12_toivonen": r"""
+        WITH w AS (
+            SELECT lang, list_filter(regexp_extract_all(piece, '[^\x20\x09]+'), lambda x: x <> '') AS w FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents)
+        ), total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        each AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) s(k) WHERE len(w) >= k),
+        f AS MATERIALIZED (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM each GROUP BY ALL HAVING count(*) >= 100
+        ), c AS MATERIALIZED (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1),
+        inside AS (
+            SELECT lang, array_to_string(p[i:i + m - 1], ' ') AS phrase, max(a) AS covered FROM (
+                SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL
+        ), cut AS (
+            SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, n, j,
+                (1000::HUGEINT * c.a::HUGEINT * n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN total USING (lang)
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.p[1:c.j], ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.p[c.j + 1:c.k], ' ')
+            LEFT JOIN inside s ON s.lang = c.lang AND s.phrase = c.phrase
+            WHERE s.covered IS NULL OR 100 * s.covered < 100 * c.a
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, j) = 1
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM cut QUALIFY rank <= 2000""",
 }
