@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,24 +13,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.session import staged
-from .common import parts
-from .lookup import STEP, sliced
+from .common import numbers, parts
+from .lookup import sliced
 from .shingles import mix
 
 LEAST = 100  # occurrences of a candidate
 LONGEST = 5  # words of a candidate
 FIRST = 2000  # phrases reported of a language
 SAMPLE = 0.125  # share of the documents that propose phrases
-SLACK = 0.4  # of the share of LEAST that is expected in the sample: a phrase of 100 is missed with probability 0.005
+SLACK = 0.4  # of what the sample should hold of a phrase with LEAST occurrences; it misses one with probability 0.005
 BITS = 1 << 25  # of the filter of proposed phrases; beyond some million phrases it lets more through, which costs time only
 
 # What parts words, what parts pieces
 SPACES = b"\x20\x09"
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 
+STEP = 3 << 19  # bytes of text worked on at once
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 1 << 16  # rows of a batch given out
-_COUNTS = "lang string, words int, phrase string, n long"
+_COUNTS = "lang string, words int, phrase string, bucket long, n long"
+_NAMES = ["lang", "words", "phrase", "bucket", "n"]
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -59,12 +63,33 @@ def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple((x & np.uint64(BITS - 1)).astype(np.int64) for x in (h, h >> np.uint64(32)))
 
 
+def _bucket(h: np.ndarray, width: int) -> np.ndarray:
+    return (h >> np.uint64(64 - width)).astype(np.int64)
+
+
+def _of_bucket(bucket: np.ndarray) -> np.ndarray:
+    """A bucket in the place of a phrase's hash."""
+    return mix(bucket.view(np.uint64) + _ODD)
+
+
 def _open(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Whether phrases are in the filter: surely if they were put in, by chance otherwise."""
     one, two = _places(h)
     return ((bits[one >> 3] >> (one & 7).astype(np.uint8)) & (bits[two >> 3] >> (two & 7).astype(np.uint8)) & 1).astype(bool)
 
 
+class Phrases(NamedTuple):
+    """The distinct phrases of one length in some texts."""
+
+    length: int
+    first: np.ndarray  # a place of each
+    n: np.ndarray
+    hash: np.ndarray
+    proposed: np.ndarray
+    known: np.ndarray  # part of the pass that counts the proposed ones and their border
+    failed: np.ndarray  # of a bucket of the border that is frequent
+
+
 class Words:
     """The words of some texts, numbered by (language, word), with where pieces end."""
 
@@ -90,54 +115,40 @@ class Words:
         self.count = np.bincount(lang, minlength=len(self.langs))
         self.hash = _spun(_hashes(self.langs)[self.lang], _hashes(self.texts.to_pylist())[self.text]) if len(both) else np.zeros(0, np.uint64)
 
-    def phrases(self, longest: int, bits: np.ndarray | None, old: np.ndarray | None) -> Iterator[tuple]:
-        """For each length the distinct phrases that may be counted: (length, word numbers by place, language, occurrences).
+    def phrases(self, longest: int, bits: np.ndarray | None, found: np.ndarray | None = None, width: int = 64) -> Iterator[Phrases]:
+        """For each length the distinct phrases that may be frequent.
 
-        A phrase may be counted if the filter holds both phrases of one word less in it, and if it may not be by the ``old`` one;
-        words always may, if there is no old one. Without a filter nothing but words may be.
+        Without ``found`` these are the ones whose two parts of one word less are proposed (in ``bits``): the proposed phrases and
+        their border. With ``found``, what a pass over those has shown to be frequent, they are the ones whose parts are found, or
+        weren't part of that pass (``known`` is false).
         """
         n = len(self.word)
         at, key, hashed = np.arange(n), self.word, self.hash  # where phrases begin, their number, the hash of each number
+        first, known = np.empty(len(self.hash), np.int64), np.ones(len(self.hash), bool)
+        first[self.word] = at
         for length in range(1, longest + 1):
             if length > 1:
-                if bits is None:
-                    return
-                here = np.zeros(n, bool)
-                here[at] = live
+                here, was, number = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.int64)
+                here[at], was[at], number[at] = live[key], (known & proposed)[key], key
                 after = here[1:] & here[:-1]
                 if length == 2:
                     after &= self.joined
-                begin = np.flatnonzero(after)
-                number = np.zeros(n, np.int64)
-                number[at] = key
-                wide = number[begin] * len(self.hash) + self.word[begin + length - 1]
+                at = np.flatnonzero(after)
+                wide = number[at] * len(self.hash) + self.word[at + length - 1]
                 order = np.argsort(wide)
                 new = np.concatenate([[True], np.diff(wide[order]) != 0]) if len(wide) else np.zeros(0, bool)
-                at, key = begin, np.empty(len(begin), np.int64)
+                key = np.empty(len(at), np.int64)
                 key[order] = np.cumsum(new) - 1
-                first = begin[order[new]]
-                if old is not None:
-                    was = np.zeros(n, bool)
-                    was[before] = known
-                    known = (was[1:] & was[:-1])[begin]
+                first = at[order[new]]
+                known = was[first] & was[first + 1]
                 hashed = _longer(hashed[number[first]], self.hash[self.word[first + length - 1]])
-            else:
-                first = np.empty(len(self.hash), np.int64)
-                first[self.word] = np.arange(n)
-                known = np.ones(n, bool)
-            counted = np.bincount(key, minlength=len(first))
-            fresh = np.ones(len(first), bool)
-            if old is not None:
-                fresh[key[known]] = False
-            shown = first[fresh]
-            yield length, [self.word[shown + i] for i in range(length)], self.lang[self.word[shown]], counted[fresh]
-            if length < longest and bits is not None:
-                live = _open(bits, hashed)[key]
-                if old is not None:
-                    before, known = at, known & _open(old, hashed)[key]
-
-    def spelt(self, words: list[np.ndarray]) -> pa.Array:
-        texts = [self.texts.take(pa.array(self.text[w])) for w in words]
+            proposed = _open(bits, hashed) if bits is not None else np.zeros(len(first), bool)
+            failed = _open(found, _of_bucket(_bucket(hashed, width))) if found is not None else np.zeros(len(first), bool)
+            live = proposed if found is None else ~known | np.where(proposed, _open(found, hashed), failed)
+            yield Phrases(length, first, np.bincount(key, minlength=len(first)), hashed, proposed, known, failed)
+
+    def spelt(self, first: np.ndarray, length: int) -> pa.Array:
+        texts = [self.texts.take(pa.array(self.text[self.word[first + i]])) for i in range(length)]
         return texts[0] if len(texts) == 1 else pc.binary_join_element_wise(*texts, pa.scalar(" ", pa.large_string()))
 
 
@@ -154,63 +165,114 @@ def _stretches(texts: pa.Array) -> Iterator[tuple[int, bytes]]:
         yield row, held
 
 
-def _counted(shared, levels: tuple[int, ...]):
-    """lang, text -> lang, words, phrase, n: counts of the phrases of some lengths by slice; words = 0 stands for all words."""
+def _slices(batches) -> Iterator[Words]:
+    for batch in sliced(batches, "text", STEP):
+        langs = batch.column("lang").to_pylist()
+        rows, texts, held = [], [], 0
+        for row, part in [*_stretches(batch.column("text")), (None, b"")]:
+            if texts and (row is None or held + len(part) > STEP):
+                yield Words([langs[r] for r in rows], texts)
+                rows, texts, held = [], [], 0
+            if row is not None:
+                rows.append(row)
+                texts.append(part)
+                held += len(part)
+
+
+def _given(words: Words, phrases: Phrases, chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of the chosen phrases as they are."""
+    names = pa.array(words.langs, pa.string())
+    first, n = phrases.first[chosen], phrases.n[chosen]
+    for a in range(0, len(n), _ROWS):
+        part = first[a : a + _ROWS]
+        lang, size = names.take(pa.array(words.lang[words.word[part]])), len(part)
+        columns = [lang, pa.array(np.full(size, phrases.length, np.int32)), words.spelt(part, phrases.length).cast(pa.string()), pa.nulls(size, pa.int64()), pa.array(n[a : a + _ROWS], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, _NAMES)
+
+
+def _in_buckets(phrases: Phrases, chosen: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the chosen phrases by bucket."""
+    buckets, n = _bucket(phrases.hash[chosen], width), phrases.n[chosen]
+    for a in range(0, len(n), _ROWS):
+        part = buckets[a : a + _ROWS]
+        size = len(part)
+        yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.string()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.string()), pa.array(part), pa.array(n[a : a + _ROWS], pa.int64())], _NAMES)
+
+
+def _totals(words: Words) -> pa.RecordBatch:
+    """The number of words of each language, as rows of 0 words."""
+    size = len(words.langs)
+    return pa.RecordBatch.from_arrays([pa.array(words.langs, pa.string()), pa.array([0] * size, pa.int32()), pa.array([""] * size), pa.nulls(size, pa.int64()), pa.array(words.count, pa.int64())], _NAMES)
+
+
+def _of_length(shared, length: int):
+    """Every phrase of one length whose parts are proposed."""
 
     def run(batches):
-        bits, old = shared.value
-        for batch in sliced(batches, "text"):
-            langs = batch.column("lang").to_pylist()
-            rows, texts, held = [], [], 0
-            for row, part in [*_stretches(batch.column("text")), (None, b"")]:
-                if texts and (row is None or held + len(part) > STEP):
-                    yield from _given(Words([langs[r] for r in rows], texts), bits, old, levels)
-                    rows, texts, held = [], [], 0
-                if row is not None:
-                    rows.append(row)
-                    texts.append(part)
-                    held += len(part)
+        bits, _ = shared.value
+        for words in _slices(batches):
+            if length == 1:
+                yield _totals(words)
+            for p in words.phrases(length, bits):
+                if p.length == length:
+                    yield from _given(words, p, np.ones(len(p.n), bool))
 
     return run
 
 
-def _given(words: Words, bits, old, levels) -> Iterator[pa.RecordBatch]:
-    names = pa.array(words.langs, pa.string())
-    if old is None and 1 in levels:
-        seen = len(words.langs)
-        yield pa.RecordBatch.from_arrays([names, pa.array([0] * seen, pa.int32()), pa.array([""] * seen), pa.array(words.count, pa.int64())], ["lang", "words", "phrase", "n"])
-    for length, numbers, lang, n in words.phrases(max(levels), bits, old):
-        if length in levels:
-            for a in range(0, len(n), _ROWS):
-                part = slice(a, a + _ROWS)
-                columns = [names.take(pa.array(lang[part])), pa.array(np.full(len(n[part]), length, np.int32)), words.spelt([w[part] for w in numbers]).cast(pa.string()), pa.array(n[part], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "n"])
+def _with_border(shared, longest: int, width: int):
+    """The proposed phrases, and their border by bucket."""
+
+    def run(batches):
+        bits, _ = shared.value
+        for words in _slices(batches):
+            yield _totals(words)
+            for p in words.phrases(longest, bits):
+                yield from _given(words, p, p.proposed)
+                yield from _in_buckets(p, ~p.proposed, width)
+
+    return run
+
+
+def _beyond(shared, longest: int, width: int):
+    """The phrases of failed buckets, and all that may be frequent and was neither proposed nor of the border."""
+
+    def run(batches):
+        bits, found = shared.value
+        for words in _slices(batches):
+            for p in words.phrases(longest, bits, found, width):
+                yield from _given(words, p, ~p.known | ~p.proposed & p.failed)
+
+    return run
 
 
-def _counts(docs: DataFrame, levels: tuple[int, ...], bits: np.ndarray | None, old: np.ndarray | None = None) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((bits, old))  # two filters of fixed size
-    return docs.mapInArrow(_counted(shared, levels), _COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+def _counts(docs: DataFrame, of, *args, bits: np.ndarray | None, found: np.ndarray | None = None) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((bits, found))  # two filters of fixed size
+    return docs.mapInArrow(of(shared, *args), _COUNTS).groupBy("lang", "words", "phrase", "bucket").agg(F.sum("n").alias("n"))
 
 
 def _marked(batches):
-    """lang, phrase -> the words of the filter's bits that stand for it."""
+    """lang, phrase, bucket -> the words of the filter's bits that stand for the phrase, or else the bucket."""
     for batch in batches:
-        langs = _hashes(batch.column("lang").to_pylist())
-        split = [p.split(" ") for p in batch.column("phrase").to_pylist()]
+        whole = batch.filter(pc.is_valid(batch.column("phrase")))
+        langs = _hashes(whole.column("lang").to_pylist())
+        split = [p.split(" ") for p in whole.column("phrase").to_pylist()]
         sizes = np.array([len(s) for s in split], np.int64)
+        hashes = [_of_bucket(numbers(batch.column("bucket").drop_null()))]
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             h = _spun(langs[rows], _hashes(split[r][0] for r in rows))
             for i in range(1, size):
                 h = _longer(h, _spun(langs[rows], _hashes(split[r][i] for r in rows)))
-            at = np.concatenate(_places(h))
-            bit = np.uint64(1) << (at & 63).astype(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(bit.view(np.int64))], ["at", "bits"])
+            hashes.append(h)
+        at = np.concatenate(_places(np.concatenate(hashes)))
+        bit = np.uint64(1) << (at & 63).astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(bit.view(np.int64))], ["at", "bits"])
 
 
 def _with(bits: np.ndarray | None, phrases: DataFrame) -> np.ndarray:
     """The filter with more phrases in it. Spark puts it together; at most BITS / 64 numbers reach the driver."""
-    marked = phrases.select("lang", "phrase").mapInArrow(_marked, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    marked = phrases.select("lang", "phrase", "bucket").mapInArrow(_marked, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
     table = marked.toArrow()
     out = np.zeros(BITS // 64, np.int64) if bits is None else bits.view(np.int64).copy()
     np.bitwise_or.at(out, table.column("at").to_numpy(), table.column("bits").to_numpy())
@@ -222,10 +284,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     and for each language a row of 0 words with the number of all its words. ``docs``: lang, text.
 
     Toivonen's method. A sample of the documents, mined length by length at a lowered threshold, proposes phrases. One pass over
-    all documents then counts every word, the proposed phrases and their border: the phrases whose two parts of one word less are
-    proposed. A phrase of the border that turns out frequent is a failure of the sample: it joins the proposed ones, and a pass
-    counts what that adds to the border, until nothing does. A frequent phrase has frequent parts only, so none is missed, and the
-    sample decides only how much is counted.
+    all documents then counts the proposed phrases and their border: every other word, and the other phrases whose two parts of
+    one word less are proposed. The border is counted by hash into about as many buckets as there are words; a bucket's count is
+    at least that of each of its phrases, so those of a bucket below ``least`` are done with. Any other bucket is a failure of the
+    sample, and an expansion pass follows. It counts the phrases of those buckets as they are, and in the same go all that they
+    may extend to: phrases whose parts are frequent, in such a bucket, or not counted before. After it nothing is left to expand:
+    a frequent phrase has frequent parts only, and each part was proposed, of the border, or let through here. So none is missed,
+    and the sample decides only how much is counted.
 
     The proposed phrases go to the tasks as a filter of a fixed number of bits. What it lets through by chance is counted, too,
     and counts come from the phrases themselves, never from hashes: a full filter costs time, never a result.
@@ -233,18 +298,22 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     drawn = staged(docs.filter(F.rand(7) < sample), "phrase_sample")
     lowered = max(1, int(least * sample * slack))
-    bits = None
+    bits, width = np.zeros(BITS // 8, np.uint8), 20
     for length in range(1, longest):
-        found = _counts(drawn, (length,), bits).filter((F.col("words") == length) & (F.col("n") >= lowered))
-        bits = _with(bits, found)
+        kept = (F.col("words") == 0) | (F.col("n") >= lowered)
+        found = staged(_counts(drawn, _of_length, length, bits=bits).filter(kept), "phrases_of_sample")
+        bits = _with(bits, found.filter("words > 0"))
+        if length == 1:
+            seen = found.filter("words = 0").agg(F.sum("n")).first()[0] or 0
+            width = min(48, max(width, int(seen / sample).bit_length() if seen else 0))
     enough = (F.col("words") == 0) | (F.col("n") >= least)
-    total = fresh = staged(_counts(docs, tuple(range(1, longest + 1)), bits).filter(enough), "phrases")
-    while True:
-        grown = _with(bits, fresh.filter(F.col("words").between(1, longest - 1)))
-        if (grown == bits).all():
-            return total
-        fresh = staged(_counts(docs, tuple(range(2, longest + 1)), grown, bits).filter(enough), "phrases")
-        bits, total = grown, total.unionByName(fresh)
+    counted = staged(_counts(docs, _with_border, longest, width, bits=bits).filter(F.coalesce(enough, F.col("n") >= least)), "phrases")
+    total = counted.filter("bucket is null")
+    if counted.filter("bucket is not null").isEmpty():
+        return total.drop("bucket")
+    found = _with(None, counted.filter(F.col("bucket").isNotNull() | F.col("words").between(1, longest - 1)))
+    more = staged(_counts(docs, _beyond, longest, width, bits=bits, found=found).filter(F.col("n") >= least), "phrases_beyond")
+    return total.unionByName(more).drop("bucket")
 
 
 def _absorbed(candidates: DataFrame) -> DataFrame:
@@ -275,7 +344,7 @@ def collocations(
     out. Order: score and a descending, phrase ascending by its UTF-8 bytes. ``rank`` and all numbers are longs.
 
     Null texts are empty, a null language is ``und``, an empty table gives an empty result; repeated rows count each time. Texts are
-    read whole; a task holds about 4 MB of text, or one piece. ``sample`` and ``slack`` change the time only. Other columns are left out.
+    read whole; a task works on about 1.5 MB of text, or one piece. ``sample`` and ``slack`` change the time only. Other columns are left out.
     """
     named = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     found = frequent_phrases(named, least, longest, sample, slack)

@@ -72,16 +72,17 @@ def test_exact_whatever_the_sample(spark, least, sample, slack):
     assert got == plain(rows, least) and len(got) > 20
 
 
-def test_a_failing_sample_is_followed_by_further_passes(spark, monkeypatch):
+def test_a_failing_sample_is_followed_by_one_more_pass(spark, monkeypatch):
     passes = []
     real = C._counts
-    monkeypatch.setattr(C, "_counts", lambda docs, levels, bits, old=None: passes.append(levels) or real(docs, levels, bits, old))
+    monkeypatch.setattr(C, "_counts", lambda docs, of, *a, **kw: passes.append(of.__name__) or real(docs, of, *a, **kw))
     rows = some(2)
-    assert mined(spark, rows, least=8, sample=0.0) == plain(rows, 8)  # nothing is proposed: every length needs a pass
-    assert passes.count((1, 2, 3, 4, 5)) == 1 and passes.count((2, 3, 4, 5)) >= 3
+    assert mined(spark, rows, least=8, sample=0.0) == plain(rows, 8)  # nothing is proposed: all is beyond the border
+    assert passes == ["_of_length"] * 4 + ["_with_border", "_beyond"]
     passes.clear()
-    assert mined(spark, rows, least=8, sample=1.0, slack=1.0) == plain(rows, 8)  # all is proposed: one pass
-    assert passes.count((2, 3, 4, 5)) == 0
+    short = [(" ".join(t.split()[:8]) + ".", l) for t, l in rows[:-3]]  # no phrase of 5 words is frequent, so the border is clean
+    assert mined(spark, short, least=8, sample=1.0, slack=1.0) == plain(short, 8)
+    assert passes == ["_of_length"] * 4 + ["_with_border"]
 
 
 def test_phrases_of_a_slice_with_and_without_filters():
@@ -90,22 +91,32 @@ def test_phrases_of_a_slice_with_and_without_filters():
     f, _ = counted(rows)
     every = np.full(C.BITS // 8, 255, np.uint8)
 
-    def held(bits, old=None):
+    def held(which, *filters):
         out = Counter()
-        for _, numbers, lang, n in words.phrases(5, bits, old):
-            for p, l, x in zip(words.spelt(numbers).to_pylist(), lang, n):
-                out[words.langs[l], tuple(p.split(" "))] += int(x)
+        for p in words.phrases(5, *filters):
+            chosen = which(p)
+            spelt = words.spelt(p.first[chosen], p.length).to_pylist()
+            for text, l, x in zip(spelt, words.lang[words.word[p.first[chosen]]], p.n[chosen]):
+                out[words.langs[l], tuple(text.split(" "))] += int(x)
         return out
 
-    assert held(every) == f
-    assert held(None) == {k: n for k, n in f.items() if len(k[1]) == 1}
-    nothing = np.zeros(C.BITS // 8, np.uint8)
-    assert held(nothing) == held(None)
+    everything = lambda p: np.ones(len(p.n), bool)
+    only_words = {k: n for k, n in f.items() if len(k[1]) == 1}
+    assert held(everything, every) == f
+    assert held(everything, None) == held(everything, np.zeros(C.BITS // 8, np.uint8)) == only_words
     half = np.random.default_rng(0).integers(0, 256, C.BITS // 8).astype(np.uint8)  # lets a quarter through
-    first = held(half)
-    later = held(every, half)
+    first = held(everything, half)
+    later = held(lambda p: ~p.known, half, every, 20)
     assert not first.keys() & later.keys() and first + later == f
-    assert len(held(nothing)) < len(first) < len(f)
+    assert len(only_words) < len(first) < len(f)
+
+
+@pytest.mark.parametrize("width", [1, 4, 48])
+def test_buckets_may_hold_many_phrases(spark, monkeypatch, width):
+    monkeypatch.setattr(C, "_with_border", lambda shared, longest, _, of=C._with_border: of(shared, longest, width))
+    monkeypatch.setattr(C, "_beyond", lambda shared, longest, _, of=C._beyond: of(shared, longest, width))
+    rows = some(6, 40)
+    assert mined(spark, rows, least=6, sample=0.2) == plain(rows, 6)
 
 
 def test_texts_are_cut_where_pieces_end(monkeypatch):
