@@ -8,6 +8,7 @@ from . import secrets
 from .collocations import collocations
 from .common import read
 from .forest import nearest
+from .langid import languages
 from .minhash import near_duplicates
 from .negatives import hard_negatives
 from .packing import packed
@@ -63,6 +64,11 @@ def op10_secret_links(spark, sf_dir):
     return digests(read(spark, sf_dir, "documents"))
 
 
+def op11_nearest_centroid(spark, sf_dir):
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    return languages(read(spark, sf_dir, "documents"), rest != 2, rest == 2)
+
+
 def op12_toivonen(spark, sf_dir):
     return collocations(read(spark, sf_dir, "documents"))
 
@@ -72,7 +78,7 @@ def op13_kronecker_negatives(spark, sf_dir):
     return hard_negatives(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, relabel)
 
 
-QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links, "op12_toivonen": op12_toivonen, "op13_kronecker_negatives": op13_kronecker_negatives}
+QUERIES = {"op1_warc_index": op1_warc_index, "op2_url_sweep": op2_url_sweep, "op3_rabitq": op3_rabitq, "op4_toxicity": op4_toxicity, "op5_best_fit": op5_best_fit, "op6_viterbi": op6_viterbi, "op7_minhash": op7_minhash, "op8_hash_ring": op8_hash_ring, "op9_prefix_forest": op9_prefix_forest, "op10_secret_links": op10_secret_links, "op11_nearest_centroid": op11_nearest_centroid, "op12_toivonen": op12_toivonen, "op13_kronecker_negatives": op13_kronecker_negatives}
 def _found(kind: str, pattern: str, fits: str) -> str:
     """Matches of a kind with what lies between them, so that lengths add up to places."""
     quoted = pattern.replace("'", "''")
