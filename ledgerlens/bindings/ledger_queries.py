@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import rows_table
 from ..operators import ledger as L
 from ..operators.periods import case_kind
+from ..sources import merge
 from ..sources.session import run_dir
 from ..streaming import sync
 from . import roles as R
@@ -245,6 +246,21 @@ def upsert_measures(spark, sf):
     return out.select("product", *[F.col(c).cast("double").alias(c) for c in out.columns[1:]])
 
 
+def merge_measures(spark, sf):
+    """The ledger of orders, stored by month: what came back lowers the measure, other orders are booked in the month of shipping."""
+    money, path = "decimal(18,3)", f"{run_dir(spark, 'merge_measures')}/orders"
+    ledger = read(spark, sf, "orders").filter("o_orderstatus <> 'P'").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").cast(money).alias("measured"), F.lit(0).cast(money).alias("returned"),
+        R.month_id(F.col("o_orderdate")).alias("month"),
+    )
+    merge.store(ledger, path, ["month"])
+    price = F.sum(F.col("l_extendedprice").cast(money)).cast(money).alias("price")
+    back = read(spark, sf, "lineitem").filter("l_returnflag = 'R'").groupBy("l_orderkey").agg(price, R.month_id(F.max("l_shipdate")).alias("shipped"))
+    update = {"returned": F.col("price"), "measured": F.col("measured") - F.col("price")}
+    merge.merge_into(path, back, ("order_id", "l_orderkey"), update, {"month": F.col("shipped"), "returned": F.col("price")}, {"measured": 0}, ["month"])
+    return spark.read.schema(ledger.schema).parquet(path).select("order_id", "month", *[F.col(c).cast("double").alias(c) for c in ("measured", "returned")])
+
+
 MIN_CASE = 20240105
 
 
@@ -302,7 +318,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         lookup_measure, live_transactions, reassign_measure, wildcard_rule_sum, wildcard_rule_table, apply_incoming,
-        override_rows, upsert_measures, sync_group, sync_group_stream, change_log,
+        override_rows, upsert_measures, merge_measures, sync_group, sync_group_stream, change_log,
     )
 }
 
@@ -373,6 +389,13 @@ SELECT coalesce(p_partkey, s.k) AS product, CAST(coalesce(s.r, 0) AS DOUBLE) AS
   CASE WHEN p_partkey IS NULL THEN 0.0::DOUBLE ELSE 3.0::DOUBLE END AS measured_old,
   CAST(CASE WHEN p_partkey IS NULL THEN s.r WHEN s.k IS NULL THEN 0 ELSE p_size + s.r - 3 END AS DOUBLE) AS produced
 FROM part FULL JOIN s ON s.k = p_partkey""",
+    "merge_measures": """WITH back AS (SELECT l_orderkey AS k, sum(CAST(l_extendedprice AS DECIMAL(18,3))) AS price,
+  CAST(strftime(max(l_shipdate), '%Y%m') AS INT) AS shipped FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+o AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,3)) AS measured, CAST(strftime(o_orderdate, '%Y%m') AS INT) AS month
+  FROM orders WHERE o_orderstatus <> 'P')
+SELECT coalesce(o_orderkey, k) AS order_id, CASE WHEN o_orderkey IS NULL THEN shipped ELSE month END AS month,
+  CAST(CASE WHEN o_orderkey IS NULL THEN 0 ELSE measured - coalesce(price, 0) END AS DOUBLE) AS measured, CAST(coalesce(price, 0) AS DOUBLE) AS returned
+FROM o FULL JOIN back ON k = o_orderkey""",
     "sync_group": _SYNCED,
     "sync_group_stream": _SYNCED,
     "change_log": f"""WITH {_SYNC},

@@ -113,7 +113,7 @@ def incoming_run(spark, sf):
     )
     kinds = case_kind(R.cases(spark, sf), "analysis_id", "MONTH")
     out = runs.incoming_run(
-        199703, LQ.RULES, facts, LQ.WILD, "is_input", "reconciled", LQ._ledger(spark, sf), kinds, "%red%", run_dir(spark, "incoming_run")
+        199703, LQ.RULES, facts, LQ.WILD, "is_input", "reconciled", LQ._ledger(spark, sf), kinds, "%red%", run_dir(spark, "incoming_run"), by_case=True
     )
     return out.select("id", "case_id", "open_mass", "coming_mix", "measured_day", "measured_accum", F.round("end_mass", 3).alias("end_mass"))
 

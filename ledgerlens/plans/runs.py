@@ -6,7 +6,7 @@ caller's; a failed run leaves the old content.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from ..operators import ledger as L
 from ..operators import snapshots as S
 from ..operators import timeseries as T
 from ..operators.periods import reporting_period
-from ..sources import sinks
+from ..sources import merge, sinks
 
 
 class RunError(RuntimeError):
@@ -28,6 +28,16 @@ def _reloaded(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _of_case(ledger: DataFrame, case_id: int, correct: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """One case of a ledger that is stored by case, corrected: its partition is written again, no other. The first time, when
+    nothing is stored yet, the whole ledger is."""
+    if not merge.Store(ledger.sparkSession, path).exists():
+        merge.store(ledger, path, ["case_id"])
+    own = correct(ledger.filter(F.col("case_id") == case_id))
+    merge.replace_partitions(own, path, ["case_id"], emptied=[{"case_id": case_id}])
+    return ledger.sparkSession.read.schema(ledger.schema).parquet(path)
+
+
 def sampling_run(
     as_of: str,
     shifts: DataFrame,
@@ -118,12 +128,16 @@ def reassign_run(
     products: DataFrame,
     source_types: Sequence[str],
     target: str,
+    by_case: bool = False,
 ) -> DataFrame:
     """Measures moved between transactions of one case: look-up of the new values in that case (``view`` has
-    case_id and case_type), its live transactions, rewriting. The whole ledger is stored, other cases as they were."""
+    case_id and case_type), its live transactions, rewriting. The whole ledger is stored, other cases as they were;
+    with ``by_case`` it is stored by case and only the case's own partition is written (``tx`` may be read from there)."""
     seen = view.filter((F.col("case_id") == case_id) & (F.col("case_type") == case_type))
     looked = L.lookup_measure(tasks, seen, source, value, order)
     live = L.live_transactions(tx, cases, analyses, objects, object_types, products, case_type, source_types, case_id)
+    if by_case:
+        return _of_case(tx, case_id, lambda own: L.reassign_measure(own, live, looked, goal), target)
     return _reloaded(L.reassign_measure(tx, live, looked, goal), target)
 
 
@@ -138,12 +152,16 @@ def incoming_run(
     kinds: DataFrame,
     reset_like: str,
     target: str,
+    by_case: bool = False,
 ) -> DataFrame:
     """Received quantities of one case by wildcard rules, applied to its ledger rows; rows of names that match
-    ``reset_like`` start anew from what came in. The whole ledger is stored, other cases as they were."""
+    ``reset_like`` start anew from what came in. The whole ledger is stored, other cases as they were; ``by_case`` as above."""
     of_case = facts.filter(F.col("case_id") == case_id)
     sums = L.wildcard_rule_sum(rules, of_case, wild_keys, exact_key, value)
-    applied = L.apply_incoming(ledger, sums, kinds, case_id)
     reset = (F.col("case_id") == case_id) & F.coalesce(F.col("name").like(reset_like), F.lit(False))
     new = {"open_mass": 0, "measured_day": F.col("coming_mix"), "measured_accum": F.col("coming_mix"), "end_mass": 0}
-    return _reloaded(L.override_rows(applied, reset, new), target)
+
+    def corrected(rows: DataFrame) -> DataFrame:
+        return L.override_rows(L.apply_incoming(rows, sums, kinds, case_id), reset, new)
+
+    return _of_case(ledger, case_id, corrected, target) if by_case else _reloaded(corrected(ledger), target)
