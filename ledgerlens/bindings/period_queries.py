@@ -68,11 +68,20 @@ def interval_overlap(spark, sf):
     return out.select("transfer_id", stamp("start_time").alias("start_time"), stamp("end_time").alias("end_time"))
 
 
+def _periods(cases):
+    return cases.select("case_id", F.col("start_time").alias("period_start"), F.col("end_time").alias("period_end"))
+
+
 def interval_overlap_periods(spark, sf):
-    """Orders under way in each reporting day of a month."""
-    days = R.cases(spark, sf).filter((F.col("start_time") >= R.ntz("1997-03-01")) & (F.col("end_time") <= R.ntz("1997-04-01")))
-    periods = days.select("case_id", F.col("start_time").alias("period_start"), F.col("end_time").alias("period_end"))
-    out = T.interval_overlap_periods(R.order_transfers(spark, sf), periods, "case_id")
+    """Orders under way in each month of the calendar."""
+    months = R.cases(spark, sf).filter("analysis_id = 'MONTH'")
+    out = T.interval_overlap_periods(R.order_transfers(spark, sf), _periods(months), "case_id")
+    return out.select("case_id", "transfer_id")
+
+
+def interval_overlap_cases(spark, sf):
+    """Transfers of some hours, or open to the end, in every day and month of the log."""
+    out = T.interval_overlap_periods(R.event_transfers(spark, sf), _periods(R.log_cases(spark, sf)), "case_id", slot=3600)
     return out.select("case_id", "transfer_id")
 
 
@@ -163,7 +172,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         reporting_period, select_cases, select_cases_exact, case_kind, month_to_date_cases, case_sets,
-        interval_overlap, interval_overlap_periods, boundary_times, entity_tags, tag_catalog, sample_grid, asof_last_value, asof_per_event,
+        interval_overlap, interval_overlap_periods, interval_overlap_cases, boundary_times, entity_tags, tag_catalog, sample_grid, asof_last_value, asof_per_event,
         accumulate_to, tag_values_at_boundaries, snapshot_at, period_accumulation, active_tag_settings, tag_id_list,
     )
 }
@@ -213,9 +222,14 @@ UNION ALL SELECT r, prev_case_id, 199703 FROM cases, (VALUES ('previous'), ('ope
   WHERE case_id = (SELECT min(case_id) FROM ({_MTD.format(k=199703)}))""",
     "interval_overlap": more_ctes("order_transfers") + _LIVE + f"""
 SELECT transfer_id, strftime(start_time, {DUCK_DAYTIME}) AS start_time, strftime(end_time, {DUCK_DAYTIME}) AS end_time FROM live""",
-    "interval_overlap_periods": more_ctes("cases", "order_transfers") + """periods AS (SELECT * FROM cases
-  WHERE start_time >= TIMESTAMP '1997-03-01' AND end_time <= TIMESTAMP '1997-04-01')
-SELECT case_id, transfer_id FROM periods p JOIN transfers t ON t.start_time <= p.end_time AND (t.end_time IS NULL OR t.end_time >= p.start_time)""",
+    "interval_overlap_periods": with_ctes("cases", "order_transfers") + """SELECT case_id, transfer_id FROM cases p
+JOIN transfers t ON t.start_time <= p.end_time AND (t.end_time IS NULL OR t.end_time >= p.start_time) WHERE p.analysis_id = 'MONTH'""",
+    "interval_overlap_cases": more_ctes("event_transfers") + """days AS (
+  SELECT CAST(unnest(generate_series(date_trunc('day', min(ts)), max(ts), INTERVAL 1 DAY)) AS DATE) AS d FROM events),
+periods AS (SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS case_id, CAST(d AS TIMESTAMP) AS lo, CAST(d + 1 AS TIMESTAMP) AS hi FROM days
+  UNION ALL SELECT DISTINCT CAST(strftime(d, '%Y%m') AS INT), CAST(date_trunc('month', d) AS TIMESTAMP),
+    CAST(date_trunc('month', d) + INTERVAL 1 MONTH AS TIMESTAMP) FROM days)
+SELECT case_id, transfer_id FROM periods JOIN transfers ON start_time <= hi AND (end_time IS NULL OR end_time >= lo)""",
     "boundary_times": more_ctes("order_transfers") + _LIVE + f"""
 SELECT strftime(ts, {DUCK_DAYTIME}) AS ts FROM ({_TIMES.format(lo=WEEK[0], hi=WEEK[1])})""",
     "entity_tags": with_ctes("order_transfers", "tagging") + _TAGS.format(t="transfers"),

@@ -36,27 +36,66 @@ def interval_overlap(intervals: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def interval_overlap_periods(intervals: DataFrame, periods: DataFrame, key: str = "period_id") -> DataFrame:
+def _nodes(first: Column, last: Column, depth: Column) -> Column:
+    """The nodes of a binary tree over 2^depth slots that belong to the slots ``first`` to ``last``: an array of (node, whole).
+
+    A node of level h stands for 2^h slots. Whole nodes make up the range, at most two a level; the others are those above its ends
+    that reach beyond it, at most two a level as well. Nodes are numbered as in a heap: the root is 1.
+    """
+
+    def of_level(h: Column) -> Column:
+        def node(i: Column) -> Column:
+            return F.call_function("shiftleft", F.lit(1).cast("long"), (depth - h).cast("int")) + i
+
+        def down(i: Column) -> Column:
+            return F.call_function("shiftright", i, h)
+
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), h)
+        left, right = down(first + size - 1), down(last + 1)  # whole nodes are left to right - 1
+        low, high = down(first), down(last)
+        some = left < right
+        whole = [F.when(some & (left % 2 == 1), left), F.when(some & (right % 2 == 1), right - 1)]
+        part = [F.when(low * size < first, low), F.when((low != high) | (low * size >= first), F.when((high + 1) * size > last + 1, high))]
+        marked = [F.when(i.isNotNull(), F.struct(node(i).alias("node"), F.lit(w).alias("whole"))) for w, ns in ((True, whole), (False, part)) for i in ns]
+        return F.array_compact(F.array(*marked))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), depth), of_level))
+
+
+def interval_overlap_periods(intervals: DataFrame, periods: DataFrame, key: str = "period_id", slot: int = 86_400) -> DataFrame:
     """Every interval with every period it overlaps, by the rule above. ``periods``: ``key``, period_start,
     period_end.
 
-    Both sides are laid out over the days they touch, intervals only within the span of all periods (an open
-    end counts to its end), and meet in an equi-join by day. A pair that shares several days is kept on the first.
-    Intervals without a start overlap nothing, as above.
+    The time from the first period's start to the last one's end is cut into T slots of ``slot`` seconds, with a binary tree over
+    them. An interval, cut to that time, and a period each become at most 4 log T nodes, and an interval that is open at
+    the end at most 2 log T, however long they last. Two ranges that share a slot share exactly one node that holds the first
+    slot of both and is whole in one of them, so an equi-join by node gives every pair once; the rule is then checked on the times.
+    Slots only decide what meets: pick them no longer than the shortest periods. Intervals without a start overlap nothing, as
+    above; periods without a start or an end, or that end before they start, have no overlaps.
     """
-    lo, hi = periods.agg(F.min("period_start")).scalar(), periods.agg(F.max("period_end")).scalar()
-    first, last = F.greatest("start_time", lo), F.least(F.coalesce("end_time", hi), hi)
-
-    def days(a: Column, b: Column) -> Column:
-        return F.explode(F.when(a <= b, F.sequence(a.cast("date"), b.cast("date"))))
-
-    begins = F.greatest(F.col("start_time"), lo).cast("date")
-    laid = intervals.filter(F.col("start_time").isNotNull()).withColumn("_first", begins).withColumn("_day", days(first, last))
-    asked = periods.select(key, "period_start", "period_end", days(F.col("period_start"), F.col("period_end")).alias("_day"))
-    met = laid.join(asked, "_day")
-    hit = overlaps(F.col("start_time"), F.col("end_time"), F.col("period_start"), F.col("period_end"))
-    once = F.col("_day") == F.greatest("_first", F.col("period_start").cast("date"))
-    return met.filter(hit & once).select(key, *intervals.columns)
+    bounds = periods.filter("period_start <= period_end")
+    lo, hi = bounds.agg(F.min("period_start")).scalar(), bounds.agg(F.max("period_end")).scalar()
+
+    def slot_of(time: Column) -> Column:
+        return F.floor(F.timestamp_diff("SECOND", lo, time) / F.lit(slot)).cast("long")
+
+    def laid(df: DataFrame, start: Column, end: Column) -> DataFrame:
+        ranged = df.withColumn("_first", slot_of(start)).withColumn("_last", slot_of(end)).withColumn("_depth", F.length(F.bin(slot_of(hi))).cast("int"))
+        return ranged.select(*df.columns, "_first", F.col("_depth"), F.explode(_nodes(F.col("_first"), F.col("_last"), F.col("_depth"))).alias("_n"))
+
+    end = F.coalesce("end_time", hi)
+    clipped = intervals.filter(F.col("start_time").isNotNull()).withColumn("_from", F.greatest(F.least("start_time", end), lo))
+    clipped = clipped.withColumn("_to", F.least(F.greatest("start_time", end), hi)).filter("_from <= _to")
+    ours = laid(clipped, F.col("_from"), F.col("_to")).drop("_from", "_to")
+    ours = ours.select(*intervals.columns, "_first", "_depth", F.col("_n.node").alias("_node"), F.col("_n.whole").alias("_whole"))
+    asked = laid(bounds.select(key, "period_start", "period_end"), F.col("period_start"), F.col("period_end"))
+    asked = asked.select(key, "period_start", "period_end", F.col("_first").alias("_begin"), F.col("_n.node").alias("_node"), F.col("_n.whole").alias("_all"))
+    met = ours.join(asked, "_node").filter(F.col("_whole") | F.col("_all"))
+    # the node holds the first common slot: that slot's leaf, brought up to the node's level, is the node
+    leaf = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_depth")) + F.greatest("_first", "_begin")
+    up = (F.length(F.bin(leaf)) - F.length(F.bin("_node"))).cast("int")
+    hit = (F.col("start_time") <= F.col("period_end")) & overlaps(F.col("start_time"), F.col("end_time"), F.col("period_start"), F.col("period_end"))
+    return met.filter((F.call_function("shiftright", leaf, up) == F.col("_node")) & hit).select(key, *intervals.columns)
 
 
 def boundary_times(intervals: DataFrame, start: str, end: str) -> DataFrame:

@@ -3,6 +3,7 @@ from datetime import timedelta
 
 import pytest
 from conftest import at, tuples
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import timeseries as T
 
@@ -213,3 +214,50 @@ def test_overlap_with_many_periods_against_brute_force(spark):
     side = spark.createDataFrame(periods, "period_id int, period_start timestamp_ntz, period_end timestamp_ntz")
     want = sorted((p, i) for p, lo, hi in periods for i, a, b in intervals if a is not None and a <= hi and (b is None or b >= lo))
     assert tuples(T.interval_overlap_periods(df, side), "period_id", "id") == sorted(want, key=repr)
+
+
+def overlapping(spark, intervals, periods, slot):
+    df = spark.createDataFrame(intervals, "id int, start_time timestamp_ntz, end_time timestamp_ntz")
+    side = spark.createDataFrame(periods, "period_id int, period_start timestamp_ntz, period_end timestamp_ntz")
+    return df, side, T.interval_overlap_periods(df, side, slot=slot)
+
+
+@pytest.mark.parametrize("slot", [1, 60, 3600, 86_400, 10**7])
+def test_overlap_with_periods_of_any_length_and_slot(spark, slot):
+    rng = random.Random(slot)
+    base = at("2024-01-01")
+    when = lambda: base + timedelta(seconds=rng.choice([3600, 86_400, 1]) * rng.randrange(-40, 90))
+    intervals = [(i, when(), rng.choice([None, when(), when()])) for i in range(120)] + [(200, None, base), (201, None, None), (202, at("2030-01-01"), None)]
+    periods = [(i, *sorted((when(), when()))) for i in range(40)] + [(50, base, base), (51, None, base), (52, base, None), (53, base, at("2023-12-01"))]
+    _, _, out = overlapping(spark, intervals, periods, slot)
+    want = []
+    for p, lo, hi in periods:
+        for i, a, b in intervals:
+            if None not in (lo, hi, a) and lo <= hi and a <= hi and (lo <= a or (b is not None and lo <= b <= hi) or b is None or b >= hi):
+                want.append((p, i))
+    assert tuples(out, "period_id", "id") == sorted(want, key=repr)
+
+
+def test_an_interval_becomes_few_nodes_however_long(spark):
+    slots = spark.createDataFrame([(a, b, 20) for a, b in [(0, 2**20 - 1), (1, 2**20 - 2), (12345, 2**20 - 1), (7, 7), (0, 0), (2**19 - 1, 2**19)]], "a long, b long, d int")
+    nodes = slots.select("a", "b", F.explode(T._nodes(F.col("a"), F.col("b"), F.col("d"))).alias("n")).select("a", "b", "n.*").collect()
+    for a, b, _ in slots.collect():
+        own = [(r.node, r.whole) for r in nodes if (r.a, r.b) == (a, b)]
+        ranges = []
+        for node, whole in own:
+            h = 21 - node.bit_length()
+            lo = (node << h) - 2**20
+            hi = lo + 2**h - 1
+            assert (a <= lo and hi <= b) if whole else (lo <= b and hi >= a and not (a <= lo and hi <= b))
+            ranges += [(lo, hi)] * whole
+        ranges.sort()
+        assert ranges[0][0] == a and ranges[-1][1] == b and all(x[1] + 1 == y[0] for x, y in zip(ranges, ranges[1:]))
+        assert len(set(own)) == len(own) <= 4 * 20 and (b < 2**20 - 1 or len(own) <= 2 * 21)
+    assert len([r for r in nodes if (r.a, r.b) == (12345, 2**20 - 1)]) <= 40  # open at the end
+
+
+def test_overlap_with_periods_is_an_equi_join(spark):
+    _, _, out = overlapping(spark, [(1, at("2024-01-01"), None)], [(1, at("2024-01-01"), at("2024-02-01"))], 3600)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert tuples(overlapping(spark, [(1, at("2024-01-01"), None)], [], 60)[2], "id") == []
