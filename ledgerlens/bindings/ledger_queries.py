@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.rules import rows_table
+from ..operators import capture as C
 from ..operators import ledger as L
 from ..operators.periods import case_kind
 from ..sources import merge
@@ -314,11 +315,41 @@ def change_log(spark, sf):
     return L.change_log(_changes(spark, sf), _members(spark, sf), MIN_CASE)
 
 
+def _earlier(spark, sf):
+    """The meters as they were while only purchases and clicks had been booked."""
+    return (
+        read(spark, sf, "events").filter("event_type in ('purchase', 'click')")
+        .groupBy(F.col("user_id").alias("id"), day_id(F.col("ts")).alias("case_id"))
+        .agg(F.min("value").alias("measured"))
+    )
+
+
+def captured_changes(spark, sf):
+    out = C.captured(_earlier(spark, sf), _meters(spark, sf), ["id", "case_id"])
+    text = C.described(out, ["measured"]) != ""
+    return out.select("operation", "id", "case_id", F.col("deleted.measured").alias("old"), F.col("inserted.measured").alias("new"), text.alias("measured_changed"))
+
+
+def sync_group_states(spark, sf):
+    """Groups kept in step by what was captured between two states of the meters."""
+    meters = _meters(spark, sf)
+    changes = C.writes(C.captured(_earlier(spark, sf), meters, ["id", "case_id"]), "measured")
+    return L.sync_group(meters, changes, _members(spark, sf), MIN_CASE)
+
+
+def change_log_states(spark, sf):
+    changes = C.writes(C.captured(_earlier(spark, sf), _meters(spark, sf), ["id", "case_id"]), "measured")
+    # an id has a change in each of its cases
+    seq = F.col("case_id").cast("long") * 1_000_000 + F.col("id")
+    return L.change_log(changes.withColumn("seq", seq), _members(spark, sf), MIN_CASE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         lookup_measure, live_transactions, reassign_measure, wildcard_rule_sum, wildcard_rule_table, apply_incoming,
         override_rows, upsert_measures, merge_measures, sync_group, sync_group_stream, change_log,
+        captured_changes, sync_group_states, change_log_states,
     )
 }
 
@@ -358,7 +389,29 @@ SELECT t.id, t.case_id, coalesce(l.new_value, t.measured) AS measured,
   CAST(l.new_value IS NOT NULL AND t.measured IS DISTINCT FROM l.new_value AS INT) AS synced
 FROM meters t LEFT JOIN members m USING (id) LEFT JOIN latest l ON l.case_id = t.case_id AND l.group_id = m.group_id"""
 
+_CAPTURED = """earlier AS (SELECT user_id AS id, CAST(strftime(ts, '%Y%m%d') AS INT) AS case_id, min(value) AS measured FROM events
+  WHERE event_type IN ('purchase', 'click') GROUP BY ALL),
+captured AS (SELECT coalesce(a.id, b.id) AS id, coalesce(a.case_id, b.case_id) AS case_id, b.measured AS old, a.measured AS new,
+    CASE WHEN b.id IS NULL THEN 'insert' WHEN a.id IS NULL THEN 'delete' ELSE 'update' END AS operation
+  FROM meters a FULL JOIN earlier b ON a.id = b.id AND a.case_id = b.case_id
+  WHERE a.id IS NULL OR b.id IS NULL OR a.measured IS DISTINCT FROM b.measured),
+written AS (SELECT id, case_id, new AS measured FROM captured WHERE operation <> 'delete')"""
+
 ORACLE = {
+    "captured_changes": f"WITH {_SYNC}, {_CAPTURED} SELECT operation, id, case_id, old, new, operation = 'update' AS measured_changed FROM captured",
+    "sync_group_states": f"""WITH {_SYNC}, {_CAPTURED},
+last AS (SELECT w.case_id, m.group_id, w.measured AS new_value FROM written w JOIN members m USING (id) WHERE w.case_id >= {MIN_CASE}
+  QUALIFY row_number() OVER (PARTITION BY w.case_id, m.group_id ORDER BY w.id DESC) = 1)
+SELECT t.id, t.case_id, coalesce(l.new_value, t.measured) AS measured,
+  CAST(l.new_value IS NOT NULL AND t.measured IS DISTINCT FROM l.new_value AS INT) AS synced
+FROM meters t LEFT JOIN members m USING (id) LEFT JOIN last l ON l.case_id = t.case_id AND l.group_id = m.group_id""",
+    "change_log_states": f"""WITH {_SYNC}, {_CAPTURED},
+logged AS (SELECT w.case_id::BIGINT * 1000000 + w.id AS seq, w.case_id, w.measured, m.group_id IS NOT NULL AS member FROM written w LEFT JOIN members m USING (id))
+SELECT seq, 0 AS step, 'started' AS info FROM logged
+UNION ALL SELECT seq, 1, 'skipped: case ' || case_id || ' < {MIN_CASE}' FROM logged WHERE member AND case_id < {MIN_CASE}
+UNION ALL SELECT seq, 2, 'applied: value ' || measured || ', case ' || case_id FROM logged
+  WHERE member AND case_id >= {MIN_CASE} AND measured IS NOT NULL
+UNION ALL SELECT seq, 3, 'finished' FROM logged WHERE NOT member OR case_id >= {MIN_CASE}""",
     "lookup_measure": f"WITH {_LOOKUP} SELECT * FROM looked",
     "live_transactions": """WITH tx AS (SELECT 'O' || o_orderkey AS id, CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS case_id, o_orderstatus,
   CASE WHEN o_orderkey % 2 = 0 THEN 'S' || (o_custkey % 50) ELSE 'C' || o_custkey END AS source_id,
