@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import rows_table
 from ..operators import audit as A
 from ..operators.periods import case_kind, select_cases
+from ..operators.rule_tables import classify_by_rules
 from ..plans import audit_reports as reports
 from ..sources.session import staged
 from . import roles as R
@@ -166,6 +167,22 @@ def classify_by_name(spark, sf):
     return out.select("p_partkey", "class")
 
 
+def classify_by_rule_table(spark, sf):
+    """Customers by rules that come from the suppliers: the end of a name, barred beginnings, a segment."""
+    key, name = F.col("s_suppkey"), F.col("s_name")
+    rules = read(spark, sf, "supplier").select(
+        (F.col("s_nationkey") * 100_000 + key).alias("rank"),
+        F.concat(F.lit("%"), F.right(name, F.lit(3))).alias("pattern"),
+        F.concat(F.lit("%00"), F.substring(name, -4, 1), F.lit("%"), F.right(name, F.lit(1))).alias("unless"),
+        F.when(key % 3 == 0, F.lit("M%")).alias("segment_like"),
+        F.when(key % 4 == 0, F.lit("%L%")).alias("segment_unlike"),
+        F.concat(F.lit("as "), name).alias("label"),
+    )
+    named = read(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    out = classify_by_rules(named, "name", rules, F.col("segment"), "class", also=["segment"], unless="unless")
+    return out.select("c_custkey", "class")
+
+
 def audit_report(spark, sf):
     return reports.audit_report(_sources(spark, sf), LABELS)
 
@@ -183,7 +200,7 @@ def audit_report_folded(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        case_log, decode_labels, resolve_references, fold_creations, fold_creations_parts, fold_dependencies, plain_changes, classify_by_name,
+        case_log, decode_labels, resolve_references, fold_creations, fold_creations_parts, fold_dependencies, plain_changes, classify_by_name, classify_by_rule_table,
         audit_report, audit_report_folded,
     )
 }
@@ -274,6 +291,12 @@ SELECT log_id, coalesce(part, 0) AS part, is_cumulative, strftime(g.day, {DUCK_D
 FROM groups g LEFT JOIN lists l ON l.day = g.day AND l.object_id = g.object_id AND l.user_id = g.user_id""",
     "fold_dependencies": f"{_FORMATTED}, {_DEPENDENCIES} {_fold_columns('dependencies')}",
     "plain_changes": f"{_FORMATTED}, {_PLAIN} {_fold_columns('plain')}",
+    "classify_by_rule_table": """WITH rules AS (SELECT s_nationkey * 100000 + s_suppkey AS rank, '%' || right(s_name, 3) AS p,
+  '%00' || substr(s_name, -4, 1) || '%' || right(s_name, 1) AS u, CASE WHEN s_suppkey % 3 = 0 THEN 'M%' END AS sl,
+  CASE WHEN s_suppkey % 4 = 0 THEN '%L%' END AS su, 'as ' || s_name AS label FROM supplier)
+SELECT c_custkey, coalesce(arg_min(label, rank), c_mktsegment) AS class FROM customer LEFT JOIN rules
+  ON c_name LIKE p AND NOT c_name LIKE u AND (sl IS NULL OR c_mktsegment LIKE sl) AND (su IS NULL OR NOT c_mktsegment LIKE su)
+GROUP BY c_custkey, c_mktsegment""",
     "classify_by_name": """SELECT p_partkey, CASE WHEN p_name LIKE '%ring' THEN 'rings'
   WHEN p_name LIKE 'red%' OR p_name LIKE 'blue%' OR (p_name LIKE '%gear%' AND p_name NOT LIKE '%old gear%') THEN 'colours'
   WHEN p_name LIKE '%rod%' THEN 'rods' ELSE p_type END AS class FROM part""",

@@ -12,6 +12,7 @@ from ..operators import stock as St
 from ..operators.blends import blend_balance, ledger_sums
 from ..operators.periods import CaseSets
 from ..plans.tank_report import tank_report as build_report
+from ..sources.table_functions import table_function
 from . import balance_roles as B
 from . import roles as R
 from .balance_roles import CURRENT, OPENING, PREVIOUS
@@ -72,6 +73,19 @@ def tank_balance(spark, sf):
     return plain(_balances(spark, sf))
 
 
+def tank_balance_function(spark, sf):
+    """The balances as a SQL function: each monthly case asks for its own, in one division set."""
+    table_function(
+        "tank_balance_of", _balances(spark, sf),
+        {"case_id": ("int", "r.case_id = {}"), "division": ("string", "r.division = {}"), "product": ("string", "r.product LIKE {}")},
+        required=("case_id",), defaults={"division": "'PLANT'"},
+    )
+    R.cases(spark, sf).filter("analysis_id = 'MONTH'").createOrReplaceTempView("tank_months")
+    return plain(spark.sql("""
+        SELECT m.case_id AS of_case, t.* FROM tank_months m, LATERAL tank_balance_of(m.case_id, division => 'ASIA') t
+        UNION ALL SELECT m.case_id, t.* FROM tank_months m, LATERAL tank_balance_of(m.case_id, product => '%r%') t"""))
+
+
 def warehouse_topup(spark, sf):
     totals = St.warehouse_totals(
         _described(spark, sf), B.layers(spark, sf), B.TOPUP_NAMES, B.product_names(spark, sf), B.SCOPE, by=["case_id"]
@@ -287,7 +301,7 @@ def tank_report_month(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        canonical_product, tank_scope, tank_balance, warehouse_topup, compare_snapshots, append_missing_opening,
+        canonical_product, tank_scope, tank_balance, tank_balance_function, warehouse_topup, compare_snapshots, append_missing_opening,
         snapshots_by_role, shipment_totals, production_from_balance, scalar_override, append_system_rows,
         meter_adjustment, flow_total, blend_balance_daily, blend_balance_cumulative, consolidate, product_summary,
         hide_empty, group_headers, chain_order, attach_order, relabel_groups, fold_into_header,
@@ -447,6 +461,9 @@ ORACLE = {
 FROM described GROUP BY 1""",
     "tank_scope": f"WITH {_MONTHLY} {_SCOPES}",
     "tank_balance": f"WITH {_MONTHLY}, b AS ({_BALANCES}) SELECT case_id, product, division, {_d(*St.STOCK_MEASURES)} FROM b",
+    "tank_balance_function": R.more_ctes("cases") + f"""{_MONTHLY}, b AS ({_BALANCES}), of_month AS (
+  SELECT case_id AS of_case, case_id, product, division, {_d(*St.STOCK_MEASURES)} FROM b WHERE case_id IN (SELECT case_id FROM cases WHERE analysis_id = 'MONTH'))
+SELECT * FROM of_month WHERE division = 'ASIA' UNION ALL SELECT * FROM of_month WHERE division = 'PLANT' AND product LIKE '%r%'""",
     "warehouse_topup": f"""WITH {_MONTHLY}, b AS ({_BALANCES}), w AS ({B.WAREHOUSE})
 SELECT case_id, product, division, CAST(measured + CASE WHEN division = 'ASIA' THEN coalesce(warehouse, 0) ELSE 0 END AS DOUBLE) AS measured,
   CAST(CASE WHEN division = 'ASIA' THEN coalesce(warehouse, not_issued) ELSE not_issued END AS DOUBLE) AS not_issued
