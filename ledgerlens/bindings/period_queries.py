@@ -135,6 +135,12 @@ def accumulate_to(spark, sf):
 DAY = ("2024-01-15 08:00:00", "2024-01-16 08:00:00")
 
 
+def accumulate_meter(spark, sf):
+    """The readings as a counter that starts again whenever it falls."""
+    out = T.accumulate_to(_grid(spark, sf), R.readings(spark, sf), start="2024-01-08", mode="meter")
+    return out.select("tag", stamp("ts").alias("ts"), F.round("value", 6).alias("value"))
+
+
 def tag_values_at_boundaries(spark, sf):
     out = T.tag_values_at_boundaries(
         R.event_transfers(spark, sf),
@@ -173,7 +179,7 @@ QUERIES = {
     for f in (
         reporting_period, select_cases, select_cases_exact, case_kind, month_to_date_cases, case_sets,
         interval_overlap, interval_overlap_periods, interval_overlap_cases, boundary_times, entity_tags, tag_catalog, sample_grid, asof_last_value, asof_per_event,
-        accumulate_to, tag_values_at_boundaries, snapshot_at, period_accumulation, active_tag_settings, tag_id_list,
+        accumulate_to, accumulate_meter, tag_values_at_boundaries, snapshot_at, period_accumulation, active_tag_settings, tag_id_list,
     )
 }
 
@@ -245,6 +251,12 @@ SELECT p.event_id, coalesce(r.value, 0) AS value FROM points p ASOF LEFT JOIN re
     "accumulate_to": more_ctes("readings") + _GRID + f"""
 SELECT g.tag, strftime(g.ts, {DUCK_DAYTIME}) AS ts, CAST(coalesce(sum(CAST(r.value AS DECIMAL(18,3))), 0) AS DOUBLE) AS value
 FROM grid g LEFT JOIN readings r ON g.tag = r.tag AND r.ts <= g.ts AND r.ts >= TIMESTAMP '2024-01-08' GROUP BY g.tag, g.ts""",
+    "accumulate_meter": more_ctes("readings") + _GRID + f""",
+step AS (SELECT tag, ts, CAST(value AS DECIMAL(18,6)) AS v, lag(CAST(value AS DECIMAL(18,6))) OVER (PARTITION BY tag ORDER BY ts, value) AS p
+  FROM readings WHERE ts >= TIMESTAMP '2024-01-08' AND value IS NOT NULL),
+gain AS (SELECT tag, ts, CASE WHEN p IS NULL THEN 0 WHEN v >= p THEN v - p ELSE greatest(v, 0) END AS g FROM step)
+SELECT g.tag, strftime(g.ts, {DUCK_DAYTIME}) AS ts, round(CAST(coalesce(sum(s.g), 0) AS DOUBLE), 6) AS value
+FROM grid g LEFT JOIN gain s ON g.tag = s.tag AND s.ts <= g.ts GROUP BY g.tag, g.ts""",
     "tag_values_at_boundaries": more_ctes("readings", "event_transfers", "tagging") + _LIVE_DAY + f""",
 tags AS ({_TAGS.format(t="live")}), times AS ({_TIMES.format(lo=DAY[0], hi=DAY[1])}),
 grid AS (SELECT * FROM tags CROSS JOIN times),

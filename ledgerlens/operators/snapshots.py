@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.grouping import first_per_key, last_per_key
 from ..functions.times import ntz
+from ..sources.session import staged
 
 # What an exchange table holds where the source has nothing.
 NO_DATE = "1900-01-01"
@@ -70,10 +72,38 @@ def require(df: DataFrame, message: str, condition: Column | None = None) -> Dat
     return df.filter(F.assert_true(F.coalesce(condition, F.lit(False)), F.lit(message)).isNull())
 
 
+@dataclass(frozen=True)
+class Split:
+    """Rows that passed every check, the others with ``error_message``, and how many of them there are."""
+
+    good: DataFrame
+    bad: DataFrame
+    failed: int
+    rows: int
+
+
+def split_once(df: DataFrame, checks: Mapping[str, Column]) -> Split:
+    """``quarantine`` out of one pass: one job stores both kinds of rows in the shared folder, apart, and counts them on the way.
+
+    However long ``df`` takes, it is worked out once; each side then reads its own part only.
+    """
+    marked = _marked(df, checks).withColumn("_bad", F.col("error_message") != "")
+    seen = Observation()
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("_bad").alias("failed"))
+    stored = staged(counted, "split", by=("_bad",))
+    numbers = seen.get
+    good = stored.filter(~F.col("_bad")).drop("_bad", "error_message")
+    return Split(good, stored.filter("_bad").drop("_bad"), numbers["failed"], numbers["rows"])
+
+
+def _marked(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    failed = [F.when(F.coalesce(ok, F.lit(False)), F.lit(None)).otherwise(F.lit(name)) for name, ok in checks.items()]
+    return df.withColumn("error_message", F.concat_ws("; ", *failed))
+
+
 def quarantine(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(rows that pass every check, the others with ``error_message``). Unknown counts as failed."""
-    failed = [F.when(F.coalesce(ok, F.lit(False)), F.lit(None)).otherwise(F.lit(name)) for name, ok in checks.items()]
-    marked = df.withColumn("error_message", F.concat_ws("; ", *failed))
+    marked = _marked(df, checks)
     good = marked.filter(F.col("error_message") == "").drop("error_message")
     return good, marked.filter(F.col("error_message") != "")
 

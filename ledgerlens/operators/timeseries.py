@@ -264,6 +264,44 @@ def asof_last_value(
     return sampled.select(*points.columns, found.alias(value))
 
 
+def _step(before: Column, now: Column) -> Column:
+    """What a counter has counted between two readings: one that fell has started again at 0. A reading below 0 counts nothing."""
+    return F.when(now >= before, now - before).otherwise(F.greatest(now, F.lit(0).cast(EXACT)))
+
+
+def _metered(points: DataFrame, readings: DataFrame, by: list[str], time: str, value: str, tie: str | None) -> DataFrame:
+    """Points with ``_total``, the sum of all steps of a counter from its first reading up to the point.
+
+    Sorted by ranges as above. What a range hands on is associative: its first and last reading and the sum of the steps between;
+    the step from the last reading before a range to its first one is added where ranges are put together.
+    """
+    tied = F.col(tie or value)
+    seen = readings.filter(F.col(value).isNotNull()).select(*by, time, F.lit(0).alias("_kind"), tied.alias("_tie"), exact(value).alias("_v"))
+    asked = points.select(*by, time, F.lit(1).alias("_kind"), F.lit(None).cast(dict(readings.dtypes)[tie or value]).alias("_tie"), F.lit(None).cast(EXACT).alias("_v"), F.struct(*points.columns).alias("_point"))
+    order = [time, "_kind", "_tie"]
+    rows = seen.unionByName(asked, allowMissingColumns=True).repartitionByRange(*by, *order)
+    rows = staged(rows.withColumn("_range", F.spark_partition_id()), "metered")
+    within = Window.partitionBy("_range", *by).orderBy(*order)
+    previous = F.last("_v", True).over(within.rowsBetween(Window.unboundedPreceding, -1))
+    stepped = rows.withColumn("_steps", F.when(F.col("_v").isNotNull(), _step(previous, F.col("_v"))))
+    stepped = stepped.withColumn("_steps", F.when(previous.isNotNull(), F.col("_steps")))
+    when = F.when(F.col("_kind") == 0, F.struct(*order))
+    ends = stepped.groupBy("_range", *by).agg(F.min_by("_v", when).alias("_first"), F.max_by("_v", when).alias("_last"), F.sum("_steps").alias("_inner"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    reached = ends.withColumn("_reached", F.last("_last", True).over(before))
+    bridged = reached.withColumn("_bridge", F.when(F.col("_reached").isNotNull() & F.col("_first").isNotNull(), _step(F.col("_reached"), F.col("_first"))))
+    nothing = F.lit(0).cast(EXACT)
+    entry = F.coalesce("_inner", nothing) + F.coalesce("_bridge", nothing)
+    carried = bridged.select("_range", *by, "_bridge", F.sum(entry).over(before).alias("_before"))
+    inside = (
+        stepped.withColumn("_run", F.sum("_steps").over(within.rowsBetween(*RUNNING)))
+        .withColumn("_any", F.count("_v").over(within.rowsBetween(*RUNNING)) > 0)
+        .filter(F.col("_kind") == 1)
+    )
+    total = F.coalesce("_before", nothing) + F.when(F.col("_any"), F.coalesce("_bridge", nothing)).otherwise(nothing) + F.coalesce("_run", nothing)
+    return inside.join(carried, ["_range", *by]).select("_point.*", total.cast("double").alias("_total"))
+
+
 def accumulate_to(
     points: DataFrame,
     readings: DataFrame,
@@ -278,6 +316,8 @@ def accumulate_to(
 
     ``increment``: sum of the readings, as decimals so that it does not depend on arrival order.
     ``counter``: last minus first reading of a running counter.
+    ``meter``: the steps of a counter that may start again at 0: a step up counts, after a step down what the counter shows then.
+    The first reading only sets the start; null readings are left out.
     """
     by = list(by)
     used = readings if start is None else readings.filter(F.col(time) >= ntz(start))
@@ -286,6 +326,8 @@ def accumulate_to(
         last = asof_last_value(points, used, by, time, value, None, tie)
         gain = F.coalesce(F.col(value) - F.col("_first"), F.lit(0.0))
         return last.join(firsts, by, "left").withColumn(value, gain).drop("_first")
+    if mode == "meter":
+        return _metered(points, used, by, time, value, tie).select(*points.columns, F.col("_total").alias(value))
     if mode != "increment":
         raise ValueError(f"unknown mode {mode!r}")
     sampled = _sampled(points, used, by, time, value, exact(value), tie)

@@ -75,16 +75,16 @@ def remains_run(
     """State of every sampling point as of a time, defaults for what is unknown, as the current table.
 
     Points come out of the settings as text. Those that are no number go to the error log; the others are
-    loaded, and then the run raises."""
+    loaded, and then the run raises. The settings are read once: one job tells the points apart and counts them."""
     ids = T.tag_id_list(T.active_tag_settings(settings, objects, attribute, name_like))
     number = F.col("tag_id").try_cast("bigint")
-    good, bad = S.quarantine(ids, {"id of a sampling point is no number": number.isNotNull()})
-    found = T.snapshot_at(good.select(number.alias(point)), states, point, at)
+    points = S.split_once(ids, {"id of a sampling point is no number": number.isNotNull()})
+    found = T.snapshot_at(points.good.select(number.alias(point)), states, point, at)
     stored = _reloaded(S.fill_defaults(found, S.typed_defaults(found, skip=[point])), target)
-    named = bad.select(F.concat_ws(": ", "error_message", "tag_id").alias("error_message"))
-    if not named.isEmpty():
+    if points.failed:
+        named = points.bad.select(F.concat_ws(": ", "error_message", "tag_id").alias("error_message"))
         sinks.append_errors(named, errors)
-        raise RunError(f"sampling points were left out, see {errors}")
+        raise RunError(f"{points.failed} of {points.rows} sampling points were left out, see {errors}")
     return stored
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerlens.operators import periods as P
+from ledgerlens.operators import snapshots as S
 from ledgerlens.plans import runs
 from ledgerlens.sources import session as shared
 
@@ -33,6 +34,41 @@ def test_remains_run_loads_the_good_points_logs_the_others_and_raises(spark, tab
     assert tuples(again, "sampling_point_id", "mass", "name") == [(5, 0.0, ""), (6, 2.0, "x")]
 
 
+def test_rows_are_told_apart_and_counted_in_one_pass(spark, table, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = table("id string", ("5",), ("x",), (None,), ("7",), ("7",)).mapInArrow(counted, "id string")
+    split = S.split_once(rows, {"no number": F.col("id").try_cast("int").isNotNull(), "too large": F.col("id") != "7"})
+    assert (split.rows, split.failed) == (5, 4)
+    assert tuples(split.good, "id") == [("5",)]
+    assert tuples(split.bad, "id", "error_message") == [("7", "too large"), ("7", "too large"), ("x", "no number"), (None, "no number; too large")]
+    assert read.value == 5
+    nothing = S.split_once(rows.limit(0), {"never": F.lit(False)})
+    assert (nothing.rows, nothing.failed, nothing.good.count(), nothing.bad.count()) == (0, 0, 0, 0)
+
+
+def test_remains_run_reads_the_settings_once(spark, table, tmp_path):
+    path = str(tmp_path / "settings")
+    made, objects = settings(table, "5", "five", "6")
+    made.write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    states = table("sampling_point_id long, ts timestamp_ntz, mass double, name string", (5, at("2024-01-01"), None, None))
+    with pytest.raises(runs.RunError, match="1 of 3"):
+        runs.remains_run(spark.read.parquet(path).mapInArrow(counted, made.schema), objects, states, "2024-01-02 00:00:00", f"{tmp_path}/r", f"{tmp_path}/e")
+    assert read.value == made.count()
+
+
 def test_accumulation_run_fails_before_it_writes(spark, table, tmp_path):
     cases = table("case_id int, start_time timestamp_ntz, end_time timestamp_ntz", (1, at("2024-01-01"), at("2024-01-03")), (2, at("2024-01-01"), at("2024-01-01")))
     readings = table("tag_id string, ts timestamp_ntz, value double", ("5", at("2024-01-01 05:00"), 2.0), ("5", at("2024-01-02 23:00"), 3.0), ("5", at("2024-01-03"), 9.0))

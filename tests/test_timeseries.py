@@ -261,3 +261,27 @@ def test_overlap_with_periods_is_an_equi_join(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert tuples(overlapping(spark, [(1, at("2024-01-01"), None)], [], 60)[2], "id") == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_meter_with_resets_at_any_place(spark, seed):
+    """One key with most rows, so that it goes over several ranges, and resets anywhere; against a walk over its readings."""
+    rng = random.Random(seed)
+    base, rows, level = at("2024-01-01"), [], {}
+    for i in range(400):
+        tag = rng.choice(["a"] * 8 + ["b", "c"])
+        level[tag] = rng.choice([0.0, 0.25, -1.0]) if rng.random() < 0.1 else level.get(tag, 5.0) + rng.randrange(0, 40) / 8
+        rows.append((tag, base + timedelta(minutes=rng.randrange(0, 3000)), None if rng.random() < 0.05 else level[tag]))
+    rows.append(("d", base, 3.0))
+    points = [(t, base + timedelta(minutes=m), n) for n, (t, m) in enumerate((t, m) for t in "abcde" for m in range(-100, 3200, 150))]
+    start = base + timedelta(minutes=200) if seed % 2 else None
+    want = []
+    for tag, ts, n in points:
+        seen = sorted((x, v) for t, x, v in rows if t == tag and v is not None and x <= ts and (start is None or x >= start))
+        steps = [b - a if b >= a else max(b, 0.0) for (_, a), (_, b) in zip(seen, seen[1:])]
+        want.append((n, round(sum(steps), 6)))
+    out = T.accumulate_to(
+        spark.createDataFrame(points, "tag string, ts timestamp_ntz, n int"), spark.createDataFrame(rows, READING).repartition(3), mode="meter", start=str(start) if start else None
+    )
+    assert sorted((r.n, round(r.value, 6)) for r in out.collect()) == want
+    assert "ts" in out.columns and out.filter("value < 0").isEmpty()
