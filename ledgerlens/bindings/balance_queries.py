@@ -10,13 +10,15 @@ from ..functions.rules import rows_table
 from ..operators import report as Rep
 from ..operators import stock as St
 from ..operators.blends import blend_balance, ledger_sums
-from ..operators.periods import CaseSets
+from ..operators.periods import CaseSets, case_kind
 from ..plans.tank_report import tank_report as build_report
+from ..plans.totals import Totals, month_to_date
+from ..sources.session import run_dir
 from ..sources.table_functions import table_function
 from . import balance_roles as B
 from . import roles as R
 from .balance_roles import CURRENT, OPENING, PREVIOUS
-from .roles import month_id, read
+from .roles import day_id, month_id, read
 
 DIVISIONS = ((None, None, None), ("ASIA", None, None), ("EUROPE", "AMERICA", None))
 
@@ -131,6 +133,20 @@ def shipment_totals(spark, sf):
     return plain(Rep.shipment_totals(shipped.withColumn("division", F.explode(scopes)), months, by=["division"]))
 
 
+def month_to_date_totals(spark, sf):
+    """Shipments of each day and of its month so far, out of stored sums: a first load, later days, and days stated anew."""
+    month = F.expr("case_id div 100").cast("int")
+    totals = Totals(spark, f"{run_dir(spark, 'month_to_date')}/shipped", ("product", "div"), ("reconciled",), month)
+    of = lambda a, b: B.shipments(spark, sf, day_id, (a, b))
+    totals.load(of("0001-01-01", "1998-12-31 23:59:59"))
+    later, again = of("1999-01-01", "9999-12-31"), of("1997-03-01", "1997-03-10 23:59:59")
+    totals.restate(later, later.select("case_id"))
+    totals.restate(again, again.select("case_id"))
+    cases = case_kind(R.calendar_cases(read(spark, sf, "lineitem"), "l_shipdate"), "analysis_id", "MONTH")
+    out = totals.of(month_to_date(cases), ["as_of"])
+    return plain(out.groupBy("as_of", "div").agg(F.count("*").alias("products"), F.sum("reconciled").cast("decimal(18,3)").alias("reconciled")))
+
+
 def _produced(spark, sf):
     rows = Rep.balance_rows(St.snapshots_by_role(_balance(spark, sf, SPAN), SETS, plant=True))
     shipped = B.shipments(spark, sf, month_id, SPAN)
@@ -301,7 +317,7 @@ def tank_report_month(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        canonical_product, tank_scope, tank_balance, tank_balance_function, warehouse_topup, compare_snapshots, append_missing_opening,
+        month_to_date_totals, canonical_product, tank_scope, tank_balance, tank_balance_function, warehouse_topup, compare_snapshots, append_missing_opening,
         snapshots_by_role, shipment_totals, production_from_balance, scalar_override, append_system_rows,
         meter_adjustment, flow_total, blend_balance_daily, blend_balance_cumulative, consolidate, product_summary,
         hide_empty, group_headers, chain_order, attach_order, relabel_groups, fold_into_header,
@@ -477,6 +493,12 @@ UNION ALL SELECT product, 0, 0, 0, CAST(measured AS DOUBLE), CAST(-measured AS D
     "snapshots_by_role": f"""{_STOCK}, {_SNAPSHOTS} SELECT {_COMPARED}, {_d(*St.STOCK_MEASURES[1:])} FROM cur {_COMPARE_JOIN}
 UNION ALL SELECT product, 0, 0, 0, CAST(measured AS DOUBLE), CAST(-measured AS DOUBLE), 0, 0, 0, 0, 0 FROM open_
   WHERE product NOT IN (SELECT product FROM cur)""",
+    "month_to_date_totals": f"""WITH {_SOLD},
+day AS (SELECT CAST(sold_at AS DATE) AS d, product, div, sum(reconciled) AS s FROM sold GROUP BY ALL),
+days AS (SELECT CAST(unnest(generate_series(date_trunc('day', min(l_shipdate)), max(l_shipdate), INTERVAL 1 DAY)) AS DATE) AS d FROM lineitem),
+so_far AS (SELECT days.d AS as_of, product, div, sum(s) AS s FROM days JOIN day ON date_trunc('month', day.d) = date_trunc('month', days.d) AND day.d <= days.d
+  GROUP BY ALL)
+SELECT CAST(strftime(as_of, '%Y%m%d') AS INT) AS as_of, div, count(*) AS products, CAST(sum(s) AS DOUBLE) AS reconciled FROM so_far GROUP BY ALL""",
     "shipment_totals": f"""WITH {_SOLD} SELECT product, CAST(sum(reconciled) AS DOUBLE) AS reconciled, 'PLANT' AS division FROM sold GROUP BY product
 UNION ALL SELECT product, CAST(sum(reconciled) AS DOUBLE), 'ASIA' FROM sold WHERE div = 'ASIA' GROUP BY product""",
     "production_from_balance": f"{_PRODUCED} SELECT product, {_d(*PRODUCED[1:])} FROM produced",
