@@ -52,22 +52,20 @@ def _log(spark, sf):
     )
 
 
-def _names(spark, sf):
-    customers = read(spark, sf, "customer")
-    pairs = _log(spark, sf).select("case_id", "object_id").distinct()
+def _lookups(spark, sf):
+    """Names of objects and of products by case; what the log refers to comes out of one reading of it."""
+    refers = F.array(F.struct(F.lit("object").alias("kind"), F.col("object_id").alias("id")), F.struct(F.lit("product").alias("kind"), (F.col("log_id") % 100).alias("id")))
+    pairs = staged(_log(spark, sf).select("case_id", F.explode(refers).alias("r")).select("case_id", "r.kind", "r.id").distinct(), "referred")
+    customers, parts = read(spark, sf, "customer"), read(spark, sf, "part")
     name = F.when(
         F.col("c_custkey") % 4 == 0, F.concat(F.lit("Dependency "), F.col("c_name"))
     ).otherwise(F.concat("c_mktsegment", F.lit(" -> "), "c_name", F.lit(" in "), F.col("case_id")))
-    return pairs.join(customers, F.col("object_id") == F.col("c_custkey")).select(
-        "case_id", "object_id", F.when(F.col("c_acctbal") > -800, name).alias("name")
+    names = pairs.filter("kind = 'object'").join(customers, F.col("id") == F.col("c_custkey")).select(
+        "case_id", F.col("id").alias("object_id"), F.when(F.col("c_acctbal") > -800, name).alias("name")
     )
-
-
-def _products(spark, sf):
-    pairs = _log(spark, sf).select("case_id", (F.col("log_id") % 100).alias("id")).distinct()
-    parts = read(spark, sf, "part")
-    name = F.when(F.col("p_size") < 40, F.concat("p_brand", F.lit("/"), F.col("case_id")))
-    return pairs.join(parts, F.col("id") == F.col("p_partkey")).select("case_id", "id", name.alias("name"))
+    called = F.when(F.col("p_size") < 40, F.concat("p_brand", F.lit("/"), F.col("case_id")))
+    products = pairs.filter("kind = 'product'").join(parts, F.col("id") == F.col("p_partkey")).select("case_id", "id", called.alias("name"))
+    return names, products
 
 
 def _cases(spark, sf):
@@ -77,6 +75,7 @@ def _cases(spark, sf):
 
 def _sources(spark, sf):
     objects = read(spark, sf, "customer")
+    names, products = _lookups(spark, sf)
     types = rows_table(spark, "id int, name string", OBJECT_TYPES)
     keyed = objects.join(types, F.col("c_mktsegment") == F.col("name"))
     return reports.AuditSources(
@@ -87,8 +86,8 @@ def _sources(spark, sf):
             F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 19 != 3, F.col("id")).alias("object_type_id")
         ),
         object_types=types,
-        names=_names(spark, sf),
-        products=_products(spark, sf),
+        names=names,
+        products=products,
         excluded_type=EXCLUDED_TYPE,
     )
 
@@ -113,9 +112,7 @@ def decode_labels(spark, sf):
 
 
 def resolve_references(spark, sf):
-    out = A.resolve_references(
-        _log(spark, sf), _names(spark, sf), _products(spark, sf), LABELS.object_attributes, LABELS.product_attributes
-    )
+    out = A.resolve_references(_log(spark, sf), *_lookups(spark, sf), LABELS.object_attributes, LABELS.product_attributes)
     return out.select("log_id", "case_id", "object_name", "prev_text", "new_text")
 
 

@@ -12,6 +12,7 @@ from ..functions import rules
 from ..functions.grouping import listed_text
 from ..functions.text import text_before
 from ..functions.times import truncate
+from ..sources.session import staged
 
 CREATED, DELETED, EDITED, SYSTEM = 0, 1, 2, 4
 
@@ -85,37 +86,34 @@ def resolve_references(
     """Adds object_name, prev_text, new_text: an id under an object or product attribute becomes the name
     it has in the case (null when the case does not know it), any other text stays.
 
-    ``names``: case_id, object_id, name; ``products``: case_id, id, name. Both kinds form one lookup
-    relation, so two look-ups serve four cases. Rows that refer to nothing get spread, never matching
-    keys instead of one null key, which would gather them in one task.
+    ``names``: case_id, object_id, name; ``products``: case_id, id, name. Both kinds form one lookup relation. The log is stored
+    once with a number for each row; what its rows refer to, up to three references each as (row, role) pairs of a few bytes,
+    meets the relation in one join. The names found come back as one row per log row, and only then does the log itself move, once,
+    by its row numbers, so no object or case that many rows refer to gathers them.
     """
     known = names.select(
         "case_id", F.lit("object").alias("kind"), F.col("object_id").cast("bigint").alias("ref"), "name"
     ).unionByName(products.select("case_id", F.lit("product").alias("kind"), F.col("id").cast("bigint").alias("ref"), "name"))
-    known = known.groupBy("case_id", "kind", "ref").agg(F.min("name").alias("name"))
+    known = staged(known.groupBy("case_id", "kind", "ref").agg(F.min("name").alias("name")), "known_names")
+    rows = staged(log.withColumn("_row", F.monotonically_increasing_id()), "audit_rows")  # stored numbers stay as they are
 
     kind = F.when(F.col("attribute_sf").isin(list(object_attrs)), F.lit("object")).when(
         F.col("attribute_sf").isin(list(product_attrs)), F.lit("product")
     )
-    nobody = F.pmod(F.xxhash64("log_id", "case_id"), F.lit(1 << 30)).cast("bigint")
-
-    def look_up(df: DataFrame, wanted: Column, id_col: Column, out: str) -> DataFrame:
-        keyed = df.withColumn(
-            "_kind", F.when(wanted.isNotNull() & id_col.isNotNull(), wanted).otherwise(F.lit("none"))
-        ).withColumn("_ref", F.when(F.col("_kind") != "none", id_col).otherwise(nobody))
-        side = known.select(
-            F.col("case_id").alias("_case"), F.col("kind").alias("_k"), F.col("ref").alias("_r"), F.col("name").alias(out)
-        )
-        match = (F.col("case_id") == F.col("_case")) & (F.col("_kind") == F.col("_k")) & (F.col("_ref") == F.col("_r"))
-        return keyed.join(side, match, "left").drop("_case", "_k", "_r")
-
-    out = look_up(log, F.lit("object"), F.col("object_id").cast("bigint"), "object_name").drop("_kind", "_ref")
-    for text in ("prev", "new"):
-        out = look_up(out, kind, F.col(text).try_cast("bigint"), "_found")
-        out = out.withColumn(
-            f"{text}_text", F.when(F.col("_kind") != "none", F.col("_found")).otherwise(F.col(text))
-        ).drop("_kind", "_ref", "_found")
-    return out
+
+    def reference(role: str, of: Column, ref: Column) -> Column:
+        whole = F.struct(F.lit(role).alias("role"), of.alias("kind"), ref.alias("ref"))
+        return F.when(of.isNotNull() & ref.isNotNull(), whole)
+
+    ids = {text: F.col(text).try_cast("bigint") for text in ("prev", "new")}
+    wanted = [reference("object", F.lit("object"), F.col("object_id").cast("bigint")), *[reference(t, kind, i) for t, i in ids.items()]]
+    pairs = rows.select("_row", "case_id", F.explode(F.array_compact(F.array(*wanted))).alias("_r")).select("_row", "case_id", "_r.*")
+    found = pairs.join(known, ["case_id", "kind", "ref"]).groupBy("_row").agg(
+        *[F.max(F.when(F.col("role") == role, F.col("name"))).alias(f"_{role}") for role in ("object", "prev", "new")]
+    )
+    texts = {f"{t}_text": F.when(kind.isNotNull() & i.isNotNull(), F.col(f"_{t}")).otherwise(F.col(t)) for t, i in ids.items()}
+    named = rows.join(found, "_row", "left").withColumns({"object_name": F.col("_object"), **texts})
+    return named.drop("_row", "_object", "_prev", "_new")
 
 
 def fold_creations(log: DataFrame, labels: Labels, unit: str = "SECOND", per_part: int = 10_000) -> DataFrame:

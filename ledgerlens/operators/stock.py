@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.amounts import EXACT, exact, money, or_zero, total
@@ -127,6 +127,17 @@ def _counts(rules: ScopeRules, in_layer: Column, div: str | None) -> Column:
     return keep & ~one_of(product, rules.special_barred, rules.ci) if special and rules.special_barred else keep
 
 
+def _members(layers: DataFrame, rules: ScopeRules, divisions: Mapping[str, Sequence[str | None]]) -> DataFrame:
+    """object_id and ``_in0``, ``_in1``, ...: whether a tank is in one of the layers of each set of divisions."""
+    wanted = [
+        [rules.plant_layer if (divs[0] if divs else None) is None else divs[0], *[d for d in divs[1:] if d is not None]]
+        for divs in divisions.values()
+    ]
+    return layers.groupBy("object_id").agg(
+        *[F.max(one_of(F.col("layer"), layer, rules.ci)).alias(f"_in{i}") for i, layer in enumerate(wanted)]
+    )
+
+
 def tank_scopes(
     described: DataFrame,
     layers: DataFrame,
@@ -140,13 +151,7 @@ def tank_scopes(
     ``layers``: object_id, layer. They are reduced to one row per tank (in one of a set's layers or not), so
     a tank in several layers never fans out, and the positions are read once for all sets.
     """
-    wanted = {
-        n: [rules.plant_layer if (divs[0] if divs else None) is None else divs[0], *[d for d in divs[1:] if d is not None]]
-        for n, divs in divisions.items()
-    }
-    member = layers.groupBy("object_id").agg(
-        *[F.max(one_of(F.col("layer"), layer, rules.ci)).alias(f"_in{i}") for i, layer in enumerate(wanted.values())]
-    )
+    member = _members(layers, rules, divisions)
     named = [
         F.when(_counts(rules, F.col(f"_in{i}"), divs[0] if divs else None), F.lit(n))
         for i, (n, divs) in enumerate(divisions.items())
@@ -156,7 +161,7 @@ def tank_scopes(
         described.filter(common)
         .join(member, "object_id")
         .withColumn(name, F.explode(F.array_compact(F.array(*named))))
-        .drop(*[f"_in{i}" for i in range(len(wanted))])
+        .drop(*[f"_in{i}" for i in range(len(divisions))])
     )
 
 
@@ -177,29 +182,42 @@ def tank_balance(
 ) -> DataFrame:
     """Per canonical product (and ``by``, for several cases in one pass): stock, passported, not passported,
     not issued, dead residue, free volume. Equal tank rows count once."""
+    named = canonical_product(scoped, names, mapping)
+    measures = [m.alias(c) for c, m in _measures(rules).items()]
+    rows = named.select(*by, "place", F.col("canonical").alias("product"), *measures).distinct()
+    return rows.groupBy(*by, "product").agg(*[total(m).alias(m) for m in STOCK_MEASURES])
+
+
+def _measures(rules: ScopeRules) -> dict[str, Column]:
+    """The amounts of one position, by ``STOCK_MEASURES``."""
     bulk = one_of(F.col("product"), rules.bulk_products, rules.ci)
-    stock, lean = exact("measured"), exact("mass_without_dr")
-    nothing = F.lit(0).cast(EXACT)
+    stock, lean, nothing = exact("measured"), exact("mass_without_dr"), F.lit(0).cast(EXACT)
     passed = F.col("passport_state") == rules.passported_state
+    open_state = (F.col("passport_state") != rules.passported_state) | F.col("passport_state").isNull()
     waiting = like_any(F.col("place"), [rules.warehouse], rules.ci) & ~one_of(
         F.col("product"), rules.issued_products, rules.ci
     )
-    named = canonical_product(scoped, names, mapping)
-    rows = named.select(
-        *by,
-        "place",
-        F.col("canonical").alias("product"),
-        stock.alias("measured"),
-        F.when(bulk, nothing).when(passed, lean).otherwise(nothing).alias("passported"),
-        F.when(bulk, stock)
-        .when((F.col("passport_state") != rules.passported_state) | F.col("passport_state").isNull(), lean)
-        .otherwise(nothing)
-        .alias("not_passported"),
-        F.when(waiting, stock).otherwise(nothing).alias("not_issued"),
-        exact("dead_residue_mass").alias("dead_residue"),
-        exact("free_volume").alias("free_volume"),
-    ).distinct()
-    return rows.groupBy(*by, "product").agg(*[total(m).alias(m) for m in STOCK_MEASURES])
+    return {
+        "measured": stock,
+        "passported": F.when(bulk, nothing).when(passed, lean).otherwise(nothing),
+        "not_passported": F.when(bulk, stock).when(open_state, lean).otherwise(nothing),
+        "not_issued": F.when(waiting, stock).otherwise(nothing),
+        "dead_residue": exact("dead_residue_mass"),
+        "free_volume": exact("free_volume"),
+    }
+
+
+def _in_warehouse(rules: ScopeRules) -> Column:
+    """Positions of the top-up: warehouse places that hold something of a product that counts."""
+    place, product = F.col("place"), F.col("product")
+    return (
+        like_none(product, [*rules.excluded_products, *rules.lifted_products, *rules.topup_excluded], rules.ci)
+        & like_any(place, [rules.warehouse], rules.ci)
+        & like_none(place, rules.topup_excluded_places, rules.ci)
+        & _real(rules)
+        & (F.col("measured") > 0)
+        & _grouping_ok(rules)
+    )
 
 
 def warehouse_totals(
@@ -215,16 +233,7 @@ def warehouse_totals(
 
     Equal amounts of one product count once (``distinct``); turn it off to count every tank.
     """
-    place, product = F.col("place"), F.col("product")
-    keep = (
-        like_none(product, [*rules.excluded_products, *rules.lifted_products, *rules.topup_excluded], rules.ci)
-        & like_any(place, [rules.warehouse], rules.ci)
-        & like_none(place, rules.topup_excluded_places, rules.ci)
-        & _real(rules)
-        & (F.col("measured") > 0)
-        & _grouping_ok(rules)
-    )
-    held = described.filter(keep).join(layers.select("object_id").distinct(), "object_id", "left_semi")
+    held = described.filter(_in_warehouse(rules)).join(layers.select("object_id").distinct(), "object_id", "left_semi")
     named = canonical_product(held, names, mapping).withColumn("_stock", exact("measured"))
     amount = F.sum_distinct("_stock") if distinct else F.sum("_stock")
     return named.groupBy(*by, F.col("canonical").alias("product")).agg(money(amount).alias("warehouse"))
@@ -250,11 +259,58 @@ def warehouse_topup(
     hit = F.col("warehouse").isNotNull()
     if division is not None:
         hit = hit & ~F.col(division).isin([d for d in (plant, rules.topup_barred_division) if d is not None])
-    new = {
+    return joined.select(*[_raised(hit).get(c, F.col(c)).alias(c) for c in balance.columns])
+
+
+def _raised(hit: Column) -> dict[str, Column]:
+    return {
         "not_issued": F.when(hit, F.col("warehouse")).otherwise(F.col("not_issued")),
         "measured": F.when(hit, money(F.col("measured") + F.col("warehouse"))).otherwise(F.col("measured")),
     }
-    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in balance.columns])
+
+
+def topped_up_balances(
+    described: DataFrame,
+    layers: DataFrame,
+    names: NameRules,
+    short: NameRules,
+    mapping: DataFrame,
+    rules: ScopeRules,
+    divisions: Mapping[str, Sequence[str | None]],
+    by: Sequence[str],
+    division: str = "division",
+    plant: str = "PLANT",
+) -> DataFrame:
+    """The balances of several sets of divisions, topped up from the warehouse, out of one reading of the positions.
+
+    What ``tank_scopes``, ``tank_balance``, ``warehouse_totals`` (by the naming rules ``short``) and ``warehouse_topup`` give one after
+    the other. A position stands under each set it counts for, and under the warehouse if it counts there; from then on the
+    warehouse is one more set of the same aggregation, whose sums reach the others by product.
+    """
+    member = _members(layers, rules, divisions)
+    common = like_none(F.col("product"), rules.excluded_products, rules.ci) & _in_store(rules) & _real(rules)
+    sets = [
+        F.when(common & _counts(rules, F.col(f"_in{i}"), divs[0] if divs else None), F.struct(F.lit(n).alias("set"), F.lit(False).alias("held")))
+        for i, (n, divs) in enumerate(divisions.items())
+    ]
+    sets.append(F.when(_in_warehouse(rules), F.struct(F.lit(None).cast("string").alias("set"), F.lit(True).alias("held"))))
+    laid = described.filter(common | _in_warehouse(rules)).join(member, "object_id").withColumn("_s", F.explode(F.array_compact(F.array(*sets))))
+    laid = laid.withColumns({division: F.col("_s.set"), "_held": F.col("_s.held")})
+
+    named = canonical_product(canonical_product(laid, names, mapping), short, mapping, out="_short")
+    held = F.col("_held")
+    # in the warehouse equal amounts of a product count once, whatever the tank: there the amount is all that tells rows apart
+    rows = named.select(
+        *by, division, "_held",
+        F.when(~held, F.col("place")).alias("place"),
+        F.when(held, F.col("_short")).otherwise(F.col("canonical")).alias("product"),
+        *[m.alias(c) if c == "measured" else F.when(~held, m).alias(c) for c, m in _measures(rules).items()],
+    ).distinct()
+    sums = rows.groupBy(*by, "product", division, "_held").agg(*[total(m).alias(m) for m in STOCK_MEASURES])
+    stored = F.max(F.when(held, F.col("measured"))).over(Window.partitionBy(*by, "product"))
+    joined = sums.withColumn("warehouse", stored).filter(~held)
+    hit = F.col("warehouse").isNotNull() & ~F.col(division).isin([d for d in (plant, rules.topup_barred_division) if d is not None])
+    return joined.select(*by, "product", *[_raised(hit).get(c, F.col(c)).alias(c) for c in STOCK_MEASURES], division)
 
 
 def compare_snapshots(cur: DataFrame, prev: DataFrame, opening: DataFrame) -> DataFrame:

@@ -154,3 +154,25 @@ def test_labels_and_text_helpers(table):
     df = table("a int, t string", (0, " x "), (9, "   "), (None, None))
     assert tuples(df.select(rules.labels(F.col("a"), {0: "zero"}).alias("l")), "l") == [("9",), ("zero",), (None,)]
     assert tuples(df.select(text.blank_to_null(F.col("t")).alias("t")), "t") == [("x",), (None,), (None,)]
+
+
+def test_references_move_the_log_once(spark, table):
+    """One join finds all names; the texts of the log are shuffled once, by row number."""
+    log = table(
+        "log_id int, case_id int, object_id int, attribute_sf string, prev string, new string",
+        (1, 1, 7, "SourceId", "7", "8"), (1, 1, 7, "SourceId", "7", "8"), (2, 1, None, "ProductId", "7", "x"), (3, 2, 7, "Name", "7", None), (4, None, 7, "DestId", "8", "9"),
+    )
+    names = table("case_id int, object_id int, name string", (1, 7, "tank"), (1, 8, None), (2, 7, "vat"))
+    products = table("case_id int, id int, name string", (1, 7, "oil"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = A.resolve_references(log, names, products, ["SourceId", "DestId"], ["ProductId"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert tuples(out, "log_id", "case_id", "object_name", "prev_text", "new_text") == [
+            (1, 1, "tank", "tank", None), (1, 1, "tank", "tank", None), (2, 1, None, "oil", "x"), (3, 2, "vat", "7", None), (4, None, None, None, None),
+        ]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(case_id") == 2 and plan.count("Exchange hashpartitioning(_row") == 2
+    assert plan.count("SortMergeJoin") == 2 and out.columns == [*log.columns, "object_name", "prev_text", "new_text"]
