@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-import re
 import zlib
 from collections.abc import Callable
 
@@ -30,15 +30,16 @@ def word_bpe() -> str:
 
 
 _BETWEEN = "<|endoftext|>"  # a special token, so that many words can be encoded at once
-_LETTERS = re.compile("[a-zß-öø-ÿ]+")
-_CLOSED = "[a-z0-9ß-öø-ÿ][.,]$"  # a full stop or comma behind a letter or digit
+_LETTERS = "^[a-zß-öø-ÿ]+$"
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which may begin an ending such as 's
+_CLOSED = "[a-z0-9ß-öø-ÿ]$"  # what signs at the end are encoded apart from
 
 
 class Words:
     """Ids of texts, by runs of characters between ASCII white space.
 
     The tokenizer drops white space and never joins over it, so a text's ids are those of its runs, one after the other. It lowers
-    letters, and a full stop or comma that ends a run behind a letter or digit is encoded by itself, so runs that differ in these
+    letters, and the signs that end a run behind a letter or digit are encoded by themselves, so runs that differ in these
     share what has to be encoded.
     """
 
@@ -56,15 +57,17 @@ class Words:
 
     def encode(self, stems: list[str]):
         """Ids of stems, many to a call; those with the sign of special tokens one by one."""
-        letters, plain, special = [], [], []
-        for s in stems:
-            (letters if _LETTERS.fullmatch(s) else special if "<|" in s else plain).append(s)
+        held = pa.array(stems, pa.string())
+        simple = pc.match_substring_regex(held, _LETTERS).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring(held, "<|").to_numpy(zero_copy_only=False)
+        letters, plain, special = (list(itertools.compress(stems, mask)) for mask in (simple, ~simple & ~odd, odd))
         ids, lengths = [], []
-        for tokenizer, some, step in ((self.letters, letters, 128), (self.whole, plain, 128), (self.whole, special, 1)):
+        for tokenizer, some, step in ((self.letters, letters, 64), (self.whole, plain, 128), (self.whole, special, 1)):
             for a in range(0, len(some), step):
                 part = some[a : a + step]
                 joined = part[0] if step == 1 else _BETWEEN.join(part)
-                found = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, dtype=np.uint32)
+                # the fast call leaves out places in the text; the ids are the same
+                found = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
                 ends = np.flatnonzero(found == self.between) if step > 1 else np.zeros(0, np.int64)
                 lengths.append(np.diff(ends, prepend=-1, append=len(found)) - 1)
                 ids.append(np.delete(found, ends))
@@ -82,19 +85,34 @@ class Words:
 
     def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct runs one after the other, and their number for each run."""
-        closed = pc.match_substring_regex(words, _CLOSED)
-        stems = pc.if_else(closed, pc.utf8_slice_codeunits(words, 0, -1), words)
-        found, _ = self.stems.codes([[*stems.to_pylist(), ".", ","]])
-        closed = closed.to_numpy(zero_copy_only=False).astype(bool)
-        commas = pc.ends_with(words, ",").to_numpy(zero_copy_only=False).astype(bool)
+        trimmed = pc.ascii_rtrim(words, characters=_SIGNS)
+        size, left = (numbers(pc.binary_length(x)) for x in (words, trimmed))
+        some = np.flatnonzero((size != left) & ~pc.match_substring(words, "<|").to_numpy(zero_copy_only=False))
+        some = some[pc.match_substring_regex(trimmed.take(pa.array(some)), _CLOSED).to_numpy(zero_copy_only=False)]
+        closed = np.zeros(len(words), bool)
+        closed[some] = True
+        stems = pc.if_else(pa.array(closed), trimmed, words).dictionary_encode()
+        tails = _ends(words, left[some], some).dictionary_encode()
+        found, _ = self.stems.codes([[*stems.dictionary.to_pylist(), *tails.dictionary.to_pylist()]])
+        apart = len(stems.dictionary)
         at = np.cumsum(1 + closed) - 1 - closed
         codes = np.empty(len(words) + int(closed.sum()), np.int64)
-        codes[at] = found[:-2]
-        codes[at[closed] + 1] = np.where(commas[closed], found[-1], found[-2])
+        codes[at] = found[numbers(stems.indices)]
+        codes[at[closed] + 1] = found[apart:][numbers(tails.indices)]
         flat, ends = self.stems.pools[0].joined(codes, 1 + closed)
         return flat, np.diff(ends, prepend=0)
 
 
+def _ends(texts: pa.Array, begin: np.ndarray, rows: np.ndarray) -> pa.Array:
+    """What some rows of a string array hold from a byte on."""
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    size = at[rows + 1] - at[rows] - begin
+    ends = np.concatenate([[0], np.cumsum(size)])
+    places = np.repeat(at[rows] + begin - ends[:-1], size) + np.arange(ends[-1])
+    held = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[places]
+    return pa.StringArray.from_buffers(len(rows), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(held))
+
+
 @functools.lru_cache(2)
 def words(path: str) -> Words:
     """Kept by a worker from task to task."""
