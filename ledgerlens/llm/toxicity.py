@@ -22,6 +22,7 @@ EVIDENCE = 14.0  # a term's log-likelihood gain over the prior, at least: by cha
 NEIGHBOURS = 15
 BLOCK = 64  # examples of a block of the index
 HEAD = 256  # terms that most examples hold; these are multiplied as a matrix
+PART = 500_000  # postings that are sorted at once
 QUERIES = 64  # texts that are compared with the examples at once
 MARKED = 0.9  # share of the terms that go with the label in the cosine of two texts that both hold such terms
 POWER = 4  # of the cosine, as a vote
@@ -159,18 +160,28 @@ class BlockMaxIndex:
         top = np.argsort(-often, kind="stable")[: min(HEAD, self.size)]
         self.place = np.full(self.size, -1, np.int32)
         self.place[top] = np.arange(len(top))
-        row = np.repeat(np.arange(self.rows, dtype=np.int32), np.diff(self.cut))
-        at = self.place[self.terms]
         self.head = np.zeros((len(top), self.padded), np.float32)
-        common = at >= 0
-        self.head[at[common], row[common]] = self.values[common]
-        del at
-        rest = np.flatnonzero(~common).astype(np.int32)
-        rest = rest[np.argsort(self.terms[rest], kind="stable")]
+        for a in range(0, len(self.terms), PART):  # in parts, so that little is held beside the lists
+            at = self.place[self.terms[a : a + PART]]
+            common = np.flatnonzero(at >= 0)
+            self.head[at[common], self._row(a + common)] = self.values[a + common]
         self.begin = np.concatenate([[0], np.cumsum(np.where(self.place < 0, often, 0))])
-        self.lists = row[rest], self.values[rest].astype(np.float32)
+        self.lists = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1], np.float32)
+        low = 0
+        while low < self.size:
+            high = max(low + 1, int(np.searchsorted(self.begin, self.begin[low] + PART, side="right")) - 1)
+            rest = np.flatnonzero((self.terms >= low) & (self.terms < high))
+            rest = rest[self.place[self.terms[rest]] < 0]
+            rest = rest[np.argsort(self.terms[rest], kind="stable")]
+            span = slice(self.begin[low], self.begin[high])
+            self.lists[0][span], self.lists[1][span] = self._row(rest), self.values[rest]
+            low = high
         self.dense = np.zeros(self.size)
 
+    def _row(self, at: np.ndarray) -> np.ndarray:
+        """The examples that postings belong to."""
+        return np.searchsorted(self.cut, at, side="right") - 1
+
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text (terms, weights) the rows and cosines of the k nearest examples that share a term, nearest first, ties to the earlier row."""
         if not self.rows:
