@@ -89,19 +89,18 @@ def tank_balance_function(spark, sf):
 
 
 def warehouse_topup(spark, sf):
-    """Balances and warehouse totals out of one reading of the positions."""
-    out = St.topped_up_balances(
-        _described(spark, sf), B.layers(spark, sf), B.NAMES, B.TOPUP_NAMES, B.product_names(spark, sf), B.SCOPE, SCOPES, by=["case_id"]
+    totals = St.warehouse_totals(
+        _described(spark, sf), B.layers(spark, sf), B.TOPUP_NAMES, B.product_names(spark, sf), B.SCOPE, by=["case_id"]
     )
+    out = St.warehouse_topup(_balances(spark, sf), totals, None, B.SCOPE, by=["case_id"], division="division")
     return plain(out.select("case_id", "product", "measured", "not_issued", "division"))
 
 
-def warehouse_topup_steps(spark, sf):
-    """The same by the single operators."""
-    totals = St.warehouse_totals(
-        _described(spark, sf), B.layers(spark, sf), B.TOPUP_NAMES, B.product_names(spark, sf), B.SCOPE, by=["case_id"]
+def topped_up_balances(spark, sf):
+    """Balances and warehouse totals out of one reading of the positions."""
+    out = St.topped_up_balances(
+        _described(spark, sf), B.layers(spark, sf), B.NAMES, B.TOPUP_NAMES, B.product_names(spark, sf), B.SCOPE, SCOPES, by=["case_id"]
     )
-    out = St.warehouse_topup(_balances(spark, sf), totals, None, B.SCOPE, by=["case_id"], division="division")
     return plain(out.select("case_id", "product", "measured", "not_issued", "division"))
 
 
@@ -326,7 +325,7 @@ def tank_report_month(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        month_to_date_totals, canonical_product, tank_scope, tank_balance, tank_balance_function, warehouse_topup, warehouse_topup_steps, compare_snapshots, append_missing_opening,
+        month_to_date_totals, canonical_product, tank_scope, tank_balance, tank_balance_function, warehouse_topup, topped_up_balances, compare_snapshots, append_missing_opening,
         snapshots_by_role, shipment_totals, production_from_balance, scalar_override, append_system_rows,
         meter_adjustment, flow_total, blend_balance_daily, blend_balance_cumulative, consolidate, product_summary,
         hide_empty, group_headers, chain_order, attach_order, relabel_groups, fold_into_header,
@@ -493,7 +492,7 @@ SELECT * FROM of_month WHERE division = 'ASIA' UNION ALL SELECT * FROM of_month
 SELECT case_id, product, division, CAST(measured + CASE WHEN division = 'ASIA' THEN coalesce(warehouse, 0) ELSE 0 END AS DOUBLE) AS measured,
   CAST(CASE WHEN division = 'ASIA' THEN coalesce(warehouse, not_issued) ELSE not_issued END AS DOUBLE) AS not_issued
 FROM b LEFT JOIN w USING (case_id, product)""",
-    "warehouse_topup_steps": f"""WITH {_MONTHLY}, b AS ({_BALANCES}), w AS ({B.WAREHOUSE})
+    "topped_up_balances": f"""WITH {_MONTHLY}, b AS ({_BALANCES}), w AS ({B.WAREHOUSE})
 SELECT case_id, product, division, CAST(measured + CASE WHEN division = 'ASIA' THEN coalesce(warehouse, 0) ELSE 0 END AS DOUBLE) AS measured,
   CAST(CASE WHEN division = 'ASIA' THEN coalesce(warehouse, not_issued) ELSE not_issued END AS DOUBLE) AS not_issued
 FROM b LEFT JOIN w USING (case_id, product)""",

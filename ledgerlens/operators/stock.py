@@ -294,17 +294,18 @@ def topped_up_balances(
         for i, (n, divs) in enumerate(divisions.items())
     ]
     sets.append(F.when(_in_warehouse(rules), F.struct(F.lit(None).cast("string").alias("set"), F.lit(True).alias("held"))))
-    laid = described.filter(common | _in_warehouse(rules)).join(member, "object_id").withColumn("_s", F.explode(F.array_compact(F.array(*sets))))
-    laid = laid.withColumns({division: F.col("_s.set"), "_held": F.col("_s.held")})
-
-    named = canonical_product(canonical_product(laid, names, mapping), short, mapping, out="_short")
+    # a position is named once, whatever sets it counts for
+    used = described.filter(common | _in_warehouse(rules)).join(member, "object_id")
+    named = canonical_product(canonical_product(used, names, mapping), short, mapping, out="_short")
+    laid = named.select("*", *[m.alias(f"_m{i}") for i, m in enumerate(_measures(rules).values())])
+    laid = laid.withColumn("_s", F.explode(F.array_compact(F.array(*sets)))).withColumns({division: F.col("_s.set"), "_held": F.col("_s.held")})
     held = F.col("_held")
     # in the warehouse equal amounts of a product count once, whatever the tank: there the amount is all that tells rows apart
-    rows = named.select(
+    rows = laid.select(
         *by, division, "_held",
         F.when(~held, F.col("place")).alias("place"),
         F.when(held, F.col("_short")).otherwise(F.col("canonical")).alias("product"),
-        *[m.alias(c) if c == "measured" else F.when(~held, m).alias(c) for c, m in _measures(rules).items()],
+        *[F.col(f"_m{i}").alias(c) if c == "measured" else F.when(~held, F.col(f"_m{i}")).alias(c) for i, c in enumerate(STOCK_MEASURES)],
     ).distinct()
     sums = rows.groupBy(*by, "product", division, "_held").agg(*[total(m).alias(m) for m in STOCK_MEASURES])
     stored = F.max(F.when(held, F.col("measured"))).over(Window.partitionBy(*by, "product"))

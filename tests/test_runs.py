@@ -125,7 +125,7 @@ def scans(df, table):
 
 
 @needs_tables
-@pytest.mark.parametrize("name, most", [("tank_balance", 1), ("tank_scope", 1), ("warehouse_topup", 1), ("warehouse_topup_steps", 2), ("shipment_totals", 2)])
+@pytest.mark.parametrize("name, most", [("tank_balance", 1), ("tank_scope", 1), ("warehouse_topup", 2), ("topped_up_balances", 1), ("shipment_totals", 2)])
 def test_scans_of_line_items(spark, name, most):
     assert 1 <= len(scans(entry.queries()[name](spark, SF), "lineitem")) <= most
 
