@@ -110,11 +110,11 @@ def _secrets_sql() -> str:
         weak AS (
             SELECT * FROM pos c WHERE kind IN ('login', 'key', 'endpoint')
               AND NOT EXISTS (SELECT 1 FROM base o WHERE o.doc_id = c.doc_id AND o.s < c.e AND o.e > c.s)
-              AND EXISTS (SELECT 1 FROM base o WHERE o.doc_id = c.doc_id AND o.kind IN ('assign', 'access'))
-        ), logins AS (SELECT * FROM weak c WHERE kind = 'login' AND EXISTS (SELECT 1 FROM base o WHERE o.kind = 'assign' AND {near})),
+        ), parts AS (SELECT * FROM base WHERE kind <> 'access' UNION ALL SELECT * FROM weak WHERE kind = 'key'),
+        logins AS (SELECT * FROM weak c WHERE kind = 'login' AND EXISTS (SELECT 1 FROM parts o WHERE {near})),
         ids AS (SELECT * FROM base WHERE kind = 'access' UNION ALL SELECT * FROM logins),
         keys AS (SELECT * FROM weak c WHERE kind = 'key' AND EXISTS (SELECT 1 FROM ids o WHERE {near})),
-        values_ AS (SELECT * FROM base WHERE kind = 'assign' UNION ALL SELECT * FROM keys),
+        values_ AS (SELECT * FROM base WHERE kind <> 'access' UNION ALL SELECT * FROM keys),
         ends AS (SELECT * FROM weak c WHERE kind = 'endpoint' AND EXISTS (SELECT 1 FROM ids o WHERE {near}) AND EXISTS (SELECT 1 FROM values_ o WHERE {near})),
         spans AS (SELECT * FROM base UNION ALL SELECT * FROM logins UNION ALL SELECT * FROM keys UNION ALL SELECT * FROM ends)
         SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,

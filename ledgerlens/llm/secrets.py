@@ -52,14 +52,13 @@ def _apart(spans, *others) -> F.Column:
     return F.filter(spans, lambda s: ~F.exists(taken, lambda o: (o["start"] < s["end"]) & (o["end"] > s["start"])))
 
 
-def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", anchored: bool = False) -> DataFrame:
+def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text and, by kind, the spans (code points, end exclusive) found in every whole text.
 
     Strong kinds are always reported: ``assign`` (a named secret with a value of 8 or more), ``access`` (key identifiers) and
     ``hex`` (32 or more). Weak kinds only where complementary parts stand within ``SCOPE`` code points, and only apart from strong
     spans: ``login`` with a secret (assign, hex or key); ``key`` (40 characters) with a key identifier or a login; ``endpoint`` with
-    both an identifier (access or login) and a secret (assign, hex or key). With ``anchored`` weak kinds count only in texts with an
-    assigned secret or a key identifier, logins only near an assigned secret, and hex isn't a part, as in the SQL of the query.
+    both an identifier (access or login) and a secret (assign, hex or key).
 
     Each row is worked on by itself with built-in functions: no shuffle, whatever the texts or ids. Null text counts as empty;
     rows that repeat or have no doc_id are kept as they are; other columns are left out.
@@ -75,19 +74,18 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", anchored:
         F.when(F.contains(body, F.lit("AKIA")), matched(body, ACCESS)).otherwise(none).alias("access"),
         F.when(F.rlike(body, F.lit(HEX)), matched(body, HEX)).otherwise(none).alias("hex"),
     )
-    rich = (F.size("assign") > 0) | (F.size("access") > 0)
     logs = F.contains(low, F.lit("user")) | F.contains(low, F.lit("login")) | F.contains(low, F.lit("client")) | F.contains(low, F.lit("account"))
-    login, key, endpoint = (rich, rich, rich) if anchored else (logs, F.rlike(body, F.lit(r"[A-Za-z0-9/+=]{40}")), F.contains(body, F.lit("://")))
+    login, key, endpoint = logs, F.rlike(body, F.lit(r"[A-Za-z0-9/+=]{40}")), F.contains(body, F.lit("://"))
     weak = strong.select(
         "*",
         F.when(login, _apart(matched(body, LOGIN, 3), F.col("assign"), F.col("access"), F.col("hex"))).otherwise(none).alias("logins"),
         F.when(key, _apart(matched(body, KEY), F.col("assign"), F.col("access"), F.col("hex"))).otherwise(none).alias("keys"),
         F.when(endpoint, _apart(matched(body, ENDPOINT), F.col("assign"), F.col("access"), F.col("hex"))).otherwise(none).alias("endpoints"),
     )
-    secret = F.col("assign") if anchored else F.concat("assign", "hex", "keys")
+    secret = F.concat("assign", "hex", "keys")
     logged = weak.withColumn("login", F.filter("logins", lambda s: _near(s, secret))).drop("logins")
     keyed = logged.withColumn("key", F.filter("keys", lambda s: _near(s, F.concat("access", "login")))).drop("keys")
-    secret = F.concat("assign", "key") if anchored else F.concat("assign", "hex", "key")
+    secret = F.concat("assign", "hex", "key")
     return keyed.withColumn(
         "endpoint",
         F.filter("endpoints", lambda s: _near(s, F.concat("access", "login")) & _near(s, secret)),
@@ -109,8 +107,8 @@ def _joined(kinds: tuple[str, ...]) -> F.Column:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked (weak spans reported) of every row; see ``spans`` (anchored)."""
-    return spans(docs, anchored=True).select(
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked (weak spans reported) of every row; see ``spans``."""
+    return spans(docs).select(
         "doc_id",
         *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]),
         F.sha2(_joined(KINDS[:3]).cast("binary"), 256).alias("base_sha256"),
