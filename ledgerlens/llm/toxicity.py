@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from ..sources.session import staged
 from .common import listed, lists, numbers
@@ -21,7 +22,11 @@ PURE = 0.8  # share of toxic rows among those that hold a term, at least
 EVIDENCE = 14.0  # a term's log-likelihood gain over the prior, at least: by chance less than one of a million terms has it
 NEIGHBOURS = 15
 BLOCK = 64  # examples of a block of the index
-HEAD = 256  # terms that most examples hold; these are multiplied as a matrix
+HEAD = 256  # terms that most examples hold; these open no block
+GROUP = 8  # of them share a bound
+CLUSTERS, ROUNDS = 16, 4  # of examples that share heavy terms, for the order of the blocks
+FIRST = 4  # blocks that are opened first
+ROUNDING = 1e-5  # more than single precision can be off
 PART = 500_000  # postings that are sorted at once
 QUERIES = 64  # texts that are compared with the examples at once
 MARKED = 0.9  # share of the terms that go with the label in the cosine of two texts that both hold such terms
@@ -30,7 +35,7 @@ CALM = 0.4  # weight of the prior among the votes
 STRETCH = 1000  # words; in a longer text a term must occur as often in every such stretch, on average
 PREFIXES = (4, 5, 6, 7)
 TIMES = (1, 2, 4)  # a term counts anew as one that occurs so often
-SEEN = 100_000  # words whose terms a worker remembers; it starts anew beyond that
+SEEN = 100_000  # words whose numbers a worker remembers; it starts anew beyond that
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -40,30 +45,43 @@ def _terms(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in PREFIXES if len(word) >= n)]
 
 
+def _hashes(words) -> np.ndarray:
+    """64-bit hashes that stand for the words: two of a million words share one with a probability below 1e-7."""
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+
 def _counted(batches):
     """text, toxic -> term, times, rows with it, toxic rows with it (part sums)."""
     for batch in sliced(batches, "text", 1 << 20):
-        sums: dict[tuple[str, int], list[int]] = {}
+        sums = {(k, bad): Counter() for k in TIMES for bad in (False, True)}
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            tf: dict[str, int] = {}
-            words = _WORD.findall((text or "").lower())
-            for w, n in Counter(words).items():
-                for t in _terms(w):
-                    tf[t] = tf.get(t, 0) + n
-            least = max(1, len(words) / STRETCH)
-            for t, n in tf.items():
-                for k in TIMES:
-                    if n >= (k * least if k > 1 else 1):
-                        at = sums.setdefault((t, k), [0, 0])
-                        at[0] += 1
-                        at[1] += toxic
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([t for t, _ in sums], pa.string()), pa.array([k for _, k in sums], pa.int32()),
-                pa.array([x[0] for x in sums.values()], pa.int64()), pa.array([x[1] for x in sums.values()], pa.int64()),
-            ],
-            ["term", "times", "n", "toxic"],
-        )
+            own = Counter(_WORD.findall((text or "").lower()))
+            tf: dict[str, int] = dict(own)
+            for size in PREFIXES:
+                for w, n in own.items():
+                    if len(w) >= size:
+                        t = w[:size] + "-"
+                        tf[t] = tf.get(t, 0) + n
+            least = max(1, own.total() / STRETCH)
+            for k in TIMES:
+                found = tf if k == 1 else [t for t, n in tf.items() if n >= k * least]
+                sums[k, toxic > 0].update(list(found))
+        for k in TIMES:
+            bad = sums[k, True]
+            both = sums[k, False] + bad
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(both), pa.string()), pa.array([k] * len(both), pa.int32()),
+                    pa.array(list(both.values()), pa.int64()), pa.array([bad[t] for t in both], pa.int64()),
+                ],
+                ["term", "times", "n", "toxic"],
+            )
+
+
+def _named(batches):
+    """term -> hash."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_hashes(batch.column("term").to_pylist()).view(np.int64))], ["hash"])
 
 
 def _vectors(shared):
@@ -72,29 +90,33 @@ def _vectors(shared):
     def run(batches):
         number, vocabulary = shared.value
         chosen = {t for t, _ in number}
-        seen: set[str] = set()
+        begins = {t.rstrip("-")[: PREFIXES[0]] for t in chosen}  # shared by every word with a chosen term
+        code: dict[str, int] = {}
         known: dict[str, list[str]] = {}
         for batch in sliced(batches, "text"):
+            texts = [Counter(_WORD.findall((text or "").lower())) for text in batch.column("text").to_pylist()]
+            if len(code) > SEEN:
+                code.clear()
+                known.clear()
+            new = list(set().union(*texts).difference(code))
+            if new:
+                hashes = _hashes(new)
+                at = np.searchsorted(vocabulary, hashes)
+                at[at == len(vocabulary)] = 0
+                hit = vocabulary[at] == hashes if len(vocabulary) else np.zeros(len(new), bool)
+                code.update(zip(new, np.where(hit, at + len(number), -1).tolist()))
+                for w in new:
+                    if w[: PREFIXES[0]] in begins and (found := [t for t in _terms(w) if t in chosen]):
+                        known[w] = found
             terms, counts, other = [], [], []
-            for text in batch.column("text").to_pylist():
-                own = Counter(_WORD.findall((text or "").lower()))
-                new = own.keys() - seen
-                if new:
-                    if len(seen) > SEEN:
-                        seen.clear()
-                        known.clear()
-                        new = own.keys()
-                    seen |= new
-                    for w in new:
-                        if found := [t for t in _terms(w) if t in chosen]:
-                            known[w] = found
+            for own in texts:
                 tf: dict[str, int] = {}
                 for w in own.keys() & known.keys():
                     for t in known[w]:
                         tf[t] = tf.get(t, 0) + own[w]
                 least = max(1, own.total() / STRETCH)
                 pairs = sorted((number[t, k], n if k == 1 else 1) for t, n in tf.items() for k in TIMES if n >= (k * least if k > 1 else 1) and (t, k) in number)
-                words = np.fromiter((vocabulary.get(w, -1) for w in own), np.int32, len(own))
+                words = np.fromiter(map(code.__getitem__, own), np.int32, len(own))
                 times = np.fromiter(own.values(), np.int32, len(own))
                 other.append(float(np.square(1 + np.log(times[words < 0])).sum()))
                 order = np.argsort(words, kind="stable")[np.count_nonzero(words < 0) :]
@@ -136,35 +158,67 @@ def _weights(terms: np.ndarray, counts: np.ndarray, other: float, idf: np.ndarra
     return w
 
 
-class BlockMaxIndex:
-    """Examples by the terms they hold: the most common terms as a matrix, the others as inverted lists.
+def _clusters(rows: np.ndarray) -> np.ndarray:
+    """A cluster for each row by direction: seeds are taken farthest first, then the means settle in a few rounds."""
+    length = np.linalg.norm(rows, axis=1)
+    unit = rows / np.maximum(length, 1e-9)[:, None]
+    seeds = [int(length.argmax())]
+    best = unit @ unit[seeds[0]]
+    for _ in range(CLUSTERS - 1):
+        seeds.append(int(np.where(length > 0, best, np.inf).argmin()))
+        best = np.maximum(best, unit @ unit[seeds[-1]])
+    means = unit[seeds]
+    for _ in range(ROUNDS):
+        near = (unit @ means.T).argmax(axis=1)
+        means = np.stack([unit[near == c].sum(axis=0) for c in range(CLUSTERS)])
+        means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+    return near
+
 
-    Cosines with all examples are summed with single precision; the maxima of blocks of examples say which can be among the k
-    best, and these are worked out again in double precision from the examples' own terms, so the result is exact.
+class BlockMaxIndex:
+    """Examples in blocks of those that share heavy terms, with inverted lists and bounds that leave most blocks unopened.
+
+    The most common terms (``HEAD``) never open a block. All others have inverted lists, which give each example its exact sum
+    over them; the common terms can add at most the sum, over groups of ``GROUP`` of them, of the products of the text's and
+    the example's lengths within the group. A block's bound is the largest of its examples; the blocks with the highest
+    bounds are opened first, and then those alone whose bound reaches the k-th best cosine found there. Cosines of opened blocks are summed in
+    single precision; those that can be among the k best are worked out again in double precision from the examples' own terms,
+    so the result is exact. ``asked`` counts the examples of all searches, ``opened`` those whose common terms were multiplied.
     """
 
     def __init__(self, examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, size: int):
         self.labels, self.ids, self.size, self.rows = labels, ids, size, len(examples)
         lengths = np.array([len(t) for t, _ in examples], np.int64)
         self.cut = np.concatenate([[0], np.cumsum(lengths)])
-        self.terms = np.concatenate([t for t, _ in examples]).astype(np.int32) if examples else np.zeros(0, np.int32)
+        self.terms = np.concatenate([t for t, _ in examples]).astype(np.int32, copy=False) if examples else np.zeros(0, np.int32)
         self.values = np.concatenate([w for _, w in examples]) if examples else np.zeros(0)
         self.lists = None
+        self.asked = self.opened = 0
 
     def __getstate__(self):
-        return self.__dict__ | {"lists": None}  # workers put these together by themselves
+        """Terms and weights of the examples alone; workers put blocks and lists together by themselves."""
+        return {k: self.__dict__[k] for k in ("labels", "ids", "size", "rows", "cut", "terms", "values")} | {"lists": None, "asked": 0, "opened": 0}
 
     def _open(self) -> None:
-        self.padded = -(-self.rows // BLOCK) * BLOCK
+        self.blocks = -(-self.rows // BLOCK)
         often = np.bincount(self.terms, minlength=self.size)
         top = np.argsort(-often, kind="stable")[: min(HEAD, self.size)]
         self.place = np.full(self.size, -1, np.int32)
         self.place[top] = np.arange(len(top))
-        self.head = np.zeros((len(top), self.padded), np.float32)
+        head = np.zeros((self.rows, len(top)), np.float32)
         for a in range(0, len(self.terms), PART):  # in parts, so that little is held beside the lists
             at = self.place[self.terms[a : a + PART]]
             common = np.flatnonzero(at >= 0)
-            self.head[at[common], self._row(a + common)] = self.values[a + common]
+            head[self._row(a + common), at[common]] = self.values[a + common]
+        self.order = np.lexsort((-np.linalg.norm(head, axis=1), _clusters(head)))  # the example at each place of the blocks
+        at = np.empty(self.rows, np.int32)
+        at[self.order] = np.arange(self.rows)
+        self.order = np.concatenate([self.order, np.full(self.blocks * BLOCK - self.rows, -1)])
+        self.head = np.zeros((self.blocks * BLOCK, len(top)), np.float32)
+        self.head[at] = head
+        del head
+        self.lengths = np.sqrt(np.add.reduceat(np.square(self.head), np.arange(0, len(top), GROUP), axis=1)).T.copy()
+        self.head = self.head.reshape(self.blocks, BLOCK, len(top))
         self.begin = np.concatenate([[0], np.cumsum(np.where(self.place < 0, often, 0))])
         self.lists = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1], np.float32)
         low = 0
@@ -174,9 +228,9 @@ class BlockMaxIndex:
             rest = rest[self.place[self.terms[rest]] < 0]
             rest = rest[np.argsort(self.terms[rest], kind="stable")]
             span = slice(self.begin[low], self.begin[high])
-            self.lists[0][span], self.lists[1][span] = self._row(rest), self.values[rest]
+            self.lists[0][span], self.lists[1][span] = at[self._row(rest)], self.values[rest]
             low = high
-        self.dense = np.zeros(self.size)
+        self.dense, self.count = np.zeros(self.size), np.arange(PART)
 
     def _row(self, at: np.ndarray) -> np.ndarray:
         """The examples that postings belong to."""
@@ -188,31 +242,53 @@ class BlockMaxIndex:
             return [(np.zeros(0, np.int64), np.zeros(0)) for _ in texts]
         if self.lists is None:
             self._open()
-        common = np.zeros((len(texts), len(self.head)), np.float32)
+        common = np.zeros((len(texts), self.head.shape[2]), np.float32)
+        sums = np.zeros((len(texts), self.blocks * BLOCK), np.float32)
         for i, (terms, weights) in enumerate(texts):
             at = self.place[terms]
             common[i, at[at >= 0]] = weights[at >= 0]
-        out, sums = [], common @ self.head
-        for (terms, weights), scores in zip(texts, sums):
-            rare = self.place[terms] < 0
+            rare = at < 0
             if rare.any():
-                begin, end = self.begin[terms[rare]], self.begin[terms[rare] + 1]
-                parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
-                values = np.concatenate([self.lists[1][x] for x in parts])
-                values *= np.repeat(weights[rare].astype(np.float32), end - begin)
-                scores += np.bincount(np.concatenate([self.lists[0][x] for x in parts]), values, self.padded)
-            out.append(self._best(terms, weights, scores, k))
-        return out
-
-    def _best(self, terms: np.ndarray, weights: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        most = scores.reshape(-1, BLOCK).max(axis=1)
-        least = np.partition(most, len(most) - k)[len(most) - k] if len(most) >= k else 0
-        rows = np.flatnonzero(scores > max(0, least - 1e-5))
-        if len(rows) > k:
-            rows = rows[scores[rows] >= np.partition(scores[rows], len(rows) - k)[len(rows) - k] - 1e-5]
-        self.dense[terms] = weights
+                begin = self.begin[terms[rare]]
+                long = self.begin[terms[rare] + 1] - begin
+                ends = np.cumsum(long)
+                at = np.repeat(begin - ends + long, long)
+                at += self.count[: len(at)] if len(at) <= len(self.count) else np.arange(len(at))
+                values = self.lists[1][at]
+                values *= np.repeat(weights[rare].astype(np.float32), long)
+                sums[i] = np.bincount(self.lists[0][at], values, sums.shape[1])
+        lengths = np.sqrt(np.add.reduceat(np.square(common), np.arange(0, common.shape[1], GROUP), axis=1))
+        bounds = lengths @ self.lengths
+        bounds += sums
+        bounds = bounds.reshape(len(texts), self.blocks, BLOCK).max(axis=2)
+        sums = sums.reshape(len(texts), self.blocks, BLOCK)
+        first = min(FIRST, self.blocks)
+        highest = np.argpartition(-bounds, first - 1, axis=1)[:, :first]
+        enough = np.zeros(len(texts), np.float32)
+        for i, blocks in enumerate(highest):
+            scores = (sums[i, blocks] + self.head[blocks] @ common[i]).ravel()
+            if len(scores) > k:
+                enough[i] = np.partition(scores, len(scores) - k)[len(scores) - k]
+        wanted = (bounds >= enough[:, None] - ROUNDING) & (bounds > 0)
+        for b in np.flatnonzero(wanted.any(axis=0)):
+            asking = np.flatnonzero(wanted[:, b])
+            sums[asking, b] += common[asking] @ self.head[b].T
+        self.asked += len(texts) * self.rows
+        self.opened += int(wanted.sum()) * BLOCK
+        return [self._best(terms, weights, sums[i], np.flatnonzero(wanted[i]), k) for i, (terms, weights) in enumerate(texts)]
+
+    def _best(self, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, blocks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of the opened blocks, worked out from the examples' own terms."""
+        scores = sums[blocks].ravel()
+        least = np.partition(scores, len(scores) - k)[len(scores) - k] - ROUNDING if len(scores) > k else 0
+        keep = np.flatnonzero(scores >= least if least > 0 else scores > 0)
+        if not len(keep):
+            return np.zeros(0, np.int64), np.zeros(0)
+        rows = self.order.reshape(-1, BLOCK)[blocks].ravel()[keep]
         spans = [slice(a, b) for a, b in zip(self.cut[rows].tolist(), self.cut[rows + 1].tolist())]
-        found = np.array([self.dense[self.terms[x]] @ self.values[x] for x in spans])
+        begin = np.cumsum([0] + [x.stop - x.start for x in spans[:-1]])
+        self.dense[terms] = weights
+        found = np.add.reduceat(self.dense[np.concatenate([self.terms[x] for x in spans])] * np.concatenate([self.values[x] for x in spans]), begin)
         self.dense[terms] = 0
         best = np.lexsort((rows, -found))[:k]
         return rows[best], found[best]
@@ -295,8 +371,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         picked = counted.filter("a > 0").filter((a / n >= max(p, PURE)) & (a * F.log(a / (n * p)) + good >= EVIDENCE)).select("term", "times").collect()
         number = {tuple(r): i for i, r in enumerate(sorted(picked))}
     marks = len(number)
-    words = counted.filter("times = 1 and not endswith(term, '-')").select("term").toArrow().column(0).to_pylist()
-    vocabulary = {w: marks + i for i, w in enumerate(sorted(words))}
+    words = counted.filter("times = 1 and not endswith(term, '-')").select("term").mapInArrow(_named, "hash long").toArrow()
+    vocabulary = np.unique(numbers(words.column(0).combine_chunks()).view(np.uint64))
     context = docs.sparkSession.sparkContext
     kinds = "doc_id long, row long, held_out boolean, terms array<int>, counts array<int>, other double"
     vectorised = _vectors(context.broadcast((number, vocabulary)))
@@ -316,7 +392,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     blank = (int(toxic[plain].sum()) + CALM * prior) / (int(plain.sum()) + CALM)
     full = [i for i, t in enumerate(terms) if len(t)]
     found = [(terms[i], _weights(terms[i], counts[i], other[i], idf, marks, rare)) for i in full]
+    del fitted, terms, counts
     index = BlockMaxIndex(found, toxic[full], ids[full], len(idf))
+    del found
     evidence = "array<struct<doc_id: long, toxic: int, cosine: double>>"
     scored = _scored(context.broadcast((index, idf)), (marks, rare, prior, blank))
     out = vectors.mapInArrow(scored, f"doc_id long, row long, held_out boolean, score double, predicted int, evidence {evidence}")

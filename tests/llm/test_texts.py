@@ -375,6 +375,35 @@ def test_block_max_search_is_exact():
         assert np.allclose(found, scores[want]) and np.allclose(scores[rows], found)
 
 
+def test_block_max_search_leaves_most_blocks_unopened():
+    """Examples in four languages: blocks of other languages and of faint common words stay shut, and nothing near is lost."""
+    rng = np.random.default_rng(6)
+    rows, size = 4096, 4 * 3000
+
+    def words(tongue):
+        common = rng.choice(60, 15, replace=False)
+        own = 60 + rng.choice(2940, 25, replace=False)
+        return (np.unique(np.concatenate([common, own])) + tongue * 3000).astype(np.int32)
+
+    drawn = [words(i % 4) for i in range(rows)]
+    idf = np.log(rows / (1 + np.bincount(np.concatenate(drawn), minlength=size)))
+
+    def weighted(t):
+        return t, idf[t] / np.linalg.norm(idf[t])
+
+    examples = [weighted(t) for t in drawn]
+    whole = np.zeros((rows, size))
+    for row, (t, w) in enumerate(examples):
+        whole[row, t] = w
+    index = toxicity.BlockMaxIndex(examples, np.zeros(rows, np.int32), np.arange(rows), size)
+    texts = [weighted(words(i % 4)) for i in range(30)] + [examples[7], (np.zeros(0, np.int32), np.zeros(0))]
+    for (t, w), (near, cosines) in zip(texts, index.nearest(texts, 15)):
+        scores = whole[:, t] @ w
+        assert np.allclose(cosines, np.sort(scores)[::-1][:15][: len(cosines)]) and np.allclose(scores[near], cosines)
+        assert len(cosines) == (15 if len(t) else 0)
+    assert index.asked == len(texts) * rows and index.opened < index.asked / 2
+
+
 @needs_tables
 def test_toxicity_on_held_out_labels(spark):
     sf = SF.replace("sf0.001", "sf0.1")
