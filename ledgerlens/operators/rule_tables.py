@@ -12,6 +12,8 @@ from ..sources.session import staged
 
 GRAM = 3  # letters of a key; shorter fragments are keys of their own length
 SPREAD = 64  # parts into which texts are dealt for rules without any letter
+SHARE = 20_000  # texts of one key that meet a rule in one part; keys of more texts are dealt into parts
+FIRST, LAST = "\u0002", "\u0003"  # stand before a key that a text must begin or end with
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -27,6 +29,30 @@ def fragments(pattern: Column) -> Column:
     return F.transform(raw, lambda f: F.regexp_replace(f, r"\\(.)", "$1"))
 
 
+def _edge(mark: str, gram: int, letters: Column) -> Column:
+    """A key for the letters at an edge: the marks alone are longer than any other key."""
+    return F.concat(F.lit(mark * (gram + 1)), letters)
+
+
+def _rule_edges(pattern: Column, gram: int) -> Column:
+    """What any text that fits begins and ends with, up to ``gram`` letters: the first fragment if no wildcard stands before it, the
+    last one if none stands behind it."""
+    parts = fragments(pattern)
+    open_start, open_end = pattern.rlike(r"^[%_]"), pattern.rlike(r"(?s)(?:^|[^\\])(?:\\\\)*[%_]\z")
+    head, tail = F.get(parts, F.lit(0)), F.get(parts, F.size(parts) - 1)
+    begins = F.when(~open_start, _edge(FIRST, gram, F.left(head, F.lit(gram))))
+    ends = F.when(~open_end, _edge(LAST, gram, F.right(tail, F.lit(gram))))
+    return F.array_compact(F.array(begins, ends))
+
+
+def _text_keys(text: Column, gram: int, kinds: set[tuple[str, int]]) -> Column:
+    """The keys of a text of the given kinds: the mark (none for a stretch anywhere) and the number of letters."""
+    none = F.array().cast("array<string>")
+    ends = {FIRST: F.left, LAST: F.right}
+    keys = [F.when(F.length(text) >= n, F.array(_edge(m, gram, ends[m](text, F.lit(n))))).otherwise(none) if m else _grams(text, n) for m, n in sorted(kinds)]
+    return F.array_distinct(F.concat(none, *keys))
+
+
 def _rule_grams(pattern: Column, gram: int) -> Column:
     """What any text that fits contains: the stretches of ``gram`` letters of all fragments; where no fragment is that long,
     those of the longest length there is."""
@@ -65,22 +91,29 @@ def first_rules(
     pattern, then by the taken columns. A null in ``col`` fits no pattern, a null in ``also`` no condition on it. Rules
     with a null pattern or rank never fit. Patterns are those of SQL: ``%``, ``_``, and ``\\`` as escape; ``ci`` compares small letters.
 
-    Every rule is filed under the rarest stretch of ``gram`` letters that a fitting text must contain, by the number of different
-    texts that have it. Different texts (as many as there are, not as many as rows) meet the rules filed under their own stretches
-    in an equi-join, then the whole rule is checked. Rules without a letter, such as ``%`` or ``__``, are few by nature; they
-    meet the texts dealt into ``SPREAD`` parts. So rules and texts may both be many, and no rule is compared with every row.
+    Of rules that ask for the same only the first one is tried. Every rule is filed under the rarest stretch of ``gram`` letters that a
+    fitting text must contain, or begin or end with, by the number of different texts that have it. Different texts (as many as there are,
+    not as many as rows) meet the rules filed under their own stretches in an equi-join, then the whole rule is checked. Texts that
+    share a frequent stretch are dealt into parts of about ``SHARE`` texts, and its rules stand in each, so no task gets all of them.
+    Rules without a letter, such as ``%`` or ``__``, are few by nature; they meet the texts dealt into ``SPREAD`` parts. So rules and
+    texts may both be many, and no rule is compared with every row.
     """
     conditions = [c for a in also for c in (f"{a}_like", f"{a}_unlike") if c in rules.columns]
     names = [pattern, rank, *([unless] if unless else []), *conditions, *[t for t in take if t not in (pattern, rank, unless)]]
-    known = rules.select(*dict.fromkeys(names)).filter(F.col(pattern).isNotNull() & F.col(rank).isNotNull()).distinct()
+    known = rules.select(*dict.fromkeys(names)).filter(F.col(pattern).isNotNull() & F.col(rank).isNotNull())
+    asked = list(dict.fromkeys([pattern, *([unless] if unless else []), *conditions]))
+    given = [rank, *[c for c in known.columns if c not in asked and c != rank]]
+    known = known.groupBy(*asked).agg(F.min(F.struct(*given)).alias("_given")).select(*[F.col(c) if c in asked else F.col(f"_given.{c}") for c in known.columns])
     filed = known.withColumn("_rule", F.struct(*known.columns)).select("_rule", folded(F.col(f"_rule.{pattern}"), ci).alias("_pattern"))
-    filed = staged(filed.withColumn("_grams", _rule_grams(F.col("_pattern"), gram)), "rules")
+    filed = staged(filed.withColumn("_grams", F.concat(_rule_grams(F.col("_pattern"), gram), _rule_edges(F.col("_pattern"), gram))), "rules")
 
     keys = [col, *also]
     texts = staged(df.filter(F.col(col).isNotNull()).groupBy(*keys).agg(F.lit(1).alias("_one")).drop("_one"), "rule_texts")
     low = folded(F.col(col), ci)
-    laid = F.array_distinct(F.concat(*[_grams(low, n) for n in range(1, gram + 1)]))
     wanted = filed.select(F.explode("_grams").alias("_gram")).distinct()
+    mark = F.when(F.length("_gram") > gram, F.left("_gram", F.lit(1))).otherwise("")
+    kinds = wanted.select(mark.alias("m"), (F.length("_gram") - F.when(mark != "", gram + 1).otherwise(0)).alias("n")).distinct()
+    laid = _text_keys(low, gram, {(k.m, k.n) for k in kinds.collect()})  # at most three marks by ``gram`` lengths
     by_gram = staged(texts.select(*keys, F.explode(laid).alias("_gram")).join(wanted, "_gram", "left_semi"), "rule_grams")
     often = by_gram.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     rarest = (
@@ -89,7 +122,11 @@ def first_rules(
     )
     # a stretch that no text has rules its rule out, so only rules all of whose stretches occur go on
     whole = rarest.join(filed.select("_rule", "_pattern", F.size("_grams").alias("_size")), ["_rule", "_pattern"]).filter("_found = _size")
-    indexed = by_gram.join(whole.select("_rule", "_pattern", F.col("_key._gram").alias("_gram")), "_gram").drop("_gram")
+    parts = F.ceil(F.col("_key._n") / F.lit(SHARE)).cast("long")
+    keyed = whole.select("_rule", "_pattern", F.col("_key._gram").alias("_gram"), parts.alias("_parts"))
+    asking = keyed.select("_rule", "_pattern", "_gram", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"))
+    dealt = by_gram.join(keyed.select("_gram", "_parts").distinct(), "_gram").withColumn("_part", F.pmod(F.xxhash64(*keys), F.col("_parts")))
+    indexed = dealt.drop("_parts").join(asking, ["_gram", "_part"]).drop("_gram", "_part")
     part = F.pmod(F.xxhash64(*keys), F.lit(SPREAD))
     bare = filed.filter(F.size("_grams") == 0).select("_rule", "_pattern", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).alias("_part"))
     unfiled = texts.withColumn("_part", part).join(bare, "_part").drop("_part")

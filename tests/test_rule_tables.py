@@ -98,3 +98,27 @@ def test_empty_sides(spark):
     rows, rules = some(1, 5, 5)
     assert found(spark, [], rules).count() == 0
     assert {r.label for r in found(spark, rows, []).collect()} == {None}
+
+
+def test_rules_filed_by_beginnings_ends_and_what_they_ask(spark):
+    """Marked keys: escapes and wildcards at the edges, texts shorter than a key, whole texts."""
+    patterns = ["abc", "\\%a", "a\\%", "a\\\\%", "%\\\\", "_a", "a_", "%a\\_", "\\\\%", "ab%ba", "é%", "%é", "a", "%", ""]
+    words = ["abc", "xabc", "%a", "a%", "a\\", "a\\b", "\\", "\\a", "ba", "ab", "a_", "xa_", "abba", "aba", "éa", "aé", "a", "", "é"]
+    rows = [(i, w, "p") for i, w in enumerate(words)]
+    for rank in (1, -1):
+        rules = [(rank * i, p, None, None, None, f"L{i}") for i, p in enumerate(patterns)]
+        assert tuples(found(spark, rows, rules), "id", "label") == plain(rows, rules)
+
+
+def test_a_hot_key_is_dealt_into_parts_and_equal_rules_are_tried_once(spark, monkeypatch):
+    """All texts hold '000'; 3,000 rules ask for 501 different things."""
+    monkeypatch.setattr(R, "SHARE", 100, raising=False)
+    stored, real = {}, R.staged
+    monkeypatch.setattr(R, "staged", lambda df, purpose, *how: stored.setdefault(purpose, real(df, purpose, *how)))
+    n = F.col("id")
+    rows = spark.range(2_000).select(n.cast("int"), F.format_string("c000%04d", n).alias("name"))
+    pattern = F.when(n % 2 == 0, F.lit("%000%")).otherwise(F.format_string("%%%03d", n % 1000))
+    rules = spark.range(3_000).select(F.when(n % 2 == 0, n + 9_999).otherwise(n).alias("rank"), pattern.alias("pattern"), F.concat(F.lit("L"), "id").alias("label"))
+    got = {r.id: r.label for r in R.first_rules(rows, "name", rules, ["label"]).collect()}
+    assert got == {i: f"L{i % 1000}" if i % 2 else "L0" for i in range(2_000)}
+    assert stored["rules"].count() == 501
