@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -120,6 +121,55 @@ def test_warehouse_topup_counts_equal_amounts_once(table):
         assert St.warehouse_topup(balance, totals, untouched, SCOPE) is balance
 
 
+SIDES = ("id int, sf_name string, name string, is_deleted int", "id int, name string, is_deleted int")
+SETS_OF = {"PLANT": (None, None, None), "North": ("North", None, None), "South": ("South", "North", None)}
+
+
+@pytest.fixture
+def tanks(spark, table):
+    """Positions, tanks, products and layers out of all sorts of names, with nulls, repeated rows and shared places."""
+    rng = random.Random(3)
+    places = ["WH 1", "WH_Additive 2", "x Shop 8", "T_1", "T_2", None]
+    goods = ["oil", "recycled oil", "water", "Sulphur", "coke", "dye", "slops", "fraction", "diesel mid", "mapped", "old thing (OLD)", "EMPTY", None]
+    objects = table(SIDES[0], *[(i, rng.choice(places), rng.choice(["tank", "tank", "System x", None]), int(i % 9 == 8)) for i in range(40)])
+    products = table(SIDES[1], *[(i, goods[i % len(goods)], int(i % 11 == 10)) for i in range(60)])
+    layers = table("object_id int, layer string", *[(i, n) for i in range(36) for n in ("Plant", "North", "South") if rng.random() < 0.6])
+    amounts = [0.0, -0.0, 4.0, 0.1 + 0.2, 0.3, 1e-13, 10.0, 12345.678, None]
+    any_of = lambda *values: rng.choice(values)
+    rows = [
+        (rng.randrange(40), rng.randrange(60), any_of(1, 2), *[rng.choice(amounts) for _ in range(4)], any_of("p", "x", None), any_of("1", None), any_of("10", "20", "", None, "7"))
+        for _ in range(3_000)
+    ]
+    kind = "object_id int, product_id int, case_id int, measured double, mass_without_dr double, dead_residue_mass double, free_volume double, passport_state string, number_park string, grouping string"
+    return table(kind, *rows, *rows[:300]), objects, products, layers
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(38,14)"])
+def test_balances_of_sets_in_one_pass_equal_the_single_operators(table, tanks, kind):
+    positions, objects, products, layers = tanks
+    positions = positions.withColumns({c: F.col(c).cast(kind) for c in St.AMOUNTS})
+    described = St.described_positions(positions, objects, products)
+    scoped = St.tank_scopes(described, layers, SCOPE, SETS_OF)
+    single = St.tank_balance(scoped, NAMES, mapping(table), SCOPE, by=["case_id", "division"])
+    shown = ["case_id", "division", "product", *St.STOCK_MEASURES]
+    out = St.division_balances(positions, objects, products, layers, NAMES, mapping(table), SCOPE, SETS_OF, by=["case_id"])
+    assert tuples(out, *shown) == tuples(single, *shown) and out.count() > 30
+    short = St.NameRules(ordered=(), obsolete_marker="(OLD)", ci=False)
+    totals = St.warehouse_totals(described, layers, short, mapping(table), SCOPE, by=["case_id"])
+    want = St.warehouse_topup(single, totals.filter("product is not null"), None, SCOPE, by=["case_id"], division="division")
+    topped = St.topped_up_balances(positions, objects, products, layers, NAMES, short, mapping(table), SCOPE, SETS_OF, by=["case_id"])
+    assert tuples(topped.filter("product is not null"), *shown) == tuples(want.filter("product is not null"), *shown)
+
+
+def test_names_are_judged_before_positions_are_joined(table, tanks):
+    """No pattern stands over a join with positions: tanks and products have them, however many positions there are."""
+    positions, objects, products, layers = tanks
+    out = St.topped_up_balances(positions, objects, products, layers, NAMES, NAMES, mapping(table), SCOPE, SETS_OF, by=["case_id"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "number_park" in line or "passport_state" in line]
+    assert lines and not any(word in line for line in lines for word in ("lower(", "LIKE", "Contains("))
+
+
 BALANCE = "product string, " + ", ".join(f"{m} decimal(18,3)" for m in St.STOCK_MEASURES)
 
 
