@@ -146,3 +146,8 @@ def test_the_cases_time_reaches_the_values(spark, name, table):
 @needs_tables
 def test_month_to_date_reads_orders_twice(spark):
     assert len(scans(entry.queries()["month_to_date_cases"](spark, SF), "orders")) <= 2
+
+
+@needs_tables
+def test_calls_of_the_balance_function_share_one_reading(spark):
+    assert not scans(entry.queries()["tank_balance_function"](spark, SF), "lineitem")
