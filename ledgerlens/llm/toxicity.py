@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -22,9 +23,9 @@ PURE = 0.8  # share of toxic rows among those that hold a term, at least
 EVIDENCE = 14.0  # a term's log-likelihood gain over the prior, at least: by chance less than one of a million terms has it
 NEIGHBOURS = 15
 BLOCK = 64  # examples of a block of the index
-HEAD = 256  # terms that most examples hold; these open no block
+HEAD = 512  # terms that most examples of a cluster hold; these open no block
 GROUP = 8  # of them share a bound
-CLUSTERS, ROUNDS = 16, 4  # of examples that share heavy terms, for the order of the blocks
+CLUSTERS, ROUNDS = 8, 6  # of examples that share heavy terms, as the blocks do
 FIRST = 4  # blocks that are opened first
 ROUNDING = 1e-5  # more than single precision can be off
 PART = 500_000  # postings that are sorted at once
@@ -35,7 +36,6 @@ CALM = 0.4  # weight of the prior among the votes
 STRETCH = 1000  # words; in a longer text a term must occur as often in every such stretch, on average
 PREFIXES = (4, 5, 6, 7)
 TIMES = (1, 2, 4)  # a term counts anew as one that occurs so often
-SEEN = 100_000  # words whose numbers a worker remembers; it starts anew beyond that
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -89,47 +89,68 @@ def _vectors(shared):
 
     def run(batches):
         number, vocabulary = shared.value
-        chosen = {t for t, _ in number}
+        chosen = {t: i for i, t in enumerate(sorted({t for t, _ in number}))}
         begins = {t.rstrip("-")[: PREFIXES[0]] for t in chosen}  # shared by every word with a chosen term
-        code: dict[str, int] = {}
-        known: dict[str, list[str]] = {}
+        numbered = np.array([[number.get((t, k), -1) for k in TIMES] for t in chosen], np.int64).reshape(-1, len(TIMES))
+        size = len(number) + len(vocabulary)
         for batch in sliced(batches, "text"):
-            texts = [Counter(_WORD.findall((text or "").lower())) for text in batch.column("text").to_pylist()]
-            if len(code) > SEEN:
-                code.clear()
-                known.clear()
-            new = list(set().union(*texts).difference(code))
-            if new:
-                hashes = _hashes(new)
-                at = np.searchsorted(vocabulary, hashes)
-                at[at == len(vocabulary)] = 0
-                hit = vocabulary[at] == hashes if len(vocabulary) else np.zeros(len(new), bool)
-                code.update(zip(new, np.where(hit, at + len(number), -1).tolist()))
-                for w in new:
-                    if w[: PREFIXES[0]] in begins and (found := [t for t in _terms(w) if t in chosen]):
-                        known[w] = found
-            terms, counts, other = [], [], []
-            for own in texts:
-                tf: dict[str, int] = {}
-                for w in own.keys() & known.keys():
-                    for t in known[w]:
-                        tf[t] = tf.get(t, 0) + own[w]
-                least = max(1, own.total() / STRETCH)
-                pairs = sorted((number[t, k], n if k == 1 else 1) for t, n in tf.items() for k in TIMES if n >= (k * least if k > 1 else 1) and (t, k) in number)
-                words = np.fromiter(map(code.__getitem__, own), np.int32, len(own))
-                times = np.fromiter(own.values(), np.int32, len(own))
-                other.append(float(np.square(1 + np.log(times[words < 0])).sum()))
-                order = np.argsort(words, kind="stable")[np.count_nonzero(words < 0) :]
-                terms.append(np.concatenate([np.array([t for t, _ in pairs], np.int32), words[order]]))
-                counts.append(np.concatenate([np.array([n for _, n in pairs], np.int32), times[order]]))
+            texts = [_WORD.findall((text or "").lower()) for text in batch.column("text").to_pylist()]
+            total = np.fromiter(map(len, texts), np.int64, len(texts))
+            coded = pa.array(list(itertools.chain.from_iterable(texts)), pa.string()).dictionary_encode()
+            del texts
+            words = coded.dictionary.to_pylist()
+            hashes = _hashes(words)
+            order = np.argsort(hashes)  # near ones are looked up one after the other
+            at = np.empty(len(words), np.int64)
+            at[order] = np.searchsorted(vocabulary, hashes[order])
+            at[at == len(vocabulary)] = 0
+            hit = vocabulary[at] == hashes if len(vocabulary) else np.zeros(len(words), bool)
+            width = size + len(words)  # words that no example has are told apart by numbers beyond the others
+            names = np.where(hit, at + len(number), size + np.arange(len(words)))
+            keys, times = _summed(np.repeat(np.arange(len(total)) * width, total) + names[numbers(coded.indices)])
+            doc, name = np.divmod(keys, width)
+            inside = name < size
+            other = np.bincount(doc[~inside], np.square(1 + np.log(times[~inside])), len(total))
+            found = [(n, chosen[t]) for n, w in zip(names.tolist(), words) if w[: PREFIXES[0]] in begins for t in _terms(w) if t in chosen]
+            marks, sums = _marked(found, width, doc, name, times, len(chosen))
+            mark, term = np.divmod(marks, max(1, len(chosen)))
+            least = np.maximum(1, total / STRETCH)[mark]
+            held = [(np.flatnonzero((numbered[term, i] >= 0) & (sums >= (k * least if k > 1 else 1))), i, k) for i, k in enumerate(TIMES)]
+            places = np.concatenate([doc[inside] * size + name[inside], *[mark[x] * size + numbered[term[x], i] for x, i, _ in held]])
+            counts = np.concatenate([times[inside], *[sums[x] if k == 1 else np.ones(len(x), np.int64) for x, _, k in held]])
+            order = np.argsort(places, kind="stable")
+            doc, terms = np.divmod(places[order], max(1, size))
+            cut = pa.array(np.searchsorted(doc, np.arange(len(total) + 1)), pa.int32())
+            terms, counts = (pa.ListArray.from_arrays(cut, pa.array(x, pa.int32())) for x in (terms, counts[order]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), batch.column("held_out"), listed(terms, pa.int32()), listed(counts, pa.int32()), pa.array(other, pa.float64())],
+                [batch.column("doc_id"), batch.column("row"), batch.column("held_out"), terms, counts, pa.array(other, pa.float64())],
                 ["doc_id", "row", "held_out", "terms", "counts", "other"],
             )
 
     return run
 
 
+def _summed(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs or what its ``times`` add up to."""
+    if times is not None:
+        order = np.argsort(keys, kind="stable")
+        keys, times = keys[order], times[order]
+    else:
+        keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys)) if times is None or not len(keys) else np.add.reduceat(times, first)
+
+
+def _marked(found: list[tuple[int, int]], width: int, doc: np.ndarray, name: np.ndarray, times: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """text * size + term of the chosen terms in each text, and how often they occur, by the terms ``found`` in words (name below ``width``, term)."""
+    found = np.array(sorted(found), np.int64).reshape(-1, 2)
+    each = np.bincount(found[:, 0], minlength=width)
+    at = np.flatnonzero(each[name])
+    long = each[name[at]]
+    which = np.repeat((np.cumsum(each) - each)[name[at]] - np.cumsum(long) + long, long) + np.arange(long.sum())
+    return _summed(np.repeat(doc[at], long) * size + found[which, 1], np.repeat(times[at], long))
+
+
 def _held(size: int):
     """terms -> term, n: the rows with each term (part sums)."""
 
@@ -162,12 +183,8 @@ def _clusters(rows: np.ndarray) -> np.ndarray:
     """A cluster for each row by direction: seeds are taken farthest first, then the means settle in a few rounds."""
     length = np.linalg.norm(rows, axis=1)
     unit = rows / np.maximum(length, 1e-9)[:, None]
-    seeds = [int(length.argmax())]
-    best = unit @ unit[seeds[0]]
-    for _ in range(CLUSTERS - 1):
-        seeds.append(int(np.where(length > 0, best, np.inf).argmin()))
-        best = np.maximum(best, unit @ unit[seeds[-1]])
-    means = unit[seeds]
+    some = np.flatnonzero(length)
+    means = unit[some[np.linspace(0, len(some) - 1, CLUSTERS).astype(np.int64)]] if len(some) else unit[:0]
     for _ in range(ROUNDS):
         near = (unit @ means.T).argmax(axis=1)
         means = np.stack([unit[near == c].sum(axis=0) for c in range(CLUSTERS)])
@@ -200,37 +217,57 @@ class BlockMaxIndex:
         return {k: self.__dict__[k] for k in ("labels", "ids", "size", "rows", "cut", "terms", "values")} | {"lists": None, "asked": 0, "opened": 0}
 
     def _open(self) -> None:
-        self.blocks = -(-self.rows // BLOCK)
         often = np.bincount(self.terms, minlength=self.size)
         top = np.argsort(-often, kind="stable")[: min(HEAD, self.size)]
-        self.place = np.full(self.size, -1, np.int32)
-        self.place[top] = np.arange(len(top))
-        head = np.zeros((self.rows, len(top)), np.float32)
-        for a in range(0, len(self.terms), PART):  # in parts, so that little is held beside the lists
-            at = self.place[self.terms[a : a + PART]]
+        place = np.full(self.size, -1, np.int32)
+        place[top] = np.arange(len(top))
+        faces = np.zeros((self.rows, len(top)), np.float32)
+        parts = [slice(a, a + PART) for a in range(0, len(self.terms), PART)]  # so that little is held beside the lists
+        for part in parts:
+            at = place[self.terms[part]]
             common = np.flatnonzero(at >= 0)
-            head[self._row(a + common), at[common]] = self.values[a + common]
-        self.order = np.lexsort((-np.linalg.norm(head, axis=1), _clusters(head)))  # the example at each place of the blocks
-        at = np.empty(self.rows, np.int32)
-        at[self.order] = np.arange(self.rows)
-        self.order = np.concatenate([self.order, np.full(self.blocks * BLOCK - self.rows, -1)])
+            faces[self._row(part.start + common), at[common]] = self.values[part.start + common]
+        near, lengths = _clusters(faces), np.linalg.norm(faces, axis=1)
+        del faces
+        sizes = np.bincount(near, minlength=CLUSTERS)
+        filled = -(-sizes // BLOCK)
+        self.blocks, self.of = int(filled.sum()), np.repeat(np.arange(CLUSTERS), filled)  # a block has examples of one cluster
+        self.span = np.concatenate([[0], np.cumsum(filled)])
+        rows = np.lexsort((-lengths, near))
+        at = np.empty(self.rows, np.int32)  # the place of each example in the blocks
+        at[rows] = np.arange(self.rows) + np.repeat(self.span[:-1] * BLOCK - np.cumsum(sizes) + sizes, sizes)
+        self.order = np.full(self.blocks * BLOCK, -1)
+        self.order[at] = np.arange(self.rows)
+        held = np.zeros((CLUSTERS, self.size), np.int32)
+        for part in parts:
+            np.add.at(held, (near[self._row(np.arange(part.start, min(part.stop, len(self.terms))))], self.terms[part]), 1)
+        self.place = np.full((self.size, CLUSTERS), -1, np.int16)
+        for c in range(CLUSTERS):
+            top = np.argpartition(-held[c], len(top) - 1)[: len(top)]
+            top = top[np.lexsort((top, -held[c, top]))]
+            self.place[top, c] = np.where(held[c, top] > 0, np.arange(len(top)), -1)
+        del held
         self.head = np.zeros((self.blocks * BLOCK, len(top)), np.float32)
-        self.head[at] = head
-        del head
+        rare = np.empty(len(self.terms), bool)
+        for part in parts:
+            row = self._row(np.arange(part.start, min(part.stop, len(self.terms))))
+            column = self.place[self.terms[part], near[row]]
+            common = np.flatnonzero(column >= 0)
+            self.head[at[row[common]], column[common]] = self.values[part][common]
+            rare[part] = column < 0
         self.lengths = np.sqrt(np.add.reduceat(np.square(self.head), np.arange(0, len(top), GROUP), axis=1)).T.copy()
         self.head = self.head.reshape(self.blocks, BLOCK, len(top))
-        self.begin = np.concatenate([[0], np.cumsum(np.where(self.place < 0, often, 0))])
-        self.lists = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1], np.float32)
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(self.terms[rare], minlength=self.size))])
+        self.lists = np.empty(self.begin[-1], [("place", np.int32), ("value", np.float32)])
         low = 0
         while low < self.size:
             high = max(low + 1, int(np.searchsorted(self.begin, self.begin[low] + PART, side="right")) - 1)
-            rest = np.flatnonzero((self.terms >= low) & (self.terms < high))
-            rest = rest[self.place[self.terms[rest]] < 0]
+            rest = np.flatnonzero((self.terms >= low) & (self.terms < high) & rare)
             rest = rest[np.argsort(self.terms[rest], kind="stable")]
             span = slice(self.begin[low], self.begin[high])
-            self.lists[0][span], self.lists[1][span] = at[self._row(rest)], self.values[rest]
+            self.lists["place"][span], self.lists["value"][span] = at[self._row(rest)], self.values[rest]
             low = high
-        self.dense, self.count = np.zeros(self.size), np.arange(PART)
+        self.dense, self.asks, self.count = np.zeros(self.size), np.zeros(self.size, bool), np.arange(PART)
 
     def _row(self, at: np.ndarray) -> np.ndarray:
         """The examples that postings belong to."""
@@ -242,23 +279,25 @@ class BlockMaxIndex:
             return [(np.zeros(0, np.int64), np.zeros(0)) for _ in texts]
         if self.lists is None:
             self._open()
-        common = np.zeros((len(texts), self.head.shape[2]), np.float32)
+        common = np.zeros((CLUSTERS, len(texts), self.head.shape[2]), np.float32)
         sums = np.zeros((len(texts), self.blocks * BLOCK), np.float32)
         for i, (terms, weights) in enumerate(texts):
-            at = self.place[terms]
-            common[i, at[at >= 0]] = weights[at >= 0]
-            rare = at < 0
-            if rare.any():
-                begin = self.begin[terms[rare]]
-                long = self.begin[terms[rare] + 1] - begin
-                ends = np.cumsum(long)
-                at = np.repeat(begin - ends + long, long)
-                at += self.count[: len(at)] if len(at) <= len(self.count) else np.arange(len(at))
-                values = self.lists[1][at]
-                values *= np.repeat(weights[rare].astype(np.float32), long)
-                sums[i] = np.bincount(self.lists[0][at], values, sums.shape[1])
-        lengths = np.sqrt(np.add.reduceat(np.square(common), np.arange(0, common.shape[1], GROUP), axis=1))
-        bounds = lengths @ self.lengths
+            column = self.place[terms]
+            which, cluster = np.nonzero(column >= 0)
+            common[cluster, i, column[which, cluster]] = weights[which]
+            begin = self.begin[terms]
+            long = self.begin[terms + 1] - begin
+            total = int(long.sum())
+            if total:
+                at = np.repeat(begin - np.cumsum(long) + long, long)
+                at += self.count[:total] if total <= len(self.count) else np.arange(total)
+                found = self.lists.view(np.int64)[at].view(self.lists.dtype)
+                sums[i] = np.bincount(found["place"], found["value"] * np.repeat(weights.astype(np.float32), long), sums.shape[1])
+        lengths = np.sqrt(np.add.reduceat(np.square(common), np.arange(0, common.shape[2], GROUP), axis=2))
+        bounds = np.empty_like(sums)
+        for c in range(CLUSTERS):
+            span = slice(self.span[c] * BLOCK, self.span[c + 1] * BLOCK)
+            np.matmul(lengths[c], self.lengths[:, span], out=bounds[:, span])
         bounds += sums
         bounds = bounds.reshape(len(texts), self.blocks, BLOCK).max(axis=2)
         sums = sums.reshape(len(texts), self.blocks, BLOCK)
@@ -266,30 +305,37 @@ class BlockMaxIndex:
         highest = np.argpartition(-bounds, first - 1, axis=1)[:, :first]
         enough = np.zeros(len(texts), np.float32)
         for i, blocks in enumerate(highest):
-            scores = (sums[i, blocks] + self.head[blocks] @ common[i]).ravel()
+            scores = np.concatenate([sums[i, b] + self.head[b] @ common[self.of[b], i] for b in blocks.tolist()])
             if len(scores) > k:
                 enough[i] = np.partition(scores, len(scores) - k)[len(scores) - k]
         wanted = (bounds >= enough[:, None] - ROUNDING) & (bounds > 0)
         for b in np.flatnonzero(wanted.any(axis=0)):
             asking = np.flatnonzero(wanted[:, b])
-            sums[asking, b] += common[asking] @ self.head[b].T
+            sums[asking, b] += common[self.of[b], asking] @ self.head[b].T
         self.asked += len(texts) * self.rows
         self.opened += int(wanted.sum()) * BLOCK
-        return [self._best(terms, weights, sums[i], np.flatnonzero(wanted[i]), k) for i, (terms, weights) in enumerate(texts)]
+        return [self._best(terms, weights, sums[i], np.flatnonzero(wanted[i]), float(enough[i]), k) for i, (terms, weights) in enumerate(texts)]
 
-    def _best(self, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, blocks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _best(self, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, blocks: np.ndarray, enough: float, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best of the opened blocks, worked out from the examples' own terms."""
         scores = sums[blocks].ravel()
-        least = np.partition(scores, len(scores) - k)[len(scores) - k] - ROUNDING if len(scores) > k else 0
-        keep = np.flatnonzero(scores >= least if least > 0 else scores > 0)
+        keep = np.flatnonzero(scores >= enough - ROUNDING if enough > ROUNDING else scores > 0)
+        if len(keep) > k:
+            found = scores[keep]
+            keep = keep[found >= np.partition(found, len(found) - k)[len(found) - k] - ROUNDING]
         if not len(keep):
             return np.zeros(0, np.int64), np.zeros(0)
-        rows = self.order.reshape(-1, BLOCK)[blocks].ravel()[keep]
+        rows = self.order[blocks[keep // BLOCK] * BLOCK + keep % BLOCK]
         spans = [slice(a, b) for a, b in zip(self.cut[rows].tolist(), self.cut[rows + 1].tolist())]
         begin = np.cumsum([0] + [x.stop - x.start for x in spans[:-1]])
+        own = np.concatenate([self.terms[x] for x in spans])
         self.dense[terms] = weights
-        found = np.add.reduceat(self.dense[np.concatenate([self.terms[x] for x in spans])] * np.concatenate([self.values[x] for x in spans]), begin)
+        self.asks[terms] = True
+        shared = np.flatnonzero(self.asks[own])
+        row = np.searchsorted(begin, shared, side="right") - 1
+        found = np.bincount(row, self.dense[own[shared]] * self.values[shared + (self.cut[rows] - begin)[row]], len(rows))
         self.dense[terms] = 0
+        self.asks[terms] = False
         best = np.lexsort((rows, -found))[:k]
         return rows[best], found[best]
 

@@ -1,12 +1,15 @@
 """Toxicity, packing, pieces and secrets on dirty rows and against plain versions."""
 
 import hashlib
+import math
 import os
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import lookup, packing, pieces, secrets, toxicity
@@ -404,6 +407,46 @@ def test_block_max_search_leaves_most_blocks_unopened():
     assert index.asked == len(texts) * rows and index.opened < index.asked / 2
 
 
+def test_common_words_of_each_tongue_have_no_lists():
+    """More common words than one set of them holds: every cluster of examples has its own, so few postings are left to sum."""
+    rng = np.random.default_rng(8)
+    rows, common, size = 4096, 200, 4 * 3000
+
+    def words(tongue):
+        own = common + rng.choice(3000 - common, 10, replace=False)
+        return (np.unique(np.concatenate([rng.choice(common, 60, replace=False), own])) + tongue * 3000).astype(np.int32)
+
+    examples = [(t, np.full(len(t), len(t) ** -0.5)) for t in (words(i % 4) for i in range(rows))]
+    index = toxicity.BlockMaxIndex(examples, np.zeros(rows, np.int32), np.arange(rows), size)
+    texts = [examples[5], *[(t, np.full(len(t), len(t) ** -0.5)) for t in (words(i % 4) for i in range(20))]]
+    found = index.nearest(texts, 15)
+    for (t, w), (near, cosines) in zip(texts, found):
+        scores = np.array([w[0] * v[0] * len(np.intersect1d(t, e)) for e, v in examples])
+        assert np.allclose(cosines, np.sort(scores)[::-1][:15]) and np.allclose(scores[near], cosines)
+    listed = np.diff(index.begin).reshape(4, 3000)[:, :common].sum()
+    assert listed < 0.05 * rows * 60
+
+
+def test_vectors_equal_a_count_word_by_word():
+    texts = ["Vile vilest VILE words, own12words", None, "", "123 _ 456", "vile " * 3000 + "word " * 5000, "words unseen unseen other", "ÄRGER ärger straße İx"]
+    number = {(t, k): i for i, (t, k) in enumerate(sorted([("vile", 1), ("vile-", 2), ("vile-", 1), ("viles-", 1), ("word-", 1), ("word-", 4)]))}
+    vocabulary = np.unique(toxicity._hashes(["vile", "word", "words", "ärger", "other"]))
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.nulls(len(texts), pa.int64()), pa.array([False] * len(texts)), pa.array(texts, pa.string())], ["doc_id", "row", "held_out", "text"])
+    for chosen, known in ((number, vocabulary), ({}, vocabulary), ({}, vocabulary[:0])):
+        got = pa.Table.from_batches(toxicity._vectors(SimpleNamespace(value=(chosen, known)))([rows])).to_pylist()
+        for text, row in zip(texts, got, strict=True):
+            own = Counter(toxicity._WORD.findall((text or "").lower()))
+            tf = Counter()
+            for w, n in own.items():
+                tf.update({t: n for t in toxicity._terms(w)})
+            least = max(1, own.total() / toxicity.STRETCH)
+            want = {i: tf[t] if k == 1 else 1 for (t, k), i in chosen.items() if tf[t] and tf[t] >= (k * least if k > 1 else 1)}
+            place = {w: int(np.searchsorted(known, h)) for w, h in zip(own, toxicity._hashes(list(own))) if h in known}
+            want |= {len(chosen) + at: own[w] for w, at in place.items()}
+            assert list(zip(row["terms"], row["counts"])) == sorted(want.items())
+            assert math.isclose(row["other"], sum((1 + math.log(n)) ** 2 for w, n in own.items() if w not in place))
+
+
 @needs_tables
 def test_toxicity_on_held_out_labels(spark):
     sf = SF.replace("sf0.001", "sf0.1")
