@@ -1,10 +1,12 @@
 import random
+import re
 from decimal import Decimal
 
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import amounts
 from ledgerlens.operators import report as Rep
 from ledgerlens.operators import stock as St
 from ledgerlens.operators.blends import blend_balance, ledger_sums
@@ -360,3 +362,36 @@ def test_presets_name_the_rows_they_are_for(table):
     fixed = override_rows(shown, F.col("product").isin(list(presets.CORRECTED)), {"dead_residue": 0})
     assert tuples(fixed.filter("dead_residue = 0"), "product") == [("Продукт №1 (смешение)",), ("Продукт №3 (смешение)",)]
     assert A.change_labels(presets.AUDIT_LABELS)[A.EDITED] == "Редактирование" and presets.MOVED == ("Продукт №19", "Продукт №18")
+
+
+AMOUNTS = [
+    None, 0.0, -0.0, 1.0, 17.0, 0.1 + 0.2, 17 * (1 - 0.07), 0.07 * 10, -50 * (1 - 0.09), 901.05, 1023.9999, 1024.00005, 8191.1234, 8192.12345678901, 104_949.5,
+    1 / 3, 2 / 3 * 1e3, 5e-5, 1e-12, 4.9e-13, 5e-13, 1.00000000000015, 858_993.4592, 858_994.0001, 123_456_789_012.34, 1e20, 0.00004999999999999, 99.99995000000001,
+]
+
+
+def test_nearest_doubles_and_exact_sums_are_those_of_the_decimals(spark):
+    """Also where a double is off its ten-thousandths by its last digits, or is none of them."""
+    rng = random.Random(3)
+    near = [round(rng.uniform(-2000, 2000), 4) + rng.choice([-3, -2, -1, 0, 1, 2, 3]) * 5e-14 for _ in range(3000)]
+    prices = [rng.randrange(1, 51) * (1 - rng.randrange(11) / 100) for _ in range(2000)] + [rng.uniform(-1e5, 1e5) for _ in range(1000)]
+    df = spark.createDataFrame([(i % 7, x) for i, x in enumerate(AMOUNTS + near + prices)], "g int, x double")
+    got = df.select("x", amounts.nearest("x", amounts.all_whole(["x"])).alias("a"), amounts.exact("x").cast("double").alias("b")).collect()
+    assert [r for r in got if r["a"] != r["b"]] == []
+    for rows in (df, df.filter("x = 17"), df.filter("x is null"), df.filter("abs(x) < 1e-4")):
+        sums = rows.groupBy("g").agg(amounts.exact_sum("x").alias("a"), F.sum(amounts.exact("x")).alias("b"), F.sum("x").alias("x"))
+        assert [r for r in sums.collect() if r["a"] != r["b"]] == [] and dict(sums.dtypes)["a"] == amounts.EXACT
+
+
+def test_balances_add_whole_numbers(spark):
+    """Doubles of ten-thousandths go into the sums as longs: no decimal is made of each of them."""
+    positions = spark.createDataFrame([(1, 1, 1, 17 * (1 - 0.07), 2.0, 0.07 * 10, 3.25, "p", "park", "")], "object_id int, product_id int, case_id int, measured double, mass_without_dr double, dead_residue_mass double, free_volume double, passport_state string, number_park string, grouping string")
+    objects = spark.createDataFrame([(1, "T_1", "Tank 1", 0)], "id int, sf_name string, name string, is_deleted int")
+    products = spark.createDataFrame([(1, "Diesel", 0)], "id int, name string, is_deleted int")
+    layers = spark.createDataFrame([(1, "Plant")], "object_id int, layer string")
+    mapping = spark.createDataFrame([], "source_name string, canonical_name string")
+    out = St.division_balances(positions, objects, products, layers, NAMES, mapping, SCOPE, {"PLANT": (None, None, None)}, by=["case_id"])
+    (row,) = out.collect()
+    assert (row["measured"], row["passported"], row["dead_residue"], row["free_volume"]) == (Decimal("15.810"), Decimal("2.000"), Decimal("0.700"), Decimal("3.250"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"as bigint\)", plan)) >= len(St.STOCK_MEASURES)
