@@ -63,8 +63,11 @@ def _counted(batches):
                         t = w[:size] + "-"
                         tf[t] = tf.get(t, 0) + n
             least = max(1, own.total() / STRETCH)
+            found = tf
             for k in TIMES:
-                found = tf if k == 1 else [t for t, n in tf.items() if n >= k * least]
+                if k > 1:  # these are among those that occur less often
+                    enough = k * least
+                    found = {t: n for t, n in found.items() if n >= enough}
                 sums[k, toxic > 0].update(list(found))
         for k in TIMES:
             bad = sums[k, True]
@@ -180,11 +183,11 @@ def _weights(terms: np.ndarray, counts: np.ndarray, other: float, idf: np.ndarra
 
 
 def _clusters(rows: np.ndarray) -> np.ndarray:
-    """A cluster for each row by direction: seeds are taken farthest first, then the means settle in a few rounds."""
+    """A cluster for each row by direction: the means settle in a few rounds."""
     length = np.linalg.norm(rows, axis=1)
     unit = rows / np.maximum(length, 1e-9)[:, None]
-    some = np.flatnonzero(length)
-    means = unit[some[np.linspace(0, len(some) - 1, CLUSTERS).astype(np.int64)]] if len(some) else unit[:0]
+    some = np.flatnonzero(length)  # seeds lie evenly among the rows
+    means = unit[some[np.linspace(0, len(some) - 1, CLUSTERS).astype(np.int64)]] if len(some) else unit[:1]
     for _ in range(ROUNDS):
         near = (unit @ means.T).argmax(axis=1)
         means = np.stack([unit[near == c].sum(axis=0) for c in range(CLUSTERS)])
@@ -195,8 +198,8 @@ def _clusters(rows: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Examples in blocks of those that share heavy terms, with inverted lists and bounds that leave most blocks unopened.
 
-    The most common terms (``HEAD``) never open a block. All others have inverted lists, which give each example its exact sum
-    over them; the common terms can add at most the sum, over groups of ``GROUP`` of them, of the products of the text's and
+    A block has examples of one cluster, whose most common terms (``HEAD``) never open it. All others have inverted lists, which give
+    each example its exact sum over them; the common terms can add at most the sum, over groups of ``GROUP`` of them, of the products of the text's and
     the example's lengths within the group. A block's bound is the largest of its examples; the blocks with the highest
     bounds are opened first, and then those alone whose bound reaches the k-th best cosine found there. Cosines of opened blocks are summed in
     single precision; those that can be among the k best are worked out again in double precision from the examples' own terms,
