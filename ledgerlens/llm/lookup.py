@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -13,6 +14,16 @@ STEP = 4 << 20  # bytes of text worked on at once
 KNOWN = 800_000  # words that are remembered (about 200 MB); beyond that it starts anew
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+
+
+def released() -> None:
+    """Gives a worker's free memory back to the system: Arrow and the C library keep it, each for itself, and it counts as the executor's."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def spans(sizes: Sequence[int], most: int) -> list[slice]:
     """Slices whose sizes add up to ``most`` at most, or of one element."""
     out, at, total = [], 0, 0
@@ -32,6 +43,26 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP) ->
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         for part in spans(sizes.tolist(), most):
             yield batch.slice(part.start, part.stop - part.start)
+    released()
+
+
+class Kept:
+    """What each worker makes once for the tasks of a stage; made for a broadcast, with which a worker drops it.
+
+    A worker gives up a broadcast when it begins a task that doesn't use it, so the memory is free for the next stage in Python.
+    """
+
+    def __init__(self):
+        self.made = None
+
+    def __getstate__(self):
+        """Nothing: workers make it by themselves."""
+        return {"made": None}
+
+    def get(self, make: Callable):
+        if self.made is None:
+            self.made = make()
+        return self.made
 
 
 class Pool:

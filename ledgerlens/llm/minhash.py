@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import staged
 from .common import Forest, blocks, components, fixed, groups, lists, listed, numbers
-from .lookup import sliced
+from .lookup import STEP, sliced
 from .shingles import band_keys, mix, shingle_sets, signature
 
 SIZE = 220  # coordinates of a signature
@@ -136,7 +136,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     kinds = "doc_id long, n_shingles long, k1 long, k2 long, sig binary, bands array<long>"
-    sketched = staged(texts.mapInArrow(_sketches, kinds), "sketches")
+    sketched = staged(texts.mapInArrow(_sketches, kinds), "sketches", batch=STEP)
     same = ["n_shingles", "k1", "k2"]
     classes = (
         sketched.filter("n_shingles > 0")
@@ -157,7 +157,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .filter(F.size("shingles") > 0)
         .dropDuplicates(["key", "id", "k1"])
     )
-    full = staged(full.drop("k1"), "cluster_sets")
+    full = staged(full.drop("k1"), "cluster_sets", batch=STEP)
     heavy = F.lit(1) + F.size("shingles") / F.lit(HEAVY)
     found = components(blocks(full, BLOCK, heavy).mapInArrow(_linked, _EDGE))
     named = classes.select(*same, "id").join(found, "id", "left").select(*same, F.coalesce("component", "id").alias("component"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
 import zlib
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources.session import staged
 from .common import numbers, parts
-from .lookup import Lexicon, Pool, sliced
+from .lookup import STEP, Kept, Lexicon, Pool, sliced
 
 TOKENS = 2048  # capacity of a sequence
 STEMS = 400_000  # stems that a worker remembers (about 100 MB); it starts anew beyond that
@@ -35,13 +34,8 @@ _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which ma
 _CLOSED = "[a-z0-9ß-öø-ÿ]$"  # what signs at the end are encoded apart from
 
 
-class Words:
-    """Ids of texts, by runs of characters between ASCII white space.
-
-    The tokenizer drops white space and never joins over it, so a text's ids are those of its runs, one after the other. It lowers
-    letters, and the signs that end a run behind a letter or digit are encoded by themselves, so runs that differ in these
-    share what has to be encoded.
-    """
+class Stems:
+    """Ids of runs of characters, by the tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,7 +47,6 @@ class Words:
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.stems = Lexicon(self.encode, most=STEMS)
 
     def encode(self, stems: list[str]):
         """Ids of stems, many to a call; those with the sign of special tokens one by one."""
@@ -73,6 +66,18 @@ class Words:
                 ids.append(np.delete(found, ends))
         return letters + plain + special, [(np.concatenate(ids), np.concatenate(lengths))]
 
+
+class Words:
+    """Ids of texts, by runs of characters between ASCII white space.
+
+    The tokenizer drops white space and never joins over it, so a text's ids are those of its runs, one after the other. It lowers
+    letters, and the signs that end a run behind a letter or digit are encoded by themselves, so runs that differ in these
+    share what has to be encoded.
+    """
+
+    def __init__(self, path: str):
+        self.stems = Lexicon(Stems(path).encode, most=STEMS)  # nothing refers back, so all of it goes with its last use
+
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (none null)."""
         special = pc.match_substring(texts, "<|")  # special tokens are told by case
@@ -113,17 +118,11 @@ def _ends(texts: pa.Array, begin: np.ndarray, rows: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(rows), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(held))
 
 
-@functools.lru_cache(2)
-def words(path: str) -> Words:
-    """Kept by a worker from task to task."""
-    return Words(path)
-
-
-def _pieces(path: Callable[[], str], tokens: int):
-    """doc_id, text -> doc_id, piece, start, length, ids_crc32, deal."""
+def _pieces(path: Callable[[], str], tokens: int, shared=None):
+    """doc_id, text -> doc_id, piece, start, length, ids_crc32, deal; a broadcast of ``Kept`` keeps the words from task to task."""
 
     def run(batches):
-        known, deal = words(path()), 0
+        known, deal = (shared.value if shared else Kept()).get(lambda: Words(path())), 0
         for batch in sliced(batches, "text"):
             texts = pa.concat_arrays([pc.fill_null(batch.column("text"), "")])  # its own buffers, from 0 on
             out: list[list[int]] = [[], [], [], [], []]
@@ -238,7 +237,8 @@ def packed(
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     kinds = "doc_id long, piece long, start long, length long, ids_crc32 long, deal long"
-    pieces = staged(rows.mapInArrow(_pieces(path, tokens), kinds), "pieces")
+    kept = docs.sparkSession.sparkContext.broadcast(Kept())
+    pieces = staged(rows.mapInArrow(_pieces(path, tokens, kept), kinds), "pieces", batch=STEP)
     strips = parts(docs.sparkSession)
     pieces = pieces.withColumn("strip", F.pmod("deal", F.lit(strips)))
     counts = staged(pieces.groupBy("length", "strip").agg(F.count(F.lit(1)).alias("n")), "piece_counts")

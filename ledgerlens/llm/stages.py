@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.grouping import first_per_key
 from ..sources.session import staged
 from .common import read
+from .lookup import STEP
 from .minhash import near_duplicates
 from .packing import packed
 from .secrets import redacted
@@ -25,7 +26,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     the text alone, so a row is known by its doc_id and the hash of its text."""
     keyed = docs.withColumn("_text", F.xxhash64("text"))
     scored = toxicity(keyed, read(spark, sf_dir, "labels"), row="_text")
-    gone = scored.filter("predicted = 1").select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_gone")).distinct()
+    gone = scored.filter("predicted = 1").select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_gone"))
+    gone = staged(gone, "toxic_rows", batch=STEP).distinct()
     toxic = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_gone"))
     return keyed.join(gone.hint("merge"), toxic, "left_anti").select(docs.columns)
 

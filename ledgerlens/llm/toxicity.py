@@ -16,7 +16,7 @@ from xxhash import xxh64_intdigest
 
 from ..sources.session import staged
 from .common import listed, lists, numbers
-from .lookup import sliced
+from .lookup import STEP, released, sliced
 
 EXAMPLES = 20_000  # labelled rows that the index is fitted on, at most; those with the smallest hash
 PURE = 0.8  # share of toxic rows among those that hold a term, at least
@@ -182,15 +182,13 @@ def _weights(terms: np.ndarray, counts: np.ndarray, other: float, idf: np.ndarra
     return w
 
 
-def _clusters(rows: np.ndarray) -> np.ndarray:
-    """A cluster for each row by direction: the means settle in a few rounds."""
-    length = np.linalg.norm(rows, axis=1)
-    unit = rows / np.maximum(length, 1e-9)[:, None]
+def _clusters(unit: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A cluster for each row of length 1 (or 0, as its ``length`` was) by direction: the means settle in a few rounds."""
     some = np.flatnonzero(length)  # seeds lie evenly among the rows
     means = unit[some[np.linspace(0, len(some) - 1, CLUSTERS).astype(np.int64)]] if len(some) else unit[:1]
     for _ in range(ROUNDS):
         near = (unit @ means.T).argmax(axis=1)
-        means = np.stack([unit[near == c].sum(axis=0) for c in range(CLUSTERS)])
+        means = (near == np.arange(CLUSTERS)[:, None]).astype(np.float32) @ unit  # sums, without copies of the rows
         means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
     return near
 
@@ -224,14 +222,18 @@ class BlockMaxIndex:
         top = np.argsort(-often, kind="stable")[: min(HEAD, self.size)]
         place = np.full(self.size, -1, np.int32)
         place[top] = np.arange(len(top))
-        faces = np.zeros((self.rows, len(top)), np.float32)
+        space = np.zeros(((-(-self.rows // BLOCK) + CLUSTERS) * BLOCK, len(top)), np.float32)  # for the faces, then for the blocks
+        faces = space[: self.rows]
         parts = [slice(a, a + PART) for a in range(0, len(self.terms), PART)]  # so that little is held beside the lists
         for part in parts:
             at = place[self.terms[part]]
             common = np.flatnonzero(at >= 0)
             faces[self._row(part.start + common), at[common]] = self.values[part.start + common]
-        near, lengths = _clusters(faces), np.linalg.norm(faces, axis=1)
+        lengths = np.sqrt(np.einsum("ij,ij->i", faces, faces))
+        faces /= np.maximum(lengths, 1e-9)[:, None]
+        near = _clusters(faces, lengths)
         del faces
+        space[:] = 0
         sizes = np.bincount(near, minlength=CLUSTERS)
         filled = -(-sizes // BLOCK)
         self.blocks, self.of = int(filled.sum()), np.repeat(np.arange(CLUSTERS), filled)  # a block has examples of one cluster
@@ -250,7 +252,7 @@ class BlockMaxIndex:
             top = top[np.lexsort((top, -held[c, top]))]
             self.place[top, c] = np.where(held[c, top] > 0, np.arange(len(top)), -1)
         del held
-        self.head = np.zeros((self.blocks * BLOCK, len(top)), np.float32)
+        self.head = space[: self.blocks * BLOCK]
         rare = np.empty(len(self.terms), bool)
         for part in parts:
             row = self._row(np.arange(part.start, min(part.stop, len(self.terms))))
@@ -258,7 +260,10 @@ class BlockMaxIndex:
             common = np.flatnonzero(column >= 0)
             self.head[at[row[common]], column[common]] = self.values[part][common]
             rare[part] = column < 0
-        self.lengths = np.sqrt(np.add.reduceat(np.square(self.head), np.arange(0, len(top), GROUP), axis=1)).T.copy()
+        groups = np.arange(0, len(top), GROUP)
+        self.lengths = np.empty((len(groups), len(self.head)), np.float32)
+        for a in range(0, len(self.head), BLOCK):
+            self.lengths[:, a : a + BLOCK] = np.sqrt(np.add.reduceat(np.square(self.head[a : a + BLOCK]), groups, axis=1)).T
         self.head = self.head.reshape(self.blocks, BLOCK, len(top))
         self.begin = np.concatenate([[0], np.cumsum(np.bincount(self.terms[rare], minlength=self.size))])
         self.lists = np.empty(self.begin[-1], [("place", np.int32), ("value", np.float32)])
@@ -271,6 +276,7 @@ class BlockMaxIndex:
             self.lists["place"][span], self.lists["value"][span] = at[self._row(rest)], self.values[rest]
             low = high
         self.dense, self.asks, self.count = np.zeros(self.size), np.zeros(self.size, bool), np.arange(PART)
+        released()
 
     def _row(self, at: np.ndarray) -> np.ndarray:
         """The examples that postings belong to."""
@@ -376,6 +382,7 @@ def _scored(shared, idf_marks: tuple):
                     [batch.column("doc_id"), batch.column("row"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, evidence)],
                     ["doc_id", "row", "held_out", "score", "predicted", "evidence"],
                 )
+        released()
 
     return run
 
@@ -425,7 +432,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     context = docs.sparkSession.sparkContext
     kinds = "doc_id long, row long, held_out boolean, terms array<int>, counts array<int>, other double"
     vectorised = _vectors(context.broadcast((number, vocabulary)))
-    vectors = staged(rows.mapInArrow(vectorised, kinds), "toxicity_vectors")
+    vectors = staged(rows.mapInArrow(vectorised, kinds), "toxicity_vectors", batch=STEP)
     everything = vectors.count()
     rare = math.log((1 + everything) / 2) + 1
     idf = np.full(marks + len(vocabulary), rare)

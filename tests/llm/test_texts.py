@@ -1,9 +1,12 @@
 """Toxicity, packing, pieces and secrets on dirty rows and against plain versions."""
 
+import gc
 import hashlib
 import math
 import os
+import pickle
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -14,6 +17,7 @@ import pytest
 
 from ledgerlens.llm import lookup, packing, pieces, secrets, toxicity
 from ledgerlens.llm.queries import QUERIES
+from ledgerlens.sources import session
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not here")
@@ -84,6 +88,37 @@ def test_slices_of_a_batch_are_worked_on_alike(monkeypatch):
     assert found == [model().encode(t or "") for t in texts[1:]]
 
 
+def test_workers_drop_the_words_after_packing(spark):
+    """The tokenizer and its words are kept through a stage's tasks and go with its broadcast; they stayed in every worker for good before."""
+    rows = spark.createDataFrame([(i, f"some words of row {i}") for i in range(40)], "doc_id long, text string").repartition(8)
+
+    def left(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(isinstance(x, packing.Words) for x in gc.get_objects())])], ["n"])
+
+    assert packing.packed(rows).count() == 40
+    assert {r["n"] for r in rows.mapInArrow(left, "n long").collect()} == {0}
+
+
+def test_a_stored_step_sends_python_batches_of_few_bytes(spark):
+    rows = spark.range(0, 400, 1, 1).selectExpr("id", "repeat('x', 5000) as text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], ["n", "rows"])
+
+    before = spark.conf.get(session.BATCH, None)
+    found = session.staged(rows.mapInArrow(sizes, "n long, rows long"), "sizes", batch=100_000).collect()
+    assert sum(r["rows"] for r in found) == 400 and max(r["n"] for r in found) < 120_000
+    assert spark.conf.get(session.BATCH, None) == before
+
+
+def test_words_are_made_once_a_broadcast_and_not_sent():
+    kept = lookup.Kept()
+    assert kept.get(lambda: [1]) is kept.get(lambda: [2])
+    assert pickle.loads(pickle.dumps(kept)).get(lambda: [3]) == [3]
+
+
 def test_packing_of_nothing(spark):
     assert packing.packed(spark.createDataFrame([], DOCS)).collect() == []
 
@@ -427,6 +462,18 @@ def test_common_words_of_each_tongue_have_no_lists():
     assert listed < 0.05 * rows * 60
 
 
+def test_blocks_are_put_together_in_little_more_than_they_take():
+    rng = np.random.default_rng(9)
+    rows, size = 6000, 4000
+    examples = [(t, np.full(len(t), len(t) ** -0.5)) for t in (np.unique(rng.integers(0, size, 20)).astype(np.int32) for _ in range(rows))]
+    index = toxicity.BlockMaxIndex(examples, np.zeros(rows, np.int32), np.arange(rows), size)
+    tracemalloc.start()
+    index._open()
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 1.5 * kept
+
+
 def test_vectors_equal_a_count_word_by_word():
     texts = ["Vile vilest VILE words, own12words", None, "", "123 _ 456", "vile " * 3000 + "word " * 5000, "words unseen unseen other", "ÄRGER ärger straße İx"]
     number = {(t, k): i for i, (t, k) in enumerate(sorted([("vile", 1), ("vile-", 2), ("vile-", 1), ("viles-", 1), ("word-", 1), ("word-", 4)]))}
