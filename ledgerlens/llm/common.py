@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.session import staged
+from ..sources.session import dropped, staged
 
 KEY = ("key", "bi", "bj")
 
@@ -57,16 +57,20 @@ def blocks(members: DataFrame, size: int, weight=None) -> DataFrame:
     weighed = F.ceil(F.greatest(F.count(F.lit(1)), F.sum(weight) if weight is not None else F.lit(0)) / F.lit(size))
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), weighed.cast("int").alias("nb")).filter("n >= 2")
     counts = staged(counts, "group_sizes")  # a plain side of the join, so that Spark splits a large group's partition
+    return dealt(members.join(counts.drop("n"), "key"))
+
+
+def dealt(members: DataFrame) -> DataFrame:
+    """``members`` of groups of ``nb`` blocks each, as ``blocks`` deals them."""
     own = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
-    dealt = (
-        members.join(counts.drop("n"), "key")
-        .withColumn("b", own)
+    rows = (
+        members.withColumn("b", own)
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         .withColumn("bi", F.least("b", "o"))
         .withColumn("bj", F.greatest("b", "o"))
         .drop("o", "nb")
     )
-    return dealt.repartition(parts(members.sparkSession), *KEY).sortWithinPartitions(*KEY)
+    return rows.repartition(parts(members.sparkSession), *KEY).sortWithinPartitions(*KEY)
 
 
 def groups(batches: Iterable[pa.RecordBatch], decode: Callable[[pa.RecordBatch], dict]) -> Iterator[dict]:
@@ -113,6 +117,20 @@ class Forest:
         if a != b:
             self.root[self.root == max(a, b)] = min(a, b)
 
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Joins the positions of all pairs at once."""
+        while True:
+            a, b = self.root[i], self.root[j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            up = np.arange(len(self.root))
+            np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+            while (further := up[up] != up).any():
+                up[further] = up[up[further]]
+            self.root = up[self.root]
+
     def edges(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id, id of its root) for every row that isn't its own root."""
         moved = np.flatnonzero(self.root != np.arange(len(self.root)))
@@ -122,14 +140,18 @@ class Forest:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b); component is the smallest id reachable.
 
-    Large-star and small-star rounds until the edges stay as they are; each round is written to the shared folder. Nothing but
-    two numbers a round reaches the driver. An id with any share of the edges has one row of least neighbours, which is stored
-    too: the join back to the edges then stands on two plain shuffles, whose large partitions Spark splits.
+    Large-star and small-star rounds until the edges stay as they are; each round is written to the shared folder, and the one
+    before goes. Nothing but two numbers a round reaches the driver. An id with any share of the edges has one row of least
+    neighbours, which is stored too: the join back to the edges then stands on two plain shuffles, whose large partitions Spark
+    splits.
     """
     now = _ordered(edges.select("a", "b"))
-    now, seen = _round(now, True)
+    made: list[str] = []
+    now, seen = _round(now, True, made)
     while True:
-        now, new = _round(now, False)
+        before, made = made, []
+        now, new = _round(now, False, made, before)
+        dropped(edges.sparkSession, before)
         if new == seen:
             break
         seen = new
@@ -142,20 +164,21 @@ def _ordered(edges: DataFrame) -> DataFrame:
     return edges.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
 
 
-def _round(edges: DataFrame, plain: bool) -> tuple[DataFrame, tuple]:
-    out = staged(edges if plain else _small(_large(edges)), "components")
+def _round(edges: DataFrame, plain: bool, made: list, between: list | None = None) -> tuple[DataFrame, tuple]:
+    """``made`` gets the folder of the result, ``between`` those of what it is made from."""
+    out = staged(edges if plain else _small(_large(edges, between), between), "components", once=True, made=made)
     total = out.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
     return out, tuple(total)
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, made: list) -> DataFrame:
     both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(edges.select(F.col("hi"), F.col("lo")))
-    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least", once=True, made=made)
     return both.filter("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    edges = staged(edges, "stars")
-    least = staged(edges.groupBy("hi").agg(F.min("lo").alias("m")), "least")
+def _small(edges: DataFrame, made: list) -> DataFrame:
+    edges = staged(edges, "stars", once=True, made=made)
+    least = staged(edges.groupBy("hi").agg(F.min("lo").alias("m")), "least", once=True, made=made)
     moved = edges.join(least, "hi").filter("lo <> m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
     return moved.union(least.select(F.col("m").alias("lo"), "hi")).distinct()

@@ -4,19 +4,27 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.session import staged
-from .common import Forest, blocks, components, groups, lists, numbers
+from ..sources.session import dropped, staged
+from .common import Forest, components, dealt, groups, lists, numbers
 
 LEAST = 0.9  # cosine of a link
 SURE = 4.0  # width of the bounds: a true value lies above the upper bound with probability below 1e-4
+ROUNDING = 1e-5  # more than what single precision adds to a bound
 MISS = 0.002  # probability that a pair at LEAST shares no table
-BLOCK = 512
+CELL = 1024  # vectors of a table's cell, on the average
+ROUND = 4  # tables at most whose rows are on disk at once
+BLOCK = 4096  # rows of a block of one cell or cluster
+STEP = 256  # rows of a block compared at once
+GATHERED = 1 << 15  # pairs of rows put together at once
+COUNTED = 4 << 20  # keys counted at once
 SEED = 77
 
 
@@ -43,41 +51,139 @@ class Codes:
     """Binary codes of unit vectors with what the unbiased estimate needs.
 
     A rotated vector o is kept as its signs x (times 1/sqrt(dim)) and the factor <x, o>; a vector q's inner product with o is
-    estimated as <x, q> / <x, o>, off by at most SURE * sqrt((1 - f^2) / f^2 / (dim - 1)). q is kept in 8 bits a component.
+    estimated as <x, q> / <x, o>, off by at most SURE * sqrt((1 - f^2) / f^2 / (dim - 1)). q is kept in 8 bits a component, and
+    the signs are theirs.
     """
 
-    def __init__(self, bits: np.ndarray, factor: np.ndarray, small: np.ndarray, scale: np.ndarray, dim: int):
-        self.bits, self.factor, self.small, self.scale, self.dim = bits, factor, small, scale, dim
+    def __init__(self, small: np.ndarray, factor: np.ndarray, scale: np.ndarray):
+        self.small, self.factor, self.scale, self.dim = small, factor, scale, small.shape[1]
 
     @classmethod
     def of(cls, units: np.ndarray) -> Codes:
         dim = units.shape[1]
         turned = units @ rotations(dim, dim).T
-        factor = np.abs(turned).sum(axis=1) / math.sqrt(dim)
         scale = np.abs(turned).max(axis=1) / 127
         small = np.rint(turned / scale[:, None]).astype(np.int8)
-        return cls(np.packbits(turned > 0, axis=1), factor, small, scale, dim)
+        factor = np.where(small > 0, turned, -turned).sum(axis=1) / math.sqrt(dim)
+        return cls(small, factor, scale)
 
-    def possible(self, rows: slice, others: np.ndarray | slice) -> np.ndarray:
-        """Whether the pair's upper bound, taken from either side, reaches LEAST."""
-        signs = (np.unpackbits(self.bits, axis=1, count=self.dim).astype(np.float32) * 2 - 1) / math.sqrt(self.dim)
-        near = self.small.astype(np.float32) * self.scale[:, None].astype(np.float32)
-        slack = self.scale.astype(np.float64) * math.sqrt(self.dim) / 2
+    def stored(self) -> pa.Array:
+        """A binary value a row: dim bytes and two doubles."""
+        tail = np.stack([self.factor, self.scale], axis=1).astype(np.float64).view(np.uint8)
+        flat = np.ascontiguousarray(np.concatenate([self.small.view(np.uint8), tail], axis=1))
+        at = np.arange(len(flat) + 1, dtype=np.int32) * np.int32(flat.shape[1])
+        return pa.Array.from_buffers(pa.binary(), len(flat), [None, pa.py_buffer(at), pa.py_buffer(flat)])
+
+    @classmethod
+    def read(cls, values: list[bytes]) -> Codes:
+        """Of values of one length."""
+        flat = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+        tail = np.ascontiguousarray(flat[:, -16:]).view(np.float64)
+        return cls(np.ascontiguousarray(flat[:, :-16]).view(np.int8), tail[:, 0], tail[:, 1])
+
+    @functools.cached_property
+    def slack(self) -> np.ndarray:
+        """How far at most the 8-bit vector is from the vector."""
+        return self.scale * math.sqrt(self.dim) / 2
+
+    @functools.cached_property
+    def data(self) -> np.ndarray:
+        """Rows whose product with a row of ``query`` is 0 or more where the upper bound reaches LEAST."""
         f2 = np.square(self.factor)
         wide = SURE * np.sqrt(np.maximum(0, 1 - f2) / f2 / max(self.dim - 1, 1e-9))
+        signs = np.where(self.small > 0, 1, -1) / math.sqrt(self.dim)
+        return np.concatenate([signs, np.ones((len(f2), 1)), (self.factor * (wide - LEAST))[:, None]], axis=1).astype(np.float32)
+
+    @functools.cached_property
+    def query(self) -> np.ndarray:
+        near = self.small * self.scale[:, None]
+        return np.concatenate([near, self.slack[:, None], np.ones((len(near), 1))], axis=1).astype(np.float32)
+
+    def possible(self, rows: slice, others: np.ndarray | slice) -> np.ndarray:
+        """Whether the pair's upper bound, taken from either side, reaches LEAST."""
+        return (self.data[rows] @ self.query[others].T >= -ROUNDING) & (self.query[rows] @ self.data[others].T >= -ROUNDING)
+
+    def pairs(self, side: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The possible pairs of a block's rows, or of the rows of two blocks."""
+        if same:
+            left = right = np.arange(len(side))
+        else:
+            left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side != side.min())
+        data, query, others, asked = self.data[left], self.query[left], self.data[right], self.query[right]
+        for a in range(0, len(left), STEP):
+            rows, first = slice(a, a + STEP), a if same else 0
+            may = data[rows] @ asked[first:].T >= -ROUNDING
+            if dense := np.count_nonzero(may) * 16 > may.size:
+                may &= query[rows] @ others[first:].T >= -ROUNDING
+            i, j = np.divmod(np.flatnonzero(may), max(1, may.shape[1]))
+            i, j = i + a, j + first
+            if same:
+                i, j = i[i < j], j[i < j]
+            if not dense:
+                ok = _dots(query, others, i, j) >= -ROUNDING
+                i, j = i[ok], j[ok]
+            if len(i):
+                yield left[i], right[j]
 
-        def upper(data, query):
-            guess = (signs[data] @ near[query].T) / self.factor[data][:, None]
-            return guess + wide[data][:, None] + slack[query][None, :] / self.factor[data][:, None]
+    def close(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether a pair may reach LEAST by the 8-bit vectors, which tells nearly all unlike pairs that the signs let through."""
+        at = slice(0, self.dim)
+        return _dots(self.query[:, at], self.query[:, at], i, j) + self.slack[i] + self.slack[j] * (1 + self.slack[i]) >= LEAST - ROUNDING
 
-        return (upper(rows, others) >= LEAST) & (upper(others, rows).T >= LEAST)
+
+def _dots(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of rows of x with rows of y."""
+    out = np.empty(len(i), x.dtype)
+    for a in range(0, len(i), GATHERED):
+        at = slice(a, a + GATHERED)
+        out[at] = np.einsum("ij,ij->i", x[i[at]], y[j[at]])
+    return out
+
+
+@functools.lru_cache(64)
+def agreement(count: int) -> float:
+    """Probability that vectors of cosine LEAST have the same nearest of ``count`` Gaussian directions and their opposites.
+
+    Products with a Gaussian direction are normal with that correlation, in any dimension; this adds up over both largest ones.
+    """
+    step = 0.02
+    x = np.arange(step / 2, 8, step)
+    rest = 1 - LEAST**2
+    one, other = (np.exp(-(x[:, None] ** 2 - 2 * c * x[:, None] * x + x**2) / (2 * rest)) / (2 * math.pi * math.sqrt(rest)) * step**2 for c in (LEAST, -LEAST))
+    below = np.pad(2 * (one + other).cumsum(axis=0).cumsum(axis=1), ((1, 0), (1, 0)))
+    below = (below[1:, 1:] + below[1:, :-1] + below[:-1, 1:] + below[:-1, :-1]) / 4
+    return float(2 * count * (one * np.minimum(below, 1) ** (count - 1)).sum())
+
+
+def levels(bits: int) -> list[int]:
+    """Bits of the directions that make a key: one family, or two where that were too many products."""
+    return [b for b in ((bits,) if bits <= 10 else (bits - bits // 2, bits // 2)) if b]
 
 
 def tables(count: int) -> tuple[int, int]:
     """(bits of a key, tables): keys grow with the logarithm of the rows, tables follow from MISS."""
-    bits = max(8, math.ceil(math.log2(max(1, count) / 32)))
-    same = (1 - math.acos(LEAST) / math.pi) ** bits
-    return bits, math.ceil(math.log(MISS) / math.log(1 - same))
+    bits = max(0, math.ceil(math.log2(max(1, count) / CELL)))
+    same = math.prod(agreement(1 << (b - 1)) for b in levels(bits))
+    return bits, math.ceil(math.log(MISS) / math.log(1 - same)) if same < 1 else 1
+
+
+@functools.lru_cache(256)
+def directions(dim: int, table: int, level: int, count: int) -> np.ndarray:
+    """Columns of independent normal numbers, the same in every task."""
+    rng = np.random.Generator(np.random.PCG64([SEED, dim, table, level]))
+    return rng.standard_normal((dim, count), dtype=np.float32)
+
+
+def keys(units: np.ndarray, bits: int, table: int) -> np.ndarray:
+    """The cell of every vector in a table: its length, the table, and the nearest direction of each family."""
+    n, dim = units.shape
+    cell = np.full(n, (dim << 40) + (table << 32), np.int64)
+    inside = np.zeros(n, np.int64)
+    for k, b in enumerate(levels(bits)):
+        found = units @ directions(dim, table, k, 1 << (b - 1))
+        most = np.abs(found).argmax(axis=1)
+        inside = (inside << b) + 2 * most + (found[np.arange(n), most] > 0)
+    return cell + inside
 
 
 def _matrices(vectors: list[np.ndarray]):
@@ -88,50 +194,59 @@ def _matrices(vectors: list[np.ndarray]):
         yield int(dim), at, np.stack([vectors[i] for i in at]).astype(np.float64)
 
 
-def _hashed(bits: int, count: int):
-    """id, embedding -> a row for each table: key, id, code, factor, small, scale, dim."""
+def _cells(bits: int, count: int):
+    """embedding -> key, n: how many vectors of a part of the rows are in a cell."""
+
+    def counted(held):
+        key, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64())], ["key", "n"])
+
+    def run(batches):
+        held, total = [], 0
+        for batch in batches:
+            for _, _, matrix in _matrices(lists(batch.column("embedding"), np.float64)):
+                units = unit(matrix).astype(np.float32)
+                held += [keys(units, bits, t) for t in range(count)]
+                total += len(units) * count
+            if total > COUNTED:
+                yield counted(held)
+                held, total = [], 0
+        if held:
+            yield counted(held)
+
+    return run
+
+
+def _hashed(bits: int, chosen: range):
+    """id, embedding -> a row for each of the tables: key, id, code."""
 
     def run(batches):
-        weights = np.uint64(1) << np.arange(bits, dtype=np.uint64)
         for batch in batches:
             ids = numbers(batch.column("id"))
-            for dim, at, matrix in _matrices(lists(batch.column("embedding"), np.float64)):
+            for _, at, matrix in _matrices(lists(batch.column("embedding"), np.float64)):
                 units = unit(matrix)
-                codes = Codes.of(units)
-                signs = (units @ rotations(dim, bits * count).T > 0).reshape(len(at), count, bits)
-                key = (signs.astype(np.uint64) * weights).sum(axis=2, dtype=np.uint64)
-                key = (key * np.uint64(count) + np.arange(count, dtype=np.uint64)) * np.uint64(8191) + np.uint64(dim)
-                n = len(at)
-                code = [c.tobytes() for c in codes.bits]
-                small = [c.tobytes() for c in codes.small]
-                for t in range(count):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.ascontiguousarray(key[:, t]).view(np.int64)), pa.array(ids[at]), pa.array(code, pa.binary()), pa.array(codes.factor), pa.array(small, pa.binary()), pa.array(codes.scale), pa.array(np.full(n, dim, np.int32))],
-                        ["key", "id", "code", "factor", "small", "scale", "dim"],
-                    )
+                code, own, single = Codes.of(units).stored(), pa.array(ids[at]), units.astype(np.float32)
+                for t in chosen:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys(single, bits, t)), own, code], ["key", "id", "code"])
 
     return run
 
 
 def _alike(batches):
-    """Rows of a bucket's blocks -> a spanning forest of the pairs that the bounds don't shut out."""
-
-    def decode(x):
-        return {"id": numbers(x.column("id")), "b": numbers(x.column("b")), "dim": numbers(x.column("dim")), "code": list(x.column("code").to_pylist()), "small": list(x.column("small").to_pylist()), "factor": numbers(x.column("factor"), np.float64), "scale": numbers(x.column("scale"), np.float64)}
-
+    """Rows of a cell's blocks -> a spanning forest of the pairs that the bounds don't shut out."""
+    decode = lambda x: {"id": numbers(x.column("id")), "b": numbers(x.column("b")), "code": x.column("code").to_pylist()}
     for g in groups(batches, decode):
-        n, dim = len(g["id"]), int(g["dim"][0])
-        if n < 2 or (g["dim"] != dim).any():  # another length can only share a key by chance
+        n = len(g["id"])
+        if n < 2:
             continue
-        bits = np.frombuffer(b"".join(g["code"]), np.uint8).reshape(n, -1)
-        small = np.frombuffer(b"".join(g["small"]), np.int8).reshape(n, -1)
-        may = Codes(bits, g["factor"], small, g["scale"], dim).possible(slice(None), slice(None))
-        if not g["same"]:
-            may &= g["b"][:, None] != g["b"][None, :]
-        forest = Forest(n)
-        for i, j in np.argwhere(np.triu(may, 1)):
-            if forest.root[i] != forest.root[j]:
-                forest.join(int(i), int(j))
+        codes, forest = Codes.read(g["code"]), Forest(n)
+        for i, j in codes.pairs(g["b"], g["same"]):
+            apart = forest.root[i] != forest.root[j]
+            i, j = i[apart], j[apart]
+            near = codes.close(i, j)
+            forest.link(i[near], j[near])
+            if not forest.root.any():
+                break
         a, b = forest.edges(g["id"])
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -144,28 +259,30 @@ def _linked(batches):
         return {"id": numbers(x.column("id")), "b": numbers(x.column("b")), "n": numbers(x.column("n")), "v": lists(x.column("embedding"), np.float64)}
 
     for g in groups(batches, decode):
-        ids, side, weight, n = g["id"], g["b"], g["n"], len(g["id"])
+        ids, weight, n = g["id"], g["n"], len(g["id"])
         forest, links = Forest(n), np.zeros(n, np.int64)
         for _, at, matrix in _matrices(g["v"]):
             units = unit(matrix)
-            codes = Codes.of(units)
-            for a in range(0, len(at), 128):
-                rows = slice(a, min(a + 128, len(at)))
-                may = codes.possible(rows, slice(a, None))
-                i, j = np.nonzero(may)
-                i, j = i + a, j + a
-                ok = (i < j) if g["same"] else (i < j) & (side[at[i]] != side[at[j]])
-                i, j = i[ok], j[ok]
-                hit = np.einsum("ij,ij->i", units[i], units[j]) >= LEAST  # the exact recomputation
+            for i, j in Codes.of(units).pairs(g["b"][at], g["same"]):
+                hit = _dots(units, units, i, j) >= LEAST  # the exact recomputation
                 i, j = at[i[hit]], at[j[hit]]
                 np.add.at(links, i, weight[j])
                 np.add.at(links, j, weight[i])
-                for x, y in zip(i.tolist(), j.tolist()):
-                    if forest.root[x] != forest.root[y]:
-                        forest.join(x, y)
+                forest.link(i, j)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(ids[forest.root])], ["a", "links", "b"])
 
 
+def _several(sizes: DataFrame) -> DataFrame:
+    """key, nb of the groups of several blocks, out of key, n of all; at most one in BLOCK rows is such a group."""
+    large = sizes.filter(F.col("n") > BLOCK).select("key", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("nb"))
+    return F.broadcast(staged(large, "large_groups", once=True))
+
+
+def _blocks(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """The rows dealt by key as ``blocks`` deals them, in one shuffle."""
+    return dealt(rows.join(several, "key", "left").withColumn("nb", F.coalesce("nb", F.lit(1))))
+
+
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
 
@@ -173,8 +290,9 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     directly, component_id is the smallest vec_id reachable.
 
     1. Equal vectors form one class with a row count, so copies never meet in pairs.
-    2. Tables of random hyperplane keys give buckets; in blocks of a bucket, binary codes and their bounds shut out pairs that
-       can't reach 0.9. The rest's components are clusters.
+    2. Tables of random keys, the nearest of many Gaussian directions, give cells; in blocks of a cell, binary codes and their
+       bounds shut out pairs that can't reach 0.9, and 8-bit codes most of those left. The rest's components are clusters. A few
+       tables go at once, and what they shuffle is dropped before the next.
     3. In blocks of a cluster, with all its vectors, the same bounds pick the pairs that are computed exactly; these decide.
 
     Null or zero vectors and those with a null or non-finite component link with nothing, and vectors of different length never
@@ -184,19 +302,29 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
     same = [F.xxhash64(F.lit(1), "embedding").alias("h1"), F.xxhash64(F.lit(2), "embedding").alias("h2")]
     fine = rows.filter(usable(F.col("embedding")))
+    kind = F.col("embedding") if vectors.schema[embedding].dataType == T.ArrayType(T.FloatType()) else F.col("embedding").cast("array<double>")
     classes = (
         fine.groupBy("embedding")
         .agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
-        .select("id", "n", *same, F.col("embedding").cast("array<double>").alias("embedding"))
+        .select("id", "n", *same, kind.alias("embedding"))
     )
-    classes = staged(classes, "vector_classes")
+    classes = staged(classes, "vector_classes", once=True)
     known = classes.filter("id is not null")
     bits, count = tables(known.count())
-    kinds = "key long, id long, code binary, factor double, small binary, scale double, dim int"
-    hashed = known.select("id", "embedding").mapInArrow(_hashed(bits, count), kinds)
-    soft = components(blocks(hashed, BLOCK).mapInArrow(_alike, "a long, b long"))
-    members = known.join(soft.select("id", F.col("component").alias("key")), "id").select("key", "id", "n", "embedding")
-    found = staged(blocks(members, BLOCK).mapInArrow(_linked, "a long, links long, b long"), "vector_links")
+    cells = known.select("embedding").mapInArrow(_cells(bits, count), "key long, n long")
+    several = _several(cells.groupBy("key").agg(F.sum("n").alias("n")))
+    found, made = [], []
+    rounds = math.ceil(count / ROUND)
+    for k in range(rounds):
+        chosen = range(k, count, rounds)
+        hashed = known.select("id", "embedding").mapInArrow(_hashed(bits, chosen), "key long, id long, code binary")
+        found.append(staged(_blocks(hashed, several).mapInArrow(_alike, "a long, b long").distinct(), "alike", once=True, made=made))
+    soft = components(functools.reduce(DataFrame.union, found))
+    dropped(vectors.sparkSession, made)
+    soft = soft.select("id", F.col("component").alias("key"))
+    members = known.join(soft, "id").select("key", "id", "n", "embedding")
+    several = _several(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    found = staged(_blocks(members, several).mapInArrow(_linked, "a long, links long, b long"), "vector_links", once=True)
     links = found.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     joined = components(found.filter("a <> b").select("a", "b"))
     result = (

@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -178,6 +179,79 @@ def test_bounds_hold_and_shut_out_most():
     assert not (close & ~may).any() and may.mean() < 0.05
 
 
+def test_unlike_vectors_leave_no_edges(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = np.repeat(rng.standard_normal((3, 64)), 400, axis=0)  # cosines of about 0.6 within one of three
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(centres + 0.8 * rng.standard_normal((1200, 64)))]
+    rows += [(2000 + i, [x * 1.5 + 0.01 for x in v]) for i, v in rows[:5]]
+    edges, components = [], rabitq.components
+    monkeypatch.setattr(rabitq, "components", lambda found: (edges.append(sorted({(min(r), max(r)) for r in found.collect()})), components(found))[1])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in rabitq.near_vectors(df).collect())
+    assert got == expected_vectors(rows)
+    assert edges == [[(i, 2000 + i) for i in range(5)]] * 2  # else all vectors of a large table are one cluster
+
+
+def shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()))
+
+
+def test_what_is_shuffled_and_stored_between_is_dropped(spark, monkeypatch):
+    monkeypatch.setattr(rabitq, "CELL", 64)
+    monkeypatch.setattr(rabitq, "BLOCK", 100)
+    df = spark.createDataFrame(vectors(1500)[:1500], "vec_id long, embedding array<float>")
+    bits, count = rabitq.tables(1500)
+    assert bits == 5 and count > rabitq.ROUND
+    before = shuffled_bytes(spark)
+    result = rabitq.near_vectors(df)
+    deadline = time.time() + 30
+    while time.time() < deadline and shuffled_bytes(spark) > before + 100_000:
+        time.sleep(0.2)  # files go in the background
+    assert shuffled_bytes(spark) <= before + 100_000  # counts of a row a task may stay
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    left = {re.sub("-[0-9a-f]{32}$", "", x) for x in os.listdir(folder)}
+    assert not left & {"alike", "stars"}
+    assert sorted(tuple(r) for r in result.collect()) == expected_vectors([(r["vec_id"], r["embedding"]) for r in df.collect()])
+
+
+def test_few_tables_and_pairs_at_the_threshold_share_one():
+    assert rabitq.tables(15_000_000)[1] <= 30 and rabitq.tables(500) == (0, 1)
+    rng = np.random.default_rng(6)
+    for dim in (5, 64):
+        a = rabitq.unit(rng.standard_normal((8000, dim)))
+        side = rng.standard_normal((8000, dim))
+        b = 0.9 * a + np.sqrt(1 - 0.81) * rabitq.unit(side - a * (a * side).sum(axis=1, keepdims=True))
+        for rows in (50_000, 15_000_000):
+            bits, count = rabitq.tables(rows)
+            met = [rabitq.keys(a.astype(np.float32), bits, t) == rabitq.keys(b.astype(np.float32), bits, t) for t in range(count)]
+            assert np.mean(~np.any(met, axis=0)) < 2 * rabitq.MISS
+
+
+def test_stored_codes_and_blocks_give_the_same_pairs():
+    rng = np.random.default_rng(7)
+    units = rabitq.unit(np.repeat(rng.standard_normal((300, 24)), 3, axis=0) + 0.2 * rng.standard_normal((900, 24)))
+    codes = rabitq.Codes.of(units)
+    again = rabitq.Codes.read(codes.stored().to_pylist())
+    want = {(i, j) for i, j in np.argwhere(codes.possible(slice(None), slice(None))).tolist() if i < j}
+    side = np.arange(900) % 2
+    for same in (True, False):
+        got = [(min(p), max(p)) for i, j in again.pairs(side, same) for p in zip(i.tolist(), j.tolist())]
+        assert len(got) == len(set(got)) and set(got) == {(i, j) for i, j in want if same or side[i] != side[j]}
+    i, j = np.triu_indices(900, 1)
+    assert not ((units @ units.T)[i, j] >= rabitq.LEAST)[~again.close(i, j)].any()
+
+
+def test_links_join_as_pairs_do():
+    rng = np.random.default_rng(8)
+    i, j = rng.integers(0, 500, (2, 300))
+    one, other = common.Forest(500), common.Forest(500)
+    one.link(i, j)
+    for a, b in zip(i, j):
+        other.join(a, b)
+    assert (one.root == other.root).all()
+
+
 @needs_tables
 def test_embeddings_against_brute_force(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
